@@ -8,9 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The characters that Python's str.split() treats as white space.
-WHITE_SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-WORD_BREAK = f"[{WHITE_SPACE}]+"
+# What Python's str.split() treats as white space; one or more end a word.
+WORD_BREAK = r"(?U)[\s\x1c-\x1f]+"
 
 # What Python's repr() escapes beyond quotes, backslash, \t, \n and \r.
 UNPRINTABLE = r"[\p{C}\p{Z}&&[^ ]]"
@@ -24,7 +23,7 @@ def words(text: Column, lower: bool = False, isolate_punctuation: bool = False)
         text = F.lower(text)
     if isolate_punctuation:
         text = F.regexp_replace(text, r"([!-/:-@\[-`{-~])", " $1 ")
-    return F.filter(F.split(text, WORD_BREAK), lambda w: w != "")
+    return F.array_remove(F.split(text, WORD_BREAK), "")
 
 
 def word_count(value: Column, dtype: T.DataType, strict: bool = False) -> Column:
@@ -93,12 +92,15 @@ def _double_text(value: Column) -> Column:
     """A double as Python prints it: the fewest digits that give the same number, with an
     exponent only below 1e-4 and from 1e16 on."""
     plain = value.cast("string")
-    # Up to 15 digits without an exponent are written alike.
-    return F.when((F.length(plain) <= 16) & ~plain.rlike("[EaI]"), plain).otherwise(
+    has_exponent = plain.contains("E")
+    # Up to 15 digits are the fewest already; without an exponent they are written alike.
+    few = F.length(F.substring_index(plain, "E", 1)) <= 16
+    scientific = F.when(has_exponent & few, F.lower(plain)).otherwise(_shortest(value))
+    return F.when(few & ~has_exponent & ~plain.rlike("[aI]"), plain).otherwise(
         F.when(F.isnan(value), "nan")
         .when(value == float("inf"), "inf")
         .when(value == float("-inf"), "-inf")
-        .otherwise(_with(_shortest(value), _expand_exponent))
+        .otherwise(_with(scientific, _expand_exponent))
     )
 
 
@@ -115,17 +117,22 @@ def _shortest(value: Column) -> Column:
 
 
 def _expand_exponent(scientific: Column) -> Column:
-    mantissa = F.substring_index(scientific, "e", 1)
-    digits = F.regexp_replace(F.regexp_replace(mantissa, "[-.]", ""), "(?<=.)0+$", "")
-    exponent = F.substring_index(scientific, "e", -1).try_cast("int")
+    digits = F.translate(F.substring_index(scientific, "e", 1), "-.", "")
+    more = F.rtrim(F.substr(digits, F.lit(2)), F.lit("0"))
     parts = F.struct(
         F.when(scientific.startswith("-"), "-").otherwise("").alias("sign"),
-        digits.alias("digits"),
-        exponent.alias("exponent"),
+        F.concat(F.left(digits, F.lit(1)), more).alias("digits"),
+        F.substring_index(scientific, "e", -1).cast("int").alias("exponent"),
     )
     return _with(parts, lambda p: _python_double(p["sign"], p["digits"], p["exponent"]))
 
 
+def _exponent(exponent: Column) -> Column:
+    digits = F.abs(exponent).cast("string")
+    sign = F.when(exponent < 0, "e-").otherwise("e+")
+    return F.concat(sign, F.when(F.length(digits) < 2, "0").otherwise(""), digits)
+
+
 def _python_double(sign: Column, digits: Column, exponent: Column) -> Column:
     whole = F.rpad(F.substr(digits, F.lit(1), exponent + 1), exponent + 1, F.lit("0"))
     decimals = F.substr(digits, exponent + 2)
@@ -133,7 +140,7 @@ def _python_double(sign: Column, digits: Column, exponent: Column) -> Column:
     small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
     more = F.substr(digits, F.lit(2))
     point = F.when(more == "", "").otherwise(F.concat(F.lit("."), more))
-    power = F.concat(F.left(digits, F.lit(1)), point, F.format_string("e%+03d", exponent))
+    power = F.concat(F.left(digits, F.lit(1)), point, _exponent(exponent))
     return F.concat(
         sign,
         F.when((exponent >= 16) | (exponent < -4), power)
@@ -151,8 +158,24 @@ def _list_repr(value: Column, element: T.DataType) -> Column:
     else:
         def form(e: Column) -> Column:
             return _scalar_text(e, element)
-    parts = F.transform(value, lambda e: F.coalesce(form(e), F.lit("None")))
-    return F.concat(F.lit("["), F.array_join(parts, ", "), F.lit("]"))
+
+    def in_full(items: Column) -> Column:
+        parts = F.transform(items, lambda e: F.coalesce(form(e), F.lit("None")))
+        return F.concat(F.lit("["), F.array_join(parts, ", "), F.lit("]"))
+
+    if not isinstance(element, T.StringType):
+        return in_full(value)
+
+    def in_short(items: Column) -> Column:
+        # Most lists need no escapes: one look at the whole list, a null showing as a quote.
+        plain = _with(
+            F.array_join(items, " ", "'"),
+            lambda t: ~(t.contains("'") | t.contains("\\") | t.rlike(UNPRINTABLE)),
+        )
+        quoted = F.concat(F.lit("['"), F.array_join(items, "', '"), F.lit("']"))
+        return F.when((F.size(items) > 0) & plain, quoted).otherwise(in_full(items))
+
+    return _with(value, in_short)
 
 
 def _string_repr(text: Column) -> Column:

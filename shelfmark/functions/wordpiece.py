@@ -12,15 +12,16 @@ _ASCII_PUNCTUATION = frozenset("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 
 
 def split_word(
-    word: str, known: Container[str], unknown: str, plain: bool = False
+    word: str, known: Container[str], longest: int, unknown: str, plain: bool = False
 ) -> list[str]:
     """Longest known pieces of a word from the left, later ones marked ``##``.
 
-    With ``plain`` capitals and accents are removed first, and punctuation that comes out
-    of composed characters stands alone.
+    No known piece has more than ``longest`` characters. With ``plain`` capitals and
+    accents are removed first, and punctuation that comes out of composed characters
+    stands alone.
     """
     parts = _plain_parts(word) if plain else [word]
-    return [piece for part in parts for piece in _longest_pieces(part, known, unknown)]
+    return [p for part in parts for p in _longest_pieces(part, known, longest, unknown)]
 
 
 def _plain_parts(word: str) -> list[str]:
@@ -31,19 +32,20 @@ def _plain_parts(word: str) -> list[str]:
     return spaced.split() if " " in spaced else [spaced] if spaced else []
 
 
-def _longest_pieces(word: str, known: Container[str], unknown: str) -> list[str]:
-    if len(word) > MAX_WORD_CHARS:
+def _longest_pieces(word: str, known: Container[str], longest: int, unknown: str) -> list[str]:
+    length = len(word)
+    if length > MAX_WORD_CHARS:
         return [unknown]
     pieces: list[str] = []
     start = 0
-    while start < len(word):
+    while start < length:
         mark = "##" if start else ""
-        piece = next(
-            (p for end in range(len(word), start, -1) if (p := mark + word[start:end]) in known),
-            None,
-        )
-        if piece is None:
+        for end in range(min(length, start + longest), start, -1):
+            piece = mark + word[start:end]
+            if piece in known:
+                break
+        else:
             return [unknown]
         pieces.append(piece)
-        start += len(piece) - len(mark)
+        start = end
     return pieces

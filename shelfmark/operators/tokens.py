@@ -22,18 +22,18 @@ PAD, UNK, CLS, SEP = "[PAD]", "[UNK]", "[CLS]", "[SEP]"
 SPECIAL_TOKENS = (PAD, UNK, CLS, SEP)
 MAX_LENGTH = 512
 
-# What uncased WordPiece normalising drops, and what it sets apart.
+# What uncased WordPiece normalising drops, and what it sets apart, namely
+# punctuation and ideographs. The lookahead passes over most characters cheaply.
 _DROPPED = r"[\p{C}\p{Mn}\x{FFFD}&&[^\t\n\r]]"
-_CJK = (
-    r"\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}\x{20000}-\x{2A6DF}\x{2A700}-\x{2B73F}"
-    r"\x{2B740}-\x{2B81F}\x{2B820}-\x{2CEAF}\x{F900}-\x{FAFF}\x{2F800}-\x{2FA1F}"
+_SET_APART = (
+    r"(?![a-zA-Z0-9\s])[\p{Punct}\p{P}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}"
+    r"\x{20000}-\x{2A6DF}\x{2A700}-\x{2CEAF}\x{2F800}-\x{2FA1F}]"
 )
-_SET_APART = rf"([!-/:-@\[-`{{-~\p{{P}}{_CJK}])"
 
 # A vocabulary up to this many rows is collected and broadcast to the tasks.
 MAX_BROADCAST_TOKENS = 500_000
 
-ENCODED_TYPE = "struct<input_ids:array<int>,attention_mask:array<int>>"
+ENCODED_TYPE = "struct<input_ids:array<int>,n_real:int>"
 
 
 def word_array(text: Column, normalizer: str = "simple") -> Column:
@@ -50,7 +50,7 @@ def word_array(text: Column, normalizer: str = "simple") -> Column:
         parts = words(text, lower=True, isolate_punctuation=True)
     elif normalizer == "wordpiece":
         cleaned = F.regexp_replace(text, _DROPPED, "")
-        parts = words(F.regexp_replace(cleaned, _SET_APART, " $1 "))
+        parts = words(F.regexp_replace(cleaned, _SET_APART, " $0 "))
     else:
         raise ValueError("normalizer must be 'simple', 'punctuation' or 'wordpiece'")
     return F.coalesce(parts, F.array().cast("array<string>"))
@@ -144,8 +144,9 @@ def encode(
     plain = normalizer == "wordpiece"
     encoder = _encoder(df.sparkSession, table, max_length, subwords, plain)
     encoded = df.withColumn("_encoded", encoder(reachable))
+    mask = _mask(F.col("_encoded.n_real"), max_length).alias("attention_mask")
     dropped = ["_encoded"] if keep_text else ["_encoded", text]
-    return encoded.select("*", "_encoded.input_ids", "_encoded.attention_mask").drop(*dropped)
+    return encoded.select("*", "_encoded.input_ids", mask).drop(*dropped)
 
 
 def encode_joined(
@@ -187,7 +188,7 @@ def encode_joined(
         F.array(F.lit(specials[SEP])),
         F.array_repeat(F.lit(specials[PAD]), n_pad),
     )
-    mask = F.concat(F.array_repeat(F.lit(1), F.size(ids) + 2), F.array_repeat(F.lit(0), n_pad))
+    mask = _mask(F.size(ids) + 2, max_length)
     out = joined.withColumn("input_ids", framed).withColumn("attention_mask", mask)
     return out.drop("_found") if keep_text else out.drop("_found", text)
 
@@ -214,18 +215,20 @@ def subword_table(
         raise ValueError(f"A subword vocabulary may have {MAX_BROADCAST_TOKENS} tokens at most.")
     _special_ids(table)
     shared = distinct_words.sparkSession.sparkContext.broadcast(_token_ids(table))
+    longest = _longest(table)
 
     @F.arrow_udf("array<string>")
     def pieces_of(tokens: pa.Array) -> pa.Array:
         known = shared.value
         return pa.array(
-            [split_word(w.as_py(), known, UNK, plain) for w in tokens], pa.list_(pa.string())
+            [split_word(w, known, longest, UNK, plain) for w in tokens.to_pylist()],
+            pa.list_(pa.string()),
         )
 
     @F.arrow_udf("array<int>")
     def ids_of(pieces: pa.Array) -> pa.Array:
         known = shared.value
-        ids = pa.array([known[p.as_py()] for p in pieces.flatten()], pa.int32())
+        ids = pa.array([known[p] for p in pieces.flatten().to_pylist()], pa.int32())
         lengths = pc.list_value_length(pieces).to_numpy(zero_copy_only=False)
         return _lists(ids, lengths)
 
@@ -239,10 +242,20 @@ def _check_length(max_length: int) -> None:
         raise ValueError("max_length must leave room for [CLS] and [SEP]")
 
 
+def _mask(n_real: Column, max_length: int) -> Column:
+    """1 for each real token, 0 for padding."""
+    zeros = F.array_repeat(F.lit(0), F.lit(max_length) - n_real)
+    return F.concat(F.array_repeat(F.lit(1), n_real), zeros)
+
+
 def _token_ids(table: pa.Table) -> dict[str, int]:
     return dict(zip(table["token"].to_pylist(), table["id"].to_pylist()))
 
 
+def _longest(table: pa.Table) -> int:
+    return pc.max(pc.utf8_length(table["token"])).as_py() or 0
+
+
 def _special_ids(table: pa.Table) -> dict[str, int]:
     ids = _token_ids(table)
     missing = [t for t in SPECIAL_TOKENS if t not in ids]
@@ -259,49 +272,70 @@ def _lists(values: pa.Array, lengths: np.ndarray) -> pa.Array:
 def _encoder(
     spark: SparkSession, table: pa.Table, max_length: int, subwords: bool, plain: bool
 ):
-    """Arrow function from word arrays to padded ids and masks, vectorised per batch."""
+    """Arrow function from word arrays to padded ids and their number, vectorised per batch."""
     specials = _special_ids(table)
-    shared = spark.sparkContext.broadcast(_token_ids(table))
+    token_ids = _token_ids(table) if subwords else {}
+    token_array = table["token"].combine_chunks()
+    id_array = table["id"].to_numpy().astype(np.int32)
+    shared = spark.sparkContext.broadcast((token_array, id_array, token_ids))
     pad, unk, cls, sep = (specials[t] for t in SPECIAL_TOKENS)
     room = max_length - 2
+    longest = _longest(table)
+
+    def ids_of(distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each distinct word, end to end, and how many each word has."""
+        tokens, ids, known = shared.value
+        sizes = np.ones(len(distinct), dtype=np.int64)
+        looked_up = pc.ascii_lower(distinct) if plain else distinct
+        at = pc.index_in(looked_up, value_set=tokens)
+        whole = pc.is_valid(at)
+        at = at.fill_null(0).to_numpy(zero_copy_only=False)
+        if not subwords:
+            return np.where(whole.to_numpy(zero_copy_only=False), ids[at], unk), sizes
+        # A known word is its own longest piece; only the others are split.
+        whole = pc.and_(whole, pc.less_equal(pc.utf8_length(distinct), MAX_WORD_CHARS))
+        if plain:
+            whole = pc.and_(whole, pc.string_is_ascii(distinct))
+        whole = whole.to_numpy(zero_copy_only=False)
+        rest = distinct.filter(pa.array(~whole)).to_pylist()
+        split = [[known[p] for p in split_word(w, known, longest, UNK, plain)] for w in rest]
+        sizes[~whole] = [len(s) for s in split]
+        flat = np.empty(int(sizes.sum()), dtype=np.int32)
+        from_whole = np.repeat(whole, sizes)
+        flat[from_whole] = ids[at[whole]]
+        flat[~from_whole] = [i for s in split for i in s]
+        return flat, sizes
 
     @F.arrow_udf(ENCODED_TYPE)
     def run(word_lists: pa.Array) -> pa.Array:
-        known = shared.value
         n = len(word_lists)
         per_row = pc.list_value_length(word_lists).to_numpy(zero_copy_only=False).astype(np.int64)
         # Look up each distinct word of the batch once.
         words_seen = word_lists.flatten().dictionary_encode()
-        distinct = words_seen.dictionary.to_pylist()
-        if subwords:
-            found = [[known[p] for p in split_word(w, known, UNK, plain)] for w in distinct]
-        else:
-            found = [[known.get(w, unk)] for w in distinct]
-        sizes = np.array([len(f) for f in found], dtype=np.int64)
-        starts = np.cumsum(sizes) - sizes
-        flat = np.array([i for f in found for i in f], dtype=np.int32)
+        flat, sizes = ids_of(words_seen.dictionary)
         # Replace every word by its run of ids.
         which = words_seen.indices.to_numpy(zero_copy_only=False)
         run_sizes = sizes[which]
-        run_ends = np.cumsum(run_sizes)
-        total = int(run_ends[-1]) if len(run_ends) else 0
-        within = np.arange(total) - np.repeat(run_ends - run_sizes, run_sizes)
-        ids = flat[np.repeat(starts[which], run_sizes) + within]
+        ids = flat[_run_positions((np.cumsum(sizes) - sizes)[which], run_sizes)]
         # Place the runs into the rows, cutting what does not fit.
         row = np.repeat(np.repeat(np.arange(n), per_row), run_sizes)
         row_sizes = np.bincount(row, minlength=n)
-        column = np.arange(total) - np.repeat(np.cumsum(row_sizes) - row_sizes, row_sizes)
+        column = _run_positions(np.zeros(n, dtype=np.int64), row_sizes)
         fits = column < room
         kept = np.minimum(row_sizes, room)
         out = np.full((n, max_length), pad, dtype=np.int32)
         out[:, 0] = cls
         out[row[fits], column[fits] + 1] = ids[fits]
         out[np.arange(n), kept + 1] = sep
-        mask = (np.arange(max_length) < (kept + 2)[:, None]).astype(np.int32)
-        fixed = np.full(n, max_length)
-        return pa.StructArray.from_arrays(
-            [_lists(pa.array(out.ravel()), fixed), _lists(pa.array(mask.ravel()), fixed)],
-            names=["input_ids", "attention_mask"],
-        )
+        padded = _lists(pa.array(out.ravel()), np.full(n, max_length))
+        n_real = pa.array((kept + 2).astype(np.int32))
+        return pa.StructArray.from_arrays([padded, n_real], names=["input_ids", "n_real"])
 
     return run
+
+
+def _run_positions(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``starts[i], starts[i] + 1, ...`` (``sizes[i]`` numbers) for every i, end to end."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(starts - (ends - sizes), sizes)

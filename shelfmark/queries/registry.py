@@ -124,7 +124,7 @@ def combine_falsy(spark, sf_dir):
 @query
 def render_scalars(spark, sf_dir):
     """Integers, doubles of all magnitudes, booleans and number lists as text."""
-    df = readers.read_parquet(spark, f"{sf_dir}/lineitem.parquet").select(
+    df = readers.read_parquet(spark, f"{sf_dir}/lineitem.parquet", spread=True).select(
         "l_orderkey",
         "l_linenumber",
         F.col("l_extendedprice").alias("price"),
