@@ -90,14 +90,15 @@ def _scalar_text(value: Column, dtype: T.DataType) -> Column:
 
 def _double_text(value: Column) -> Column:
     """A double as Python prints it: the fewest digits that give the same number, with an
-    exponent only below 1e-4 and from 1e16 on."""
+    exponent only below 1e-4 and from 1e16 on. (Subnormal numbers may get a digit more.)"""
     plain = value.cast("string")
     has_exponent = plain.contains("E")
     # Up to 15 digits are the fewest already; without an exponent they are written alike.
     few = F.length(F.substring_index(plain, "E", 1)) <= 16
     scientific = F.when(has_exponent & few, F.lower(plain)).otherwise(_shortest(value))
     return F.when(few & ~has_exponent & ~plain.rlike("[aI]"), plain).otherwise(
-        F.when(F.isnan(value), "nan")
+        F.when(value.isNull(), None)
+        .when(F.isnan(value), "nan")
         .when(value == float("inf"), "inf")
         .when(value == float("-inf"), "-inf")
         .otherwise(_with(scientific, _expand_exponent))
@@ -112,7 +113,8 @@ def _with(value: Column, body: Callable[[Column], Column]) -> Column:
 def _shortest(value: Column) -> Column:
     """Exponent form with 15 digits if they give the same number, else 16, else 17."""
     forms = [F.format_string(f"%.{n}e", value) for n in (14, 15)]
-    exact = [F.when(form.cast("double") == value, form) for form in forms]
+    # (A null is formatted as the text "null".)
+    exact = [F.when(form.try_cast("double") == value, form) for form in forms]
     return F.coalesce(*exact, F.format_string("%.16e", value))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -22,9 +22,9 @@ def confusion(
     counts = df.groupBy(*by, label, prediction).agg(F.count("*").alias("n"))
     if not normalize:
         return counts
-    totals = counts.groupBy(*by, label).agg(F.sum("n").alias("_total"))
-    joined = counts.join(totals, [*by, label])
-    return joined.select(*counts.columns, (F.col("n") / F.col("_total")).alias("share"))
+    # The window sees the counts only, one row per pair of classes.
+    total = F.sum("n").over(Window.partitionBy(*by, label))
+    return counts.withColumn("share", F.col("n") / total)
 
 
 def confusion_wide(
@@ -74,34 +74,43 @@ def metrics_of_counts(
     prediction: str = "prediction",
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """:func:`metrics` from the counts ``n`` that :func:`confusion` gives."""
-    hit = F.when(F.col(label) == F.col(prediction), F.col("n")).otherwise(F.lit(0))
-    none = F.lit(0).cast("bigint")
+    """:func:`metrics` from the counts ``n`` that :func:`confusion` gives.
+
+    Where the counts also carry a ``loss``, its mean is the column ``avg_loss``.
+    """
+    hits = F.when(F.col(label) == F.col(prediction), F.col("n")).otherwise(F.lit(0))
+    actual = {"support": F.col("n"), "predicted": F.lit(0).cast("bigint"), "hits": hits}
+    predicted = {**dict.fromkeys(actual, F.lit(0).cast("bigint")), "predicted": F.col("n")}
+    if "loss" in counts.columns:
+        actual["loss"], predicted["loss"] = F.col("loss"), F.lit(0.0)
+
+    def role(column: str, values: dict[str, Column]) -> Column:
+        named = [value.alias(name) for name, value in values.items()]
+        return F.struct(F.col(column).alias("class"), *named)
+
     # Each count is read twice, as support of its label and as size of its prediction.
-    roles = F.array(
-        F.struct(F.col(label).alias("class"), F.col("n").alias("support"), none.alias("predicted"), hit.alias("hits")),
-        F.struct(F.col(prediction).alias("class"), none.alias("support"), F.col("n").alias("predicted"), none.alias("hits")),
-    )
+    both = F.inline(F.array(role(label, actual), role(prediction, predicted)))
     per_class = (
-        counts.select(*by, F.inline(roles))
+        counts.select(*by, both)
         .groupBy(*by, "class")
-        .agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "hits")])
-    )
-    zero = F.lit(0.0)
-    precision = F.coalesce(F.try_divide(F.col("hits"), F.col("predicted")), zero)
-    recall = F.coalesce(F.try_divide(F.col("hits"), F.col("support")), zero)
-    f1 = F.coalesce(F.try_divide(2.0 * F.col("hits"), F.col("support") + F.col("predicted")), zero)
-    weighted = per_class.select(
-        *by, "support", "hits", precision.alias("p"), recall.alias("r"), f1.alias("f")
+        .agg(*[F.sum(name).alias(name) for name in actual])
     )
-    total = F.sum("support")
-    return weighted.groupBy(*by).agg(
+    total, support = F.sum("support"), F.col("support")
+
+    def weighted(numerator: Column, denominator: Column) -> Column:
+        ratio = F.coalesce(F.try_divide(numerator, denominator), F.lit(0.0))
+        return F.sum(ratio * support) / total
+
+    aggregates = [
         total.alias("n_rows"),
         (F.sum("hits") / total).alias("accuracy"),
-        (F.sum(F.col("f") * F.col("support")) / total).alias("f1_score"),
-        (F.sum(F.col("p") * F.col("support")) / total).alias("precision"),
-        (F.sum(F.col("r") * F.col("support")) / total).alias("recall"),
-    )
+        weighted(2.0 * F.col("hits"), support + F.col("predicted")).alias("f1_score"),
+        weighted(F.col("hits"), F.col("predicted")).alias("precision"),
+        weighted(F.col("hits"), support).alias("recall"),
+    ]
+    if "loss" in actual:
+        aggregates.append((F.sum("loss") / total).alias("avg_loss"))
+    return per_class.groupBy(*by).agg(*aggregates)
 
 
 def _row_loss(label: str, scores: str) -> Column:
@@ -123,12 +132,8 @@ def by_split(
     scores: str = "scores",
     split: str = "split",
 ) -> DataFrame:
-    """Loss and metrics of every split; the scored rows are read once.
-
-    Both tables come from one set of counts per split, label and prediction.
-    """
+    """Loss and metrics of every split, in one pass over the scored rows."""
     counts = df.groupBy(split, label, prediction).agg(
-        F.count("*").alias("n"), F.sum(_row_loss(label, scores)).alias("_loss")
+        F.count("*").alias("n"), F.sum(_row_loss(label, scores)).alias("loss")
     )
-    loss = counts.groupBy(split).agg((F.sum("_loss") / F.sum("n")).alias("avg_loss"))
-    return metrics_of_counts(counts, label, prediction, [split]).join(loss, split)
+    return metrics_of_counts(counts, label, prediction, [split])
