@@ -8,6 +8,9 @@ from collections.abc import Container
 # Fixed value: a longer word is unknown as a whole.
 MAX_WORD_CHARS = 100
 
+# Tokens that also stand for themselves where a text spells them out.
+SPELLED_TOKENS = frozenset({"[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]"})
+
 _ASCII_PUNCTUATION = frozenset("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 
 
@@ -20,7 +23,12 @@ def split_word(
     accents are removed first, and punctuation that comes out of composed characters
     stands alone.
     """
-    parts = _plain_parts(word) if plain else [word]
+    if not plain:
+        parts = [word]
+    elif word in SPELLED_TOKENS:
+        parts = [word] if word in known else ["[", word[1:-1].lower(), "]"]
+    else:
+        parts = _plain_parts(word)
     return [p for part in parts for p in _longest_pieces(part, known, longest, unknown)]
 
 

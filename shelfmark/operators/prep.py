@@ -94,9 +94,11 @@ def preprocess(
     list_style: str = "repr",
     skip: str = "null",
     keep: Sequence[str] = (),
+    validate: bool = True,
 ) -> DataFrame:
     """Validate, project, combine: ``(out, label, *keep)`` with one row per input row."""
-    validate_input(df, text_columns, label_column)
+    if validate:
+        validate_input(df, text_columns, label_column)
     projected = project_columns(df, text_columns, label_column, keep)
     names = dict.fromkeys([label_column, *keep])
     text = combined(projected, text_columns or TEXT_COLUMNS, list_style, skip)

@@ -23,11 +23,13 @@ SPECIAL_TOKENS = (PAD, UNK, CLS, SEP)
 MAX_LENGTH = 512
 
 # What uncased WordPiece normalising drops, and what it sets apart, namely
-# punctuation and ideographs. The lookahead passes over most characters cheaply.
+# punctuation, ideographs and spelled-out special tokens. The lookahead passes over most
+# characters cheaply.
 _DROPPED = r"[\p{C}\p{Mn}\x{FFFD}&&[^\t\n\r]]"
 _SET_APART = (
-    r"(?![a-zA-Z0-9\s])[\p{Punct}\p{P}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}"
-    r"\x{20000}-\x{2A6DF}\x{2A700}-\x{2CEAF}\x{2F800}-\x{2FA1F}]"
+    r"(?![a-zA-Z0-9\s])(?:\[(?:PAD|UNK|CLS|SEP|MASK)\]|[\p{Punct}\p{P}"
+    r"\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{2A6DF}"
+    r"\x{2A700}-\x{2CEAF}\x{2F800}-\x{2FA1F}])"
 )
 
 # A vocabulary up to this many rows is collected and broadcast to the tasks.
@@ -163,7 +165,8 @@ def encode_joined(
 
     Every vocabulary row is copied to ``salts`` join keys and every word occurrence picks
     one, so the occurrences of a frequent word spread over that many tasks. A row of ``df``
-    contributes at most ``max_length - 2`` occurrences.
+    contributes at most ``max_length - 2`` occurrences. A key that is not unique fails the
+    query.
     """
     _check_length(max_length)
     specials = _special_ids(vocab.filter(F.col("token").isin(*SPECIAL_TOKENS)).toArrow())
@@ -179,8 +182,12 @@ def encode_joined(
         F.array_sort(F.collect_list(F.struct("_pos", token_id.alias("id")))).alias("_found")
     )
     # Rows without words have no occurrence and come back through the outer join.
-    joined = df.join(by_row, key, "left")
-    ids = F.coalesce(F.col("_found.id"), F.array().cast("array<int>"))
+    joined = df.withColumn("_size", F.size(reachable)).join(by_row, key, "left")
+    found_ids = F.coalesce(F.col("_found.id"), F.array().cast("array<int>"))
+    error = F.concat(F.lit("Key is not unique: "), F.col(key).cast("string"))
+    ids = F.when(F.size(found_ids) == F.col("_size"), found_ids).otherwise(
+        F.raise_error(error).cast("array<int>")
+    )
     n_pad = F.lit(max_length - 2) - F.size(ids)
     framed = F.concat(
         F.array(F.lit(specials[CLS])),
@@ -190,7 +197,7 @@ def encode_joined(
     )
     mask = _mask(F.size(ids) + 2, max_length)
     out = joined.withColumn("input_ids", framed).withColumn("attention_mask", mask)
-    return out.drop("_found") if keep_text else out.drop("_found", text)
+    return out.drop("_found", "_size", *([] if keep_text else [text]))
 
 
 def ensure_encoded(df: DataFrame, vocab: DataFrame | None = None, **options) -> DataFrame:

@@ -12,7 +12,7 @@ from shelfmark.operators import evaluate, prep, profile, splits, tokens
 from shelfmark.plans import model
 from shelfmark.plans.config import Config, read_config
 from shelfmark.session import scratch_path
-from shelfmark.sources.readers import read_jsonl, read_parquet
+from shelfmark.sources.readers import read_jsonl, read_parquet, spread_gzip
 from shelfmark.sources.writers import write_parquet
 
 # ``tokenizer_model`` value that asks for a vocabulary made from the data themselves.
@@ -24,8 +24,8 @@ def run_etl(spark: SparkSession, config: Config, **overrides) -> DataFrame:
 
     Settings ``etl_pipeline``: ``input_path``, ``output_path``, ``data_fraction``,
     ``seed``, ``label_column``, ``text_columns`` and optionally ``schema`` (DDL),
-    ``list_style``, ``skip``, ``keep`` and ``tokenizer_model``: ``corpus``, or the path of a WordPiece
-    vocabulary file. Settings ``tokenizer``: ``max_length`` and, for ``corpus``,
+    ``list_style``, ``skip``, ``keep`` and ``tokenizer_model``: ``corpus``, or the path of
+    a WordPiece vocabulary file. Settings ``tokenizer``: ``max_length`` and, for ``corpus``,
     ``vocab_size`` and ``subwords``.
     """
     settings = read_config(config)
@@ -36,14 +36,19 @@ def run_etl(spark: SparkSession, config: Config, **overrides) -> DataFrame:
         etl.get("data_fraction", 1.0),
         etl.get("seed", 42),
         schema=etl.get("schema"),
+        spread=False,
     )
+    # The probe for a first row comes before the rows of gzip files are dealt out: behind
+    # that exchange it would read all input.
+    prep.validate_input(raw, etl.get("text_columns"), etl.get("label_column", prep.LABEL_COLUMN))
+    raw = spread_gzip(raw)
     out = preprocess_records(raw, etl, settings.get("tokenizer") or {})
     write_parquet(out, etl["output_path"])
     return read_parquet(spark, etl["output_path"])
 
 
 def preprocess_records(raw: DataFrame, etl: dict, tokenizer: dict) -> DataFrame:
-    """The transformation step of :func:`run_etl`."""
+    """The transformation step of :func:`run_etl`, for validated records."""
     spark = raw.sparkSession
     combined = prep.preprocess(
         raw,
@@ -52,6 +57,7 @@ def preprocess_records(raw: DataFrame, etl: dict, tokenizer: dict) -> DataFrame:
         list_style=etl.get("list_style", "repr"),
         skip=etl.get("skip", "null"),
         keep=etl.get("keep", ()),
+        validate=False,
     )
     source = etl.get("tokenizer_model")
     if not source:

@@ -28,14 +28,13 @@ def read_jsonl(
     seed: int = 42,
     schema: T.StructType | str | None = None,
     key: Key = None,
-    partitions: int | None = None,
+    spread: bool = True,
 ) -> DataFrame:
     """Read JSON-lines, gzipped or not, and sample.
 
     With ``schema`` the data are read once and lines that do not parse come with their
-    text in ``_corrupt_record``; without it a first pass infers the types. A gzip file is
-    one task however large: where there are fewer files than cores the rows are spread
-    over ``partitions`` (default: the cores) before any further work.
+    text in ``_corrupt_record``; without it a first pass infers the types. ``spread``
+    deals the rows of gzip files out as :func:`spread_gzip` does.
     """
     check_fraction(fraction)
     reader = spark.read
@@ -44,12 +43,18 @@ def read_jsonl(
             "columnNameOfCorruptRecord", CORRUPT_COLUMN
         )
     df = reader.json(path)
-    files = df.inputFiles()
-    spread = partitions is None and bool(files) and all(f.endswith(".gz") for f in files)
-    df = sample(df, fraction, seed, key)
-    if spread:
-        return spread_rows(df, len(files))
-    return df.repartition(partitions) if partitions else df
+    sampled = sample(df, fraction, seed, key)
+    return spread_gzip(sampled, df.inputFiles()) if spread else sampled
+
+
+def spread_gzip(df: DataFrame, files: Sequence[str] | None = None) -> DataFrame:
+    """Deal the rows of a few gzip files out to all cores, before heavy work.
+
+    A gzip file is one task however large. Where there are as many files as cores, or
+    other files, nothing changes.
+    """
+    files = df.inputFiles() if files is None else files
+    return spread_rows(df, len(files)) if files and all(f.endswith(".gz") for f in files) else df
 
 
 def read_parquet(

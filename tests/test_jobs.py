@@ -2,6 +2,7 @@ import pytest
 import yaml
 from pyspark.sql import functions as F
 
+from shelfmark.__main__ import main
 from shelfmark.operators import tokens
 from shelfmark.plans import jobs, model
 from shelfmark.plans.config import read_config
@@ -175,6 +176,21 @@ def test_class_without_training_rows(spark):
     assert all(r.predicted == r.main_cat for r in out)
 
 
+def test_command_line(spark, jsonl, tmp_path, capsys):
+    config, processed = tmp_path / "etl.yaml", str(tmp_path / "processed")
+    config.write_text(yaml.safe_dump(etl_config(jsonl, processed)))
+    main(["etl", str(config)])
+    settings = train_config(processed, classes=list(views.LANGUAGES))
+    config.write_text(yaml.safe_dump(settings))
+    stored, scored = str(tmp_path / "model"), str(tmp_path / "scored")
+    main(["train", "--config", str(config), "--data_fraction", "0.9", "--model_path", stored])
+    assert '"split": "test"' in capsys.readouterr().out
+    main(["predict", "--model_path", stored, "--input_path", jsonl, "--output_path", scored])
+    assert readers.read_parquet(spark, scored).count() == 200
+    main(["profile", "--input_path", jsonl])
+    assert "average_num_words" in capsys.readouterr().out
+
+
 def test_profile_job(spark):
     tables = jobs.run_profile(views.products(spark, TINY), "main_cat", "description")
     assert set(tables) == {"summary", "category_counts", "words_per_category", "avg_words", "box_stats"}

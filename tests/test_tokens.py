@@ -17,7 +17,7 @@ ODD = [
     "ÀÉÎ õü naïve Straße ΣΑΣ İstanbul ŉ",
     "中文字 mixed中文 text ア 한국어",
     "soft\xadhyphen zero​width nul\x00 bell\x07 tab\tnew\nline nel\x85end ls end fs\x1cend",
-    "é ́̂ alone ≠ ≮ `~^$+|<=> don't [UNK] [SEP] [PAD]",
+    "é ́̂ alone ≠ ≮ `~^$+|<=> don't [UNK] a[SEP]b [PAD] [sep] [[MASK]] [MASK",
     "x" * 100 + " " + "x" * 101 + " " + "é" * 100,
     "price: $9,99 — “quoted” ¿qué? №5 ½ 😀 a_b � end",
     " ".join(f"w{i}" for i in range(700)),
@@ -87,6 +87,14 @@ def test_large_vocabulary_is_joined(documents, monkeypatch):
     assert sorted(joined.select("doc_id", "input_ids", "attention_mask").collect()) == narrow
 
 
+def test_joined_needs_a_unique_key(spark, documents):
+    vocab = tokens.build_vocab(documents, "text", 300)
+    for other in ("", "b c"):
+        df = spark.createDataFrame([(1, "a b"), (1, other)], "k int, t string")
+        with pytest.raises(Exception, match="Key is not unique: 1"):
+            tokens.encode_joined(df, vocab, "k", "t", 8).collect()
+
+
 def test_no_shuffle_and_one_python_pass(documents):
     encoded = tokens.encode(documents, tokens.build_vocab(documents, "text", 300), "text")
     plan = encoded._jdf.queryExecution().executedPlan().toString()
@@ -145,8 +153,6 @@ def pretrained(texts, tmp_path_factory):
 def test_wordpiece_equals_the_published_tokenizer(spark, documents, odd, texts, pretrained, length):
     vocab = tokens.read_vocab(spark, pretrained)
     expected = BertWordPieceTokenizer(pretrained, lowercase=True)
-    # Whole special tokens in a text are ordinary text to us.
-    expected._tokenizer.encode_special_tokens = True
     expected.enable_truncation(length)
     expected.enable_padding(length=length)
     options = {"normalizer": "wordpiece", "subwords": True}
