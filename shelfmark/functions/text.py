@@ -17,12 +17,8 @@ UNPRINTABLE = r"[\p{C}\p{Z}&&[^ ]]"
 LIST_STYLES = ("repr", "flatten", "join")
 
 
-def words(text: Column, lower: bool = False, isolate_punctuation: bool = False) -> Column:
+def words(text: Column) -> Column:
     """Words of a string by the rules of ``str.split()``; null gives null."""
-    if lower:
-        text = F.lower(text)
-    if isolate_punctuation:
-        text = F.regexp_replace(text, r"([!-/:-@\[-`{-~])", " $1 ")
     return F.array_remove(F.split(text, WORD_BREAK), "")
 
 

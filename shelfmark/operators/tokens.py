@@ -1,7 +1,7 @@
 """Vocabularies and fixed-length token arrays.
 
-``encode`` is a narrow pass: normalising, splitting and truncating run in the JVM, and one
-Arrow function per batch looks the words up in a broadcast vocabulary. Rows are neither
+``encode`` is a narrow pass: the JVM normalises the text and one Arrow function per batch
+splits it and looks the words up in a broadcast vocabulary. Rows are neither
 exploded nor shuffled, so neither a frequent word nor a large source can skew it. A
 vocabulary too large to broadcast is joined instead (``encode_joined``).
 """
@@ -38,24 +38,28 @@ MAX_BROADCAST_TOKENS = 500_000
 ENCODED_TYPE = "struct<input_ids:array<int>,n_real:int>"
 
 
-def word_array(text: Column, normalizer: str = "simple") -> Column:
-    """Normalised words of a text; null gives no words.
+def normalized(text: Column, normalizer: str = "simple") -> Column:
+    """Text whose words, split at white space, are the words to look up; never null.
 
-    ``simple`` lowers and splits at white space, ``punctuation`` also sets ASCII
-    punctuation apart, ``wordpiece`` follows uncased WordPiece: control characters and
-    accents go, punctuation and ideographs stand alone. (Case and precomposed accents are
-    then handled with the pieces, once per distinct word of a batch.)
+    ``simple`` lowers, ``punctuation`` also sets ASCII punctuation apart, ``wordpiece``
+    follows uncased WordPiece: control characters and accents go, punctuation and
+    ideographs stand alone. (Case and precomposed accents are then handled with the
+    pieces, once per distinct word of a batch.)
     """
     if normalizer == "simple":
-        parts = words(text, lower=True)
+        text = F.lower(text)
     elif normalizer == "punctuation":
-        parts = words(text, lower=True, isolate_punctuation=True)
+        text = F.regexp_replace(F.lower(text), r"[!-/:-@\[-`{-~]", " $0 ")
     elif normalizer == "wordpiece":
-        cleaned = F.regexp_replace(text, _DROPPED, "")
-        parts = words(F.regexp_replace(cleaned, _SET_APART, " $0 "))
+        text = F.regexp_replace(F.regexp_replace(text, _DROPPED, ""), _SET_APART, " $0 ")
     else:
         raise ValueError("normalizer must be 'simple', 'punctuation' or 'wordpiece'")
-    return F.coalesce(parts, F.array().cast("array<string>"))
+    return F.coalesce(text, F.lit(""))
+
+
+def word_array(text: Column, normalizer: str = "simple") -> Column:
+    """The normalised words of a text."""
+    return words(normalized(text, normalizer))
 
 
 def count_words(df: DataFrame, text: str, normalizer: str = "simple") -> DataFrame:
@@ -141,11 +145,9 @@ def encode(
                 f"A vocabulary of over {MAX_BROADCAST_TOKENS} tokens needs a key and whole words."
             )
         return encode_joined(df, vocab, key, text, max_length, normalizer, keep_text=keep_text)
-    # A word gives at least one token, so words beyond this cannot be reached.
-    reachable = F.slice(word_array(F.col(text), normalizer), 1, max_length - 2)
     plain = normalizer == "wordpiece"
     encoder = _encoder(df.sparkSession, table, max_length, subwords, plain)
-    encoded = df.withColumn("_encoded", encoder(reachable))
+    encoded = df.withColumn("_encoded", encoder(normalized(F.col(text), normalizer)))
     mask = _mask(F.col("_encoded.n_real"), max_length).alias("attention_mask")
     dropped = ["_encoded"] if keep_text else ["_encoded", text]
     return encoded.select("*", "_encoded.input_ids", mask).drop(*dropped)
@@ -279,7 +281,7 @@ def _lists(values: pa.Array, lengths: np.ndarray) -> pa.Array:
 def _encoder(
     spark: SparkSession, table: pa.Table, max_length: int, subwords: bool, plain: bool
 ):
-    """Arrow function from word arrays to padded ids and their number, vectorised per batch."""
+    """Arrow function from normalised texts to padded ids and their number, batch by batch."""
     specials = _special_ids(table)
     token_ids = _token_ids(table) if subwords else {}
     token_array = table["token"].combine_chunks()
@@ -314,11 +316,18 @@ def _encoder(
         return flat, sizes
 
     @F.arrow_udf(ENCODED_TYPE)
-    def run(word_lists: pa.Array) -> pa.Array:
-        n = len(word_lists)
+    def run(texts: pa.Array) -> pa.Array:
+        n = len(texts)
+        # Splits at the same characters as the JVM does for the vocabulary. A word gives at
+        # least one id, so words beyond the room cannot be reached.
+        trimmed = pc.utf8_trim_whitespace(texts)
+        word_lists = pc.list_slice(pc.utf8_split_whitespace(trimmed), 0, max(room, 1))
         per_row = pc.list_value_length(word_lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        # An empty text has one empty word, which is none.
+        per_row[pc.equal(trimmed, "").to_numpy(zero_copy_only=False)] = 0
+        all_words = word_lists.flatten()
         # Look up each distinct word of the batch once.
-        words_seen = word_lists.flatten().dictionary_encode()
+        words_seen = all_words.filter(pc.not_equal(all_words, "")).dictionary_encode()
         flat, sizes = ids_of(words_seen.dictionary)
         # Replace every word by its run of ids.
         which = words_seen.indices.to_numpy(zero_copy_only=False)
