@@ -39,12 +39,14 @@ def main(argv: list[str] | None = None) -> None:
         jobs.run_etl(spark, options["config"])
     elif command == "train":
         config = options.pop("config")
-        result = jobs.run_train(spark, config, **{k: v for k, v in options.items() if v is not None})
+        given = {name: value for name, value in options.items() if value is not None}
+        result = jobs.run_train(spark, config, **given)
         for row in result.metrics.collect():
             print(json.dumps(row.asDict()))
     elif command == "predict":
         records = read_jsonl(spark, options["input_path"])
-        write_parquet(jobs.run_predict(spark, options["model_path"], records), options["output_path"])
+        scored = jobs.run_predict(spark, options["model_path"], records)
+        write_parquet(scored, options["output_path"])
     else:
         records = read_jsonl(spark, options["input_path"])
         tables = jobs.run_profile(records, options["category"], options["text"])

@@ -57,7 +57,8 @@ def box_stats(df: DataFrame, category: str, text: str, strict: bool = False) ->
     """
     histogram = words_per_category(df, category, text, strict)
     per_category = Window.partitionBy(category)
-    quartiles = F.percentile(F.col("num_words"), F.array(*map(F.lit, (0.25, 0.5, 0.75))), F.col("n_rows"))
+    shares = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    quartiles = F.percentile(F.col("num_words"), shares, F.col("n_rows"))
     boxed = histogram.withColumn("q", quartiles.over(per_category)).select(
         category,
         "num_words",
@@ -67,14 +68,15 @@ def box_stats(df: DataFrame, category: str, text: str, strict: bool = False) ->
         F.col("q")[2].alias("q3"),
     )
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    inside = F.col("num_words").between(F.col("q1") - reach, F.col("q3") + reach)
-    within = boxed.withColumn("inside", inside)
+    within = F.col("num_words").between(F.col("q1") - reach, F.col("q3") + reach)
+    inside = F.when(within, F.col("num_words"))
     # A whisker never ends inside the box.
-    low = F.least(F.min(F.when(F.col("inside"), F.col("num_words"))).over(per_category), F.col("q1"))
-    high = F.greatest(F.max(F.when(F.col("inside"), F.col("num_words"))).over(per_category), F.col("q3"))
-    whiskered = within.withColumn("whisker_low", low).withColumn("whisker_high", high)
+    low = F.least(F.min(inside).over(per_category), F.col("q1"))
+    high = F.greatest(F.max(inside).over(per_category), F.col("q3"))
+    whiskered = boxed.select("*", low.alias("whisker_low"), high.alias("whisker_high"))
     outside = ~F.col("num_words").between(F.col("whisker_low"), F.col("whisker_high"))
-    return whiskered.groupBy(category, "q1", "median", "q3", "whisker_low", "whisker_high").agg(
+    per_box = [category, "q1", "median", "q3", "whisker_low", "whisker_high"]
+    return whiskered.groupBy(*per_box).agg(
         F.sum("n_rows").alias("n_rows"),
         F.coalesce(F.sum(F.when(outside, F.col("n_rows"))), F.lit(0)).alias("n_outliers"),
         F.min("num_words").alias("min_words"),

@@ -12,21 +12,25 @@ from shelfmark.operators import evaluate, prep, profile, splits, tokens
 from shelfmark.plans import model
 from shelfmark.plans.config import Config, read_config
 from shelfmark.session import scratch_path
-from shelfmark.sources.readers import read_jsonl, read_parquet, spread_gzip
-from shelfmark.sources.writers import write_parquet
+from shelfmark.sources.readers import CORRUPT_COLUMN, read_jsonl, read_parquet, spread_gzip
+from shelfmark.sources.writers import write_jsonl, write_parquet
 
 # ``tokenizer_model`` value that asks for a vocabulary made from the data themselves.
 CORPUS = "corpus"
 
+ENCODING_SETTINGS = ("vocab_path", "max_length", "normalizer", "subwords")
+
 
 def run_etl(spark: SparkSession, config: Config, **overrides) -> DataFrame:
     """JSON-lines → combined text or token arrays → Parquet; returns the written table.
 
     Settings ``etl_pipeline``: ``input_path``, ``output_path``, ``data_fraction``,
     ``seed``, ``label_column``, ``text_columns`` and optionally ``schema`` (DDL),
-    ``list_style``, ``skip``, ``keep`` and ``tokenizer_model``: ``corpus``, or the path of
-    a WordPiece vocabulary file. Settings ``tokenizer``: ``max_length`` and, for ``corpus``,
-    ``vocab_size`` and ``subwords``.
+    ``list_style``, ``skip``, ``keep``, ``tokenizer_model``: ``corpus``, or the path of a
+    WordPiece vocabulary file, ``vocab_path``, where to keep the vocabulary, and, with a
+    schema, ``rejected_path``, where lines that do not parse go (else they stay, as rows of
+    nulls). Settings ``tokenizer``: ``max_length`` and, for ``corpus``, ``vocab_size`` and
+    ``subwords``.
     """
     settings = read_config(config)
     etl = {**settings["etl_pipeline"], **overrides}
@@ -41,6 +45,10 @@ def run_etl(spark: SparkSession, config: Config, **overrides) -> DataFrame:
     # The probe for a first row comes before the rows of gzip files are dealt out: behind
     # that exchange it would read all input.
     prep.validate_input(raw, etl.get("text_columns"), etl.get("label_column", prep.LABEL_COLUMN))
+    if etl.get("rejected_path") and CORRUPT_COLUMN in raw.columns:
+        malformed = F.col(CORRUPT_COLUMN).isNotNull()
+        write_jsonl(raw.filter(malformed), etl["rejected_path"])
+        raw = raw.filter(~malformed)
     raw = spread_gzip(raw)
     out = preprocess_records(raw, etl, settings.get("tokenizer") or {})
     write_parquet(out, etl["output_path"])
@@ -62,19 +70,24 @@ def preprocess_records(raw: DataFrame, etl: dict, tokenizer: dict) -> DataFrame:
     source = etl.get("tokenizer_model")
     if not source:
         return combined
-    options = {"max_length": tokenizer.get("max_length", tokens.MAX_LENGTH)}
-    if source != CORPUS:
-        vocab = tokens.read_vocab(spark, source)
-        return tokens.encode(combined, vocab, normalizer="wordpiece", subwords=True, **options)
-    # Two passes over the text: from a columnar copy, not from the JSON lines again.
-    copy = scratch_path(spark, "combined")
-    write_parquet(combined, copy)
-    combined = read_parquet(spark, copy)
-    subwords = tokenizer.get("subwords", False)
-    vocab = tokens.build_vocab(
-        combined, prep.COMBINED_COLUMN, tokenizer.get("vocab_size", 30_000), subwords=subwords
+    vocab_path = etl.get("vocab_path") or scratch_path(spark, "vocab")
+    max_length = tokenizer.get("max_length", tokens.MAX_LENGTH)
+    subwords = tokenizer.get("subwords", source != CORPUS)
+    if source == CORPUS:
+        # Two passes over the text: from a columnar copy, not from the JSON lines again.
+        copy = scratch_path(spark, "combined")
+        write_parquet(combined, copy)
+        combined = read_parquet(spark, copy)
+        size = tokenizer.get("vocab_size", 30_000)
+        vocab = tokens.build_vocab(combined, prep.COMBINED_COLUMN, size, subwords=subwords)
+        normalizer = "simple"
+    else:
+        vocab, normalizer = tokens.read_vocab(spark, source), "wordpiece"
+    write_parquet(vocab, vocab_path)
+    vocab = read_parquet(spark, vocab_path)
+    return tokens.encode(
+        combined, vocab, max_length=max_length, normalizer=normalizer, subwords=subwords
     )
-    return tokens.encode(combined, vocab, subwords=subwords, **options)
 
 
 @dataclass(frozen=True)
@@ -91,7 +104,8 @@ def run_train(spark: SparkSession, config: Config, **overrides) -> TrainingResul
     Settings: ``input_data_path``, ``data_fraction``, ``seed``, ``batch_size``,
     ``test_batch_size``, ``num_epochs``, ``key`` (column or columns; default: the text or
     the token arrays), ``classes``, ``candidates``, ``num_features``, ``label_column``,
-    ``model_path``.
+    ``model_path``; for token arrays also ``vocab_path``, ``max_length``, ``normalizer``
+    and ``subwords``, so that the stored model can encode raw text.
     """
     settings = read_config(config, **overrides)
     df = read_parquet(spark, settings["input_data_path"])
@@ -103,6 +117,7 @@ def run_train(spark: SparkSession, config: Config, **overrides) -> TrainingResul
         list_style=settings.get("list_style", "repr"),
         skip=settings.get("skip", "null"),
         encoded="input_ids" in df.columns,
+        **{n: settings[n] for n in ENCODING_SETTINGS if n in settings},
     )
     content = "input_ids" if spec.encoded else spec.text
     key = settings.get("key") or content
@@ -137,31 +152,37 @@ def run_train(spark: SparkSession, config: Config, **overrides) -> TrainingResul
     )
 
 
-def run_predict(
-    spark: SparkSession, model_path: str, df: DataFrame, vocab: DataFrame | None = None, **options
-) -> DataFrame:
+def run_predict(spark: SparkSession, model_path: str, df: DataFrame) -> DataFrame:
     """Score records, batch or streaming, with a stored classifier.
 
-    The text is combined in the column order and with the rules of the training. A model
-    trained on token arrays needs them in the input, or ``vocab`` to make them.
+    The text is combined in the column order and with the rules of the training, and
+    encoded with the vocabulary of the training where the model needs token arrays.
     """
-    classifier = model.load(spark, model_path)
-    return score(classifier, df, vocab, **options)
+    return score(model.load(spark, model_path), df)
 
 
-def score(
-    classifier: model.Classifier, df: DataFrame, vocab: DataFrame | None = None, **options
-) -> DataFrame:
+def score(classifier: model.Classifier, df: DataFrame) -> DataFrame:
+    """:func:`run_predict` with a classifier at hand."""
     spec = classifier.spec
     ready = "input_ids" in df.columns if spec.encoded else spec.text in df.columns
     if not ready:
         df = prep.combine_text(df, spec.text_columns, spec.text, spec.list_style, spec.skip)
     if spec.encoded:
-        df = tokens.ensure_encoded(df, vocab, text=spec.text, **options)
+        vocab = read_parquet(df.sparkSession, spec.vocab_path) if spec.vocab_path else None
+        df = tokens.ensure_encoded(
+            df,
+            vocab,
+            text=spec.text,
+            max_length=spec.max_length,
+            normalizer=spec.normalizer,
+            subwords=spec.subwords,
+        )
     return model.predict(classifier, df)
 
 
-def run_profile(df: DataFrame, category: str, text: str, strict: bool = False) -> dict[str, DataFrame]:
+def run_profile(
+    df: DataFrame, category: str, text: str, strict: bool = False
+) -> dict[str, DataFrame]:
     """The profiling tables of a data set, each lazy."""
     return {
         "summary": profile.summary(df, category),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -16,7 +16,9 @@ from pyspark.storagelevel import StorageLevel
 
 from shelfmark.functions import labels
 from shelfmark.functions.text import WORD_BREAK
-from shelfmark.operators import evaluate, prep
+from shelfmark.operators import evaluate, prep, tokens
+from shelfmark.sources.readers import read_parquet
+from shelfmark.sources.writers import write_parquet
 
 LABEL_ID = "label"
 # The model holds one double per feature and class on the driver and in every task.
@@ -34,6 +36,11 @@ class TextSpec:
     list_style: str = "repr"
     skip: str = "null"
     encoded: bool = False
+    # For models of token arrays: how raw text becomes them.
+    vocab_path: str | None = None
+    max_length: int = tokens.MAX_LENGTH
+    normalizer: str = "simple"
+    subwords: bool = False
 
 
 @dataclass(frozen=True)
@@ -93,7 +100,8 @@ def train(
                 featuresCol="features", labelCol=LABEL_ID, family="multinomial", **params
             )
             fitted = learner.fit(train_ready)
-            scored = fitted.transform(val_ready).withColumn("scores", vector_to_array("probability"))
+            scores = vector_to_array("probability").alias("scores")
+            scored = fitted.transform(val_ready).select(LABEL_ID, scores)
             loss = evaluate.log_loss(scored, LABEL_ID).first()["avg_loss"]
             # Without validation rows there is no loss; the first candidate then stands.
             tried.append((dict(params), loss))
@@ -117,10 +125,14 @@ def predict(classifier: Classifier, df: DataFrame) -> DataFrame:
 
 
 def save(classifier: Classifier, path: str) -> None:
-    """Store the model and, beside it, how its text is made."""
+    """Store the model and, beside it, how its text is made, vocabulary included."""
     classifier.model.write().overwrite().save(f"{path}/model")
-    spark = SparkSession.getActiveSession()
-    text = json.dumps(asdict(classifier.spec))
+    spark, spec = SparkSession.getActiveSession(), classifier.spec
+    if spec.vocab_path:
+        vocab = read_parquet(spark, spec.vocab_path)
+        spec = replace(spec, vocab_path=f"{path}/vocab")
+        write_parquet(vocab, spec.vocab_path)
+    text = json.dumps(asdict(spec))
     spark.range(1).select(F.lit(text).alias("value")).write.mode("overwrite").text(f"{path}/spec")
 
 

@@ -270,6 +270,7 @@ ORACLE: dict[str, str] = {
         batches AS (SELECT *, CAST(ceil(n_rows / CASE WHEN split = 'test' THEN 64.0::DOUBLE ELSE 16.0::DOUBLE END) AS BIGINT) AS n_batches FROM counts)
         SELECT split, n_rows, n_batches, n_batches * 3 AS total_steps, CAST(floor(n_batches * 3 * 0.1::DOUBLE) AS BIGINT) AS warmup_steps FROM batches""",
     "shuffle_rows": "SELECT doc_id, lang FROM documents",
+    "reshuffle_rows": "SELECT doc_id, lang FROM documents",
     "scatter_rows": "SELECT doc_id, lang FROM documents",
     "export_shards": f"SELECT doc_id, lang, {SPLIT} AS split FROM documents",
     "vocab": f"WITH {CORPUS_VOCAB} SELECT token, id, n FROM vocab",

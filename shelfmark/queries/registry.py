@@ -277,6 +277,13 @@ def shuffle_rows(spark, sf_dir):
     return splits.shuffle(views.documents(spark, sf_dir).select("doc_id", "lang"), SEED, "doc_id")
 
 
+@query
+def reshuffle_rows(spark, sf_dir):
+    """A shuffled table in another order, by another seed."""
+    df = splits.shuffle(views.documents(spark, sf_dir).select("doc_id", "lang"), SEED, "doc_id")
+    return splits.shuffle(df, SEED + 1, "doc_id")
+
+
 @query
 def scatter_rows(spark, sf_dir):
     df = views.documents(spark, sf_dir).select("doc_id", "lang")

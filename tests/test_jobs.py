@@ -1,9 +1,10 @@
+import json
+
 import pytest
 import yaml
 from pyspark.sql import functions as F
 
 from shelfmark.__main__ import main
-from shelfmark.operators import tokens
 from shelfmark.plans import jobs, model
 from shelfmark.plans.config import read_config
 from shelfmark.queries import views
@@ -70,6 +71,20 @@ def test_etl_with_a_vocabulary_file(spark, jsonl, tmp_path):
     assert {r.input_ids[2] for r in out.collect()} == {7}
 
 
+def test_malformed_lines(spark, tmp_path):
+    source = tmp_path / "raw.jsonl"
+    source.write_text('{"asin": "1", "main_cat": "de"}\n{"asin": "2", \n{"asin": "3"}\n')
+    schema = "asin string, main_cat string"
+    config = etl_config(str(source), str(tmp_path / "out"), text_columns=["asin"], schema=schema)
+    kept = jobs.run_etl(spark, config)
+    assert sorted(r.combined_text for r in kept.collect()) == ["", "1", "3"]
+    rejected = str(tmp_path / "rejected")
+    kept = jobs.run_etl(spark, config, rejected_path=rejected)
+    assert sorted(r.combined_text for r in kept.collect()) == ["1", "3"]
+    lines = [json.loads(r.value) for r in spark.read.text(rejected).collect()]
+    assert lines == [{"_corrupt_record": '{"asin": "2", '}]
+
+
 def test_etl_sample(spark, jsonl, tmp_path):
     out = jobs.run_etl(spark, etl_config(jsonl, str(tmp_path / "out")), data_fraction=0.5)
     assert 60 < out.count() < 140
@@ -143,15 +158,33 @@ def test_model_is_stored_with_its_text_rules(spark, trained):
 
 
 def test_training_on_token_arrays(spark, jsonl, tmp_path):
-    config = etl_config(jsonl, str(tmp_path / "out"), tokenizer_model="corpus", schema=RECORD_DDL)
-    jobs.run_etl(spark, config)
-    result = jobs.run_train(spark, train_config(str(tmp_path / "out"), data_fraction=0.9))
+    """Raw records, batch or stream, score as the stored token arrays do."""
+    vocab_path, stored = str(tmp_path / "vocab"), str(tmp_path / "model")
+    config = etl_config(
+        jsonl, str(tmp_path / "out"), tokenizer_model="corpus", schema=RECORD_DDL,
+        keep=["asin"], vocab_path=vocab_path,
+    )
+    encoded = jobs.run_etl(spark, config)
+    settings = train_config(
+        str(tmp_path / "out"), data_fraction=0.9, vocab_path=vocab_path, max_length=32, model_path=stored
+    )
+    result = jobs.run_train(spark, settings)
     assert result.classifier.spec.encoded
+    expected = {r.asin: r.predicted for r in jobs.score(result.classifier, encoded).collect()}
     raw = readers.read_jsonl(spark, jsonl, schema=RECORD_DDL)
+    assert {r.asin: r.predicted for r in jobs.run_predict(spark, stored, raw).collect()} == expected
+    records, out = scoring.read_record_stream(spark, jsonl, RECORD_DDL), str(tmp_path / "scored")
+    query = scoring.score_stream(spark, stored, records, out, str(tmp_path / "progress"), ["asin", "predicted"])
+    assert query.awaitTermination(120)
+    assert {r.asin: r.predicted for r in readers.read_parquet(spark, out).collect()} == expected
+
+
+def test_encoded_model_without_vocabulary(spark, jsonl, tmp_path):
+    config = etl_config(jsonl, str(tmp_path / "out"), tokenizer_model="corpus", schema=RECORD_DDL)
+    jobs.run_etl(spark, config)
+    result = jobs.run_train(spark, train_config(str(tmp_path / "out"), candidates=[{"maxIter": 1}]))
     with pytest.raises(ValueError, match="no vocabulary"):
-        jobs.score(result.classifier, raw)
-    vocab = tokens.build_vocab(views.documents(spark, TINY), "text", 400)
-    assert jobs.score(result.classifier, raw, vocab, max_length=32).count() == 200
+        jobs.score(result.classifier, readers.read_jsonl(spark, jsonl, schema=RECORD_DDL))
 
 
 def test_unseen_label_fails_training(spark, jsonl, tmp_path):
