@@ -88,16 +88,16 @@ def _double_text(value: Column) -> Column:
     """A double as Python prints it: the fewest digits that give the same number, with an
     exponent only below 1e-4 and from 1e16 on. (Subnormal numbers may get a digit more.)"""
     plain = value.cast("string")
-    has_exponent = plain.contains("E")
     # Up to 15 digits are the fewest already; without an exponent they are written alike.
-    few = F.length(F.substring_index(plain, "E", 1)) <= 16
-    scientific = F.when(has_exponent & few, F.lower(plain)).otherwise(_shortest(value))
-    return F.when(few & ~has_exponent & ~plain.rlike("[aI]"), plain).otherwise(
-        F.when(value.isNull(), None)
+    alike = (F.length(plain) <= 16) & ~plain.rlike("[EaI]")
+    size = F.abs(value)
+    return (
+        F.when(alike, plain)
         .when(F.isnan(value), "nan")
         .when(value == float("inf"), "inf")
         .when(value == float("-inf"), "-inf")
-        .otherwise(_with(scientific, _expand_exponent))
+        .when((size >= 1e-4) & (size < 1e16), _with(_shortest(value), _without_exponent))
+        .when(value.isNotNull(), _with(_shortest(value), _trim_mantissa))
     )
 
 
@@ -114,37 +114,14 @@ def _shortest(value: Column) -> Column:
     return F.coalesce(*exact, F.format_string("%.16e", value))
 
 
-def _expand_exponent(scientific: Column) -> Column:
-    digits = F.translate(F.substring_index(scientific, "e", 1), "-.", "")
-    more = F.rtrim(F.substr(digits, F.lit(2)), F.lit("0"))
-    parts = F.struct(
-        F.when(scientific.startswith("-"), "-").otherwise("").alias("sign"),
-        F.concat(F.left(digits, F.lit(1)), more).alias("digits"),
-        F.substring_index(scientific, "e", -1).cast("int").alias("exponent"),
-    )
-    return _with(parts, lambda p: _python_double(p["sign"], p["digits"], p["exponent"]))
-
-
-def _exponent(exponent: Column) -> Column:
-    digits = F.abs(exponent).cast("string")
-    sign = F.when(exponent < 0, "e-").otherwise("e+")
-    return F.concat(sign, F.when(F.length(digits) < 2, "0").otherwise(""), digits)
-
-
-def _python_double(sign: Column, digits: Column, exponent: Column) -> Column:
-    whole = F.rpad(F.substr(digits, F.lit(1), exponent + 1), exponent + 1, F.lit("0"))
-    decimals = F.substr(digits, exponent + 2)
-    fixed = F.concat(whole, F.lit("."), F.when(decimals == "", "0").otherwise(decimals))
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
-    more = F.substr(digits, F.lit(2))
-    point = F.when(more == "", "").otherwise(F.concat(F.lit("."), more))
-    power = F.concat(F.left(digits, F.lit(1)), point, _exponent(exponent))
-    return F.concat(
-        sign,
-        F.when((exponent >= 16) | (exponent < -4), power)
-        .when(exponent >= 0, fixed)
-        .otherwise(small),
-    )
+def _without_exponent(scientific: Column) -> Column:
+    # 17 digits from 1e-4 on take 20 decimals at most.
+    padded = scientific.try_cast("decimal(38, 20)").cast("string")
+    return F.regexp_replace(padded, r"(\.\d+?)0*$", "$1")
+
+
+def _trim_mantissa(scientific: Column) -> Column:
+    return F.regexp_replace(scientific, r"\.?0*e", "e")
 
 
 def _list_repr(value: Column, element: T.DataType) -> Column:
