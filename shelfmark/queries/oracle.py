@@ -65,26 +65,26 @@ CORPUS_VOCAB = f"""
 {COMBINED},
 occurrences AS (SELECT asin, unnest(ws) AS token, generate_subscripts(ws, 1) AS ord FROM (SELECT asin, {_words('combined_text')} AS ws FROM combined)),
 word_counts AS (SELECT token, count(*) AS n FROM occurrences GROUP BY token),
-{_vocab('word_counts', 5000)}
+{_vocab('word_counts', 30000)}
 """
 
 
-def _encoded(key: str, ids: str, rows: str, length: int) -> str:
-    """Framed and padded positions from ``ids(key, ord, id)``, ord from 1."""
+def _encoded(key: str, ids: str, rows: str) -> str:
+    """Framed and padded arrays as text, from ``ids(key, ord, id)``, ord from 1."""
     return f"""
-kept AS (SELECT {key}, ord, id FROM {ids} WHERE ord <= {length - 2}),
+kept AS (SELECT {key}, ord, id FROM {ids} WHERE ord <= 510),
 sizes AS (SELECT r.{key}, count(k.ord) AS n FROM {rows} r LEFT JOIN kept k ON r.{key} = k.{key} GROUP BY r.{key}),
-grid AS (SELECT {key}, n, unnest(range({length})) AS p FROM sizes)
-SELECT g.{key}, CAST(g.p AS INTEGER) AS pos,
-  CAST(CASE WHEN g.p = 0 THEN 2 WHEN g.p <= g.n THEN k.id WHEN g.p = g.n + 1 THEN 3 ELSE 0 END AS INTEGER) AS input_id,
-  CASE WHEN g.p <= g.n + 1 THEN 1 ELSE 0 END AS mask
-FROM grid g LEFT JOIN kept k ON g.{key} = k.{key} AND g.p = k.ord
+grid AS (SELECT {key}, n, unnest(range(512)) AS p FROM sizes)
+SELECT g.{key},
+  string_agg(CAST(CASE WHEN g.p = 0 THEN 2 WHEN g.p <= g.n THEN k.id WHEN g.p = g.n + 1 THEN 3 ELSE 0 END AS VARCHAR), ' ' ORDER BY g.p) AS input_ids,
+  string_agg(CASE WHEN g.p <= g.n + 1 THEN '1' ELSE '0' END, ' ' ORDER BY g.p) AS attention_mask
+FROM grid g LEFT JOIN kept k ON g.{key} = k.{key} AND g.p = k.ord GROUP BY g.{key}
 """
 
 
 ENCODE = f"""WITH {CORPUS_VOCAB},
 word_ids AS (SELECT o.asin, o.ord, coalesce(v.id, 1) AS id FROM occurrences o LEFT JOIN vocab v USING (token)),
-{_encoded('asin', 'word_ids', 'combined', 128)}"""
+{_encoded('asin', 'word_ids', 'combined')}"""
 
 PIECE_VOCAB = f"""
 doc_words AS (SELECT doc_id, unnest(ws) AS token, generate_subscripts(ws, 1) AS ord FROM (SELECT doc_id, {_words('text')} AS ws FROM documents)),
@@ -97,7 +97,7 @@ piece_lists AS (
       list_transform(range(2, length(token) + 1), lambda i: '##' || substr(token, i, 1))))) AS pieces
   FROM word_counts WHERE length(token) <= 100),
 piece_counts AS (SELECT token, CAST(sum(n) AS BIGINT) AS n FROM (SELECT unnest(pieces) AS token, n FROM piece_lists) GROUP BY token),
-{_vocab('piece_counts', 2000)}
+{_vocab('piece_counts', 30000)}
 """
 
 # Greedy longest match: the longest known piece at each start, followed from the first one.
@@ -125,7 +125,7 @@ ENCODE_SUBWORDS = f"""WITH RECURSIVE {PIECES},
 ordered AS (
   SELECT d.doc_id, row_number() OVER (PARTITION BY d.doc_id ORDER BY d.ord, p.pos) AS ord, v.id
   FROM doc_words d JOIN pieces p USING (token) JOIN vocab v ON v.token = p.piece),
-{_encoded('doc_id', 'ordered', 'documents', 128)}"""
+{_encoded('doc_id', 'ordered', 'documents')}"""
 
 
 def _draw(salt: str, key: str = "doc_id") -> str:
@@ -296,6 +296,6 @@ ORACLE: dict[str, str] = {
     "etl_text": f"WITH {ETL_COMBINED} SELECT combined_text, main_cat, asin FROM combined",
     "etl_encoded": f"""WITH {CORPUS_VOCAB.replace(COMBINED, ETL_COMBINED)},
         word_ids AS (SELECT o.asin, o.ord, coalesce(v.id, 1) AS id FROM occurrences o LEFT JOIN vocab v USING (token)),
-        {_encoded('asin', 'word_ids', 'combined', 128)}""",
+        {_encoded('asin', 'word_ids', 'combined')}""",
     "profile_job": f"WITH {COUNTED} SELECT main_cat, count(*) AS count, round(avg(num_words), 6) AS average_num_words FROM counted GROUP BY main_cat",
 }

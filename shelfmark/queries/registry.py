@@ -20,9 +20,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 TEXT = prep.COMBINED_COLUMN
 SEED = 42
-ENCODE_LENGTH = 128
-VOCAB_SIZE = 5_000
-PIECE_VOCAB_SIZE = 2_000
+VOCAB_SIZE = 30_000
 RECORD_DDL = (
     "asin string, title string, description array<string>, feature array<string>, "
     "brand string, main_cat string, image array<string>, price string"
@@ -314,10 +312,9 @@ def vocab(spark, sf_dir):
 
 @query
 def encode(spark, sf_dir):
-    """One row per record and position."""
     df = _combined(spark, sf_dir)
-    encoded = tokens.encode(df, tokens.build_vocab(df, TEXT, VOCAB_SIZE), max_length=ENCODE_LENGTH)
-    return _positions(encoded)
+    encoded = tokens.encode(df, tokens.build_vocab(df, TEXT, VOCAB_SIZE))
+    return _encoded_text(encoded)
 
 
 @query
@@ -325,7 +322,7 @@ def encode_joined(spark, sf_dir):
     """The same by joins, for vocabularies beyond the broadcast bound."""
     df = _combined(spark, sf_dir)
     table = tokens.build_vocab(df, TEXT, VOCAB_SIZE)
-    return _positions(tokens.encode_joined(df, table, "asin", max_length=ENCODE_LENGTH))
+    return _encoded_text(tokens.encode_joined(df, table, "asin"))
 
 
 @query
@@ -343,13 +340,13 @@ def reuse_encoded(spark, sf_dir):
     path = scratch_path(spark, "encoded")
     df = _combined(spark, sf_dir)
     vocab_table = tokens.build_vocab(df, TEXT, VOCAB_SIZE)
-    writers.write_parquet(tokens.ensure_encoded(df, vocab_table, max_length=ENCODE_LENGTH), path)
-    return _positions(tokens.ensure_encoded(readers.read_parquet(spark, path)))
+    writers.write_parquet(tokens.ensure_encoded(df, vocab_table), path)
+    return _encoded_text(tokens.ensure_encoded(readers.read_parquet(spark, path)))
 
 
 def _piece_vocab(spark, sf_dir):
     df = views.documents(spark, sf_dir, spread=True)
-    return tokens.build_vocab(df, "text", PIECE_VOCAB_SIZE, subwords=True)
+    return tokens.build_vocab(df, "text", VOCAB_SIZE, subwords=True)
 
 
 @query
@@ -368,10 +365,8 @@ def subword_table(spark, sf_dir):
 @query
 def encode_subwords(spark, sf_dir):
     df = views.documents(spark, sf_dir, spread=True).select("doc_id", "text")
-    encoded = tokens.encode(
-        df, _piece_vocab(spark, sf_dir), "text", ENCODE_LENGTH, subwords=True
-    )
-    return _positions(encoded, "doc_id")
+    encoded = tokens.encode(df, _piece_vocab(spark, sf_dir), "text", subwords=True)
+    return _encoded_text(encoded, "doc_id")
 
 
 # Evaluation
@@ -441,7 +436,7 @@ def _etl_settings(spark, sf_dir, **etl):
             "schema": RECORD_DDL,
             **etl,
         },
-        "tokenizer": {"max_length": ENCODE_LENGTH, "vocab_size": VOCAB_SIZE},
+        "tokenizer": {"max_length": tokens.MAX_LENGTH, "vocab_size": VOCAB_SIZE},
     }
 
 
@@ -454,7 +449,7 @@ def etl_text(spark, sf_dir):
 @query
 def etl_encoded(spark, sf_dir):
     """ETL job with a vocabulary of the corpus."""
-    return _positions(jobs.run_etl(spark, _etl_settings(spark, sf_dir, tokenizer_model="corpus")))
+    return _encoded_text(jobs.run_etl(spark, _etl_settings(spark, sf_dir, tokenizer_model="corpus")))
 
 
 @query
@@ -519,8 +514,7 @@ def _part_counts(parts) -> DataFrame:
     return union.groupBy("split", "lang").agg(F.count("*").alias("n_rows"))
 
 
-def _positions(encoded: DataFrame, key: str = "asin") -> DataFrame:
-    pairs = F.arrays_zip("input_ids", "attention_mask")
-    return encoded.select(key, F.posexplode(pairs).alias("pos", "t")).select(
-        key, "pos", F.col("t.input_ids").alias("input_id"), F.col("t.attention_mask").alias("mask")
-    )
+def _encoded_text(encoded: DataFrame, key: str = "asin") -> DataFrame:
+    """The token arrays of every record, written out for comparing."""
+    arrays = [F.array_join(c, " ").alias(c) for c in ("input_ids", "attention_mask")]
+    return encoded.select(key, *arrays)
