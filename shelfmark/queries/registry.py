@@ -50,7 +50,8 @@ def jsonl_read(spark, sf_dir):
     path = scratch_path(spark, "records")
     writers.write_jsonl(views.products(spark, sf_dir).drop("doc_id"), path)
     df = readers.read_jsonl(spark, path, schema=RECORD_DDL)
-    return df.select("asin", "title", "brand", "price", "main_cat", F.size("description").alias("n_lines"))
+    n_lines = F.size("description").alias("n_lines")
+    return df.select("asin", "title", "brand", "price", "main_cat", n_lines)
 
 
 @query
@@ -122,6 +123,7 @@ def combine_falsy(spark, sf_dir):
 @query
 def render_scalars(spark, sf_dir):
     """Integers, doubles of all magnitudes, booleans and number lists as text."""
+    keys = F.array(F.col("l_orderkey"), F.col("l_linenumber").cast("bigint"), F.lit(None))
     df = readers.read_parquet(spark, f"{sf_dir}/lineitem.parquet", spread=True).select(
         "l_orderkey",
         "l_linenumber",
@@ -131,7 +133,7 @@ def render_scalars(spark, sf_dir):
         (F.col("l_discount") / 512.0).alias("small"),
         (F.col("l_tax") / -65536.0).alias("tiny"),
         (F.col("l_quantity") > 25).alias("flag"),
-        F.array(F.col("l_orderkey"), F.col("l_linenumber").cast("bigint"), F.lit(None)).alias("keys"),
+        keys.alias("keys"),
     )
     values = ["l_orderkey", "price", "large", "huge", "small", "tiny", "flag", "keys"]
     rendered = prep.combine_text(df, values, out="rendered")
@@ -239,7 +241,8 @@ def box_stats_by_brand(spark, sf_dir):
 
 @query
 def hash_sample(spark, sf_dir):
-    return splits.sample(views.documents(spark, sf_dir), 0.3, SEED, "doc_id").select("doc_id", "lang")
+    df = splits.sample(views.documents(spark, sf_dir), 0.3, SEED, "doc_id")
+    return df.select("doc_id", "lang")
 
 
 @query
@@ -249,7 +252,8 @@ def bernoulli_sample(spark, sf_dir):
 
 @query
 def hash_split(spark, sf_dir):
-    return splits.assign_split(views.documents(spark, sf_dir), "doc_id", SEED).select("doc_id", "split")
+    df = splits.assign_split(views.documents(spark, sf_dir), "doc_id", SEED)
+    return df.select("doc_id", "split")
 
 
 @query
@@ -359,7 +363,8 @@ def subword_table(spark, sf_dir):
     """Pieces of every distinct word of the documents."""
     distinct = tokens.count_words(views.documents(spark, sf_dir, spread=True), "text")
     table = tokens.subword_table(distinct, _piece_vocab(spark, sf_dir))
-    return table.select("token", F.array_join("pieces", " ").alias("pieces"), F.size("piece_ids").alias("n_pieces"))
+    pieces = F.array_join("pieces", " ").alias("pieces")
+    return table.select("token", pieces, F.size("piece_ids").alias("n_pieces"))
 
 
 @query
@@ -449,7 +454,8 @@ def etl_text(spark, sf_dir):
 @query
 def etl_encoded(spark, sf_dir):
     """ETL job with a vocabulary of the corpus."""
-    return _encoded_text(jobs.run_etl(spark, _etl_settings(spark, sf_dir, tokenizer_model="corpus")))
+    settings = _etl_settings(spark, sf_dir, tokenizer_model="corpus")
+    return _encoded_text(jobs.run_etl(spark, settings))
 
 
 @query
@@ -487,10 +493,9 @@ def predict_stream(spark, sf_dir):
     jobs.run_etl(spark, settings)
     jobs.run_train(spark, _language_settings(settings["etl_pipeline"]["output_path"], stored))
     records = scoring.read_record_stream(spark, settings["etl_pipeline"]["input_path"], RECORD_DDL)
-    out = scratch_path(spark, "scored")
+    out, progress = scratch_path(spark, "scored"), scratch_path(spark, "progress")
     columns = ["asin", "main_cat", "prediction", "predicted"]
-    running = scoring.score_stream(spark, stored, records, out, scratch_path(spark, "progress"), columns)
-    running.awaitTermination()
+    scoring.score_stream(spark, stored, records, out, progress, columns).awaitTermination()
     return readers.read_parquet(spark, out)
 
 

@@ -77,7 +77,10 @@ def spread_rows(df: DataFrame, n_files: int) -> DataFrame:
 
 
 def take_rows(
-    df: DataFrame, n: int, fields: Sequence[str] | None = None, order_by: str | Sequence[str] | None = None
+    df: DataFrame,
+    n: int,
+    fields: Sequence[str] | None = None,
+    order_by: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """The first ``n`` rows with the declared fields that exist.
 

@@ -37,4 +37,5 @@ def score_stream(
     """
     scored = jobs.run_predict(spark, model_path, records).select(*columns)
     writer = scored.writeStream.format("parquet").option("checkpointLocation", checkpoint_path)
-    return writer.outputMode("append").trigger(**(trigger or {"availableNow": True})).start(out_path)
+    chosen = trigger or {"availableNow": True}
+    return writer.outputMode("append").trigger(**chosen).start(out_path)
