@@ -35,11 +35,11 @@ measures AS (
 ledger AS (
     SELECT *,
         (n_words < 50)::BIGINT
-        | (100 * n_repeat_words > 50 * n_words)::BIGINT << 1
-        | (10 * n_symbols > 3 * n_words)::BIGINT << 2
-        | (10 * n_dup_lines > 3 * n_lines)::BIGINT << 3
-        | (word_chars < 2 * n_words)::BIGINT << 4
-        | (word_chars > 15 * n_words)::BIGINT << 5 AS failures
+        | ((100 * n_repeat_words > 50 * n_words)::BIGINT << 1)
+        | ((10 * n_symbols > 3 * n_words)::BIGINT << 2)
+        | ((10 * n_dup_lines > 3 * n_lines)::BIGINT << 3)
+        | ((word_chars < 2 * n_words)::BIGINT << 4)
+        | ((word_chars > 15 * n_words)::BIGINT << 5) AS failures
     FROM measures
 )"""
 
@@ -54,14 +54,14 @@ ORACLE = {
     "op1_quality_rules": f"""
 WITH {_MEASURES}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    failures & 3 <> 0 AS base_failed, failures & 63 = 0 AS kept, failures, 'full-1' AS policy
+    (failures & 3) <> 0 AS base_failed, (failures & 63) = 0 AS kept, failures, 'full-1' AS policy
 FROM ledger""",
     "quality_ablations": f"""
 WITH {_MEASURES}
 SELECT policy, rule,
-    count(*) FILTER (failures & bit <> 0) AS n_failing,
-    count(*) FILTER (failures & mask = bit) AS n_only_this_rule,
-    count(*) FILTER (failures & mask = 0) AS n_kept,
-    count(*) FILTER (failures & mask & ~bit = 0) AS n_kept_without_it
+    count(*) FILTER ((failures & bit) <> 0) AS n_failing,
+    count(*) FILTER ((failures & mask) = bit) AS n_only_this_rule,
+    count(*) FILTER ((failures & mask) = 0) AS n_kept,
+    count(*) FILTER ((failures & mask & ~bit) = 0) AS n_kept_without_it
 FROM ledger, {_RULES} GROUP BY policy, rule""",
 }

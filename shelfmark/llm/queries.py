@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import license_scan, quality_rules, tiling
+from shelfmark.llm import byte_bpe, license_scan, quality_rules, simhash, tiling, token_cache
 from shelfmark.llm.common import Workspace
 from shelfmark.sources.readers import read_parquet
 
@@ -56,12 +57,46 @@ def quality_ablations(spark, sf_dir):
     return quality_rules.ablations(_ledger(spark, sf_dir), policies)
 
 
+#: Tokens beyond which a document is over the limit.
+TOKEN_LIMIT = 2048
+
+
+@query
+def op2_token_counts(spark, sf_dir):
+    """Tokens of all documents by the word-level BPE, through a fresh cache."""
+    tokenizer = token_cache.TokenizerFile(
+        public_tokenizers.path("word_bpe_49k.json"), by_word=True
+    )
+    cache = Workspace(spark).path("token-cache")
+    counts = token_cache.token_counts(table(spark, sf_dir, "documents"), tokenizer, cache)
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 @query
 def op3_license_scan(spark, sf_dir):
     """Licence phrases and notices in all documents."""
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_simhash(spark, sf_dir):
+    """Near-duplicate components of all documents' fingerprints."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.as_hex("bits").alias("fingerprint"), "component_id")
+
+
+def rank_file() -> byte_bpe.RankFile:
+    return byte_bpe.RankFile(
+        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+
+
+@query
+def op8_byte_bpe(spark, sf_dir):
+    """Digests of all documents' ids and of what they decode to."""
+    return byte_bpe.encode(table(spark, sf_dir, "documents"), rank_file(), keep_ids=False)
+
+
 @query
 def op10_decontamination(spark, sf_dir):
     """Documents that hold a benchmark item, with the share of the item that tiles cover."""
