@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import byte_bpe, license_scan, quality_rules, simhash, tiling, token_cache
+from shelfmark.llm import (
+    byte_bpe,
+    language_crf,
+    license_scan,
+    ppm,
+    quality_rules,
+    simhash,
+    tiling,
+    token_cache,
+)
 from shelfmark.llm.common import Workspace
 from shelfmark.sources.readers import read_parquet
 
@@ -78,6 +87,12 @@ def op3_license_scan(spark, sf_dir):
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_language_id(spark, sf_dir):
+    """Languages of all documents, learnt from the labels of those that aren't held out."""
+    return language_crf.identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_simhash(spark, sf_dir):
     """Near-duplicate components of all documents' fingerprints."""
@@ -97,6 +112,12 @@ def op8_byte_bpe(spark, sf_dir):
     return byte_bpe.encode(table(spark, sf_dir, "documents"), rank_file(), keep_ids=False)
 
 
+@query
+def op9_lm_scores(spark, sf_dir):
+    """Word and byte-context scores of all documents."""
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_decontamination(spark, sf_dir):
     """Documents that hold a benchmark item, with the share of the item that tiles cover."""

@@ -76,32 +76,41 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Normalised bytes, starts and ends of all words, and each row's first word (n + 1 values)."""
-    plain = _LUT[data]
-    inside = plain != 0
-    before = np.empty_like(inside)
-    before[:1], before[1:] = False, inside[:-1]
-    edges = offsets[:-1][offsets[:-1] < len(data)]
-    before[edges] = False
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, letters: np.ndarray = _LUT
+) -> tuple[np.ndarray, ...]:
+    """Normalised bytes, starts and ends of all words, and each row's first word (n + 1 values).
+
+    ``letters`` gives each byte's normal form, 0 for those between words.
+    """
+    plain = letters[data]
+    inside = np.concatenate([plain != 0, [False]])
+    before = np.concatenate([[False], inside[:-1]])
+    before[offsets[:-1]] = False
     starts = np.flatnonzero(inside & ~before)
-    after = np.empty_like(inside)
-    after[-1:], after[:-1] = False, inside[1:]
-    last = offsets[1:] - 1
-    after[last[last >= 0]] = False
+    after = np.concatenate([inside[1:], [False]])
+    after[offsets[1:][offsets[1:] > 0] - 1] = False
     ends = np.flatnonzero(inside & ~after) + 1
     return plain, starts, ends, np.searchsorted(starts, offsets)
 
 
-def gram_hashes(
-    plain: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int, powers: Powers
+def word_hashes(
+    plain: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers
 ) -> np.ndarray:
-    """Hash of the gram that begins at each word (meaningless where too few words follow)."""
+    """A 64-bit hash of each word's bytes."""
     with np.errstate(over="ignore"):
         up, down = powers.upto(len(plain) + 1)
         sums = np.zeros(len(plain) + 1, np.uint64)
         np.cumsum(plain.astype(np.uint64) * up[: len(plain)], out=sums[1:])
-        word = _mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+        return _mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def gram_hashes(
+    plain: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int, powers: Powers
+) -> np.ndarray:
+    """Hash of the gram that begins at each word (meaningless where too few words follow)."""
+    with np.errstate(over="ignore"):
+        word = word_hashes(plain, starts, ends, powers)
         out = np.zeros(len(word), np.uint64)
         for k in range(length):
             out = out * np.uint64(_MUL)
