@@ -25,7 +25,11 @@ from shelfmark.llm.common import texts
 
 CACHE_SCHEMA = "content binary, tokenizer binary, n_tokens long"
 #: Words whose counts a worker keeps; when there are more, it starts afresh.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 200_000
+#: Words that are handed to the tokenizer at once, whose encodings take some kB each, and rows
+#: whose words are held at once.
+ENCODE_WORDS = 2_000
+ROWS = 128
 _BLANK_RUNS = "[\\x20\\x09-\\x0D]+"
 
 
@@ -62,6 +66,7 @@ def counter(tokenizer: TokenizerFile, content: bytes):
         processor = sentencepiece.SentencePieceProcessor(model_proto=content)
         return lambda batch: [len(ids) for ids in processor.encode(batch, num_threads=1)]
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    os.environ["RAYON_NUM_THREADS"] = "1"
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_buffer(content)
@@ -84,7 +89,9 @@ def _by_word(batch: list[str], count, memo: dict[str, int]) -> list[int]:
     if len(memo) + len(fresh) > MEMO_WORDS:
         memo.clear()
         fresh = list({w for row in rows for w in row})
-    memo.update(zip(fresh, count(fresh)))
+    for at in range(0, len(fresh), ENCODE_WORDS):
+        words = fresh[at : at + ENCODE_WORDS]
+        memo.update(zip(words, count(words)))
     return [sum(map(memo.__getitem__, row)) for row in rows]
 
 
@@ -96,8 +103,8 @@ def encode_counts(misses: DataFrame, tokenizer: TokenizerFile) -> DataFrame:
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, memo = counter(tokenizer, shared.value), {}
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
                 values = part.column("text").to_pylist()
                 counts = _by_word(values, count, memo) if tokenizer.by_word else count(values)
                 yield pa.RecordBatch.from_arrays(
