@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm import (
     byte_bpe,
+    html_crf,
     language_crf,
     license_scan,
     ppm,
     quality_rules,
     simhash,
+    suffix_dedup,
     tiling,
     token_cache,
 )
@@ -87,12 +89,28 @@ def op3_license_scan(spark, sf_dir):
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_main_text(spark, sf_dir):
+    """Main text of all pages."""
+    found = html_crf.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query
 def op5_language_id(spark, sf_dir):
     """Languages of all documents, learnt from the labels of those that aren't held out."""
     return language_crf.identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_suffix_dedup(spark, sf_dir):
+    """What is left of all documents without byte strings that also start earlier."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffix_dedup.deduplicate(docs, keep=False)
+    columns = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return found.select("doc_id", *[f"dedup.{c}" for c in columns])
+
+
 @query
 def op7_simhash(spark, sf_dir):
     """Near-duplicate components of all documents' fingerprints."""

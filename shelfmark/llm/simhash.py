@@ -281,7 +281,11 @@ def near_duplicates(
     text_col: str = "text",
     workspace: Workspace | None = None,
 ) -> DataFrame:
-    """``doc_id, key, bits, component_id`` per row; the id is the smallest ``doc_id`` reachable."""
+    """``doc_id, key, bits, root, component_id`` per row.
+
+    The id is the smallest ``doc_id`` reachable; ``root``, a fingerprint, tells components apart
+    whatever their ids.
+    """
     workspace = workspace or Workspace(df.sparkSession)
     marked = workspace.store(fingerprints(df, length, id_col, text_col), "fingerprints")
     classes = workspace.store(
@@ -292,8 +296,8 @@ def near_duplicates(
         "bits", "first_id", F.coalesce("root", "bits").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_class = rooted.join(smallest, "root").select("bits", "component_id")
-    return marked.join(of_class, "bits").select("doc_id", "key", "bits", "component_id")
+    of_class = rooted.join(smallest, "root").select("bits", "root", "component_id")
+    return marked.join(of_class, "bits").select("doc_id", "key", "bits", "root", "component_id")
 
 
 def as_hex(bits: Column | str) -> Column:
