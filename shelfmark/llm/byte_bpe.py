@@ -22,12 +22,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from shelfmark.llm.common import texts
 
-#: Pieces that a worker remembers; when there are more, it starts afresh.
-MEMO_PIECES = 250_000
+#: Pieces that a worker remembers (some 300 MB); when there are more, it starts afresh.
+MEMO_PIECES = 900_000
 #: Characters of text whose pieces are held at once, pieces per recursive query, and contractions
 #: per recursive query, which bound the rows it gathers.
 BLOCK_CHARS = 1_000_000
@@ -36,32 +37,39 @@ QUERY_STEPS = 24
 #: Pieces of more bytes are cut first.
 LONG_BYTES = 48
 
+#: A candidate's key orders by rank, then by place, and says how many bytes its left token and the
+#: merged one have: 19, 28, 8 and 8 bits.
+_KEY = "m.high + t.pos::BIGINT * 65536 + t.size * 256 + m.size AS key"
+_FOLLOWED = "*, lead(id) OVER (PARTITION BY piece ORDER BY pos) AS following"
 _STEPS = f"""
 WITH RECURSIVE step AS (
-    SELECT 0 AS n, piece, pos, id FROM state
+    SELECT *, min(key) OVER (PARTITION BY piece) AS best FROM (
+        SELECT 0 AS n, piece, pos, t.size, id, {_KEY}
+        FROM (SELECT {_FOLLOWED} FROM state) t
+        LEFT JOIN merges m ON m.first = t.id AND m.second = t.following
+    )
     UNION ALL
-    SELECT n + 1, piece, pos, id FROM (
-        SELECT n, piece, pos, best,
-            CASE WHEN key = best THEN merged ELSE id END AS id,
-            coalesce(lag(key) OVER line = best, false) AS swallowed
+    SELECT *, min(key) OVER (PARTITION BY piece) AS best FROM (
+        SELECT n, piece, pos, t.size, id, {_KEY}
         FROM (
-            SELECT *, min(key) OVER (PARTITION BY piece) AS best FROM (
-                SELECT p.*, m.merged, m.merged::BIGINT * 4294967296 + p.pos AS key
-                FROM (SELECT *, lead(id) OVER line AS following FROM step
-                      WINDOW line AS (PARTITION BY piece ORDER BY pos)) p
-                LEFT JOIN merges m ON m.first = p.id AND m.second = p.following
+            SELECT {_FOLLOWED} FROM (
+                SELECT n + 1 AS n, piece, pos,
+                    CASE WHEN key = best THEN best & 255 ELSE size END AS size,
+                    CASE WHEN key = best THEN (best >> 44)::INTEGER ELSE id END AS id
+                FROM step
+                WHERE best IS NOT NULL AND n < {QUERY_STEPS}
+                    AND pos <> ((best >> 16) & 268435455) + ((best >> 8) & 255)
             )
-        )
-        WHERE best IS NOT NULL AND n < {QUERY_STEPS}
-        WINDOW line AS (PARTITION BY piece ORDER BY pos)
-    ) WHERE NOT swallowed
+        ) t
+        LEFT JOIN merges m ON m.first = t.id AND m.second = t.following
+    )
 )
-SELECT n, piece, pos, id FROM step
-QUALIFY n = max(n) OVER (PARTITION BY piece)
+SELECT piece, pos, size, id, best IS NOT NULL AS open FROM step
+WHERE best IS NULL OR n = {QUERY_STEPS}
 """
 
 _DECODE = """
-SELECT piece, string_agg(id::VARCHAR, ' ' ORDER BY pos) AS ids, count(*) AS n_tokens,
+SELECT piece, string_agg(id::VARCHAR, ' ' ORDER BY pos) AS ids,
     string_agg(hex(bytes), '' ORDER BY pos) AS decoded
 FROM final JOIN tokens USING (id) GROUP BY piece
 """
@@ -86,7 +94,10 @@ class PieceCoder:
     def __init__(self, tokens: dict[bytes, int]):
         import duckdb
 
+        if max(tokens.values()) >= 1 << 19 or max(map(len, tokens)) > 255:
+            raise ValueError("Keys hold ranks below 524,288 and tokens of 255 bytes at most.")
         self.tokens = tokens
+        self.single = np.array([tokens.get(bytes([b]), -1) for b in range(256)], np.int32)
         self.con = duckdb.connect(":memory:")
         self.con.execute("SET threads = 1")
         self.con.execute("SET memory_limit = '300MB'")
@@ -100,7 +111,10 @@ class PieceCoder:
         self.con.register("listed", listed)
         self.con.execute("CREATE TABLE tokens AS SELECT * FROM listed")
         self.con.register("pairs", self._pairs())
-        self.con.execute("CREATE TABLE merges AS SELECT * FROM pairs")
+        self.con.execute(
+            "CREATE TABLE merges AS SELECT first, second, merged::BIGINT * 17592186044416 AS high, "
+            "octet_length(bytes)::BIGINT AS size FROM pairs JOIN tokens ON id = merged"
+        )
         self.together = np.zeros((256, 256), bool)
         for token in tokens:
             raw = np.frombuffer(token, np.uint8)
@@ -126,54 +140,65 @@ class PieceCoder:
         cuts = [0, *(np.flatnonzero(~self.together[raw[:-1], raw[1:]]) + 1).tolist(), len(raw)]
         return [piece[a:b] for a, b in zip(cuts, cuts[1:])]
 
-    def code(self, pieces: list[str]) -> dict[str, tuple[str, int, bytes]]:
-        """Of each piece: its ids joined by spaces, their number, and the bytes they decode to."""
-        out, parts, owners = {}, [], []
-        for piece in pieces:
-            raw = piece.encode()
-            rank = self.tokens.get(raw)
-            if rank is not None:
-                parts.append([rank])
-                owners.append((piece, 1, True))
+    def code(self, pieces: list[str]) -> dict[str, tuple[str, bytes]]:
+        """Of each piece: its ids joined by spaces, and the bytes they decode to."""
+        raws = [piece.encode() for piece in pieces]
+        whole = [raw in self.tokens for raw in raws]
+        cut = [[raw] if known else self._parts(raw) for raw, known in zip(raws, whole)]
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+        parts = [part for own in cut for part in own]
+        coded = self._contract(parts, np.repeat(np.array(whole, bool), sizes))
+        out, at = {}, 0
+        for piece, n in zip(pieces, sizes.tolist()):
+            if n == 1:
+                out[piece] = coded[at]
             else:
-                cut = self._parts(raw)
-                parts += cut
-                owners.append((piece, len(cut), False))
-        coded = self._contract(parts)
-        at = 0
-        for piece, n, _ in owners:
-            own = coded[at : at + n]
+                ids, decoded = zip(*coded[at : at + n])
+                out[piece] = (" ".join(ids), b"".join(decoded))
             at += n
-            ids, counts, decoded = zip(*own)
-            out[piece] = (" ".join(ids), sum(counts), b"".join(decoded))
         return out
 
-    def _contract(self, parts: list) -> list[tuple[str, int, bytes]]:
-        """A part is bytes to encode, or a list with the id of a token."""
-        single = np.array([self.tokens.get(bytes([b]), -1) for b in range(256)], np.int32)
-        ids = [np.array(p, np.int32) if isinstance(p, list) else single[list(p)] for p in parts]
-        sizes = np.array([len(i) for i in ids], np.int64)
+    def _contract(self, parts: list[bytes], whole: np.ndarray) -> list[tuple[str, bytes]]:
+        """Ids and decoded bytes of each part; those marked ``whole`` are tokens as they are."""
+        raw = np.frombuffer(b"".join(parts), np.uint8)
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        starts = np.cumsum(sizes) - sizes
+        loose = np.repeat(~whole, sizes)
+        tokens = np.flatnonzero(whole)
+        ranks = [self.tokens[parts[k]] for k in tokens.tolist()]
+        piece = np.repeat(np.arange(len(parts), dtype=np.int32), sizes)
         state = pa.table(
             {
-                "piece": np.repeat(np.arange(len(parts), dtype=np.int32), sizes),
-                "pos": np.arange(sizes.sum(), dtype=np.int32),
-                "id": np.concatenate(ids),
+                "piece": piece[loose],
+                "pos": np.flatnonzero(loose).astype(np.int32),
+                "size": np.ones(int(loose.sum()), np.int64),
+                "id": self.single[raw[loose]],
             }
         )
-        done = []
+        names = ["piece", "pos", "id"]
+        done = [
+            pa.table(
+                {
+                    "piece": tokens.astype(np.int32),
+                    "pos": starts[tokens].astype(np.int32),
+                    "id": np.array(ranks, np.int32),
+                }
+            )
+        ]
         while state.num_rows:
             self.con.register("state", state)
             reached = self.con.sql(_STEPS).to_arrow_table()
             self.con.unregister("state")
-            more = np.asarray(reached["n"]) == QUERY_STEPS
-            done.append(reached.select(["piece", "pos", "id"]).filter(pa.array(~more)))
-            state = reached.select(["piece", "pos", "id"]).filter(pa.array(more))
+            more = reached.column("open")
+            state = reached.filter(more).drop_columns("open")
+            done.append(reached.filter(pc.invert(more)).select(names))
         self.con.register("final", pa.concat_tables(done))
-        rows = self.con.execute(_DECODE).fetchall()
+        rows = self.con.sql(_DECODE).to_arrow_table()
         self.con.unregister("final")
         out: list = [None] * len(parts)
-        for piece, joined, n, decoded in rows:
-            out[piece] = (joined, n, bytes.fromhex(decoded))
+        columns = (rows.column(c).to_pylist() for c in ("piece", "ids", "decoded"))
+        for number, ids, decoded in zip(*columns):
+            out[number] = (ids, bytes.fromhex(decoded))
         return out
 
 
@@ -236,11 +261,10 @@ def encode(
                     memo.update(coder.code(fresh[first : first + QUERY_PIECES]))
                 columns: list[list] = [[] for _ in range(5)]
                 for row in rows:
-                    coded = [memo[p] for p in row]
-                    joined = " ".join([c[0] for c in coded])
-                    raw = b"".join([c[2] for c in coded])
+                    ids, decoded = zip(*map(memo.__getitem__, row)) if row else ((), ())
+                    joined, raw = " ".join(ids), b"".join(decoded)
                     values = (
-                        sum([c[1] for c in coded]),
+                        joined.count(" ") + 1 if row else 0,
                         hashlib.sha256(joined.encode()).hexdigest(),
                         hashlib.sha256(raw).hexdigest(),
                     )
@@ -250,9 +274,9 @@ def encode(
                         column.append(value)
                 kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.binary()]
                 made = [pa.array(c, k) for c, k in zip(columns, kinds)][: 5 if keep_ids else 3]
-                ids = batch.column("doc_id").slice(at, len(block))
+                doc_ids = batch.column("doc_id").slice(at, len(block))
                 at += len(block)
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"]
-                yield pa.RecordBatch.from_arrays([ids, *made], names[: len(made) + 1])
+                yield pa.RecordBatch.from_arrays([doc_ids, *made], names[: len(made) + 1])
 
     return docs.mapInArrow(stage, schema)
