@@ -140,9 +140,11 @@ def symbol_probabilities(counts: list[np.ndarray]) -> np.ndarray:
         if total == 0:
             continue
         seen = after > 0
+        excluded |= seen
+        if excluded.all():
+            distinct = 0  # nothing is left to escape to
         out[seen] = escape * after[seen] / (total + distinct)
         escape *= distinct / (total + distinct)
-        excluded |= seen
     if not excluded.all():
         out[~excluded] = escape / (256 - excluded.sum())
     return out

@@ -35,6 +35,8 @@ GRAM_SCHEMA = (
 def string_views(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column without nulls, and the n + 1 offsets of its values in them."""
     column = column.cast(pa.large_binary())
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
