@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmark.llm.common import Workspace, fresh_name
 from shelfmark.llm.rolling import Powers, _mixed, blocks, string_views
@@ -514,7 +515,7 @@ def deduplicate(
     return joined.withColumn(out, F.col(out).withField("n_bytes", n_bytes)).select(*df.columns, out)
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def as_text(kept: pa.Array) -> pa.Array:
     """Kept bytes as text, without the bytes of characters that were cut through."""
     return pa.array([v.decode(errors="ignore") if v is not None else None for v in kept.to_pylist()])
