@@ -10,7 +10,7 @@ strings are first brought together:
 2. Runs with equal anchors *and* contexts are one class with a first place; all windows of its other
    places start earlier. Classes are formed by partial aggregation, so groups of copies meet as
    counts. A bit table of the anchors that occur twice keeps the others out of all shuffles.
-3. Where an anchor has several contexts, one place of each is fetched from its text, and a task
+3. Where an anchor has several contexts, the first place of each is fetched from its text, and a task
    orders all suffixes of its contexts. On the Burrows-Wheeler transform of that order, interval
    boundaries spread by backward extension, breadth first: after step n, the neighbours whose
    common prefix is shorter than n are apart. It stops at ``length``: what is still together
@@ -32,7 +32,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,10 +42,10 @@ from shelfmark.llm.rolling import Powers, _mixed, blocks, string_views
 
 LENGTH = 100
 #: Bytes of an anchor gram.
-GRAM = 16
+GRAM = 32
 #: Contexts of one anchor that a task compares at once, and bytes of contexts in one suffix order.
 MAX_CONTEXTS = 2048
-ORDER_BYTES = 1 << 20
+ORDER_BYTES = 1 << 18
 #: Bits of the table of repeated anchors: 16 for each, within these bounds (128 MB at most). Beyond
 #: them the table lets more through, which costs shuffling and changes no result.
 MIN_TABLE_BITS, MAX_TABLE_BITS = 20, 30
@@ -149,7 +150,7 @@ def anchored_runs(
             for data, offsets, rows, starts in _pieces(batch.column("text"), length):
                 row, start, size, anchor, context = runs(data, offsets, length, gram, powers)
                 if known is not None:
-                    at = anchor.view(np.uint64) >> np.uint64(64 - bits)
+                    at = anchor.view(np.uint64) & np.uint64((1 << bits) - 1)
                     keep = (known[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
                     row, start, size, anchor, context = (
                         v[keep] for v in (row, start, size, anchor, context)
@@ -164,15 +165,19 @@ def anchored_runs(
 
 
 def repeated_table(anchors: DataFrame) -> tuple[np.ndarray, int]:
-    """A bit for the leading bits of every anchor that occurs twice or more, and their number."""
+    """A bit for the low bits of every anchor that occurs twice or more, and their number.
+
+    (Anchors are smallest hashes, so their leading bits are mostly zero.)
+    """
     twice = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
     spark = anchors.sparkSession
     workspace = Workspace(spark)
     twice = workspace.store(twice, "repeated-anchors")
     bits = min(max((16 * twice.count()).bit_length(), MIN_TABLE_BITS), MAX_TABLE_BITS)
-    at = F.shiftrightunsigned("anchor", 64 - bits)
+    at = F.col("anchor").bitwiseAND(F.lit((1 << bits) - 1))
     words = (
-        twice.select(F.shiftright(at, 6).alias("word"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(anchor, {64 - bits}) & 63 as int))").alias("bit"))
+        twice.select(at.alias("at"))
+        .selectExpr("shiftright(at, 6) AS word", "shiftleft(1L, cast(at & 63 AS int)) AS bit")
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
         .toArrow()
@@ -184,27 +189,37 @@ def repeated_table(anchors: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes of a symbol array (0 lowest) in the order of their first ``depth`` symbols or more."""
-    n = len(text)
-    reach = 6
+    """Suffixes of a symbol array (0 lowest) in the order of their first ``depth`` symbols.
+
+    Ranks by seven symbols are refined to twice as many at a time, where they aren't single yet.
+    """
+    n, reach = len(text), 7
     key = np.zeros(n, np.uint64)
     for k in range(reach):
-        key <<= np.uint64(10)
+        key <<= np.uint64(9)
         key[: n - k] |= text[k:].astype(np.uint64)
-    order = np.argsort(key, kind="stable")
-    while True:
-        sorted_key = key[order]
-        fresh = np.ones(n, bool)
-        fresh[1:] = sorted_key[1:] != sorted_key[:-1]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(fresh)
-        if reach >= depth or fresh.all():
-            return order
+    order = np.argsort(key)
+    fresh = _changes(key[order])
+    rank = np.zeros(n + depth, np.int64)  # 0: beyond the end
+    rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0)) + 1
+    shared = np.flatnonzero(~(fresh & np.append(fresh[1:], True)))
+    while reach < depth and len(shared):
         step = min(reach, depth - reach)
-        key = rank.astype(np.uint64) << np.uint64(32)
-        key[: n - step] |= rank[step:].astype(np.uint64)
-        order = np.argsort(key, kind="stable")
+        suffix = order[shared]
+        key = rank[suffix] << 32 | rank[suffix + step]
+        by = np.argsort(key)
+        suffix = order[shared] = suffix[by]
+        fresh = _changes(key[by])
+        rank[suffix] = shared[np.maximum.accumulate(np.where(fresh, np.arange(len(by)), 0))] + 1
+        shared = shared[~(fresh & np.append(fresh[1:], True))]
         reach += step
+    return order
+
+
+def _changes(values: np.ndarray) -> np.ndarray:
+    out = np.ones(len(values), bool)
+    out[1:] = values[1:] != values[:-1]
+    return out
 
 
 def expand_intervals(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
@@ -216,24 +231,33 @@ def expand_intervals(text: np.ndarray, order: np.ndarray, length: int) -> np.nda
     looked at again, so their common prefixes are found in increasing order.
     """
     n = len(text)
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
+    place = np.empty(n, np.int32)
+    place[order] = np.arange(n, dtype=np.int32)
     before = text[order - 1]  # the Burrows-Wheeler transform, cyclic
     came = place[order - 1]
-    source = np.empty(n, np.int64)
-    source[came] = np.arange(n)
+    source = np.empty(n, np.int32)
+    source[came] = np.arange(n, dtype=np.int32)
     symbol = np.empty(n, before.dtype)
     symbol[came] = before
-    apart = np.ones(n, bool)
-    apart[1:] = symbol[1:] != symbol[:-1]  # intervals of one symbol
+    apart = _changes(symbol)  # intervals of one symbol
     together = np.flatnonzero(~apart)
+    here, there = source[together], source[together - 1]
+    interval = np.cumsum(apart, dtype=np.int32)
+    done = 0
     for _ in range(length - 1):
-        if not len(together):
-            break
-        interval = np.cumsum(apart, dtype=np.int32)
-        parted = interval[source[together]] != interval[source[together - 1]]
+        parted = interval[here] != interval[there]
+        found = np.count_nonzero(parted)
+        if found == done:  # none that weren't parted before
+            if found == len(together):
+                break
+            continue
         apart[together[parted]] = True
-        together = together[~parted]
+        interval = np.cumsum(apart, dtype=np.int32)
+        done = found
+        if 8 * found > len(together):
+            stays = ~parted
+            together, here, there = together[stays], here[stays], there[stays]
+            done = 0
     return np.cumsum(apart)
 
 
@@ -286,13 +310,14 @@ _FETCHED = "part long, split boolean, ord long, tie int, start long, bytes binar
 _FOUND = "ord long, tie int, first long, stop long, window binary"
 
 
-def fetched_contexts(asked: DataFrame, length: int) -> DataFrame:
-    """A row per asked context, with its bytes, from rows of ``ord, tie, text, asked``."""
+def fetched_contexts(joined: DataFrame, text_col: str, length: int) -> DataFrame:
+    """A row per asked context, with its bytes, from rows that end in ``asked_ord, asked_tie, asked``."""
+    at = joined.columns.index(text_col)
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = string_views(batch.column("text"))
-            lists = batch.column("asked")
+            data, offsets = string_views(pc.fill_null(batch.column(at), ""))
+            asked_ord, asked_tie, lists = batch.columns[-3:]
             sizes = np.diff(lists.offsets.to_numpy())
             row = np.repeat(np.arange(batch.num_rows), sizes)
             values = lists.flatten()
@@ -304,15 +329,15 @@ def fetched_contexts(asked: DataFrame, length: int) -> DataFrame:
                 [
                     values.field("part"),
                     values.field("split"),
-                    batch.column("ord").take(pa.array(row)),
-                    batch.column("tie").take(pa.array(row)),
+                    asked_ord.take(pa.array(row)),
+                    asked_tie.take(pa.array(row)),
                     pa.array(start),
                     pa.array(raw, pa.binary()),
                 ],
                 ["part", "split", "ord", "tie", "start", "bytes"],
             )
 
-    return asked.mapInArrow(stage, _FETCHED)
+    return joined.mapInArrow(stage, _FETCHED)
 
 
 def compared_contexts(fetched: DataFrame, length: int) -> DataFrame:
@@ -378,6 +403,9 @@ def compared_contexts(fetched: DataFrame, length: int) -> DataFrame:
 
 def repeated_spans(
     docs: DataFrame,
+    ord_name: str,
+    tie_name: str,
+    text_col: str,
     workspace: Workspace,
     length: int = LENGTH,
     gram: int = GRAM,
@@ -385,11 +413,16 @@ def repeated_spans(
 ) -> DataFrame:
     """``ord, tie, spans`` of the documents that lose something; spans may touch and overlap.
 
-    ``docs`` has ``doc_id, ord, tie, text``, the text never null.
+    ``docs`` is shuffled by order and tie-breaker with all its columns, as a later join of the
+    result needs it, so that one exchange serves both.
     """
     if not 0 < gram < length or length - gram + 1 > 255:
         raise ValueError("An anchor gram is shorter than the window, by 254 bytes at most.")
-    slim = docs.select("ord", "tie", "text")
+    slim = docs.select(
+        docs[ord_name].alias("ord"),
+        docs[tie_name].alias("tie"),
+        F.coalesce(docs[text_col], F.lit("")).alias("text"),
+    )
     table, bits = repeated_table(anchored_runs(slim, length, gram).select("anchor"))
     found = workspace.store(anchored_runs(slim, length, gram, table, bits), "runs")
     classes = workspace.store(
@@ -425,17 +458,25 @@ def repeated_spans(
                 F.col("head.place").alias("place"),
             ).alias("ask"),
         )
-        .groupBy("ord", "tie")
+        .groupBy(F.col("ord").alias("asked_ord"), F.col("tie").alias("asked_tie"))
         .agg(F.collect_list("ask").alias("asked"))
     )
-    fetched = fetched_contexts(docs.join(asked, ["ord", "tie"]), length)
-    compared = workspace.store(compared_contexts(fetched, length), "compared")
-    heads = compared.filter("window IS NOT NULL")
-    earliest = heads.groupBy("window").agg(F.min(F.struct("ord", "tie", "first")).alias("earliest"), F.count("*").alias("n")).filter("n > 1")
-    across = heads.join(earliest, "window").filter(F.struct("ord", "tie", "first") != F.col("earliest"))
-    columns = ("ord", "tie", "first", "stop")
-    every = later.union(compared.filter("window IS NULL").select(*columns)).union(across.select(*columns))
-    return every.groupBy("ord", "tie").agg(F.collect_list(F.struct("first", "stop")).alias("spans"))
+    same = (docs[ord_name] == asked["asked_ord"]) & (docs[tie_name] == asked["asked_tie"])
+    fetched = fetched_contexts(docs.join(asked, same), text_col, length)
+    # First windows of chunks meet by their digests; the others are spread by what they are.
+    spread = F.coalesce("window", F.unhex(F.sha1(F.concat_ws(":", "ord", "tie", "first"))))
+    line = Window.partitionBy("spread").orderBy("ord", "tie", "first")
+    start = F.struct("ord", "tie", "first")
+    earlier = (
+        compared_contexts(fetched, length)
+        .withColumn("spread", spread)
+        .withColumn("earliest", F.first(start).over(line))
+        .filter(F.col("window").isNull() | (start != F.col("earliest")))
+        .select("ord", "tie", "first", "stop")
+    )
+    return later.union(earlier).groupBy("ord", "tie").agg(
+        F.collect_list(F.struct("first", "stop")).alias("spans")
+    )
 
 
 def _merged(spans: np.ndarray) -> np.ndarray:
@@ -491,12 +532,7 @@ def deduplicate(
     workspace = workspace or Workspace(df.sparkSession)
     out = fresh_name(df, "dedup")
     marked, ord_name, tie_name = identified(df, id_col, text_col)
-    docs = marked.select(
-        marked[ord_name].alias("ord"),
-        marked[tie_name].alias("tie"),
-        F.coalesce(marked[text_col], F.lit("")).alias("text"),
-    )
-    spans = repeated_spans(docs, workspace, length, gram, max_contexts)
+    spans = repeated_spans(marked, ord_name, tie_name, text_col, workspace, length, gram, max_contexts)
     lost = spans.select(F.col("ord").alias("o"), F.col("tie").alias("t"), "spans")
 
     @F.arrow_udf("n_removed long, n_spans long, kept_sha256 string, kept binary")
