@@ -19,6 +19,7 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +28,13 @@ from pyspark.sql import DataFrame
 
 from shelfmark.llm.common import texts
 
-#: Pieces that a worker remembers (some 300 MB); when there are more, it starts afresh.
-MEMO_PIECES = 900_000
+#: Pieces of one generation (some 200 MB). A worker remembers two: when one is full, the older of
+#: the two goes, but for the pieces that came up again meanwhile.
+MEMO_PIECES = 650_000
 #: Characters of text whose pieces are held at once, pieces per recursive query, and contractions
 #: per recursive query, which bound the rows it gathers.
-BLOCK_CHARS = 1_000_000
-QUERY_PIECES = 20_000
+BLOCK_CHARS = 4_000_000
+QUERY_PIECES = 50_000
 QUERY_STEPS = 24
 #: Pieces of more bytes are cut first.
 LONG_BYTES = 48
@@ -40,37 +42,38 @@ LONG_BYTES = 48
 #: A candidate's key orders by rank, then by place, and says how many bytes its left token and the
 #: merged one have: 19, 28, 8 and 8 bits.
 _KEY = "m.high + t.pos::BIGINT * 65536 + t.size * 256 + m.size AS key"
-_FOLLOWED = "*, lead(id) OVER (PARTITION BY piece ORDER BY pos) AS following"
 _STEPS = f"""
 WITH RECURSIVE step AS (
-    SELECT *, min(key) OVER (PARTITION BY piece) AS best FROM (
-        SELECT 0 AS n, piece, pos, t.size, id, {_KEY}
-        FROM (SELECT {_FOLLOWED} FROM state) t
-        LEFT JOIN merges m ON m.first = t.id AND m.second = t.following
+    SELECT * FROM (
+        WITH t AS (SELECT 0 AS n, piece, pos, size, id FROM state), {{paired}}
     )
     UNION ALL
-    SELECT *, min(key) OVER (PARTITION BY piece) AS best FROM (
-        SELECT n, piece, pos, t.size, id, {_KEY}
-        FROM (
-            SELECT {_FOLLOWED} FROM (
-                SELECT n + 1 AS n, piece, pos,
-                    CASE WHEN key = best THEN best & 255 ELSE size END AS size,
-                    CASE WHEN key = best THEN (best >> 44)::INTEGER ELSE id END AS id
-                FROM step
-                WHERE best IS NOT NULL AND n < {QUERY_STEPS}
-                    AND pos <> ((best >> 16) & 268435455) + ((best >> 8) & 255)
-            )
-        ) t
-        LEFT JOIN merges m ON m.first = t.id AND m.second = t.following
+    SELECT * FROM (
+        WITH t AS MATERIALIZED (
+            SELECT n + 1 AS n, piece, pos,
+                CASE WHEN key = best THEN best & 255 ELSE size END AS size,
+                CASE WHEN key = best THEN (best >> 44)::INTEGER ELSE id END AS id
+            FROM step
+            WHERE best IS NOT NULL AND n < {QUERY_STEPS}
+                AND pos <> ((best >> 16) & 268435455) + ((best >> 8) & 255)
+        ), {{paired}}
     )
 )
 SELECT piece, pos, size, id, best IS NOT NULL AS open FROM step
 WHERE best IS NULL OR n = {QUERY_STEPS}
-"""
+""".format(
+    paired=f"""
+        pairs AS MATERIALIZED (
+            SELECT t.n, t.piece, t.pos, t.size, t.id, {_KEY} FROM t
+            LEFT JOIN t f ON f.pos = t.pos + t.size AND f.piece = t.piece
+            LEFT JOIN merges m ON m.first = t.id AND m.second = f.id
+        )
+        SELECT pairs.*, least.best FROM pairs
+        JOIN (SELECT piece, min(key) AS best FROM pairs GROUP BY piece) least USING (piece)"""
+)
 
 _DECODE = """
-SELECT piece, string_agg(id::VARCHAR, ' ' ORDER BY pos) AS ids,
-    string_agg(hex(bytes), '' ORDER BY pos) AS decoded
+SELECT piece, string_agg(text, ' ' ORDER BY pos) AS ids, string_agg(hexed, '' ORDER BY pos) AS decoded
 FROM final JOIN tokens USING (id) GROUP BY piece
 """
 
@@ -109,11 +112,14 @@ class PieceCoder:
             }
         )
         self.con.register("listed", listed)
-        self.con.execute("CREATE TABLE tokens AS SELECT * FROM listed")
+        self.con.execute(
+            "CREATE TABLE tokens AS SELECT id, id::VARCHAR AS text, hex(bytes) AS hexed, "
+            "octet_length(bytes)::BIGINT AS size FROM listed"
+        )
         self.con.register("pairs", self._pairs())
         self.con.execute(
             "CREATE TABLE merges AS SELECT first, second, merged::BIGINT * 17592186044416 AS high, "
-            "octet_length(bytes)::BIGINT AS size FROM pairs JOIN tokens ON id = merged"
+            "size FROM pairs JOIN tokens ON id = merged"
         )
         self.together = np.zeros((256, 256), bool)
         for token in tokens:
@@ -171,8 +177,8 @@ class PieceCoder:
             {
                 "piece": piece[loose],
                 "pos": np.flatnonzero(loose).astype(np.int32),
-                "size": np.ones(int(loose.sum()), np.int64),
                 "id": self.single[raw[loose]],
+                "size": np.ones(int(loose.sum()), np.int64),
             }
         )
         names = ["piece", "pos", "id"]
@@ -190,7 +196,7 @@ class PieceCoder:
             reached = self.con.sql(_STEPS).to_arrow_table()
             self.con.unregister("state")
             more = reached.column("open")
-            state = reached.filter(more).drop_columns("open")
+            state = reached.filter(more).select([*names, "size"])
             done.append(reached.filter(pc.invert(more)).select(names))
         self.con.register("final", pa.concat_tables(done))
         rows = self.con.sql(_DECODE).to_arrow_table()
@@ -202,14 +208,36 @@ class PieceCoder:
         return out
 
 
-_CODERS: dict[str, tuple[PieceCoder, dict]] = {}
+class Memo:
+    """Coded pieces of the last two generations."""
+
+    def __init__(self, coder: PieceCoder):
+        self.coder = coder
+        self.now: dict[str, tuple[str, bytes]] = {}
+        self.old: dict[str, tuple[str, bytes]] = {}
+
+    def coded(self, pieces: list[str]) -> dict[str, tuple[str, bytes]]:
+        """A dict that has all the pieces."""
+        wanted = set(pieces)
+        missing = wanted - self.now.keys()
+        if len(self.now) + len(missing) > MEMO_PIECES:
+            self.now, self.old, missing = {}, self.now, wanted
+        again = missing & self.old.keys()
+        self.now.update(zip(again, map(self.old.__getitem__, again)))
+        fresh = list(missing - again)
+        for first in range(0, len(fresh), QUERY_PIECES):
+            self.now.update(self.coder.code(fresh[first : first + QUERY_PIECES]))
+        return self.now
+
 
+_MEMOS: dict[str, Memo] = {}
 
-def _coder(digest: str, tokens: dict[bytes, int]) -> tuple[PieceCoder, dict]:
+
+def _memo(digest: str, tokens: dict[bytes, int]) -> Memo:
     """This worker's coder and memo of a vocabulary, kept between tasks."""
-    if digest not in _CODERS:
-        _CODERS[digest] = (PieceCoder(tokens), {})
-    return _CODERS[digest]
+    if digest not in _MEMOS:
+        _MEMOS[digest] = Memo(PieceCoder(tokens))
+    return _MEMOS[digest]
 
 
 def _blocks(values: list[str]) -> Iterator[list[str]]:
@@ -248,35 +276,44 @@ def encode(
         import regex
 
         pattern = regex.compile(vocabulary.pattern)
-        coder, memo = _coder(digest, shared.value)
+        memo = _memo(digest, shared.value)
         for batch in batches:
             at = 0
             for block in _blocks(batch.column("text").to_pylist()):
                 rows = [pattern.findall(text) for text in block]
-                fresh = list({p for row in rows for p in row if p not in memo})
-                if len(memo) + len(fresh) > MEMO_PIECES:
-                    memo.clear()
-                    fresh = list({p for row in rows for p in row})
-                for first in range(0, len(fresh), QUERY_PIECES):
-                    memo.update(coder.code(fresh[first : first + QUERY_PIECES]))
-                columns: list[list] = [[] for _ in range(5)]
-                for row in rows:
-                    ids, decoded = zip(*map(memo.__getitem__, row)) if row else ((), ())
-                    joined, raw = " ".join(ids), b"".join(decoded)
-                    values = (
-                        joined.count(" ") + 1 if row else 0,
-                        hashlib.sha256(joined.encode()).hexdigest(),
-                        hashlib.sha256(raw).hexdigest(),
-                    )
-                    if keep_ids:
-                        values += (np.array(joined.split(), np.int32), raw)
-                    for column, value in zip(columns, values):
-                        column.append(value)
-                kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.binary()]
-                made = [pa.array(c, k) for c, k in zip(columns, kinds)][: 5 if keep_ids else 3]
+                columns = _put_together(rows, memo)
+                if keep_ids:
+                    joined = columns[0].to_pylist()
+                    ids = [np.array(ids.split(), np.int32) for ids in joined]
+                    columns = [*columns, pa.array(ids, pa.list_(pa.int32())), columns[1]]
+                names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"]
                 doc_ids = batch.column("doc_id").slice(at, len(block))
                 at += len(block)
-                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"]
-                yield pa.RecordBatch.from_arrays([doc_ids, *made], names[: len(made) + 1])
+                made = columns[2:]
+                yield pa.RecordBatch.from_arrays([doc_ids, *made], ["doc_id", *names[: len(made)]])
 
     return docs.mapInArrow(stage, schema)
+
+
+def _put_together(rows: list[list[str]], memo: Memo) -> list[pa.Array]:
+    """Joined ids and decoded bytes of each row of pieces, number of tokens, and both digests."""
+    sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+    flat = pa.array(list(chain.from_iterable(rows)), pa.string()).dictionary_encode()
+    distinct = flat.dictionary.to_pylist()
+    coded = memo.coded(distinct)
+    ids, decoded = zip(*map(coded.__getitem__, distinct)) if distinct else ((), ())
+    starts = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+
+    def joined(values: tuple, kind: pa.DataType, between) -> pa.Array:
+        taken = pa.array(values, kind).take(flat.indices)
+        return pc.binary_join(pa.ListArray.from_arrays(starts, taken), between)
+
+    texts_of_ids = joined(ids, pa.string(), " ")
+    raws = joined(decoded, pa.binary(), pa.scalar(b"", pa.binary()))
+    each = np.fromiter((i.count(" ") + 1 for i in ids), np.int64, len(ids))
+    total = np.concatenate([[0], np.cumsum(each[flat.indices.to_numpy()])])
+    ends = np.cumsum(sizes)
+    n_tokens = total[ends] - total[ends - sizes]
+    digests = [hashlib.sha256(t.encode()).hexdigest() for t in texts_of_ids.to_pylist()]
+    raw_digests = [hashlib.sha256(r).hexdigest() for r in raws.to_pylist()]
+    return [texts_of_ids, raws, *map(pa.array, (n_tokens, digests, raw_digests))]
