@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +36,10 @@ TRAINING_STEPS = 40
 RUN_WORDS = 40
 SEQUENCE_WORDS = 256
 FEATURE_BITS = 18
-#: Bytes of text that are labelled at once; a longer text is a block of its own.
-BLOCK_BYTES = 6 << 20
+#: Bytes of text that are labelled at once (a longer text is a block of its own), and distinct
+#: words whose features are held at once.
+BLOCK_BYTES = 4 << 20
+SCORED_WORDS = 16_384
 
 _LETTERS = np.array(
     [b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b > 0x7F else 0 for b in range(256)],
@@ -158,26 +161,24 @@ def label_words(
     if not len(starts):
         return np.zeros((0, len(field.labels)), np.float32), per_row
     place, types = _word_types(plain, starts, ends, powers)
-    scores = _features(plain, starts[place], ends[place]).scores(field.emission)
+    scores = np.empty((len(place), len(field.labels)), np.float32)
+    for at in range(0, len(place), SCORED_WORDS):
+        own = place[at : at + SCORED_WORDS]
+        scores[at : at + len(own)] = _features(plain, starts[own], ends[own]).scores(field.emission)
     chains = crf.Chains(np.diff(per_row))
-    likely, _ = crf.marginals(field, scores.astype(np.float32)[types], chains, np.float32)
+    likely, _ = crf.marginals(field, scores[types], chains, np.float32)
     return likely, per_row
 
 
 def _shares(field: crf.Field | None, column: pa.Array, powers: Powers) -> tuple[list, list, list]:
     """Language, score and number of switches between words' best labels, per text."""
-    plain, offsets = _prepared(column)
     names, scores, switches = [], [], []
-    for first, last in blocks(offsets, BLOCK_BYTES):
-        base = offsets[first]
-        if field is None:
-            names += [UNKNOWN] * (last - first)
-            scores += [0.0] * (last - first)
-            switches += [0] * (last - first)
-            continue
-        likely, per_row = label_words(
-            field, plain[base : offsets[last]], offsets[first : last + 1] - base, powers
-        )
+    if field is None:
+        return [UNKNOWN] * len(column), [0.0] * len(column), [0] * len(column)
+    for first, last in blocks(string_views(pc.fill_null(column, ""))[1], BLOCK_BYTES):
+        part = column.slice(first, last - first)
+        plain, offsets = _prepared(part)
+        likely, per_row = label_words(field, plain[: offsets[-1]], offsets, powers)
         sums = np.zeros((len(likely) + 1, len(field.labels)))
         np.cumsum(likely, axis=0, dtype=np.float64, out=sums[1:])
         total = sums[per_row[1:]] - sums[per_row[:-1]]
@@ -190,8 +191,8 @@ def _shares(field: crf.Field | None, column: pa.Array, powers: Powers) -> tuple[
         # turns[k]: changes between words 0..k-1; those between rows don't count.
         inner = np.where(n > 0, turns[per_row[1:]] - turns[np.minimum(per_row[:-1] + 1, len(likely))], 0)
         for k in range(len(n)):
-            raw = plain[offsets[first + k] : offsets[first + k + 1]]
-            known = n[k] > 0 and (_ascii_letter(raw) or _has_letter(column[first + k].as_py()))
+            raw = plain[offsets[k] : offsets[k + 1]]
+            known = n[k] > 0 and (_ascii_letter(raw) or _has_letter(part[k].as_py()))
             names.append(field.labels[best[k]] if known else UNKNOWN)
             scores.append(float(share[k]) if known else 0.0)
             switches.append(int(inner[k]) if known else 0)
