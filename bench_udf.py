@@ -10,23 +10,11 @@ import time
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import word_count
 from shelfmark.operators import prep, tokens
 from shelfmark.queries import views
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-COLUMNS = ["asin", "title", "description", "feature", "brand"]
-
-
-def row_combine(df):
-    join = F.udf(lambda *vs: " | ".join(str(v) for v in vs if v is not None), "string")
-    return df.select(join(*COLUMNS).alias("combined_text"), "main_cat")
-
-
-def row_count(df):
-    count = F.udf(lambda ts: sum(len(t.split()) for t in ts) if ts else 0, "int")
-    return df.select("asin", count("description").alias("num_words"))
 
 
 def row_encode(df, vocab, length):
@@ -65,10 +53,7 @@ def main() -> None:
     text = prep.preprocess(df).cache()
     vocab = tokens.build_vocab(text, "combined_text", 30_000).cache()
     vocab.count()
-    dtype = df.schema["description"].dataType
     pairs = {
-        "combine": (prep.preprocess(df), row_combine(df)),
-        "word_count": (df.select("asin", word_count(F.col("description"), dtype)), row_count(df)),
         "encode": (tokens.encode(text, vocab), row_encode(text, vocab, 512)),
     }
     for name, (ours, rows) in pairs.items():

@@ -23,12 +23,18 @@ def parser() -> argparse.ArgumentParser:
     train.add_argument("--model_path")
     predict = commands.add_parser("predict", help="score JSON-lines with a stored classifier")
     predict.add_argument("--model_path", required=True)
-    predict.add_argument("--input_path", required=True)
     predict.add_argument("--output_path", required=True)
+    predict.add_argument("--rejected_path", help="records that do not conform to the declaration")
     profile = commands.add_parser("profile", help="category and word counts of JSON-lines")
-    profile.add_argument("--input_path", required=True)
+    profile.add_argument("--output_path", required=True, help="a folder for the five tables")
     profile.add_argument("--category", default="main_cat")
     profile.add_argument("--text", default="description")
+    for command in (predict, profile):
+        command.add_argument("--input_path", required=True)
+        command.add_argument("--schema", help="DDL; else a first pass infers the types")
+        command.add_argument("--data_fraction", type=float, default=1.0)
+        command.add_argument("--seed", type=int, default=42)
+        command.add_argument("--key", help="column that decides the sample")
     return top
 
 
@@ -43,15 +49,25 @@ def main(argv: list[str] | None = None) -> None:
         result = jobs.run_train(spark, config, **given)
         for row in result.metrics.collect():
             print(json.dumps(row.asDict()))
-    elif command == "predict":
-        records = read_jsonl(spark, options["input_path"])
-        scored = jobs.run_predict(spark, options["model_path"], records)
-        write_parquet(scored, options["output_path"])
     else:
-        records = read_jsonl(spark, options["input_path"])
-        tables = jobs.run_profile(records, options["category"], options["text"])
-        for name in ("summary", "category_counts", "avg_words", "box_stats"):
-            tables[name].show(100, truncate=False)
+        records = read_jsonl(
+            spark,
+            options["input_path"],
+            options["data_fraction"],
+            options["seed"],
+            options["schema"],
+            options["key"],
+        )
+        if command == "predict":
+            scored = jobs.run_predict(spark, options["model_path"], records)
+            write_parquet(scored, options["output_path"])
+            if options["rejected_path"]:
+                rejected = jobs.rejected_records(spark, options["model_path"], records)
+                write_parquet(rejected, options["rejected_path"])
+        else:
+            tables = jobs.run_profile(records, options["category"], options["text"])
+            for name, table in tables.items():
+                write_parquet(table, f"{options['output_path']}/{name}")
 
 
 if __name__ == "__main__":

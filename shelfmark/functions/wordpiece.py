@@ -23,15 +23,21 @@ def split_word(
     accents are removed first, and punctuation that comes out of composed characters
     stands alone.
     """
-    if not plain:
-        parts = [word]
-    elif word in SPELLED_TOKENS:
-        parts = [word] if word in known else ["[", word[1:-1].lower(), "]"]
-    else:
-        parts = _plain_parts(word)
+    if plain and word in SPELLED_TOKENS and word in known:
+        return [word]
+    parts = word_parts(word, plain)
     return [p for part in parts for p in _longest_pieces(part, known, longest, unknown)]
 
 
+def word_parts(word: str, plain: bool, known: Container[str] = ()) -> list[str]:
+    """The parts of a word that are cut into pieces each for itself."""
+    if not plain:
+        return [word]
+    if word in SPELLED_TOKENS:
+        return [word] if word in known else ["[", word[1:-1].lower(), "]"]
+    return _plain_parts(word)
+
+
 def _plain_parts(word: str) -> list[str]:
     if word.isascii():
         return [word.lower()]

@@ -20,8 +20,11 @@ def confusion(
     ``normalize`` adds ``share``, the part of the actual class that got this prediction.
     """
     counts = df.groupBy(*by, label, prediction).agg(F.count("*").alias("n"))
-    if not normalize:
-        return counts
+    return with_share(counts, label, by) if normalize else counts
+
+
+def with_share(counts: DataFrame, label: str = "label", by: Sequence[str] = ()) -> DataFrame:
+    """Add the ``share`` of each count in its actual class."""
     # The window sees the counts only, one row per pair of classes.
     total = F.sum("n").over(Window.partitionBy(*by, label))
     return counts.withColumn("share", F.col("n") / total)
@@ -37,11 +40,16 @@ def confusion_wide(
     """Confusion matrix: one row per actual class, one column ``p<id>`` per predicted one.
 
     Every class has its row and its column, also without any record. ``percent`` gives
-    row percentages instead of counts.
+    row percentages instead of counts. A label or prediction that is null or no class fails
+    the query.
     """
     spark = df.sparkSession
     classes = spark.range(n_classes).select(F.col("id").cast("int").alias("_class"))
-    counts = confusion(df, label, prediction).withColumnRenamed(prediction, "_prediction")
+    counts = confusion(df, label, prediction).select(
+        _class_id(label, n_classes).alias(label),
+        _class_id(prediction, n_classes).alias("_prediction"),
+        "n",
+    )
     pivoted = counts.groupBy(label).pivot("_prediction", list(range(n_classes))).agg(F.sum("n"))
     names = [str(i) for i in range(n_classes)]
     total = sum((F.coalesce(F.col(f"`{n}`"), F.lit(0)) for n in names), F.lit(0))
@@ -55,6 +63,14 @@ def confusion_wide(
     return rows.select(F.col("_class").alias(label), *cells)
 
 
+def _class_id(column: str, n_classes: int) -> Column:
+    """The id as it is, if it is one of the classes."""
+    value = F.col(column)
+    shown = F.coalesce(value.cast("string"), F.lit("null"))
+    error = F.raise_error(F.concat(F.lit(f"{column} is none of {n_classes} classes: "), shown))
+    return F.when(value.between(0, n_classes - 1), value).otherwise(error.cast("int"))
+
+
 def metrics(
     df: DataFrame,
     label: str = "label",
@@ -115,13 +131,19 @@ def metrics_of_counts(
 
 def _row_loss(label: str, scores: str) -> Column:
     true_score = F.get(F.col(scores), F.col(label).cast("int"))
-    return -F.ln(F.greatest(true_score, F.lit(1e-15)))
+    shown = F.coalesce(F.col(label).cast("string"), F.lit("null"))
+    error = F.raise_error(F.concat(F.lit("No score for label "), shown)).cast("double")
+    loss = -F.ln(F.greatest(true_score, F.lit(1e-15)))
+    return F.when(true_score.isNotNull(), loss).otherwise(error)
 
 
 def log_loss(
     df: DataFrame, label: str = "label", scores: str = "scores", by: Sequence[str] = ()
 ) -> DataFrame:
-    """Mean negative log probability of the true class over the rows."""
+    """Mean negative log probability of the true class over the rows.
+
+    A row whose label is null or has no score fails the query.
+    """
     return df.groupBy(*by).agg(F.avg(_row_loss(label, scores)).alias("avg_loss"))
 
 
@@ -133,7 +155,21 @@ def by_split(
     split: str = "split",
 ) -> DataFrame:
     """Loss and metrics of every split, in one pass over the scored rows."""
-    counts = df.groupBy(split, label, prediction).agg(
+    counts = scored_counts(df, label, prediction, scores, split)
+    return metrics_of_counts(counts, label, prediction, [split])
+
+
+def scored_counts(
+    df: DataFrame,
+    label: str = "label",
+    prediction: str = "prediction",
+    scores: str = "scores",
+    split: str = "split",
+) -> DataFrame:
+    """Rows ``n`` and summed ``loss`` per split, label and prediction.
+
+    A few rows, from which metrics, confusion and row counts all derive.
+    """
+    return df.groupBy(split, label, prediction).agg(
         F.count("*").alias("n"), F.sum(_row_loss(label, scores)).alias("loss")
     )
-    return metrics_of_counts(counts, label, prediction, [split])

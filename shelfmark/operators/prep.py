@@ -27,6 +27,7 @@ def validate_input(
     Emptiness is a one-row probe; a stream cannot be probed and counts as non-empty.
     Names must match in case.
     """
+    # Callers match the beginnings of both messages.
     if df is None or (not df.isStreaming and df.isEmpty()):
         raise ValueError("Input DataFrame is empty or None.")
     required = [*(text_columns or TEXT_COLUMNS), label_column]
@@ -95,11 +96,16 @@ def preprocess(
     skip: str = "null",
     keep: Sequence[str] = (),
     validate: bool = True,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Validate, project, combine: ``(out, label, *keep)`` with one row per input row."""
+    """Validate, project, combine: ``(out, label, *keep)`` with one row per input row.
+
+    ``partitions`` deals the validated rows out to so many, before the texts are made.
+    """
     if validate:
         validate_input(df, text_columns, label_column)
     projected = project_columns(df, text_columns, label_column, keep)
+    projected = projected.repartition(partitions) if partitions else projected
     names = dict.fromkeys([label_column, *keep])
     text = combined(projected, text_columns or TEXT_COLUMNS, list_style, skip)
     return projected.select(text.alias(out), *[n for n in names if n in projected.columns])
@@ -141,17 +147,28 @@ def conform(
     ``reject_reason``. With ``corrupt_column``, lines the reader could not parse are
     rejected as malformed.
     """
-    problems = [_problem(df, name, declared) for name, declared in schema.items()]
-    if corrupt_column and corrupt_column in df.columns:
-        malformed = F.when(F.col(corrupt_column).isNotNull(), F.lit("malformed line"))
-        problems.insert(0, malformed)
-    reason = F.concat_ws("; ", *problems)
+    reason = _reason(df, schema, corrupt_column)
     fields = [name for name in schema if name in df.columns]
     valid = df.filter(reason == "").select(*fields)
     rejected = df.withColumn("reject_reason", reason).filter(F.col("reject_reason") != "")
     return valid, rejected
 
 
+def conforming(
+    df: DataFrame, schema: Mapping[str, str], corrupt_column: str | None = None
+) -> DataFrame:
+    """The rows that :func:`conform` finds valid, with all their columns."""
+    return df.filter(_reason(df, schema, corrupt_column) == "")
+
+
+def _reason(df: DataFrame, schema: Mapping[str, str], corrupt_column: str | None) -> Column:
+    problems = [_problem(df, name, declared) for name, declared in schema.items()]
+    if corrupt_column and corrupt_column in df.columns:
+        malformed = F.when(F.col(corrupt_column).isNotNull(), F.lit("malformed line"))
+        problems.insert(0, malformed)
+    return F.concat_ws("; ", *problems)
+
+
 def _parse_type(declared: str) -> tuple[str, str | None]:
     base, _, element = declared.partition("[")
     base = base.strip().lower()

@@ -55,7 +55,11 @@ def box_stats(df: DataFrame, category: str, text: str, strict: bool = False) ->
     interquartile ranges of the box, number of rows beyond them. Works on the histogram
     of :func:`words_per_category`, so the rows are shuffled only as its counts.
     """
-    histogram = words_per_category(df, category, text, strict)
+    return box_stats_of(words_per_category(df, category, text, strict), category)
+
+
+def box_stats_of(histogram: DataFrame, category: str) -> DataFrame:
+    """:func:`box_stats` from ``(category, num_words, n_rows)``."""
     per_category = Window.partitionBy(category)
     shares = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     quartiles = F.percentile(F.col("num_words"), shares, F.col("n_rows"))
@@ -83,3 +87,23 @@ def box_stats(df: DataFrame, category: str, text: str, strict: bool = False) ->
         F.max("num_words").alias("max_words"),
         (F.sum(F.col("num_words") * F.col("n_rows")) / F.sum("n_rows")).alias("mean_words"),
     )
+
+
+def summary_of(histogram: DataFrame, category: str) -> DataFrame:
+    """:func:`summary` from ``(category, num_words, n_rows)``."""
+    per_category = histogram.groupBy(category).agg(F.sum("n_rows").alias("n"))
+    return per_category.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
+        F.count("*").alias("distinct_categories"),
+    )
+
+
+def category_counts_of(histogram: DataFrame, category: str) -> DataFrame:
+    """:func:`category_counts` from ``(category, num_words, n_rows)``."""
+    return histogram.groupBy(category).agg(F.sum("n_rows").alias("count")).orderBy(category)
+
+
+def avg_words_of(histogram: DataFrame, category: str) -> DataFrame:
+    """:func:`avg_words` from ``(category, num_words, n_rows)``."""
+    mean = F.sum(F.col("num_words") * F.col("n_rows")) / F.sum("n_rows")
+    return histogram.groupBy(category).agg(mean.alias("average_num_words"))

@@ -20,7 +20,7 @@ Key = str | Sequence[str] | None
 
 def check_fraction(fraction: float) -> None:
     if not 0.0 <= fraction <= 1.0:
-        raise ValueError("Fraction must be between 0.0 and 1.0")
+        raise ValueError(f"A fraction lies between 0 and 1, not at {fraction}.")
 
 
 def sample(df: DataFrame, fraction: float, seed: int = 42, key: Key = None) -> DataFrame:
@@ -30,7 +30,7 @@ def sample(df: DataFrame, fraction: float, seed: int = 42, key: Key = None) -> D
         return df
     if key is None:
         return df.sample(fraction=float(fraction), seed=seed)
-    return df.filter(unit_hash(key, str(seed)) < float(fraction))
+    return df.filter(unit_hash(df, key, str(seed)) < float(fraction))
 
 
 def assign_split(
@@ -42,8 +42,8 @@ def assign_split(
     out: str = "split",
 ) -> DataFrame:
     """Add the split of each row: a test share, then a validation share of the rest."""
-    in_test = unit_hash(key, f"{seed}:1") >= 1.0 - test_share
-    in_val = unit_hash(key, f"{seed}:2") >= 1.0 - val_share
+    in_test = unit_hash(df, key, f"{seed}:1") >= 1.0 - test_share
+    in_val = unit_hash(df, key, f"{seed}:2") >= 1.0 - val_share
     split = F.when(in_test, "test").when(in_val, "val").otherwise("train")
     return df.withColumn(out, split)
 
@@ -65,10 +65,10 @@ def three_way(
     return train, val, test
 
 
-def _draw(seed: int, key: Key) -> Column:
+def _draw(df: DataFrame, seed: int, key: Key) -> Column:
     if key is None:
         return F.rand(seed)
-    return F.xxhash64(F.concat(F.lit(f"{seed}:"), key_text(key)))
+    return F.xxhash64(F.concat(F.lit(f"{seed}:"), key_text(df, key)))
 
 
 def shuffle(df: DataFrame, seed: int = 42, key: Key = None, mode: str = "global") -> DataFrame:
@@ -80,7 +80,7 @@ def shuffle(df: DataFrame, seed: int = 42, key: Key = None, mode: str = "global"
     in as many tasks as their size asks for. Without a key the input should come straight
     from files, so that a retried task draws the same numbers.
     """
-    draw = _draw(seed, key)
+    draw = _draw(df, seed, key)
     if mode == "global":
         return df.orderBy(draw)
     if mode != "scatter":
@@ -101,10 +101,21 @@ def plan_steps(
     split: str = "split",
 ) -> DataFrame:
     """Rows, batches, steps and warm-up steps (a tenth) of every split, in one pass."""
+    counts = df.groupBy(split).agg(F.count("*").alias("n_rows"))
+    return steps_of_counts(counts, batch_size, epochs, test_batch_size, split)
+
+
+def steps_of_counts(
+    counts: DataFrame,
+    batch_size: int,
+    epochs: int,
+    test_batch_size: int | None = None,
+    split: str = "split",
+) -> DataFrame:
+    """:func:`plan_steps` from ``n_rows`` per split."""
     size = F.when(F.col(split) == "test", F.lit(test_batch_size or batch_size)).otherwise(
         F.lit(batch_size)
     )
-    counts = df.groupBy(split).agg(F.count("*").alias("n_rows"))
     batches = counts.withColumn("n_batches", F.ceil(F.col("n_rows") / size))
     steps = batches.withColumn("total_steps", F.col("n_batches") * F.lit(epochs))
     return steps.withColumn("warmup_steps", F.floor(F.col("total_steps") * F.lit(0.1)))
@@ -114,21 +125,24 @@ def export_shards(
     df: DataFrame,
     path: str,
     batch_size: int,
-    batches_per_file: int = 64,
+    batches_per_file: int | None = 64,
     seed: int = 42,
     key: Key = None,
     split: str = "split",
 ) -> None:
     """Write shuffled training files, one folder per split, whole batches per file.
 
+    Without ``batches_per_file`` files are as large as their partitions.
+
     Rows are scattered over the partitions as by :func:`shuffle`, so no split and no hot
     category ends up in one task; a reader of one split opens that folder only.
     """
-    (
-        _scatter(df.withColumn("_draw", _draw(seed, key)), [split, "_draw"])
+    writer = (
+        _scatter(df.withColumn("_draw", _draw(df, seed, key)), [split, "_draw"])
         .drop("_draw")
         .write.mode("overwrite")
         .partitionBy(split)
-        .option("maxRecordsPerFile", batch_size * batches_per_file)
-        .parquet(path)
     )
+    if batches_per_file:
+        writer = writer.option("maxRecordsPerFile", batch_size * batches_per_file)
+    writer.parquet(path)

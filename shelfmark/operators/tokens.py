@@ -3,7 +3,7 @@
 ``encode`` is a narrow pass: the JVM normalises the text and one Arrow function per batch
 splits it and looks the words up in a broadcast vocabulary. Rows are neither
 exploded nor shuffled, so neither a frequent word nor a large source can skew it. A
-vocabulary too large to broadcast is joined instead (``encode_joined``).
+vocabulary too large to broadcast is joined instead, if the caller says so.
 """
 
 from __future__ import annotations
@@ -11,11 +11,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import words
-from shelfmark.functions.wordpiece import MAX_WORD_CHARS, split_word
+from shelfmark.functions.wordpiece import MAX_WORD_CHARS, SPELLED_TOKENS, split_word, word_parts
+from shelfmark.session import scratch_path
 
 # Names and, in a vocabulary built here, ids of the special tokens.
 PAD, UNK, CLS, SEP = "[PAD]", "[UNK]", "[CLS]", "[SEP]"
@@ -32,8 +33,10 @@ _SET_APART = (
     r"\x{2A700}-\x{2CEAF}\x{2F800}-\x{2FA1F}])"
 )
 
-# A vocabulary up to this many rows is collected and broadcast to the tasks.
+#: Rows of a vocabulary that may be collected and broadcast to the tasks, unless the caller says
+#: otherwise (some 100 MB per task's Python process).
 MAX_BROADCAST_TOKENS = 500_000
+STRATEGIES = ("broadcast", "join")
 
 ENCODED_TYPE = "struct<input_ids:array<int>,n_real:int>"
 
@@ -75,7 +78,8 @@ def build_vocab(
 
     ``size`` counts the special tokens. Ties go to the smaller token. With ``subwords``
     the candidates are the beginnings of words and, marked ``##``, their endings and
-    single inner characters, each weighted by the word's count.
+    single inner characters, each weighted by the word's count. The words are counted when
+    this is called, once.
     """
     if size <= len(SPECIAL_TOKENS):
         raise ValueError(f"size must exceed the {len(SPECIAL_TOKENS)} special tokens")
@@ -83,15 +87,72 @@ def build_vocab(
     if subwords:
         counts = _piece_counts(counts)
     ordinary = counts.filter(~F.col("token").isin(*SPECIAL_TOKENS))
-    best = ordinary.orderBy(F.desc("n"), "token").limit(size - len(SPECIAL_TOKENS))
-    # The window has no partitions, but only the vocabulary's own rows.
-    rank = F.row_number().over(Window.orderBy(F.desc("n"), "token"))
-    ranked = best.select(
-        "token", (rank + F.lit(len(SPECIAL_TOKENS) - 1)).cast("int").alias("id"), "n"
+    return _ranked(ordinary, size - len(SPECIAL_TOKENS), df.sparkSession)
+
+
+def _ranked(counts: DataFrame, k: int, spark: SparkSession) -> DataFrame:
+    """The ``k`` most frequent tokens behind the special ones, with their ids.
+
+    The counts are stored once. From their histogram comes the frequency at which the
+    vocabulary ends; tokens below it are dropped, the others are sorted in ranges, and a
+    range's first id follows from the sizes of the ranges before it. No task sees all tokens.
+    """
+    counts = _stored(counts, "counts")
+    ranged = counts.filter(F.col("n") >= _least_count(counts, k))
+    ranged = ranged.repartitionByRange(F.desc("n"), "token").sortWithinPartitions(
+        F.desc("n"), "token"
+    )
+    place = F.monotonically_increasing_id()
+    ranged = _stored(
+        ranged.select(
+            "token",
+            "n",
+            F.shiftright(place, 33).alias("part"),
+            place.bitwiseAND(F.lit((1 << 33) - 1)).alias("at"),
+        ),
+        "ranges",
     )
+    sizes = dict(ranged.groupBy("part").agg(F.count("*")).collect())
+    first, starts = len(SPECIAL_TOKENS), {}
+    for part in sorted(sizes):
+        starts[part] = first
+        first += sizes[part]
+    start = F.lit(0).cast("bigint")
+    if starts:
+        pairs = [F.lit(x).cast("bigint") for item in starts.items() for x in item]
+        start = F.create_map(*pairs)[F.col("part")]
+    ranked = ranged.select("token", (start + F.col("at")).alias("id"), "n")
+    ranked = ranked.filter(F.col("id") < k + len(SPECIAL_TOKENS))
     rows = ", ".join(f"('{t}', {i}, 0L)" for i, t in enumerate(SPECIAL_TOKENS))
-    special = df.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS special(token, id, n)")
-    return special.unionByName(ranked)
+    special = spark.sql(f"SELECT * FROM VALUES {rows} AS special(token, id, n)")
+    return special.unionByName(ranked.withColumn("id", F.col("id").cast("int")))
+
+
+def _least_count(counts: DataFrame, k: int) -> int:
+    """The count of the ``k``-th most frequent token, 1 if there are fewer.
+
+    First the power of two that it lies above, then the count itself: the rows collected are
+    distinct counts between two powers of two.
+    """
+    power = F.floor(F.log2("n"))
+    left = k
+    for row in sorted(counts.groupBy(power.alias("p")).count().collect(), reverse=True):
+        if row["count"] >= left:
+            within = counts.filter(power == row["p"]).groupBy("n").count().collect()
+            for n, tokens in sorted(within, reverse=True):
+                left -= tokens
+                if left <= 0:
+                    return n
+        left -= row["count"]
+    return 1
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """The table written to the shared folder and read back."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _piece_counts(counts: DataFrame) -> DataFrame:
@@ -129,22 +190,29 @@ def encode(
     subwords: bool = False,
     key: str | None = None,
     keep_text: bool = False,
+    strategy: str = "broadcast",
+    max_tokens: int = MAX_BROADCAST_TOKENS,
 ) -> DataFrame:
     """Replace a text column by ``input_ids`` and ``attention_mask`` of fixed length.
 
     ``[CLS]`` + tokens + ``[SEP]``, truncated and padded to ``max_length``; the mask is 1
     for real tokens. With ``subwords`` a word outside the vocabulary is split into its
-    longest pieces. The vocabulary is read when this is called; one of more than
-    ``MAX_BROADCAST_TOKENS`` rows is joined, which needs a unique ``key``.
+    longest pieces.
+
+    Strategy ``broadcast`` reads the vocabulary when this is called and refuses one of more
+    than ``max_tokens`` rows; ``join`` takes any vocabulary and a unique ``key``
+    (:func:`encode_joined`). Both give the same arrays.
     """
     _check_length(max_length)
-    table = vocab.select("token", "id").limit(MAX_BROADCAST_TOKENS + 1).toArrow()
-    if table.num_rows > MAX_BROADCAST_TOKENS:
-        if subwords or key is None:
-            raise ValueError(
-                f"A vocabulary of over {MAX_BROADCAST_TOKENS} tokens needs a key and whole words."
-            )
-        return encode_joined(df, vocab, key, text, max_length, normalizer, keep_text=keep_text)
+    if strategy not in STRATEGIES:
+        raise ValueError(f"The strategy is one of {STRATEGIES}, not {strategy!r}.")
+    if strategy == "join":
+        if key is None:
+            raise ValueError("Joining a vocabulary takes a unique key.")
+        return encode_joined(
+            df, vocab, key, text, max_length, normalizer, subwords=subwords, keep_text=keep_text
+        )
+    table = _collected(vocab, max_tokens)
     plain = normalizer == "wordpiece"
     encoder = _encoder(df.sparkSession, table, max_length, subwords, plain)
     encoded = df.withColumn("_encoded", encoder(normalized(F.col(text), normalizer)))
@@ -161,35 +229,45 @@ def encode_joined(
     max_length: int = MAX_LENGTH,
     normalizer: str = "simple",
     salts: int = 32,
+    subwords: bool = False,
     keep_text: bool = False,
 ) -> DataFrame:
-    """``encode`` for whole words and a vocabulary of any size, by joins on the word.
+    """:func:`encode` for a vocabulary of any size, by joins on the word.
 
-    Every vocabulary row is copied to ``salts`` join keys and every word occurrence picks
-    one, so the occurrences of a frequent word spread over that many tasks. A row of ``df``
-    contributes at most ``max_length - 2`` occurrences. A key that is not unique fails the
-    query.
+    Every distinct word gets its ids once (with ``subwords`` those of its pieces), is copied to
+    ``salts`` join keys, and every word occurrence picks one, so the occurrences of a frequent
+    word spread over that many tasks. A row of ``df`` contributes at most ``max_length - 2``
+    occurrences. A key that is null or not unique is refused before anything is encoded.
     """
     _check_length(max_length)
+    twice = df.groupBy(key).agg(F.count("*").alias("n")).filter((F.col("n") > 1) | F.col(key).isNull())
+    wrong = twice.select(F.col(key).cast("string")).first()
+    if wrong is not None:
+        raise ValueError(f"Key is not unique: {wrong[0]}")
     specials = _special_ids(vocab.filter(F.col("token").isin(*SPECIAL_TOKENS)).toArrow())
-    reachable = F.slice(word_array(F.col(text), normalizer), 1, max_length - 2)
+    reachable = F.slice(word_array(F.col(text), normalizer), 1, max(max_length - 2, 1))
     salt = F.pmod(F.xxhash64(F.col(key), F.col("_pos")), F.lit(salts)).cast("int")
     occurrences = df.select(key, F.posexplode(reachable).alias("_pos", "token"))
-    salted = vocab.select(
-        "token", "id", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
+    if subwords:
+        distinct = occurrences.select("token").distinct()
+        plain = normalizer == "wordpiece"
+        ids_of = subword_table(distinct, vocab, plain=plain, strategy="join").select(
+            "token", F.col("piece_ids").alias("ids")
+        )
+    else:
+        ids_of = vocab.select("token", F.array("id").alias("ids"))
+    salted = ids_of.select(
+        "token", "ids", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
     )
     found = occurrences.withColumn("_salt", salt).join(salted, ["token", "_salt"], "left")
-    token_id = F.coalesce("id", F.lit(specials[UNK]))
+    ids = F.coalesce("ids", F.array(F.lit(specials[UNK])))
     by_row = found.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("_pos", token_id.alias("id")))).alias("_found")
+        F.array_sort(F.collect_list(F.struct("_pos", ids.alias("ids")))).alias("_found")
     )
     # Rows without words have no occurrence and come back through the outer join.
-    joined = df.withColumn("_size", F.size(reachable)).join(by_row, key, "left")
-    found_ids = F.coalesce(F.col("_found.id"), F.array().cast("array<int>"))
-    error = F.concat(F.lit("Key is not unique: "), F.col(key).cast("string"))
-    ids = F.when(F.size(found_ids) == F.col("_size"), found_ids).otherwise(
-        F.raise_error(error).cast("array<int>")
-    )
+    joined = df.join(by_row, key, "left")
+    flat = F.coalesce(F.flatten(F.col("_found.ids")), F.array().cast("array<int>"))
+    ids = F.slice(flat, 1, max_length - 2) if max_length > 2 else F.array().cast("array<int>")
     n_pad = F.lit(max_length - 2) - F.size(ids)
     framed = F.concat(
         F.array(F.lit(specials[CLS])),
@@ -199,7 +277,7 @@ def encode_joined(
     )
     mask = _mask(F.size(ids) + 2, max_length)
     out = joined.withColumn("input_ids", framed).withColumn("attention_mask", mask)
-    return out.drop("_found", "_size", *([] if keep_text else [text]))
+    return out.drop("_found", *([] if keep_text else [text]))
 
 
 def ensure_encoded(df: DataFrame, vocab: DataFrame | None = None, **options) -> DataFrame:
@@ -212,16 +290,23 @@ def ensure_encoded(df: DataFrame, vocab: DataFrame | None = None, **options) ->
 
 
 def subword_table(
-    distinct_words: DataFrame, vocab: DataFrame, token: str = "token", plain: bool = False
+    distinct_words: DataFrame,
+    vocab: DataFrame,
+    token: str = "token",
+    plain: bool = False,
+    strategy: str = "broadcast",
+    max_tokens: int = MAX_BROADCAST_TOKENS,
 ) -> DataFrame:
     """Pieces of each distinct word: adds ``pieces`` (array of strings) and ``piece_ids``.
 
     Longest piece first from the left, later pieces marked ``##``; a word that cannot be
-    covered is ``[UNK]``. ``plain`` removes capitals and accents first.
+    covered is ``[UNK]``. ``plain`` removes capitals and accents first. Strategy
+    ``broadcast`` refuses a vocabulary of more than ``max_tokens`` rows; ``join`` takes any and
+    joins each word's substrings to it.
     """
-    table = vocab.select("token", "id").limit(MAX_BROADCAST_TOKENS + 1).toArrow()
-    if table.num_rows > MAX_BROADCAST_TOKENS:
-        raise ValueError(f"A subword vocabulary may have {MAX_BROADCAST_TOKENS} tokens at most.")
+    if strategy == "join":
+        return _joined_pieces(distinct_words, vocab, token, plain)
+    table = _collected(vocab, max_tokens)
     _special_ids(table)
     shared = distinct_words.sparkSession.sparkContext.broadcast(_token_ids(table))
     longest = _longest(table)
@@ -246,6 +331,84 @@ def subword_table(
     )
 
 
+def _joined_pieces(words_df: DataFrame, vocab: DataFrame, token: str, plain: bool) -> DataFrame:
+    """:func:`subword_table` by a join of every substring, a word at most once per part."""
+    known = vocab.select(F.col("token").alias("_piece"), F.col("id").alias("_id"))
+    longest = known.agg(F.max(F.length("_piece"))).first()[0] or 0
+
+    # Spelled-out special tokens stand for themselves where the vocabulary has them.
+    spelled_tokens = [r[0] for r in known.select("_piece").filter(F.col("_piece").isin(*SPELLED_TOKENS)).collect()]
+
+    @F.arrow_udf("array<string>")
+    def parts_of(tokens: pa.Array) -> pa.Array:
+        spelled = [word_parts(w, plain, spelled_tokens) for w in tokens.to_pylist()]
+        return pa.array(spelled, pa.list_(pa.string()))
+
+    parts = words_df.withColumn("_parts", parts_of(token))
+    exploded = parts.select(token, F.posexplode("_parts").alias("_part", "_word"))
+    size = F.length("_word")
+    cuts = (
+        exploded.filter(size <= MAX_WORD_CHARS)
+        .select(token, "_part", "_word", F.explode(F.sequence(F.lit(1), size)).alias("_from"))
+        .select(
+            "*",
+            F.explode(
+                F.sequence(F.lit(1), F.least(size - F.col("_from") + 1, F.lit(longest)))
+            ).alias("_size"),
+        )
+    )
+    mark = F.when(F.col("_from") > 1, F.lit("##")).otherwise("")
+    piece = F.concat(mark, F.substr("_word", F.col("_from"), F.col("_size")))
+    matched = cuts.withColumn("_piece", piece).join(known, "_piece")
+    best = matched.groupBy(token, "_part", "_from").agg(
+        F.max(F.struct("_size", "_piece", "_id")).alias("best")
+    )
+    by_part = best.groupBy(token, "_part").agg(
+        F.sort_array(F.collect_list(F.struct("_from", "best"))).alias("_best")
+    )
+    unknown = vocab.filter(F.col("token") == UNK).select("id").first()[0]
+    empty = F.struct(
+        F.lit(1).alias("next"),
+        F.array().cast("array<string>").alias("pieces"),
+        F.array().cast("array<int>").alias("ids"),
+    )
+
+    def follow(state, start):
+        best = start["best"]
+        step = F.struct(
+            (state["next"] + best["_size"]).alias("next"),
+            F.concat(state["pieces"], F.array(best["_piece"])).alias("pieces"),
+            F.concat(state["ids"], F.array(best["_id"])).alias("ids"),
+        )
+        return F.when(start["_from"] == state["next"], step).otherwise(state)
+
+    walked = (
+        exploded.join(by_part, [token, "_part"], "left")
+        .withColumn("_walk", F.aggregate(F.coalesce("_best", F.array()), empty, follow))
+        .withColumn("_whole", F.col("_walk.next") == size + 1)
+    )
+    pieces = F.when(F.col("_whole"), F.col("_walk.pieces")).otherwise(F.array(F.lit(UNK)))
+    ids = F.when(F.col("_whole"), F.col("_walk.ids")).otherwise(F.array(F.lit(unknown)))
+    by_word = walked.groupBy(token).agg(
+        F.sort_array(F.collect_list(F.struct("_part", pieces.alias("p"), ids.alias("i")))).alias("_all")
+    )
+    none_text, none_ids = F.array().cast("array<string>"), F.array().cast("array<int>")
+    return words_df.join(by_word, token, "left").select(
+        *words_df.columns,
+        F.coalesce(F.flatten("_all.p"), none_text).alias("pieces"),
+        F.coalesce(F.flatten("_all.i"), none_ids).alias("piece_ids"),
+    )
+
+
+def _collected(vocab: DataFrame, max_tokens: int) -> pa.Table:
+    table = vocab.select("token", "id").limit(max_tokens + 1).toArrow()
+    if table.num_rows > max_tokens:
+        raise ValueError(
+            f"The vocabulary has over {max_tokens} tokens; use strategy 'join' or raise max_tokens."
+        )
+    return table
+
+
 def _check_length(max_length: int) -> None:
     if max_length < 2:
         raise ValueError("max_length must leave room for [CLS] and [SEP]")

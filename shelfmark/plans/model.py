@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, replace
 
@@ -17,11 +18,12 @@ from pyspark.storagelevel import StorageLevel
 from shelfmark.functions import labels
 from shelfmark.functions.text import WORD_BREAK
 from shelfmark.operators import evaluate, prep, tokens
+from shelfmark.session import exists, read_note, remove, write_note
 from shelfmark.sources.readers import read_parquet
 from shelfmark.sources.writers import write_parquet
 
 LABEL_ID = "label"
-# The model holds one double per feature and class on the driver and in every task.
+#: Coefficients, one double per feature and class, that the driver and every task may hold.
 MAX_COEFFICIENTS = 10_000_000
 
 
@@ -41,6 +43,28 @@ class TextSpec:
     max_length: int = tokens.MAX_LENGTH
     normalizer: str = "simple"
     subwords: bool = False
+    strategy: str = "broadcast"
+    # Field types of the records, if the caller declared them: {field: type} as pairs.
+    record: tuple[tuple[str, str], ...] = ()
+
+
+#: Settings of a spec that a job may give; those stored beside its input win no argument.
+SPEC_SETTINGS = (
+    "text_columns label_column list_style skip vocab_path max_length normalizer subwords "
+    "strategy record"
+).split()
+
+
+def spec_to_json(spec: TextSpec) -> str:
+    return json.dumps(asdict(spec))
+
+
+def spec_from_json(text: str) -> TextSpec:
+    stored = json.loads(text)
+    for name in ("classes", "text_columns"):
+        stored[name] = tuple(stored[name])
+    stored["record"] = tuple(map(tuple, stored.get("record", ())))
+    return TextSpec(**stored)
 
 
 @dataclass(frozen=True)
@@ -78,15 +102,19 @@ def train(
     spec: TextSpec,
     candidates: Sequence[Mapping] = ({"maxIter": 20, "regParam": 0.01},),
     num_features: int = 1 << 16,
+    max_coefficients: int = MAX_COEFFICIENTS,
 ) -> Classifier:
     """Fit every candidate on the training rows; keep the lowest validation loss.
 
+    ``max_coefficients`` bounds features times classes, eight bytes each on the driver and in
+    every task.
     Features are fitted and computed once, then held for all candidates (spilling to
     disk; a lost block is recomputed). Rows stay on the executors: only gradients, which
     are bounded by features times classes, are summed to the driver.
     """
-    if num_features * len(set(spec.classes)) > MAX_COEFFICIENTS:
-        raise ValueError("num_features times the number of classes is too large")
+    wanted = num_features * len(set(spec.classes))
+    if wanted > max_coefficients:
+        raise ValueError(f"{wanted} coefficients are more than max_coefficients.")
     features = Pipeline(stages=feature_stages(spec, num_features)).fit(train_df)
     held = []
     for df in (train_df, val_df):
@@ -125,19 +153,29 @@ def predict(classifier: Classifier, df: DataFrame) -> DataFrame:
 
 
 def save(classifier: Classifier, path: str) -> None:
-    """Store the model and, beside it, how its text is made, vocabulary included."""
-    classifier.model.write().overwrite().save(f"{path}/model")
+    """Store the model and, beside it, how its text is made, vocabulary included.
+
+    All goes to a new folder below ``path``; the note that names it is written last, and only
+    then the folder that it named before is deleted. Saving a loaded model to its own path is
+    no special case, and a failure leaves the old model as it was.
+    """
     spark, spec = SparkSession.getActiveSession(), classifier.spec
+    name = f"v-{uuid.uuid4().hex}"
+    folder = f"{path}/{name}"
+    classifier.model.write().save(f"{folder}/model")
     if spec.vocab_path:
-        vocab = read_parquet(spark, spec.vocab_path)
-        spec = replace(spec, vocab_path=f"{path}/vocab")
-        write_parquet(vocab, spec.vocab_path)
-    text = json.dumps(asdict(spec))
-    spark.range(1).select(F.lit(text).alias("value")).write.mode("overwrite").text(f"{path}/spec")
+        write_parquet(read_parquet(spark, spec.vocab_path), f"{folder}/vocab")
+        spec = replace(spec, vocab_path=f"{folder}/vocab")
+    write_note(spark, f"{folder}/spec", spec_to_json(spec))
+    before = read_note(spark, f"{path}/current") if exists(spark, f"{path}/current") else None
+    write_note(spark, f"{path}/current", name)
+    if before:
+        remove(spark, [f"{path}/{before}"])
 
 
 def load(spark: SparkSession, path: str) -> Classifier:
-    stored = json.loads(spark.read.text(f"{path}/spec").first()["value"])
-    for name in ("classes", "text_columns"):
-        stored[name] = tuple(stored[name])
-    return Classifier(PipelineModel.load(f"{path}/model"), TextSpec(**stored))
+    folder = f"{path}/{read_note(spark, f'{path}/current')}"
+    spec = spec_from_json(read_note(spark, f"{folder}/spec"))
+    if spec.vocab_path:
+        spec = replace(spec, vocab_path=f"{folder}/vocab")
+    return Classifier(PipelineModel.load(f"{folder}/model"), spec)

@@ -217,12 +217,6 @@ CONFUSION = "SELECT label, prediction, count(*) AS n FROM predictions GROUP BY l
 CELLS = [f"CAST(count(*) FILTER (WHERE a.prediction = {i}) AS BIGINT)" for i in range(5)]
 BOOL_TEXT = "CASE WHEN l_quantity > 25 THEN 'True' ELSE 'False' END"
 
-ETL_COMBINED = f"""
-{PRODUCTS},
-combined AS (
-  SELECT doc_id, asin, main_cat, concat_ws(' | ', title, {_list_repr('description')}, brand) AS combined_text FROM products)
-"""
-
 ORACLE: dict[str, str] = {
     "scan_documents": "SELECT doc_id, source, n_chars FROM documents WHERE lang = 'de'",
     "jsonl_read": f"WITH {PRODUCTS} SELECT asin, title, brand, price, main_cat, CAST(len(description) AS INTEGER) AS n_lines FROM products",
@@ -293,9 +287,24 @@ ORACLE: dict[str, str] = {
         {', '.join(f'coalesce(round({cell} * 100.0::DOUBLE / nullif(count(a.prediction), 0), 6), 0.0::DOUBLE) AS p{i}' for i, cell in enumerate(CELLS))}
         FROM range(5) AS c(class) LEFT JOIN predictions a ON a.label = c.class GROUP BY c.class""",
     "log_loss": f"WITH {PREDICTIONS} SELECT split, {LOSS} FROM predictions GROUP BY split",
-    "etl_text": f"WITH {ETL_COMBINED} SELECT combined_text, main_cat, asin FROM combined",
-    "etl_encoded": f"""WITH {CORPUS_VOCAB.replace(COMBINED, ETL_COMBINED)},
-        word_ids AS (SELECT o.asin, o.ord, coalesce(v.id, 1) AS id FROM occurrences o LEFT JOIN vocab v USING (token)),
-        {_encoded('asin', 'word_ids', 'combined')}""",
-    "profile_job": f"WITH {COUNTED} SELECT main_cat, count(*) AS count, round(avg(num_words), 6) AS average_num_words FROM counted GROUP BY main_cat",
+    "etl_text": f"WITH {COMBINED} SELECT combined_text, main_cat, asin FROM combined",
+    "etl_encoded": ENCODE,
+    "profile_job": f"""WITH box AS ({_box('main_cat')}), {COUNTED},
+        means AS (SELECT main_cat, count(*) AS count, round(avg(num_words), 6) AS average_num_words FROM counted GROUP BY main_cat),
+        words AS (SELECT main_cat, num_words, count(*) AS n_rows FROM counted GROUP BY ALL)
+        SELECT w.*, b.* EXCLUDE (main_cat, n_rows), m.count, m.average_num_words,
+        (SELECT count(*) FROM products) AS total_rows, (SELECT count(*) FROM means) AS distinct_categories
+        FROM words w JOIN box b USING (main_cat) JOIN means m USING (main_cat)""",
+    "encode_subwords_joined": ENCODE_SUBWORDS,
+    "take_any_rows": "SELECT least(count(*), 100) AS n_rows, least(count(*), 100) AS n_known, least(count(*), 100) AS n_keys FROM documents",
+    "bernoulli_sample": "SELECT lang, count(*) AS n_documents, count(*) AS n_joined, true AS is_part, true AS size_is_near FROM documents GROUP BY lang",
+    "random_three_way": "SELECT lang, count(*) AS n_rows, count(*) AS n_documents, true AS shares_are_near FROM documents GROUP BY lang",
+    "train_text": f"SELECT {SPLIT} AS split, count(*) AS n_rows, true AS loss_is_the_lowest, true AS beats_guessing, true AS is_accurate FROM documents GROUP BY 1",
+    "train_encoded": f"""SELECT CAST(list_position(['de', 'en', 'es', 'fr'], lang) - 1 AS INTEGER) AS label, count(*) AS n_rows,
+        1.0::DOUBLE AS share, true AS mostly_right FROM documents WHERE {SPLIT} = 'test' GROUP BY 1""",
+    "predict_records": f"WITH {PRODUCTS} SELECT asin, main_cat, true AS is_best, true AS is_named, true AS sums_to_one FROM products",
+    "predict_stream": f"WITH {PRODUCTS} SELECT asin, main_cat, true AS same FROM products",
+    "predict_rejected": f"WITH {PRODUCTS} SELECT asin, main_cat, {REASON} AS reject_reason FROM products WHERE {REASON} <> ''",
+    "predict_conforming": f"WITH {PRODUCTS} SELECT asin, main_cat FROM products WHERE {REASON} = ''",
+    "encoding_contract": f"WITH {PRODUCTS} SELECT asin, main_cat, true AS same FROM products",
 }

@@ -66,7 +66,7 @@ def jsonl_sample(spark, sf_dir):
 @query
 def parquet_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "combined")
-    df = prep.preprocess(views.products(spark, sf_dir), keep=["asin"])
+    df = _combined(spark, sf_dir)
     writers.write_parquet(df, path)
     return readers.read_parquet(spark, path)
 
@@ -79,8 +79,16 @@ def take_rows(spark, sf_dir):
 
 @query
 def take_any_rows(spark, sf_dir):
+    """Any 100 rows: their number, and how many of them are products in all fields."""
     df = views.products(spark, sf_dir, spread=False)
-    return readers.take_rows(df, 100, list(views.RECORD))
+    content = F.xxhash64(*[F.col(c) for c in views.RECORD]).alias("content")
+    taken = readers.take_rows(df, 100, list(views.RECORD)).select("asin", content)
+    known = df.select("asin", content, F.lit(1).alias("known"))
+    return taken.join(known, ["asin", "content"], "left").agg(
+        F.count("*").alias("n_rows"),
+        F.count("known").alias("n_known"),
+        F.countDistinct("asin").alias("n_keys"),
+    )
 
 
 # Validation, projection, combination
@@ -97,12 +105,12 @@ def validated_projection(spark, sf_dir):
 
 @query
 def combine_repr(spark, sf_dir):
-    return prep.preprocess(views.products(spark, sf_dir), keep=["asin"])
+    return _combined(spark, sf_dir)
 
 
 @query
 def combine_join(spark, sf_dir):
-    return prep.preprocess(views.products(spark, sf_dir), list_style="join", keep=["asin"])
+    return _combined(spark, sf_dir, list_style="join")
 
 
 @query
@@ -124,7 +132,8 @@ def combine_falsy(spark, sf_dir):
 def render_scalars(spark, sf_dir):
     """Integers, doubles of all magnitudes, booleans and number lists as text."""
     keys = F.array(F.col("l_orderkey"), F.col("l_linenumber").cast("bigint"), F.lit(None))
-    df = readers.read_parquet(spark, f"{sf_dir}/lineitem.parquet", spread=True).select(
+    lineitem = readers.read_parquet(spark, f"{sf_dir}/lineitem.parquet", views.cores(spark))
+    df = lineitem.select(
         "l_orderkey",
         "l_linenumber",
         F.col("l_extendedprice").alias("price"),
@@ -247,7 +256,21 @@ def hash_sample(spark, sf_dir):
 
 @query
 def bernoulli_sample(spark, sf_dir):
-    return splits.sample(views.documents(spark, sf_dir), 0.3, SEED).select("doc_id", "lang")
+    """A sample by Spark's own draws: per language its part of the documents, and the whole's size.
+
+    The size is right within five standard deviations.
+    """
+    docs = views.documents(spark, sf_dir).select("doc_id", "lang")
+    drawn = splits.sample(docs, 0.3, SEED).select("doc_id", F.lit(1).alias("drawn"))
+    joined = docs.join(drawn, "doc_id", "left")
+    per_lang = joined.groupBy("lang").agg(
+        F.countDistinct("doc_id").alias("n_documents"),
+        F.count("*").alias("n_joined"),
+        (F.count("drawn") <= F.count("*")).alias("is_part"),
+    )
+    total = joined.agg(F.count("*").alias("n"), F.count("drawn").alias("k"))
+    near = F.abs(F.col("k") - 0.3 * F.col("n")) <= 5 * F.sqrt(0.21 * F.col("n"))
+    return per_lang.join(total.select(near.alias("size_is_near")))
 
 
 @query
@@ -265,7 +288,21 @@ def hash_three_way(spark, sf_dir):
 
 @query
 def random_three_way(spark, sf_dir):
-    return _part_counts(splits.three_way(views.documents(spark, sf_dir), SEED))
+    """Spark's own split: its parts are disjoint, make up each language, and have their shares."""
+    parts = splits.three_way(views.documents(spark, sf_dir), SEED)
+    named = [df.select("doc_id", "lang", F.lit(n).alias("split")) for n, df in zip(splits.SPLITS, parts)]
+    union = named[0].unionByName(named[1]).unionByName(named[2])
+    total = union.agg(
+        F.count("*").alias("n"), *[F.count(F.when(F.col("split") == n, 1)).alias(n) for n in splits.SPLITS]
+    )
+    near = F.lit(True)
+    for name, share in zip(splits.SPLITS, (0.64, 0.16, 0.2)):
+        off = F.abs(F.col(name) - share * F.col("n"))
+        near = near & (off <= 5 * F.sqrt(share * (1 - share) * F.col("n")))
+    per_lang = union.groupBy("lang").agg(
+        F.count("*").alias("n_rows"), F.countDistinct("doc_id").alias("n_documents")
+    )
+    return per_lang.join(total.select(near.alias("shares_are_near")))
 
 
 @query
@@ -304,9 +341,10 @@ def export_shards(spark, sf_dir):
 # Tokens
 
 
-def _combined(spark, sf_dir):
-    df = views.products(spark, sf_dir)
-    return prep.preprocess(df, keep=["asin"])
+def _combined(spark, sf_dir, **options):
+    """Validated on the first row, then dealt out and combined."""
+    df = views.products(spark, sf_dir, spread=False)
+    return prep.preprocess(df, keep=["asin"], partitions=views.cores(spark), **options)
 
 
 @query
@@ -326,7 +364,7 @@ def encode_joined(spark, sf_dir):
     """The same by joins, for vocabularies beyond the broadcast bound."""
     df = _combined(spark, sf_dir)
     table = tokens.build_vocab(df, TEXT, VOCAB_SIZE)
-    return _encoded_text(tokens.encode_joined(df, table, "asin"))
+    return _encoded_text(tokens.encode(df, table, key="asin", strategy="join"))
 
 
 @query
@@ -374,6 +412,15 @@ def encode_subwords(spark, sf_dir):
     return _encoded_text(encoded, "doc_id")
 
 
+@query
+def encode_subwords_joined(spark, sf_dir):
+    """The same by joins: each word's substrings, then each word's pieces."""
+    df = views.documents(spark, sf_dir, spread=True).select("doc_id", "text")
+    table = _piece_vocab(spark, sf_dir)
+    encoded = tokens.encode(df, table, "text", subwords=True, key="doc_id", strategy="join")
+    return _encoded_text(encoded, "doc_id")
+
+
 # Evaluation
 
 
@@ -417,11 +464,8 @@ def _language_settings(input_path, model_path=None):
     return {
         "input_data_path": input_path,
         "classes": views.LANGUAGES,
-        "text_columns": ["title", "description", "brand"],
         "key": "asin",
         "batch_size": 16,
-        "candidates": [{"maxIter": 5, "regParam": 0.1}, {"maxIter": 10, "regParam": 0.01}],
-        "num_features": 1 << 14,
         "model_path": model_path,
     }
 
@@ -436,7 +480,6 @@ def _etl_settings(spark, sf_dir, **etl):
             "data_fraction": 1.0,
             "seed": SEED,
             "label_column": "main_cat",
-            "text_columns": ["title", "description", "brand"],
             "keep": ["asin"],
             "schema": RECORD_DDL,
             **etl,
@@ -458,52 +501,117 @@ def etl_encoded(spark, sf_dir):
     return _encoded_text(jobs.run_etl(spark, settings))
 
 
+CANDIDATES = [{"maxIter": 5, "regParam": 0.5}, {"maxIter": 20, "regParam": 0.01}]
+
+
 @query
 def train_text(spark, sf_dir):
-    """Training job on text: loss and metrics of every split."""
+    """Training job on text: rows of every split, and what must hold for loss and accuracy."""
     settings = _etl_settings(spark, sf_dir)
     jobs.run_etl(spark, settings)
     train = _language_settings(settings["etl_pipeline"]["output_path"])
-    return jobs.run_train(spark, train).metrics
+    result = jobs.run_train(spark, {**train, "candidates": CANDIDATES})
+    losses = [loss for _, loss in result.classifier.validation]
+    is_kept = F.when(F.col("split") == "val", F.abs(F.col("avg_loss") - min(losses)) < 1e-9)
+    return result.metrics.select(
+        "split",
+        "n_rows",
+        F.coalesce(is_kept, F.lit(True)).alias("loss_is_the_lowest"),
+        (F.col("avg_loss") < F.log(F.lit(len(views.LANGUAGES)))).alias("beats_guessing"),
+        (F.col("accuracy") > 0.9).alias("is_accurate"),
+    )
 
 
 @query
 def train_encoded(spark, sf_dir):
-    """Training job on token arrays: confusion of the test split."""
+    """Training job on token arrays: support of the labels in the test split's confusion."""
     settings = _etl_settings(spark, sf_dir, tokenizer_model="corpus")
     jobs.run_etl(spark, settings)
     train = _language_settings(settings["etl_pipeline"]["output_path"])
-    return jobs.run_train(spark, train).confusion
+    per_label = jobs.run_train(spark, train).confusion.groupBy("label").agg(
+        F.sum("n").alias("n_rows"),
+        F.round(F.sum("share"), 6).alias("share"),
+        (F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n"))) * 2 > F.sum("n")).alias(
+            "mostly_right"
+        ),
+    )
+    return per_label
+
+
+def _stored_model(spark, sf_dir, **etl):
+    settings, stored = _etl_settings(spark, sf_dir, **etl), scratch_path(spark, "model")
+    encoded = jobs.run_etl(spark, settings)
+    jobs.run_train(spark, _language_settings(settings["etl_pipeline"]["output_path"], stored))
+    return settings["etl_pipeline"]["input_path"], stored, encoded
 
 
 @query
 def predict_records(spark, sf_dir):
-    """Raw records scored with a stored model."""
-    settings, stored = _etl_settings(spark, sf_dir), scratch_path(spark, "model")
-    jobs.run_etl(spark, settings)
-    jobs.run_train(spark, _language_settings(settings["etl_pipeline"]["output_path"], stored))
+    """Raw records scored with a stored model: the class is the best-scored one, and named so."""
+    _, stored, _ = _stored_model(spark, sf_dir)
     scored = jobs.run_predict(spark, stored, views.products(spark, sf_dir))
-    return scored.select("asin", "main_cat", "prediction", "predicted")
+    names = F.array(*[F.lit(c) for c in views.LANGUAGES])
+    total = F.aggregate("scores", F.lit(0.0), lambda a, b: a + b)
+    best = F.get("scores", F.col("prediction")) == F.array_max("scores")
+    return scored.select(
+        "asin",
+        "main_cat",
+        best.alias("is_best"),
+        (F.get(names, F.col("prediction")) == F.col("predicted")).alias("is_named"),
+        (F.abs(total - 1) < 1e-9).alias("sums_to_one"),
+    )
 
 
 @query
 def predict_stream(spark, sf_dir):
-    """The same records arriving as files."""
-    settings, stored = _etl_settings(spark, sf_dir), scratch_path(spark, "model")
-    jobs.run_etl(spark, settings)
-    jobs.run_train(spark, _language_settings(settings["etl_pipeline"]["output_path"], stored))
-    records = scoring.read_record_stream(spark, settings["etl_pipeline"]["input_path"], RECORD_DDL)
+    """The same records arriving as files get the classes that the table gets."""
+    source, stored, _ = _stored_model(spark, sf_dir)
+    records = scoring.read_record_stream(spark, source, RECORD_DDL)
     out, progress = scratch_path(spark, "scored"), scratch_path(spark, "progress")
     columns = ["asin", "main_cat", "prediction", "predicted"]
     scoring.score_stream(spark, stored, records, out, progress, columns).awaitTermination()
-    return readers.read_parquet(spark, out)
+    batch = jobs.run_predict(spark, stored, views.products(spark, sf_dir))
+    batch = batch.select("asin", F.col("prediction").alias("in_batch"))
+    both = readers.read_parquet(spark, out).join(batch, "asin")
+    return both.select("asin", "main_cat", (F.col("prediction") == F.col("in_batch")).alias("same"))
+
+
+@query
+def predict_rejected(spark, sf_dir):
+    """Records that a model with a declaration does not score, each with its reason."""
+    _, stored, _ = _stored_model(spark, sf_dir, record=views.RECORD)
+    rejected = jobs.rejected_records(spark, stored, views.products(spark, sf_dir))
+    return rejected.select("asin", "main_cat", "reject_reason")
+
+
+@query
+def predict_conforming(spark, sf_dir):
+    """The records that it does score."""
+    _, stored, _ = _stored_model(spark, sf_dir, record=views.RECORD)
+    return jobs.run_predict(spark, stored, views.products(spark, sf_dir)).select("asin", "main_cat")
+
+
+@query
+def encoding_contract(spark, sf_dir):
+    """A vocabulary file through ETL, training and scoring: raw records score as encoded there."""
+    pieces = tokens.build_vocab(views.documents(spark, sf_dir, spread=True), "text", 4_000, subwords=True)
+    path = scratch_path(spark, "vocabulary-file")
+    ordered = pieces.select("token", "id").coalesce(1).sortWithinPartitions("id").select("token")
+    ordered.write.text(path)
+    _, stored, encoded = _stored_model(spark, sf_dir, tokenizer_model=path)
+    scored = jobs.run_predict(spark, stored, views.products(spark, sf_dir))
+    stored_ids = encoded.select("asin", F.col("input_ids").alias("stored_ids"))
+    both = scored.join(stored_ids, "asin")
+    return both.select("asin", "main_cat", (F.col("input_ids") == F.col("stored_ids")).alias("same"))
 
 
 @query
 def profile_job(spark, sf_dir):
-    """The profile's counts and means side by side."""
+    """The profile's five tables side by side, a row per category and number of words."""
     tables = jobs.run_profile(views.products(spark, sf_dir), "main_cat", "description")
-    return _rounded(tables["category_counts"].join(tables["avg_words"], "main_cat"))
+    one = tables["box_stats"].drop("n_rows").join(tables["category_counts"], "main_cat")
+    one = one.join(tables["avg_words"], "main_cat").crossJoin(tables["summary"])
+    return _rounded(tables["words_per_category"].join(one, "main_cat"))
 
 
 def _rounded(df: DataFrame) -> DataFrame:

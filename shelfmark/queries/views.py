@@ -21,8 +21,14 @@ RECORD = {
 }
 
 
+def cores(spark: SparkSession) -> int:
+    """Partitions for the heavy queries: the test tables are a few row groups."""
+    return spark.sparkContext.defaultParallelism
+
+
 def documents(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir}/documents.parquet", spread)
+    partitions = cores(spark) if spread else None
+    return read_parquet(spark, f"{sf_dir}/documents.parquet", partitions)
 
 
 def products(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:

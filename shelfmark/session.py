@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
+from functools import cache
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -28,11 +31,36 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"Set {CHECKPOINT_CONF} to a folder that all executors can reach.")
-    folder = tempfile.mkdtemp(prefix="shelfmark-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    return _local_dir()
+
+
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="shelfmark-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def remove(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete folders, wherever they are; what isn't there is passed over."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, by Spark's writer."""
+    row = spark.range(1, numPartitions=1).select(F.lit(text).alias("value"))
+    row.write.mode("overwrite").text(path)
+
+
+def read_note(spark: SparkSession, path: str) -> str:
+    return "\n".join(r["value"] for r in spark.read.text(path).collect())

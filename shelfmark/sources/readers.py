@@ -28,13 +28,14 @@ def read_jsonl(
     seed: int = 42,
     schema: T.StructType | str | None = None,
     key: Key = None,
-    spread: bool = True,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Read JSON-lines, gzipped or not, and sample.
 
     With ``schema`` the data are read once and lines that do not parse come with their
-    text in ``_corrupt_record``; without it a first pass infers the types. ``spread``
-    deals the rows of gzip files out as :func:`spread_gzip` does.
+    text in ``_corrupt_record``; without it a first pass infers the types. A gzip file is one
+    task however large: ``partitions`` deals the rows out to so many before heavy work. A probe
+    for a first row belongs before that.
     """
     check_fraction(fraction)
     reader = spark.read
@@ -42,38 +43,24 @@ def read_jsonl(
         reader = reader.schema(jsonl_schema(schema)).option(
             "columnNameOfCorruptRecord", CORRUPT_COLUMN
         )
-    df = reader.json(path)
-    sampled = sample(df, fraction, seed, key)
-    return spread_gzip(sampled, df.inputFiles()) if spread else sampled
-
-
-def spread_gzip(df: DataFrame, files: Sequence[str] | None = None) -> DataFrame:
-    """Deal the rows of a few gzip files out to all cores, before heavy work.
-
-    A gzip file is one task however large. Where there are as many files as cores, or
-    other files, nothing changes.
-    """
-    files = df.inputFiles() if files is None else files
-    return spread_rows(df, len(files)) if files and all(f.endswith(".gz") for f in files) else df
+    return dealt(sample(reader.json(path), fraction, seed, key), partitions)
 
 
 def read_parquet(
-    spark: SparkSession, path: str | Sequence[str], spread: bool = False
+    spark: SparkSession, path: str | Sequence[str], partitions: int | None = None
 ) -> DataFrame:
     """Read Parquet; filters and column choice made later reach the scan.
 
-    ``spread`` is for heavy work on a few files of few row groups, which would leave most
-    cores idle. It changes nothing where there are at least as many files as cores.
+    ``partitions`` is for heavy work on a few files of few row groups, which would leave most
+    cores idle.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    df = spark.read.parquet(*paths)
-    return spread_rows(df, len(df.inputFiles())) if spread else df
+    return dealt(spark.read.parquet(*paths), partitions)
 
 
-def spread_rows(df: DataFrame, n_files: int) -> DataFrame:
-    """Deal the rows of fewer files than cores out to all cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if n_files < cores else df
+def dealt(df: DataFrame, partitions: int | None) -> DataFrame:
+    """The rows dealt out to a number of partitions, if one is given."""
+    return df.repartition(partitions) if partitions else df
 
 
 def take_rows(
@@ -88,7 +75,7 @@ def take_rows(
     each task keeps only its own best ``n``.
     """
     if n <= 0:
-        raise ValueError("Number of items must be greater than 0.")
+        raise ValueError(f"Asked for {n} rows; it takes one at least.")
     if order_by is not None:
         df = df.orderBy(*([order_by] if isinstance(order_by, str) else order_by))
     limited = df.limit(n)

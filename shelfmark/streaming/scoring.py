@@ -36,6 +36,23 @@ def score_stream(
     what is there and stops.
     """
     scored = jobs.run_predict(spark, model_path, records).select(*columns)
-    writer = scored.writeStream.format("parquet").option("checkpointLocation", checkpoint_path)
+    return _append(scored, out_path, checkpoint_path, trigger)
+
+
+def reject_stream(
+    spark: SparkSession,
+    model_path: str,
+    records: DataFrame,
+    out_path: str,
+    checkpoint_path: str,
+    **trigger,
+) -> StreamingQuery:
+    """Append the records that :func:`score_stream` does not score, each with its reason."""
+    rejected = jobs.rejected_records(spark, model_path, records)
+    return _append(rejected, out_path, checkpoint_path, trigger)
+
+
+def _append(df: DataFrame, out_path: str, checkpoint_path: str, trigger: dict) -> StreamingQuery:
+    writer = df.writeStream.format("parquet").option("checkpointLocation", checkpoint_path)
     chosen = trigger or {"availableNow": True}
     return writer.outputMode("append").trigger(**chosen).start(out_path)

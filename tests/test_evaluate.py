@@ -85,3 +85,19 @@ def test_confusion_wide_has_all_classes(frame, rows):
     shares = {r.label: r for r in evaluate.confusion_wide(frame, 6, percent=True).collect()}
     assert sum(shares[0][f"p{p}"] for p in range(6)) == pytest.approx(100)
     assert sum(shares[5][f"p{p}"] for p in range(6)) == 0
+
+
+def test_ids_outside_the_classes_fail_the_matrix(spark):
+    for label, prediction in ((None, 0), (0, None), (2, 0), (0, 2), (-1, 0)):
+        df = spark.createDataFrame([(0, 0), (label, prediction)], "label int, prediction int")
+        with pytest.raises(Exception, match="none of 2 classes"):
+            evaluate.confusion_wide(df, 2).collect()
+
+
+def test_labels_without_a_score_fail_the_loss(spark):
+    for label in (None, 2, -1):
+        df = spark.createDataFrame([(0, 0, [0.5, 0.5]), (label, 0, [0.5, 0.5])], "label int, prediction int, scores array<double>")
+        with pytest.raises(Exception, match="No score for label"):
+            evaluate.log_loss(df).collect()
+        with pytest.raises(Exception, match="No score for label"):
+            evaluate.by_split(df.selectExpr("*", "'test' AS split")).collect()

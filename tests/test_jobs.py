@@ -88,7 +88,7 @@ def test_malformed_lines(spark, tmp_path):
 def test_etl_sample(spark, jsonl, tmp_path):
     out = jobs.run_etl(spark, etl_config(jsonl, str(tmp_path / "out")), data_fraction=0.5)
     assert 60 < out.count() < 140
-    with pytest.raises(ValueError, match="Fraction"):
+    with pytest.raises(ValueError, match="fraction"):
         jobs.run_etl(spark, etl_config(jsonl, str(tmp_path / "out")), data_fraction=2)
 
 
@@ -181,8 +181,9 @@ def test_training_on_token_arrays(spark, jsonl, tmp_path):
 
 def test_encoded_model_without_vocabulary(spark, jsonl, tmp_path):
     config = etl_config(jsonl, str(tmp_path / "out"), tokenizer_model="corpus", schema=RECORD_DDL)
-    jobs.run_etl(spark, config)
-    result = jobs.run_train(spark, train_config(str(tmp_path / "out"), candidates=[{"maxIter": 1}]))
+    copy = str(tmp_path / "copy")  # the table alone, without the note on how it was made
+    writers.write_parquet(jobs.run_etl(spark, config), copy)
+    result = jobs.run_train(spark, train_config(copy, candidates=[{"maxIter": 1}]))
     with pytest.raises(ValueError, match="no vocabulary"):
         jobs.score(result.classifier, readers.read_jsonl(spark, jsonl, schema=RECORD_DDL))
 
@@ -195,8 +196,10 @@ def test_unseen_label_fails_training(spark, jsonl, tmp_path):
 
 def test_large_models_are_refused(spark):
     spec = model.TextSpec(classes=tuple(f"c{i}" for i in range(1000)))
-    with pytest.raises(ValueError, match="too large"):
+    with pytest.raises(ValueError, match="max_coefficients"):
         model.train(None, None, spec, num_features=1 << 16)
+    with pytest.raises(ValueError, match="8000 coefficients"):
+        model.train(None, None, spec, num_features=8, max_coefficients=7999)
 
 
 def test_class_without_training_rows(spark):
@@ -220,11 +223,137 @@ def test_command_line(spark, jsonl, tmp_path, capsys):
     assert '"split": "test"' in capsys.readouterr().out
     main(["predict", "--model_path", stored, "--input_path", jsonl, "--output_path", scored])
     assert readers.read_parquet(spark, scored).count() == 200
-    main(["profile", "--input_path", jsonl])
-    assert "average_num_words" in capsys.readouterr().out
+    out = str(tmp_path / "profile")
+    main(["profile", "--input_path", jsonl, "--output_path", out, "--schema", RECORD_DDL])
+    names = ("summary", "category_counts", "words_per_category", "avg_words", "box_stats")
+    tables = {n: readers.read_parquet(spark, f"{out}/{n}") for n in names}
+    assert tables["summary"].first().total_rows == 200
+    assert tables["box_stats"].count() == tables["avg_words"].count() == 4
 
 
 def test_profile_job(spark):
     tables = jobs.run_profile(views.products(spark, TINY), "main_cat", "description")
     assert set(tables) == {"summary", "category_counts", "words_per_category", "avg_words", "box_stats"}
     assert tables["summary"].first().total_rows == 200
+
+
+def test_profile_writes_all_categories(spark, tmp_path):
+    source, out = tmp_path / "raw.jsonl", str(tmp_path / "profile")
+    lines = [json.dumps({"main_cat": f"c{i % 150}", "description": ["a b"] * (i % 4)}) for i in range(600)]
+    source.write_text("\n".join(lines))
+    main(["profile", "--input_path", str(source), "--output_path", out])
+    for name in ("category_counts", "avg_words", "box_stats"):
+        assert readers.read_parquet(spark, f"{out}/{name}").count() == 150
+
+
+def vocabulary_file(tmp_path):
+    words = ["[PAD]", "[UNK]", "[CLS]", "[SEP]", "the", "th", "##e", "##s", "of", "|", "[", "a", "##a", "'"]
+    path = tmp_path / "vocab.txt"
+    path.write_text("\n".join(words + [f"##{c}" for c in "bcdfghijklmnoprtuvwxyz"]))
+    return str(path)
+
+
+def test_one_encoding_from_etl_to_scoring(spark, jsonl, tmp_path):
+    """A vocabulary file, other columns and rules: scoring raw records encodes as the ETL did."""
+    out, stored = str(tmp_path / "out"), str(tmp_path / "model")
+    config = etl_config(
+        jsonl, out, tokenizer_model=vocabulary_file(tmp_path), schema=RECORD_DDL, keep=["asin"],
+        text_columns=["title", "brand", "asin"], list_style="join", skip="falsy",
+    )
+    encoded = jobs.run_etl(spark, config)
+    want = {r.asin: r.input_ids for r in encoded.collect()}
+    jobs.run_train(spark, train_config(out, key="asin", model_path=stored, candidates=[{"maxIter": 2}]))
+    raw = readers.read_jsonl(spark, jsonl, schema=RECORD_DDL)
+    got = {r.asin: list(r.input_ids) for r in jobs.run_predict(spark, stored, raw).collect()}
+    assert got == want
+
+
+def test_contradicting_settings_are_refused(spark, jsonl, tmp_path):
+    jobs.run_etl(spark, etl_config(jsonl, str(tmp_path / "out")))
+    for wrong in ({"text_columns": ["title"]}, {"skip": "falsy"}, {"max_length": 7}):
+        with pytest.raises(ValueError, match="not made with the given settings"):
+            jobs.run_train(spark, train_config(str(tmp_path / "out"), **wrong))
+
+
+def test_joined_vocabulary_in_the_etl(spark, jsonl, tmp_path):
+    arrays = []
+    for strategy in ("broadcast", "join"):
+        config = etl_config(jsonl, str(tmp_path / strategy), tokenizer_model="corpus", keep=["asin"])
+        config["tokenizer"] |= {"strategy": strategy, "key": "asin", "subwords": True}
+        arrays.append({r.asin: list(r.input_ids) for r in jobs.run_etl(spark, config).collect()})
+    assert arrays[0] == arrays[1]
+
+
+def test_scoring_refuses_missing_columns(spark, trained, jsonl):
+    _, stored = trained
+    raw = readers.read_jsonl(spark, jsonl, schema=RECORD_DDL)
+    with pytest.raises(ValueError, match="lack.*title"):
+        jobs.run_predict(spark, stored, raw.drop("title"))
+    records = scoring.read_record_stream(spark, jsonl, RECORD_DDL).drop("title")
+    with pytest.raises(ValueError, match="lack.*title"):
+        jobs.run_predict(spark, stored, records)
+
+
+def test_records_that_do_not_conform_are_set_apart(spark, jsonl, tmp_path):
+    out, stored = str(tmp_path / "out"), str(tmp_path / "model")
+    record = {"asin": "str", "title": "str", "brand": "str"}
+    jobs.run_etl(spark, etl_config(jsonl, out, schema=RECORD_DDL, record=record))
+    jobs.run_train(spark, train_config(out, model_path=stored, candidates=[{"maxIter": 1}]))
+    raw = readers.read_jsonl(spark, jsonl, schema=RECORD_DDL)
+    n_bad = raw.filter("brand IS NULL").count()
+    assert 0 < n_bad < 200
+    scored = jobs.run_predict(spark, stored, raw)
+    rejected = jobs.rejected_records(spark, stored, raw)
+    assert (scored.count(), rejected.count()) == (200 - n_bad, n_bad)
+    assert {r.reject_reason for r in rejected.collect()} == {"brand: null"}
+    records = scoring.read_record_stream(spark, jsonl, RECORD_DDL)
+    path = str(tmp_path / "rejected")
+    scoring.reject_stream(spark, stored, records, path, str(tmp_path / "progress")).awaitTermination(120)
+    assert readers.read_parquet(spark, path).count() == n_bad
+
+
+def test_a_loaded_model_can_be_saved_over_itself(spark, jsonl, tmp_path):
+    out, stored = str(tmp_path / "out"), tmp_path / "model"
+    jobs.run_etl(spark, etl_config(jsonl, out, tokenizer_model="corpus", schema=RECORD_DDL))
+    jobs.run_train(spark, train_config(out, model_path=str(stored), candidates=[{"maxIter": 1}]))
+    raw = readers.read_jsonl(spark, jsonl, schema=RECORD_DDL)
+    before = sorted(r.predicted for r in jobs.run_predict(spark, str(stored), raw).collect())
+    model.save(model.load(spark, str(stored)), str(stored))
+    after = sorted(r.predicted for r in jobs.run_predict(spark, str(stored), raw).collect())
+    assert before == after
+    assert len([p for p in stored.iterdir() if p.name.startswith("v-")]) == 1
+
+
+def test_jobs_leave_no_scratch_but_their_results(spark, jsonl, tmp_path):
+    from pathlib import Path
+
+    from shelfmark.session import shared_dir
+
+    shared = Path(shared_dir(spark).removeprefix("file:"))
+    jobs.run_etl(spark, etl_config(jsonl, str(tmp_path / "out"), tokenizer_model="corpus", schema=RECORD_DDL))
+    with pytest.raises(Exception, match="Unseen label"):
+        jobs.run_train(spark, train_config(str(tmp_path / "out"), classes=["de", "en"]))
+    jobs.run_train(spark, train_config(str(tmp_path / "out"), candidates=[{"maxIter": 1}]))
+    left = {p.name.rsplit("-", 1)[0] for p in shared.iterdir()}
+    assert not left & {"shards", "combined", "vocab"}
+
+
+def test_split_table_has_few_files(spark, tmp_path):
+    """Files of the split table follow its size, not the batch size."""
+    df = spark.range(5000).selectExpr("concat('w', id % 7) AS combined_text", "concat('c', id % 2) AS main_cat")
+    writers.write_parquet(df, str(tmp_path / "in"))
+    seen, export = [], jobs.splits.export_shards
+    jobs.splits.export_shards = lambda table, path, *a, **k: (export(table, path, *a, **k), seen.append(spark.read.parquet(path).inputFiles()))
+    try:
+        settings = {"classes": ["c0", "c1"], "num_features": 16, "candidates": [{"maxIter": 1}]}
+        jobs.run_train(spark, {"input_data_path": str(tmp_path / "in"), **settings})
+    finally:
+        jobs.splits.export_shards = export
+    assert len(seen[0]) <= 3 * 8
+
+
+def test_malformed_lines_are_counted(spark, tmp_path):
+    source = tmp_path / "raw.jsonl"
+    source.write_text('{"asin": "1"}\n{"asin": "2", \n{"asin": "3"}\n{"other": 1}\n')
+    row = jobs.malformed_lines(readers.read_jsonl(spark, str(source), schema="asin string")).first()
+    assert (row.n_lines, row.n_malformed, row.n_blank) == (4, 1, 1)

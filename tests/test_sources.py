@@ -28,8 +28,9 @@ def test_read_with_schema(spark, jsonl):
     df = readers.read_jsonl(spark, jsonl, schema=DDL)
     assert df.columns == ["asin", "title", "feature", readers.CORRUPT_COLUMN]
     assert df.count() == 301
-    # One gzip file is one task; the rows are dealt out to all cores.
-    assert df.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    # One gzip file is one task; the rows are dealt out when the caller says so.
+    assert df.rdd.getNumPartitions() == 1
+    assert readers.read_jsonl(spark, jsonl, schema=DDL, partitions=5).rdd.getNumPartitions() == 5
     valid, rejected = prep.conform(
         df, {"asin": "str", "title": "str", "feature": "list"}, readers.CORRUPT_COLUMN
     )
@@ -46,14 +47,13 @@ def test_read_with_inference(spark, jsonl):
 
 
 def test_fraction_is_checked_before_reading(spark):
-    with pytest.raises(ValueError, match="Fraction must be between 0.0 and 1.0"):
+    with pytest.raises(ValueError, match="fraction lies between"):
         readers.read_jsonl(spark, "/nowhere/at/all.jsonl.gz", fraction=1.5)
 
 
 def test_sampled_reading(spark, jsonl):
     some = readers.read_jsonl(spark, jsonl, 0.4, 7, DDL, key="asin")
-    again = readers.read_jsonl(spark, jsonl, 0.4, 7, DDL, key="asin", spread=False)
-    assert again.rdd.getNumPartitions() == 1
+    again = readers.read_jsonl(spark, jsonl, 0.4, 7, DDL, key="asin", partitions=3)
     assert {r.asin for r in some.collect()} == {r.asin for r in again.collect()}
     assert 60 < some.count() < 180
     assert readers.read_jsonl(spark, jsonl, 0.0, 7, DDL).isEmpty()
@@ -78,7 +78,7 @@ def test_take_rows(records):
     assert [r.asin for r in rows] == ["123B", "123C"]
     assert rows[0].__fields__ == ["asin"]
     for bad in (0, -1):
-        with pytest.raises(ValueError, match="Number of items must be greater than 0."):
+        with pytest.raises(ValueError, match="takes one at least"):
             readers.take_rows(records, bad)
 
 

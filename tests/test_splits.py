@@ -33,7 +33,7 @@ def test_sample_bounds(frame, key):
     assert splits.sample(frame, 0.0, 1, key).count() == 0
     assert abs(splits.sample(frame, 0.5, 1, key).count() - 2500) < 200
     for bad in (-0.1, 1.1):
-        with pytest.raises(ValueError, match="Fraction must be between 0.0 and 1.0"):
+        with pytest.raises(ValueError, match="fraction lies between"):
             splits.sample(frame, bad, 1, key)
 
 
@@ -127,3 +127,13 @@ def test_export_shards(spark, frame, tmp_path):
     assert ids(back) == list(range(5000))
     files = back.filter("split = 'train'").groupBy(F.input_file_name()).count().collect()
     assert max(r["count"] for r in files) <= 50
+
+
+def test_rows_without_a_key_are_drawn_apart(spark):
+    df = spark.range(3000).selectExpr("CASE WHEN id % 3 > 0 THEN id END AS key", "concat('t', id) AS text")
+    marked = splits.assign_split(df, "key", 42)
+    shares = {r.split: r["count"] / 1000 for r in marked.filter("key IS NULL").groupBy("split").count().collect()}
+    assert 0.55 < shares["train"] < 0.73 and 0.1 < shares["val"] < 0.22 and 0.14 < shares["test"] < 0.26
+    kept = splits.sample(df, 0.5, 7, "key").filter("key IS NULL").count()
+    assert 400 < kept < 600
+    assert marked.repartition(5).orderBy("text").collect() == splits.assign_split(df.repartition(3), "key", 42).orderBy("text").collect()

@@ -75,15 +75,14 @@ def test_encode_joined_is_encode(documents, odd):
         assert sorted(narrow.collect()) == sorted(joined.select(narrow.columns).collect())
 
 
-def test_large_vocabulary_is_joined(documents, monkeypatch):
+def test_large_vocabulary_is_joined(documents):
     vocab = tokens.build_vocab(documents, "text", 300)
     narrow = sorted(tokens.encode(documents, vocab, "text", 40).collect())
-    monkeypatch.setattr(tokens, "MAX_BROADCAST_TOKENS", 100)
-    with pytest.raises(ValueError, match="needs a key"):
-        tokens.encode(documents, vocab, "text", 40)
-    with pytest.raises(ValueError):
-        tokens.subword_table(vocab, vocab)
-    joined = tokens.encode(documents, vocab, "text", 40, key="doc_id")
+    with pytest.raises(ValueError, match="over 100 tokens"):
+        tokens.encode(documents, vocab, "text", 40, max_tokens=100)
+    with pytest.raises(ValueError, match="over 100 tokens"):
+        tokens.subword_table(vocab, vocab, max_tokens=100)
+    joined = tokens.encode(documents, vocab, "text", 40, key="doc_id", strategy="join")
     assert sorted(joined.select("doc_id", "input_ids", "attention_mask").collect()) == narrow
 
 
@@ -190,3 +189,58 @@ def test_split_word():
     assert split_word("unx", known, 6, "[UNK]") == ["[UNK]"]
     assert split_word("ABLE", known, 6, "[UNK]", plain=True) == ["able"]
     assert split_word("́", known, 6, "[UNK]", plain=True) == []
+
+
+def test_vocabulary_plan_has_no_single_task(spark):
+    """Neither a top-k through one task nor a window without partitions."""
+    df = spark.createDataFrame([(" ".join(f"w{j}" for j in range(i)),) for i in range(1, 60)], "text string")
+    vocab = tokens.build_vocab(df, "text", 30)
+    plan = vocab._jdf.queryExecution().toString()
+    assert "TakeOrderedAndProject" not in plan and "Window" not in plan and "SinglePartition" not in plan
+    rows = sorted(vocab.collect(), key=lambda r: r.id)
+    assert [r.id for r in rows] == list(range(30))
+    assert [r.token for r in rows[4:]] == [f"w{j}" for j in range(26)]
+
+
+@pytest.mark.parametrize("size", [5, 6, 7, 20, 1000])
+def test_vocabulary_ties_and_sizes(spark, size):
+    rows = [("b a c d",), ("c d e",), ("x y z z z z",)]
+    vocab = tokens.build_vocab(spark.createDataFrame(rows, "text string"), "text", size)
+    want = ["z", "c", "d", "a", "b", "e", "x", "y"][: size - 4]
+    assert [r.token for r in sorted(vocab.collect(), key=lambda r: r.id)][4:] == want
+
+
+def test_empty_corpus_has_the_special_tokens(spark):
+    vocab = tokens.build_vocab(spark.createDataFrame([], "text string"), "text", 10)
+    assert sorted(r.token for r in vocab.collect()) == sorted(tokens.SPECIAL_TOKENS)
+
+
+def test_large_vocabularies_are_joined_when_asked(spark):
+    rows = [(i, f"Unwanted affable w{i % 9} [UNK] na\u00efve {'x' * (95 + i)}") for i in range(10)] + [(10, ""), (11, None)]
+    df = spark.createDataFrame(rows, "key long, text string")
+    pieces = [*tokens.SPECIAL_TOKENS, "un", "##want", "##ed", "aff", "##able", "w", "##1", "##2", "naive", "x", "##x"]
+    vocab = spark.createDataFrame(list(enumerate(pieces)), "id int, token string").select("token", "id")
+    with pytest.raises(ValueError, match="over 3 tokens"):
+        tokens.encode(df, vocab, "text", max_tokens=3)
+    with pytest.raises(ValueError, match="unique key"):
+        tokens.encode(df, vocab, "text", strategy="join")
+    with pytest.raises(ValueError, match="strategy"):
+        tokens.encode(df, vocab, "text", strategy="guess")
+    for normalizer in ("simple", "wordpiece"):
+        for subwords in (False, True):
+            options = {"text": "text", "max_length": 24, "normalizer": normalizer, "subwords": subwords}
+            if normalizer == "wordpiece" and not subwords:
+                continue  # capitals and accents go with the pieces
+            one = tokens.encode(df, vocab, **options).orderBy("key").collect()
+            two = tokens.encode(df, vocab, **options, key="key", strategy="join").orderBy("key").collect()
+            assert [(r.key, r.input_ids, r.attention_mask) for r in one] == [
+                (r.key, r.input_ids, r.attention_mask) for r in two
+            ]
+
+
+def test_joined_keys_are_checked_first(spark):
+    vocab = spark.createDataFrame([(t, i) for i, t in enumerate(tokens.SPECIAL_TOKENS)], "token string, id int")
+    for rows in ([(1, "a"), (1, "b")], [(None, "a"), (2, "b")]):
+        df = spark.createDataFrame(rows, "key long, text string")
+        with pytest.raises(ValueError, match="Key is not unique"):
+            tokens.encode_joined(df, vocab, "key", "text")
