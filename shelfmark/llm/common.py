@@ -59,6 +59,12 @@ def fresh_name(df: DataFrame, base: str) -> str:
     return base
 
 
+#: Rows of an Arrow batch while a table is stored. Texts of some kB each make batches of some MB,
+#: held once by the JVM and once or twice by a Python worker.
+STORE_BATCH_ROWS = 1_000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 class Workspace:
     """Intermediate tables in the shared folder; they cut lineage and survive lost executors.
 
@@ -74,8 +80,12 @@ class Workspace:
         return self.paths[-1]
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
-        path = self.path(name)
-        df.write.parquet(path)
+        path, before = self.path(name), self.spark.conf.get(_BATCH_CONF)
+        self.spark.conf.set(_BATCH_CONF, STORE_BATCH_ROWS)
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(_BATCH_CONF, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def clear(self) -> None:

@@ -46,11 +46,12 @@ GRAM = 32
 #: Contexts of one anchor that a task compares at once, and bytes of contexts in one suffix order.
 MAX_CONTEXTS = 2048
 ORDER_BYTES = 1 << 18
-#: Bits of the table of repeated anchors: 16 for each, within these bounds (128 MB at most). Beyond
+#: Bits of the table of repeated anchors: 16 for each, within these bounds (32 MB at most). Beyond
 #: them the table lets more through, which costs shuffling and changes no result.
-MIN_TABLE_BITS, MAX_TABLE_BITS = 20, 30
+MIN_TABLE_BITS, MAX_TABLE_BITS = 20, 28
 #: Bytes of a text whose windows are anchored at once; hashes keep 40 bits beside the place.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 18
 _PLACE_BITS = 24
 
 _RUN = "anchor long, context long, ord long, tie int, place long"
@@ -117,7 +118,7 @@ def runs(
 def _pieces(column: pa.Array, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Bytes, offsets, rows and starts of texts; a long text comes in pieces that share no window."""
     data, offsets = string_views(column)
-    for first, last in blocks(offsets):
+    for first, last in blocks(offsets, BLOCK_BYTES):
         base = offsets[first]
         if offsets[last] - base <= PIECE_BYTES:
             rows = np.arange(first, last)
