@@ -299,7 +299,7 @@ ORACLE: dict[str, str] = {
     "take_any_rows": "SELECT least(count(*), 100) AS n_rows, least(count(*), 100) AS n_known, least(count(*), 100) AS n_keys FROM documents",
     "bernoulli_sample": "SELECT lang, count(*) AS n_documents, count(*) AS n_joined, true AS is_part, true AS size_is_near FROM documents GROUP BY lang",
     "random_three_way": "SELECT lang, count(*) AS n_rows, count(*) AS n_documents, true AS shares_are_near FROM documents GROUP BY lang",
-    "train_text": f"SELECT {SPLIT} AS split, count(*) AS n_rows, true AS loss_is_the_lowest, true AS beats_guessing, true AS is_accurate FROM documents GROUP BY 1",
+    "train_text": f"SELECT {SPLIT} AS split, count(*) AS n_rows, true AS loss_is_the_lowest, true AS beats_guessing, true AS mostly_right FROM documents GROUP BY 1",
     "train_encoded": f"""SELECT CAST(list_position(['de', 'en', 'es', 'fr'], lang) - 1 AS INTEGER) AS label, count(*) AS n_rows,
         1.0::DOUBLE AS share, true AS mostly_right FROM documents WHERE {SPLIT} = 'test' GROUP BY 1""",
     "predict_records": f"WITH {PRODUCTS} SELECT asin, main_cat, true AS is_best, true AS is_named, true AS sums_to_one FROM products",
