@@ -72,9 +72,12 @@ WHERE best IS NULL OR n = {QUERY_STEPS}
         JOIN (SELECT piece, min(key) AS best FROM pairs GROUP BY piece) least USING (piece)"""
 )
 
+# One thread aggregates rows in the order that they come in; each piece's bytes are compared with
+# what it was made of.
 _DECODE = """
-SELECT piece, string_agg(text, ' ' ORDER BY pos) AS ids, string_agg(hexed, '' ORDER BY pos) AS decoded
-FROM final JOIN tokens USING (id) GROUP BY piece
+SELECT piece, string_agg(text, ' ') AS ids, unhex(string_agg(hexed, '')) AS decoded
+FROM (SELECT piece, text, hexed FROM final JOIN tokens USING (id) ORDER BY piece, pos)
+GROUP BY piece
 """
 
 
@@ -149,18 +152,17 @@ class PieceCoder:
     def code(self, pieces: list[str]) -> dict[str, tuple[str, bytes]]:
         """Of each piece: its ids joined by spaces, and the bytes they decode to."""
         raws = [piece.encode() for piece in pieces]
-        whole = [raw in self.tokens for raw in raws]
-        cut = [[raw] if known else self._parts(raw) for raw, known in zip(raws, whole)]
+        whole = np.fromiter(map(self.tokens.__contains__, raws), bool, len(raws))
+        if max(map(len, raws), default=0) <= LONG_BYTES:
+            return dict(zip(pieces, self._contract(raws, whole)))
+        cut = [[raw] if known else self._parts(raw) for raw, known in zip(raws, whole.tolist())]
         sizes = np.fromiter(map(len, cut), np.int64, len(cut))
         parts = [part for own in cut for part in own]
-        coded = self._contract(parts, np.repeat(np.array(whole, bool), sizes))
+        coded = self._contract(parts, np.repeat(whole, sizes))
         out, at = {}, 0
         for piece, n in zip(pieces, sizes.tolist()):
-            if n == 1:
-                out[piece] = coded[at]
-            else:
-                ids, decoded = zip(*coded[at : at + n])
-                out[piece] = (" ".join(ids), b"".join(decoded))
+            ids, decoded = zip(*coded[at : at + n])
+            out[piece] = (" ".join(ids), b"".join(decoded))
             at += n
         return out
 
@@ -199,13 +201,12 @@ class PieceCoder:
             state = reached.filter(more).select([*names, "size"])
             done.append(reached.filter(pc.invert(more)).select(names))
         self.con.register("final", pa.concat_tables(done))
-        rows = self.con.sql(_DECODE).to_arrow_table()
+        rows = self.con.sql(_DECODE).to_arrow_table().sort_by("piece")
         self.con.unregister("final")
-        out: list = [None] * len(parts)
-        columns = (rows.column(c).to_pylist() for c in ("piece", "ids", "decoded"))
-        for number, ids, decoded in zip(*columns):
-            out[number] = (ids, bytes.fromhex(decoded))
-        return out
+        decoded = rows.column("decoded").to_pylist()
+        if decoded != parts:
+            raise RuntimeError("Decoding doesn't give the bytes that were encoded.")
+        return list(zip(rows.column("ids").to_pylist(), decoded))
 
 
 class Memo:
