@@ -37,7 +37,7 @@ ledger AS (
         (n_words < 50)::BIGINT
         | ((100 * n_repeat_words > 50 * n_words)::BIGINT << 1)
         | ((10 * n_symbols > 3 * n_words)::BIGINT << 2)
-        | ((10 * n_dup_lines > 3 * n_lines)::BIGINT << 3)
+        | ((2 * n_dup_lines > n_lines)::BIGINT << 3)
         | ((word_chars < 2 * n_words)::BIGINT << 4)
         | ((word_chars > 15 * n_words)::BIGINT << 5) AS failures
     FROM measures

@@ -37,7 +37,7 @@ RULES = (
     Rule(0, "few_words", "n_words < 50"),
     Rule(1, "repeated_words", "100 * n_repeat_words > 50 * n_words"),
     Rule(2, "many_symbols", "10 * n_symbols > 3 * n_words"),
-    Rule(3, "repeated_lines", "10 * n_dup_lines > 3 * n_lines"),
+    Rule(3, "repeated_lines", "2 * n_dup_lines > n_lines"),
     Rule(4, "short_words", "word_chars < 2 * n_words"),
     Rule(5, "long_words", "word_chars > 15 * n_words"),
 )
