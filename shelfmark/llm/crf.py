@@ -36,16 +36,21 @@ class Features:
     at: np.ndarray
 
     def scores(self, weights: np.ndarray) -> np.ndarray:
-        """Sum of the weights of each type's features."""
-        sums = np.zeros((len(self.flat) + 1, weights.shape[1]))
-        np.cumsum(weights[self.flat], axis=0, dtype=np.float64, out=sums[1:])
-        return sums[self.at[1:]] - sums[self.at[:-1]]
+        """Sum of the weights of each type's features, a label at a time."""
+        out = np.empty((len(self.at) - 1, weights.shape[1]))
+        sums = np.zeros(len(self.flat) + 1)
+        for k in range(weights.shape[1]):
+            np.cumsum(weights[:, k][self.flat], out=sums[1:])
+            out[:, k] = sums[self.at[1:]] - sums[self.at[:-1]]
+        return out
 
     def spread(self, gradient: np.ndarray, n_features: int) -> np.ndarray:
         """Sum, for each feature, of its types' gradients."""
-        rows = np.repeat(gradient, np.diff(self.at), axis=0)
-        columns = [np.bincount(self.flat, rows[:, k], n_features) for k in range(rows.shape[1])]
-        return np.stack(columns, axis=1)
+        sizes = np.diff(self.at)
+        out = np.empty((n_features, gradient.shape[1]))
+        for k in range(gradient.shape[1]):
+            out[:, k] = np.bincount(self.flat, np.repeat(gradient[:, k], sizes), n_features)
+        return out
 
 
 class Chains:
