@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from shelfmark.llm import license_scan
+
 _MEASURES = r"""
 docs AS (
     SELECT doc_id, row_number() OVER () AS k, coalesce(text, '') AS text FROM documents
@@ -50,6 +52,106 @@ _RULES = """(VALUES
     ('full-1', 'short_words', 63, 16), ('full-1', 'long_words', 63, 32)
 ) r(policy, rule, mask, bit)"""
 
+
+def _templates() -> tuple[str, str]:
+    """Rows ``(template, at, gram)`` and ``(template, label, length, phrase, base)``."""
+    grams, facts = [], []
+    for number, t in enumerate([*license_scan.PHRASES, *license_scan.NOTICES]):
+        words = t.words
+        base = number < len(license_scan.PHRASES)
+        facts.append(f"({number}, '{t.label}', {len(words)}, {t.phrase}, {base})")
+        for at in range(len(words) - 2):
+            grams.append(f"({number}, {at}, '{' '.join(words[at : at + 3])}')")
+    return ", ".join(grams), ", ".join(facts)
+
+
+_GRAMS, _FACTS = _templates()
+
+_LICENCES = rf"""
+WITH docs AS (
+    SELECT doc_id, row_number() OVER () AS k,
+        regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+),
+grams AS (
+    SELECT k, i - 1 AS position, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS gram
+    FROM (SELECT k, w, unnest(range(1, len(w) - 1)) AS i FROM docs)
+),
+facts AS (SELECT * FROM (VALUES {_FACTS}) t(template, label, length, phrase, base)),
+hits AS (
+    SELECT k, t.template, t.place, position, position - t.place AS diagonal
+    FROM grams JOIN (SELECT * FROM (VALUES {_GRAMS}) v(template, place, gram)) t USING (gram)
+),
+diagonals AS (
+    SELECT k, template, diagonal, phrase,
+        sum(CASE WHEN phrase OR before IS NULL OR diagonal - before > 4 THEN 1 ELSE 0 END)
+            OVER (PARTITION BY k, template ORDER BY diagonal) AS cluster
+    FROM (
+        SELECT k, template, diagonal, phrase,
+            lag(diagonal) OVER (PARTITION BY k, template ORDER BY diagonal) AS before
+        FROM (SELECT DISTINCT k, template, diagonal FROM hits) JOIN facts USING (template)
+    )
+),
+spans AS (
+    SELECT k, template, label, f.phrase, base, length,
+        count(DISTINCT h.place + j) / length::DOUBLE AS coverage,
+        min(h.position) AS first_word, max(h.position) + 2 AS last_word
+    FROM hits h JOIN diagonals d USING (k, template, diagonal) JOIN facts f USING (template),
+        (SELECT unnest([0, 1, 2]) AS j)
+    GROUP BY k, template, label, f.phrase, base, length, cluster
+),
+verified AS (
+    SELECT * FROM spans WHERE CASE WHEN phrase THEN coverage >= 1
+        ELSE coverage >= 0.8 AND last_word - first_word + 1 <= 2 * length END
+),
+found AS (
+    SELECT k, count(*) FILTER (base) AS n_base, min(first_word) FILTER (base) AS first_word,
+        max(first_word) FILTER (base) AS last_word,
+        coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base), '') AS base_labels,
+        string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+        count(*) AS n_spans, max(coverage) AS score
+    FROM verified GROUP BY k
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, f.first_word, f.last_word,
+    coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+    coalesce(n_spans, 0) AS n_spans, coalesce(score, 0.0::DOUBLE) AS score
+FROM docs LEFT JOIN found f USING (k)"""
+
+_REPEATS = """
+WITH docs AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+windows AS (
+    SELECT doc_id, p, array_slice(b, p + 1, p + 100) AS w
+    FROM (SELECT doc_id, b, unnest(range(octet_length(b) - 99)) AS p FROM docs)
+),
+repeated AS (
+    SELECT doc_id, p FROM windows
+    QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, p) > 1
+),
+runs AS (
+    SELECT doc_id, min(p) AS a, max(p) + 100 AS z
+    FROM (
+        SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run
+        FROM (
+            SELECT doc_id, p, CASE WHEN p <= before + 100 THEN 0 ELSE 1 END AS fresh
+            FROM (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM repeated)
+        )
+    )
+    GROUP BY doc_id, run
+),
+removed AS (
+    SELECT doc_id, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans, max(z) AS last,
+        string_agg(hex(array_slice(b, start + 1, a)), '' ORDER BY a) AS kept
+    FROM (SELECT *, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS start FROM runs)
+    JOIN docs USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+    coalesce(n_spans, 0) AS n_spans,
+    sha256(CASE WHEN n_spans IS NULL THEN b
+        ELSE unhex(kept || hex(array_slice(b, last + 1, octet_length(b)))) END) AS kept_sha256
+FROM docs LEFT JOIN removed USING (doc_id)"""
+
 ORACLE = {
     "op1_quality_rules": f"""
 WITH {_MEASURES}
@@ -64,4 +166,6 @@ SELECT policy, rule,
     count(*) FILTER ((failures & mask) = 0) AS n_kept,
     count(*) FILTER ((failures & mask & ~bit) = 0) AS n_kept_without_it
 FROM ledger, {_RULES} GROUP BY policy, rule""",
+    "op3_license_scan": _LICENCES,
+    "op6_suffix_dedup": _REPEATS,
 }
