@@ -72,20 +72,26 @@ def count_words(df: DataFrame, text: str, normalizer: str = "simple") -> DataFra
 
 
 def build_vocab(
-    df: DataFrame, text: str, size: int, normalizer: str = "simple", subwords: bool = False
+    df: DataFrame,
+    text: str,
+    size: int,
+    normalizer: str = "simple",
+    subwords: bool = False,
+    max_word_chars: int = MAX_WORD_CHARS,
 ) -> DataFrame:
     """Vocabulary ``(token, id, n)`` of the most frequent tokens, special tokens first.
 
     ``size`` counts the special tokens. Ties go to the smaller token. With ``subwords``
     the candidates are the beginnings of words and, marked ``##``, their endings and
-    single inner characters, each weighted by the word's count. The words are counted when
+    single inner characters, each weighted by the word's count; words of more than
+    ``max_word_chars`` characters, which encoding takes as unknown, give none. The words are counted when
     this is called, once.
     """
     if size <= len(SPECIAL_TOKENS):
         raise ValueError(f"size must exceed the {len(SPECIAL_TOKENS)} special tokens")
     counts = count_words(df, text, normalizer)
     if subwords:
-        counts = _piece_counts(counts)
+        counts = _piece_counts(counts, max_word_chars)
     ordinary = counts.filter(~F.col("token").isin(*SPECIAL_TOKENS))
     return _ranked(ordinary, size - len(SPECIAL_TOKENS), df.sparkSession)
 
@@ -155,7 +161,7 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _piece_counts(counts: DataFrame) -> DataFrame:
+def _piece_counts(counts: DataFrame, max_word_chars: int) -> DataFrame:
     """Weighted candidate pieces, from distinct words only."""
     token, length = F.col("token"), F.length("token")
     positions = F.sequence(F.lit(1), length)
@@ -165,7 +171,7 @@ def _piece_counts(counts: DataFrame) -> DataFrame:
     # The tail after the last character is empty; the first character is no continuation.
     pieces = F.concat(heads, F.slice(tails, 1, length - 1), F.slice(inner, F.lit(2), length - 1))
     return (
-        counts.filter(length <= MAX_WORD_CHARS)
+        counts.filter(length <= max_word_chars)
         # A two-letter word's tail is its inner character too: count it once per word.
         .select(F.explode(F.array_distinct(pieces)).alias("token"), "n")
         .groupBy("token")
@@ -237,7 +243,7 @@ def encode_joined(
     Every distinct word gets its ids once (with ``subwords`` those of its pieces), is copied to
     ``salts`` join keys, and every word occurrence picks one, so the occurrences of a frequent
     word spread over that many tasks. A row of ``df`` contributes at most ``max_length - 2``
-    occurrences. A key that is null or not unique is refused before anything is encoded.
+    occurrences; where that leaves a hot key, adaptive execution splits the join. A key that is null or not unique is refused before anything is encoded.
     """
     _check_length(max_length)
     twice = df.groupBy(key).agg(F.count("*").alias("n")).filter((F.col("n") > 1) | F.col(key).isNull())

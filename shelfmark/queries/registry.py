@@ -578,17 +578,15 @@ def predict_stream(spark, sf_dir):
 
 @query
 def predict_rejected(spark, sf_dir):
-    """Records that a model with a declaration does not score, each with its reason."""
+    """A model with a declaration scores conforming records; the others get their reason."""
     _, stored, _ = _stored_model(spark, sf_dir, record=views.RECORD)
-    rejected = jobs.rejected_records(spark, stored, views.products(spark, sf_dir))
-    return rejected.select("asin", "main_cat", "reject_reason")
-
-
-@query
-def predict_conforming(spark, sf_dir):
-    """The records that it does score."""
-    _, stored, _ = _stored_model(spark, sf_dir, record=views.RECORD)
-    return jobs.run_predict(spark, stored, views.products(spark, sf_dir)).select("asin", "main_cat")
+    records = views.products(spark, sf_dir)
+    rejected = jobs.rejected_records(spark, stored, records)
+    scored = jobs.run_predict(spark, stored, records).filter(F.col("predicted").isNotNull())
+    columns = ("asin", "main_cat", "reject_reason")
+    return rejected.select(*columns).unionByName(
+        scored.withColumn("reject_reason", F.lit("")).select(*columns)
+    )
 
 
 @query
