@@ -188,7 +188,8 @@ def gram_scores(grams: DataFrame) -> DataFrame:
                 p = symbol_probabilities([dense(after, k), *[dense(c, k) for c in shorter], root])
                 own = after[k].values
                 symbols = own.field("s").to_numpy()
-                parts.append((contexts[k] << 8 | symbols, own.field("n_all").to_numpy(), np.log10(p[symbols])))
+                n_all = own.field("n_all").to_numpy()
+                parts.append((contexts[k] << 8 | symbols, n_all, np.log10(p[symbols])))
             columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0)] * 3
             kinds = (np.int64, np.int64, np.float64)
             yield pa.RecordBatch.from_arrays(
@@ -261,7 +262,8 @@ def local_scores(docs: DataFrame, words: Lookup, ends: float, grams: Lookup) ->
         cold, n_cold = np.unique(row[~hot] * len(distinct) + inverse[~hot], return_counts=True)
         cold_row, cold_word = np.divmod(cold, max(len(distinct), 1))
         raw = data.tobytes().lower()
-        spelled = [raw[a:b] for a, b in zip(starts[place[cold_word]].tolist(), stops[place[cold_word]].tolist())]
+        own = place[cold_word]
+        spelled = [raw[a:b] for a, b in zip(starts[own].tolist(), stops[own].tolist())]
         keys, at = gram_keys(data, offsets)
         key_row = np.repeat(np.arange(n_rows), np.diff(at))
         distinct_keys, key_of = np.unique(keys, return_inverse=True)
@@ -277,7 +279,12 @@ def local_scores(docs: DataFrame, words: Lookup, ends: float, grams: Lookup) ->
             pa.array(n_known.astype(np.int64)),
             pa.array(log_words),
             pa.array(score),
-            _lists(cold_row, n_rows, [pa.array(spelled, pa.binary()), pa.array(n_cold.astype(np.int32))], ["word", "n"]),
+            _lists(
+                cold_row,
+                n_rows,
+                [pa.array(spelled, pa.binary()), pa.array(n_cold.astype(np.int32))],
+                ["word", "n"],
+            ),
             _lists(
                 rare_keys >> 32,
                 n_rows,

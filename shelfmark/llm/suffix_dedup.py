@@ -111,8 +111,10 @@ def runs(
         fits = np.add.reduceat(whole.astype(np.int64), first)
         first, size = first[fits > 0], fits[fits > 0]
         stop = first + size + length - 1
-        context = _mixed((sums[stop] - sums[first]) * down[first] * np.uint64(0xD6E8FEB86659FD93) + size.astype(np.uint64))
-    return row[first], first - offsets[row[first]], size, hashed[anchor[first]].view(np.int64), context.view(np.int64)
+        spelled = (sums[stop] - sums[first]) * down[first] * np.uint64(0xD6E8FEB86659FD93)
+        context = _mixed(spelled + size.astype(np.uint64)).view(np.int64)
+    own = row[first]
+    return own, first - offsets[own], size, hashed[anchor[first]].view(np.int64), context
 
 
 def _pieces(column: pa.Array, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -122,7 +124,8 @@ def _pieces(column: pa.Array, length: int) -> Iterator[tuple[np.ndarray, np.ndar
         base = offsets[first]
         if offsets[last] - base <= PIECE_BYTES:
             rows = np.arange(first, last)
-            yield data[base : offsets[last]], offsets[first : last + 1] - base, rows, np.zeros(len(rows), np.int64)
+            none = np.zeros(len(rows), np.int64)
+            yield data[base : offsets[last]], offsets[first : last + 1] - base, rows, none
             continue
         for row in range(first, last):
             text = data[offsets[row] : offsets[row + 1]]
@@ -513,7 +516,12 @@ def _cut(text: pa.Array, spans: pa.Array, keep: bool) -> pa.StructArray:
         digests.append(hashlib.sha256(raw).hexdigest())
         kept.append(raw if keep else None)
     return pa.StructArray.from_arrays(
-        [pa.array(removed, pa.int64()), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(kept, pa.binary())],
+        [
+            pa.array(removed, pa.int64()),
+            pa.array(counts, pa.int64()),
+            pa.array(digests, pa.string()),
+            pa.array(kept, pa.binary()),
+        ],
         ["n_removed", "n_spans", "kept_sha256", "kept"],
     )
 
