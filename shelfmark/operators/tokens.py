@@ -243,7 +243,8 @@ def encode_joined(
     Every distinct word gets its ids once (with ``subwords`` those of its pieces), is copied to
     ``salts`` join keys, and every word occurrence picks one, so the occurrences of a frequent
     word spread over that many tasks. A row of ``df`` contributes at most ``max_length - 2``
-    occurrences; where that leaves a hot key, adaptive execution splits the join. A key that is null or not unique is refused before anything is encoded.
+    occurrences; where that leaves a hot key, adaptive execution splits the join. A key that is
+    null or not unique is refused before anything is encoded.
     """
     _check_length(max_length)
     twice = df.groupBy(key).agg(F.count("*").alias("n")).filter((F.col("n") > 1) | F.col(key).isNull())
