@@ -26,15 +26,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from shelfmark.llm.common import texts
+from shelfmark.llm.common import map_batches, texts
 
-#: Pieces of one generation (some 200 MB). A worker remembers two: when one is full, the older of
+#: Pieces of one generation (some 120 MB). A worker remembers two: when one is full, the older of
 #: the two goes, but for the pieces that came up again meanwhile.
-MEMO_PIECES = 650_000
+MEMO_PIECES = 400_000
 #: Characters of text whose pieces are held at once, pieces per recursive query, and contractions
 #: per recursive query, which bound the rows it gathers.
-BLOCK_CHARS = 4_000_000
-QUERY_PIECES = 50_000
+BLOCK_CHARS = 2_000_000
+QUERY_PIECES = 25_000
 QUERY_STEPS = 24
 #: Pieces of more bytes are cut first.
 LONG_BYTES = 48
@@ -106,7 +106,7 @@ class PieceCoder:
         self.single = np.array([tokens.get(bytes([b]), -1) for b in range(256)], np.int32)
         self.con = duckdb.connect(":memory:")
         self.con.execute("SET threads = 1")
-        self.con.execute("SET memory_limit = '300MB'")
+        self.con.execute("SET memory_limit = '200MB'")
         self.con.execute("SET temp_directory = ''")
         listed = pa.table(
             {
@@ -241,9 +241,10 @@ def _memo(digest: str, tokens: dict[bytes, int]) -> Memo:
     return _MEMOS[digest]
 
 
-def _blocks(values: list[str]) -> Iterator[list[str]]:
+def _blocks(column: pa.Array) -> Iterator[list[str]]:
     block, size = [], 0
-    for value in values:
+    for scalar in column:
+        value = scalar.as_py()
         if block and size + len(value) > BLOCK_CHARS:
             yield block
             block, size = [], 0
@@ -280,7 +281,7 @@ def encode(
         memo = _memo(digest, shared.value)
         for batch in batches:
             at = 0
-            for block in _blocks(batch.column("text").to_pylist()):
+            for block in _blocks(batch.column("text")):
                 rows = [pattern.findall(text) for text in block]
                 columns = _put_together(rows, memo)
                 if keep_ids:
@@ -293,7 +294,7 @@ def encode(
                 made = columns[2:]
                 yield pa.RecordBatch.from_arrays([doc_ids, *made], ["doc_id", *names[: len(made)]])
 
-    return docs.mapInArrow(stage, schema)
+    return map_batches(docs, stage, schema)
 
 
 def _put_together(rows: list[list[str]], memo: Memo) -> list[pa.Array]:

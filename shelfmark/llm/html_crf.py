@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm import crf
+from shelfmark.llm.common import give_back
 
 #: Bound of the training sample, layouts made of each page, and steps of the optimiser.
 TRAINING_PAGES = 300
@@ -367,5 +368,6 @@ def extract(
             for at in range(0, len(column), BATCH_PAGES):
                 out += main_texts(shared.value, column.slice(at, BATCH_PAGES).to_pylist())
             yield pa.array(out, pa.string())
+        give_back()
 
     return pages.select("page_id", "url", text_of("html").alias("text"))

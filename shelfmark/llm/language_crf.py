@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm import crf
+from shelfmark.llm.common import give_back
 from shelfmark.llm.rolling import Powers, blocks, string_views, word_hashes, word_spans
 
 UNKNOWN = "und"
@@ -216,10 +217,10 @@ def predict_column(df: DataFrame, field: crf.Field | None):
         powers = Powers()
         for column in batches:
             names, scores, switches = _shares(shared.value, column, powers)
-            yield pa.StructArray.from_arrays(
-                [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(switches, pa.int64())],
-                ["lang_pred", "score", "n_switches"],
-            )
+            kinds = (pa.string(), pa.float64(), pa.int64())
+            made = [pa.array(v, kind) for v, kind in zip((names, scores, switches), kinds)]
+            yield pa.StructArray.from_arrays(made, ["lang_pred", "score", "n_switches"])
+        give_back()
 
     return predict
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import Workspace, row_key, texts
+from shelfmark.llm.common import Workspace, map_batches, row_key, texts
 from shelfmark.llm.rolling import Powers, blocks, string_views, word_hashes, word_spans
 
 #: Bytes of the longest context; a key of a context and its successor fills 32 bits.
@@ -99,7 +99,7 @@ def word_counts(training: DataFrame) -> DataFrame:
         if counts:
             yield flushed()
 
-    rows = training.select("text").mapInArrow(stage, "word binary, n long")
+    rows = map_batches(training.select("text"), stage, "word binary, n long")
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -127,7 +127,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                     ["gram", "n", "n_all"],
                 )
 
-    rows = docs.select("text", "held_out").mapInArrow(stage, "gram long, n long, n_all long")
+    rows = map_batches(docs.select("text", "held_out"), stage, "gram long, n long, n_all long")
     return rows.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("n_all").alias("n_all"))
 
 
@@ -196,7 +196,7 @@ def gram_scores(grams: DataFrame) -> DataFrame:
                 [pa.array(c.astype(t)) for c, t in zip(columns, kinds)], ["gram", "n_all", "log10_p"]
             )
 
-    return longest.mapInArrow(stage, "gram long, n_all long, log10_p double")
+    return map_batches(longest, stage, "gram long, n_all long, log10_p double")
 
 
 class Lookup:
@@ -305,7 +305,7 @@ def local_scores(docs: DataFrame, words: Lookup, ends: float, grams: Lookup) ->
                 columns = [own.column(c) for c in ("doc_id", "key", "held_out")]
                 yield pa.RecordBatch.from_arrays([*columns, *made], names)
 
-    return docs.select("doc_id", "key", "held_out", "text").mapInArrow(stage, schema)
+    return map_batches(docs.select("doc_id", "key", "held_out", "text"), stage, schema)
 
 
 def score(

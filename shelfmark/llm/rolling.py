@@ -15,10 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import row_key, texts
+from shelfmark.llm.common import map_batches, row_key, texts
 
 #: Bytes that are worked on at once; a longer text is a block of its own.
 BLOCK_BYTES = 1 << 20
+HASH_BYTES = 1 << 18
 
 _MUL = 0x9E3779B97F4A7C15 | 1
 _WORD_BYTES = bytes(
@@ -99,12 +100,22 @@ def word_spans(
 def word_hashes(
     plain: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers
 ) -> np.ndarray:
-    """A 64-bit hash of each word's bytes."""
-    with np.errstate(over="ignore"):
-        up, down = powers.upto(len(plain) + 1)
-        sums = np.zeros(len(plain) + 1, np.uint64)
-        np.cumsum(plain.astype(np.uint64) * up[: len(plain)], out=sums[1:])
-        return _mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of each word's bytes, made for ``HASH_BYTES`` of text at a time."""
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        base = starts[at]
+        stop = max(int(np.searchsorted(ends, base + HASH_BYTES, "right")), at + 1)
+        part = plain[base : ends[stop - 1]]
+        first, last = starts[at:stop] - base, ends[at:stop] - base
+        with np.errstate(over="ignore"):
+            up, down = powers.upto(len(part) + 1)
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(part.astype(np.uint64) * up[: len(part)], out=sums[1:])
+            word = (sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64)
+            out[at:stop] = _mixed(word)
+        at = stop
+    return out
 
 
 def gram_hashes(
@@ -195,7 +206,7 @@ def rolling_grams(
             yield _rolled(batch, length, known, powers)
 
     schema = GRAM_SCHEMA.format(id_type=docs.schema["doc_id"].dataType.simpleString())
-    return docs.mapInArrow(stage, schema)
+    return map_batches(docs, stage, schema)
 
 
 def exploded(rolled: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import Workspace, row_key, texts
+from shelfmark.llm.common import Workspace, map_batches, row_key, texts
 
 SHINGLE_WORDS = 3
 RADIUS = 3
@@ -80,7 +80,7 @@ def fingerprints(
                 [batch.column("doc_id"), batch.column("key"), bits], ["doc_id", "key", "bits"]
             )
 
-    return docs.mapInArrow(stage, f"doc_id {id_type}, key binary, bits long")
+    return map_batches(docs, stage, f"doc_id {id_type}, key binary, bits long")
 
 
 def block_masks(radius: int = RADIUS) -> list[int]:
@@ -237,7 +237,7 @@ def bucket_links(distinct: DataFrame, radius: int = RADIUS, max_bucket: int = MA
         yield links(bits, group)
 
     sorted_groups = dealt.repartition("group").sortWithinPartitions("group")
-    return sorted_groups.mapInArrow(stage, "a long, b long").distinct()
+    return map_batches(sorted_groups, stage, "a long, b long").distinct()
 
 
 def components(links: DataFrame, workspace: Workspace) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import Workspace, fresh_name
+from shelfmark.llm.common import Workspace, fresh_name, map_batches
 from shelfmark.llm.rolling import Powers, _mixed, blocks, string_views
 
 LENGTH = 100
@@ -165,7 +165,7 @@ def anchored_runs(
                     [pa.array(c) for c in columns], ["anchor", "context", "ord", "tie", "place"]
                 )
 
-    return docs.mapInArrow(stage, _RUN)
+    return map_batches(docs, stage, _RUN)
 
 
 def repeated_table(anchors: DataFrame) -> tuple[np.ndarray, int]:
@@ -341,7 +341,7 @@ def fetched_contexts(joined: DataFrame, text_col: str, length: int) -> DataFrame
                 ["part", "split", "ord", "tie", "start", "bytes"],
             )
 
-    return joined.mapInArrow(stage, _FETCHED)
+    return map_batches(joined, stage, _FETCHED)
 
 
 def compared_contexts(fetched: DataFrame, length: int) -> DataFrame:
@@ -402,7 +402,7 @@ def compared_contexts(fetched: DataFrame, length: int) -> DataFrame:
                 yield compared(*arrays(rows))
 
     ordered = fetched.repartition("part").sortWithinPartitions("part")
-    return ordered.mapInArrow(stage, _FOUND)
+    return map_batches(ordered, stage, _FOUND)
 
 
 def repeated_spans(

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import texts
+from shelfmark.llm.common import map_batches, texts
 
 CACHE_SCHEMA = "content binary, tokenizer binary, n_tokens long"
 #: Words whose counts a worker keeps; when there are more, it starts afresh.
@@ -116,7 +116,7 @@ def encode_counts(misses: DataFrame, tokenizer: TokenizerFile) -> DataFrame:
                     ["content", "tokenizer", "n_tokens"],
                 )
 
-    return misses.mapInArrow(stage, CACHE_SCHEMA)
+    return map_batches(misses, stage, CACHE_SCHEMA)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
