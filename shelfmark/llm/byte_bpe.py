@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame
 
 from shelfmark.llm.common import map_batches, texts
 
-#: Pieces of one generation (some 120 MB). A worker remembers two: when one is full, the older of
+#: Pieces of one generation (some 200 MB). A worker remembers two: when one is full, the older of
 #: the two goes, but for the pieces that came up again meanwhile.
-MEMO_PIECES = 400_000
+MEMO_PIECES = 650_000
 #: Characters of text whose pieces are held at once, pieces per recursive query, and contractions
 #: per recursive query, which bound the rows it gathers.
 BLOCK_CHARS = 2_000_000
@@ -106,7 +106,7 @@ class PieceCoder:
         self.single = np.array([tokens.get(bytes([b]), -1) for b in range(256)], np.int32)
         self.con = duckdb.connect(":memory:")
         self.con.execute("SET threads = 1")
-        self.con.execute("SET memory_limit = '200MB'")
+        self.con.execute("SET memory_limit = '300MB'")
         self.con.execute("SET temp_directory = ''")
         listed = pa.table(
             {
@@ -212,8 +212,8 @@ class PieceCoder:
 class Memo:
     """Coded pieces of the last two generations."""
 
-    def __init__(self, coder: PieceCoder):
-        self.coder = coder
+    def __init__(self, coder: PieceCoder, limit: int):
+        self.coder, self.limit = coder, limit
         self.now: dict[str, tuple[str, bytes]] = {}
         self.old: dict[str, tuple[str, bytes]] = {}
 
@@ -221,7 +221,7 @@ class Memo:
         """A dict that has all the pieces."""
         wanted = set(pieces)
         missing = wanted - self.now.keys()
-        if len(self.now) + len(missing) > MEMO_PIECES:
+        if len(self.now) + len(missing) > self.limit:
             self.now, self.old, missing = {}, self.now, wanted
         again = missing & self.old.keys()
         self.now.update(zip(again, map(self.old.__getitem__, again)))
@@ -231,14 +231,14 @@ class Memo:
         return self.now
 
 
-_MEMOS: dict[str, Memo] = {}
+_MEMOS: dict[tuple[str, int], Memo] = {}
 
 
-def _memo(digest: str, tokens: dict[bytes, int]) -> Memo:
+def _memo(digest: str, tokens: dict[bytes, int], limit: int) -> Memo:
     """This worker's coder and memo of a vocabulary, kept between tasks."""
-    if digest not in _MEMOS:
-        _MEMOS[digest] = Memo(PieceCoder(tokens))
-    return _MEMOS[digest]
+    if (digest, limit) not in _MEMOS:
+        _MEMOS[digest, limit] = Memo(PieceCoder(tokens), limit)
+    return _MEMOS[digest, limit]
 
 
 def _blocks(column: pa.Array) -> Iterator[list[str]]:
@@ -258,12 +258,15 @@ def encode(
     df: DataFrame,
     vocabulary: RankFile,
     keep_ids: bool = True,
+    keep_decoded: bool = True,
+    memo_pieces: int = MEMO_PIECES,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` and, on request, the ids and decoded bytes.
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` and, if asked, ``ids`` and ``decoded``.
 
     The digests are of the decimal ids joined by one space and of the decoded bytes.
+    ``memo_pieces`` trades a worker's memory for time; it changes no result.
     """
     docs = texts(df, id_col, text_col)
     tokens = vocabulary.tokens()
@@ -271,28 +274,30 @@ def encode(
     shared = df.sparkSession.sparkContext.broadcast(tokens)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    if keep_ids:
-        schema += ", ids array<int>, decoded binary"
+    schema += ", ids array<int>" if keep_ids else ""
+    schema += ", decoded binary" if keep_decoded else ""
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
         pattern = regex.compile(vocabulary.pattern)
-        memo = _memo(digest, shared.value)
+        memo = _memo(digest, shared.value, memo_pieces)
         for batch in batches:
             at = 0
             for block in _blocks(batch.column("text")):
                 rows = [pattern.findall(text) for text in block]
-                columns = _put_together(rows, memo)
+                joined, raws, *made = _put_together(rows, memo)
+                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if keep_ids:
-                    joined = columns[0].to_pylist()
-                    ids = [np.array(ids.split(), np.int32) for ids in joined]
-                    columns = [*columns, pa.array(ids, pa.list_(pa.int32())), columns[1]]
-                names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"]
+                    ids = [np.array(own.split(), np.int32) for own in joined.to_pylist()]
+                    made.append(pa.array(ids, pa.list_(pa.int32())))
+                    names.append("ids")
+                if keep_decoded:
+                    made.append(raws)
+                    names.append("decoded")
                 doc_ids = batch.column("doc_id").slice(at, len(block))
                 at += len(block)
-                made = columns[2:]
-                yield pa.RecordBatch.from_arrays([doc_ids, *made], ["doc_id", *names[: len(made)]])
+                yield pa.RecordBatch.from_arrays([doc_ids, *made], names)
 
     return map_batches(docs, stage, schema)
 

@@ -127,7 +127,8 @@ def rank_file() -> byte_bpe.RankFile:
 @query
 def op8_byte_bpe(spark, sf_dir):
     """Digests of all documents' ids and of what they decode to."""
-    return byte_bpe.encode(table(spark, sf_dir, "documents"), rank_file(), keep_ids=False)
+    docs = table(spark, sf_dir, "documents")
+    return byte_bpe.encode(docs, rank_file(), keep_ids=False, keep_decoded=False)
 
 
 @query

@@ -53,6 +53,6 @@ def test_decoding_gives_the_text_back(spark):
 
 
 def test_digests_only(spark):
-    columns = b.encode(frame(spark, []), VOCABULARY, keep_ids=False)
+    columns = b.encode(frame(spark, []), VOCABULARY, keep_ids=False, keep_decoded=False)
     assert columns.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert columns.count() == 0
