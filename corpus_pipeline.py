@@ -16,9 +16,10 @@ from shelfmark.llm.queries import rank_file, table
 
 #: Share of a document's words that its language must have for the document to stay.
 MIN_LANGUAGE_SCORE = 0.4
-#: Pieces that the tokenizing workers remember, fewer than alone: executors that ran the stages
-#: before have less memory to spare.
+#: Pieces that the tokenizing workers remember and characters that they hold, fewer than alone:
+#: executors that ran the stages before have less memory to spare.
 MEMO_PIECES = 150_000
+BLOCK_CHARS = 2_000_000
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
@@ -65,7 +66,13 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, their digest, and that of the bytes they decode to."""
-    return byte_bpe.encode(docs, rank_file(), keep_decoded=False, memo_pieces=MEMO_PIECES)
+    return byte_bpe.encode(
+        docs,
+        rank_file(),
+        keep_decoded=False,
+        memo_pieces=MEMO_PIECES,
+        block_chars=BLOCK_CHARS,
+    )
 
 
 STAGES = [

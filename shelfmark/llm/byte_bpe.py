@@ -33,8 +33,8 @@ from shelfmark.llm.common import map_batches, texts
 MEMO_PIECES = 650_000
 #: Characters of text whose pieces are held at once, pieces per recursive query, and contractions
 #: per recursive query, which bound the rows it gathers.
-BLOCK_CHARS = 2_000_000
-QUERY_PIECES = 25_000
+BLOCK_CHARS = 4_000_000
+QUERY_PIECES = 40_000
 QUERY_STEPS = 24
 #: Pieces of more bytes are cut first.
 LONG_BYTES = 48
@@ -241,11 +241,11 @@ def _memo(digest: str, tokens: dict[bytes, int], limit: int) -> Memo:
     return _MEMOS[digest, limit]
 
 
-def _blocks(column: pa.Array) -> Iterator[list[str]]:
+def _blocks(column: pa.Array, limit: int) -> Iterator[list[str]]:
     block, size = [], 0
     for scalar in column:
         value = scalar.as_py()
-        if block and size + len(value) > BLOCK_CHARS:
+        if block and size + len(value) > limit:
             yield block
             block, size = [], 0
         block.append(value)
@@ -260,13 +260,14 @@ def encode(
     keep_ids: bool = True,
     keep_decoded: bool = True,
     memo_pieces: int = MEMO_PIECES,
+    block_chars: int = BLOCK_CHARS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` and, if asked, ``ids`` and ``decoded``.
 
     The digests are of the decimal ids joined by one space and of the decoded bytes.
-    ``memo_pieces`` trades a worker's memory for time; it changes no result.
+    ``memo_pieces`` and ``block_chars`` trade a worker's memory for time and change no result.
     """
     docs = texts(df, id_col, text_col)
     tokens = vocabulary.tokens()
@@ -284,7 +285,7 @@ def encode(
         memo = _memo(digest, shared.value, memo_pieces)
         for batch in batches:
             at = 0
-            for block in _blocks(batch.column("text")):
+            for block in _blocks(batch.column("text"), block_chars):
                 rows = [pattern.findall(text) for text in block]
                 joined, raws, *made = _put_together(rows, memo)
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
