@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -47,7 +46,6 @@ def give_back() -> None:
     Spark keeps idle Python workers; what their allocators hold would count against the executor
     while other stages run.
     """
-    gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
