@@ -17,7 +17,8 @@ strings are first brought together:
    shares a window. An anchor with very many contexts is cut into chunks; the chunks' first windows
    then meet by their digests.
 
-Classes are told apart by two independent 64-bit hashes; the windows of step 3 by their bytes.
+Classes are told apart by two independent 64-bit hashes, as are the texts of rows that share an id;
+the windows of step 3 by their bytes.
 
 Order: ids ascending, null last; of rows with one id, an arbitrary fixed order by content. Rows
 repeated with the same id and text are one document in this respect: all of them get its result.
@@ -54,24 +55,19 @@ PIECE_BYTES = 2 << 20
 BLOCK_BYTES = 1 << 18
 _PLACE_BITS = 24
 
-_RUN = "anchor long, context long, ord long, tie int, place long"
-_SPAN = "ord long, tie int, first long, stop long"
+#: What a document is known by: its id and two independent 64-bit hashes of its text, as any number
+#: of rows can share an id (or have none).
+DOC = ("ord", "tie", "tie2")
+_RUN = "anchor long, context long, ord long, tie long, tie2 long, place long"
 
 
-def identified(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str, str]:
-    """The rows with an order (null ids last) and a tie-breaker by content, and their names."""
-    ord_name, tie_name = fresh_name(df, "dedup_ord"), fresh_name(df, "dedup_tie")
+def identified(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, tuple[str, ...]]:
+    """The rows with an order (null ids last) and tie-breakers by content, and their names."""
+    names = tuple(fresh_name(df, f"dedup_{c}") for c in DOC)
     text = F.coalesce(df[text_col], F.lit(""))
-    return (
-        df.withColumns(
-            {
-                ord_name: F.coalesce(df[id_col].cast("long"), F.lit((1 << 63) - 1)),
-                tie_name: F.hash(text),
-            }
-        ),
-        ord_name,
-        tie_name,
-    )
+    order = F.coalesce(df[id_col].cast("long"), F.lit((1 << 63) - 1))
+    made = (order, F.xxhash64(text), F.xxhash64(F.md5(text)))
+    return df.withColumns(dict(zip(names, made))), names
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -141,7 +137,7 @@ def _packed(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 def anchored_runs(
     docs: DataFrame, length: int, gram: int, table: np.ndarray | None = None, bits: int = 0
 ) -> DataFrame:
-    """``anchor, context, ord, tie, place`` of all runs, or of those that ``table`` lets through.
+    """``anchor, context, ord, tie, tie2, place`` of all runs, or of those that ``table`` lets through.
 
     ``place`` is the run's start in its text times 256 plus its windows.
     """
@@ -150,7 +146,7 @@ def anchored_runs(
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, known = Powers(), shared.value if shared is not None else None
         for batch in batches:
-            order, tie = batch.column("ord").to_numpy(), batch.column("tie").to_numpy()
+            doc = [batch.column(c).to_numpy() for c in DOC]
             for data, offsets, rows, starts in _pieces(batch.column("text"), length):
                 row, start, size, anchor, context = runs(data, offsets, length, gram, powers)
                 if known is not None:
@@ -160,9 +156,10 @@ def anchored_runs(
                         v[keep] for v in (row, start, size, anchor, context)
                     )
                 own = rows[row]
-                columns = [anchor, context, order[own], tie[own], _packed(start + starts[row], size)]
+                place = _packed(start + starts[row], size)
+                columns = [anchor, context, *[c[own] for c in doc], place]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in columns], ["anchor", "context", "ord", "tie", "place"]
+                    [pa.array(c) for c in columns], ["anchor", "context", *DOC, "place"]
                 )
 
     return map_batches(docs, stage, _RUN)
@@ -301,27 +298,29 @@ def repeats(
     return context, offset, earlier
 
 
-def _ranks(order: np.ndarray, tie: np.ndarray) -> np.ndarray:
-    by = np.lexsort((tie, order))
-    fresh = np.ones(len(by), bool)
-    fresh[1:] = (order[by][1:] != order[by][:-1]) | (tie[by][1:] != tie[by][:-1])
+def _ranks(doc: list[np.ndarray]) -> np.ndarray:
+    by = np.lexsort(doc[::-1])
+    fresh = np.zeros(len(by), bool)
+    fresh[:1] = True
+    for column in doc:
+        fresh[1:] |= column[by][1:] != column[by][:-1]
     out = np.empty(len(by), np.int64)
     out[by] = np.cumsum(fresh)
     return out
 
 
-_FETCHED = "part long, split boolean, ord long, tie int, start long, bytes binary"
-_FOUND = "ord long, tie int, first long, stop long, window binary"
+_FETCHED = "part long, split boolean, ord long, tie long, tie2 long, start long, bytes binary"
+_FOUND = "ord long, tie long, tie2 long, first long, stop long, window binary"
 
 
 def fetched_contexts(joined: DataFrame, text_col: str, length: int) -> DataFrame:
-    """A row per asked context, with its bytes, from rows that end in ``asked_ord, asked_tie, asked``."""
+    """A row per asked context, with its bytes, from rows that end in what ``DOC`` names and ``asked``."""
     at = joined.columns.index(text_col)
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = string_views(pc.fill_null(batch.column(at), ""))
-            asked_ord, asked_tie, lists = batch.columns[-3:]
+            *doc, lists = batch.columns[-len(DOC) - 1 :]
             sizes = np.diff(lists.offsets.to_numpy())
             row = np.repeat(np.arange(batch.num_rows), sizes)
             values = lists.flatten()
@@ -333,12 +332,11 @@ def fetched_contexts(joined: DataFrame, text_col: str, length: int) -> DataFrame
                 [
                     values.field("part"),
                     values.field("split"),
-                    asked_ord.take(pa.array(row)),
-                    asked_tie.take(pa.array(row)),
+                    *[c.take(pa.array(row)) for c in doc],
                     pa.array(start),
                     pa.array(raw, pa.binary()),
                 ],
-                ["part", "split", "ord", "tie", "start", "bytes"],
+                ["part", "split", *DOC, "start", "bytes"],
             )
 
     return map_batches(joined, stage, _FETCHED)
@@ -348,8 +346,8 @@ def compared_contexts(fetched: DataFrame, length: int) -> DataFrame:
     """Spans of windows that an equal one precedes; of split parts also the first windows' digests."""
 
     def compared(columns: dict[str, np.ndarray], contexts: list[bytes]) -> pa.RecordBatch:
-        order, tie, start, split = (columns[c] for c in ("ord", "tie", "start", "split"))
-        context, offset, earlier = repeats(contexts, _ranks(order, tie), start, length)
+        doc, start, split = [columns[c] for c in DOC], columns["start"], columns["split"]
+        context, offset, earlier = repeats(contexts, _ranks(doc), start, length)
         hit = np.flatnonzero(earlier)
         fresh = np.ones(len(hit), bool)
         fresh[1:] = (context[hit][1:] != context[hit][:-1]) | (offset[hit][1:] != offset[hit][:-1] + 1)
@@ -367,17 +365,16 @@ def compared_contexts(fetched: DataFrame, length: int) -> DataFrame:
         place = start[other] + offset[heads]
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(np.concatenate([order[own], order[other]])),
-                pa.array(np.concatenate([tie[own], tie[other]])),
+                *[pa.array(np.concatenate([c[own], c[other]])) for c in doc],
                 pa.array(np.concatenate([first, place])),
                 pa.array(np.concatenate([stop, place + length])),
                 pa.array([None] * len(own) + digests, pa.binary()),
             ],
-            ["ord", "tie", "first", "stop", "window"],
+            [*DOC, "first", "stop", "window"],
         )
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("part", "split", "ord", "tie", "start")
+        names = ("part", "split", *DOC, "start")
         held: list[pa.RecordBatch] = []
 
         def arrays(rows: pa.Table) -> tuple[dict[str, np.ndarray], list[bytes]]:
@@ -407,43 +404,40 @@ def compared_contexts(fetched: DataFrame, length: int) -> DataFrame:
 
 def repeated_spans(
     docs: DataFrame,
-    ord_name: str,
-    tie_name: str,
+    names: tuple[str, ...],
     text_col: str,
     workspace: Workspace,
     length: int = LENGTH,
     gram: int = GRAM,
     max_contexts: int = MAX_CONTEXTS,
 ) -> DataFrame:
-    """``ord, tie, spans`` of the documents that lose something; spans may touch and overlap.
+    """``ord, tie, tie2, spans`` of the documents that lose something; spans may touch and overlap.
 
-    ``docs`` is shuffled by order and tie-breaker with all its columns, as a later join of the
+    ``docs`` is shuffled by order and tie-breakers (``names``) with all its columns, as a later join of the
     result needs it, so that one exchange serves both.
     """
     if not 0 < gram < length or length - gram + 1 > 255:
         raise ValueError("An anchor gram is shorter than the window, by 254 bytes at most.")
     slim = docs.select(
-        docs[ord_name].alias("ord"),
-        docs[tie_name].alias("tie"),
+        *[docs[name].alias(c) for name, c in zip(names, DOC)],
         F.coalesce(docs[text_col], F.lit("")).alias("text"),
     )
     table, bits = repeated_table(anchored_runs(slim, length, gram).select("anchor"))
     found = workspace.store(anchored_runs(slim, length, gram, table, bits), "runs")
     classes = workspace.store(
         found.groupBy("anchor", "context").agg(
-            F.min(F.struct("ord", "tie", "place")).alias("head"), F.count("*").alias("n")
+            F.min(F.struct(*DOC, "place")).alias("head"), F.count("*").alias("n")
         ),
         "run-classes",
     )
     # All places of a class but its first are preceded by the first, window by window.
     several = classes.filter("n > 1").select("anchor", "context", "head")
-    here = F.struct("ord", "tie", "place")
+    here = F.struct(*DOC, "place")
     later = (
         found.join(several, ["anchor", "context"])
         .filter(here != F.col("head"))
         .select(
-            "ord",
-            "tie",
+            *DOC,
             F.shiftright("place", 8).alias("first"),
             (F.shiftright("place", 8) + F.col("place").bitwiseAND(F.lit(255)) + (length - 1)).alias("stop"),
         )
@@ -454,31 +448,30 @@ def repeated_spans(
     asked = (
         classes.join(shared, "anchor")
         .select(
-            "head.ord",
-            "head.tie",
+            *[F.col(f"head.{c}").alias(f"asked_{c}") for c in DOC],
             F.struct(
                 F.xxhash64("anchor", F.pmod(F.xxhash64("context"), chunks)).alias("part"),
                 (F.col("contexts") > max_contexts).alias("split"),
                 F.col("head.place").alias("place"),
             ).alias("ask"),
         )
-        .groupBy(F.col("ord").alias("asked_ord"), F.col("tie").alias("asked_tie"))
+        .groupBy(*[f"asked_{c}" for c in DOC])
         .agg(F.collect_list("ask").alias("asked"))
     )
-    same = (docs[ord_name] == asked["asked_ord"]) & (docs[tie_name] == asked["asked_tie"])
+    same = [docs[name] == asked[f"asked_{c}"] for name, c in zip(names, DOC)]
     fetched = fetched_contexts(docs.join(asked, same), text_col, length)
     # First windows of chunks meet by their digests; the others are spread by what they are.
-    spread = F.coalesce("window", F.unhex(F.sha1(F.concat_ws(":", "ord", "tie", "first"))))
-    line = Window.partitionBy("spread").orderBy("ord", "tie", "first")
-    start = F.struct("ord", "tie", "first")
+    spread = F.coalesce("window", F.unhex(F.sha1(F.concat_ws(":", *DOC, "first"))))
+    line = Window.partitionBy("spread").orderBy(*DOC, "first")
+    start = F.struct(*DOC, "first")
     earlier = (
         compared_contexts(fetched, length)
         .withColumn("spread", spread)
         .withColumn("earliest", F.first(start).over(line))
         .filter(F.col("window").isNull() | (start != F.col("earliest")))
-        .select("ord", "tie", "first", "stop")
+        .select(*DOC, "first", "stop")
     )
-    return later.union(earlier).groupBy("ord", "tie").agg(
+    return later.union(earlier).groupBy(*DOC).agg(
         F.collect_list(F.struct("first", "stop")).alias("spans")
     )
 
@@ -540,9 +533,9 @@ def deduplicate(
     and, if ``keep``, the bytes that are left as ``kept`` (else null)."""
     workspace = workspace or Workspace(df.sparkSession)
     out = fresh_name(df, "dedup")
-    marked, ord_name, tie_name = identified(df, id_col, text_col)
-    spans = repeated_spans(marked, ord_name, tie_name, text_col, workspace, length, gram, max_contexts)
-    lost = spans.select(F.col("ord").alias("o"), F.col("tie").alias("t"), "spans")
+    marked, names = identified(df, id_col, text_col)
+    spans = repeated_spans(marked, names, text_col, workspace, length, gram, max_contexts)
+    lost = spans.select(*[F.col(c).alias(f"lost_{c}") for c in DOC], "spans")
 
     @F.arrow_udf("n_removed long, n_spans long, kept_sha256 string, kept binary")
     def cut(text: pa.Array, spans: pa.Array) -> pa.Array:
@@ -553,7 +546,7 @@ def deduplicate(
     name = fresh_name(marked, "spans_")
     joined = marked.join(
         lost.withColumnRenamed("spans", name),
-        (marked[ord_name] == lost["o"]) & (marked[tie_name] == lost["t"]),
+        [marked[n] == lost[f"lost_{c}"] for n, c in zip(names, DOC)],
         "left",
     ).withColumn(out, cut(text, F.coalesce(F.col(name), none)))
     n_bytes = F.octet_length(text).cast("long")

@@ -59,6 +59,17 @@ def test_test_documents_equal_brute_force(spark):
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept)) == want[r.doc_id, r.text]
 
 
+def test_texts_of_equal_hashes_without_an_id_stay_apart(spark):
+    passage = sentences(30, 7)
+    alike = [f"{k} {passage[k % 40:]}" for k in (110898, 136361)]
+    rows = [(1, passage), (None, alike[0]), (None, alike[1])]
+    df = frame(spark, rows)
+    assert df.filter("doc_id IS NULL").selectExpr("hash(text) AS h").distinct().count() == 1
+    want = brute_force(rows)
+    for r in s.deduplicate(df).select("doc_id", "text", "dedup.*").collect():
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept)) == want[r.doc_id, r.text]
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_intervals_equal_prefixes(seed):
     rng = random.Random(seed)
