@@ -1,10 +1,10 @@
 """Language-model scores by prediction by partial matching over bytes (operator 9).
 
-A trie of byte contexts, up to three bytes long, holds what followed each context in the training
+A trie of byte contexts, up to ``order`` bytes long (seven at most), holds what followed each context in the training
 texts, as tables keyed by context. A byte's probability comes from the longest context; a byte not
 seen there is reached by an escape (as probable as the context has distinct successors) to the
 next shorter context, in which the symbols seen before are excluded, down to a uniform choice
-among the symbols never seen. A text begins after three line feeds and ends with an end symbol, so
+among the symbols never seen. A text begins after ``order`` line feeds and ends with an end symbol, so
 its probability is one number; its base-10 logarithm is the score. Words give a second, plain
 score: smoothed frequencies of blank-separated words, with an end token per text.
 
@@ -26,16 +26,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import Workspace, map_batches, row_key, texts
 from shelfmark.llm.rolling import Powers, blocks, string_views, word_hashes, word_spans
 
-#: Bytes of the longest context; a key of a context and its successor fills 32 bits.
+#: Bytes of the longest context unless asked otherwise, and at most: a key of a context and its
+#: successor has 64 bits.
 ORDER = 3
+MAX_ORDER = 7
 #: A key is broadcast if it has a share of 1 / MAX_BROADCAST_KEYS of all occurrences or more.
 MAX_BROADCAST_KEYS = 1 << 22
+#: Contexts whose probabilities are worked out at once.
+BATCH_CONTEXTS = 1024
 #: Words that a task counts before it hands them on.
 FLUSH_WORDS = 400_000
 
@@ -54,26 +59,24 @@ def held_out(doc_id: Column | str, buckets: int = 7, held: int = 2) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % buckets == held
 
 
-def gram_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Context and successor of every byte and end, as 32-bit keys, and each row's first key."""
+def gram_keys(data: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
+    """Context and successor of every byte and end, as 64-bit keys, and each row's first key."""
     n = len(offsets) - 1
-    lead = np.full(ORDER, _START_BYTE, np.uint8)
     sizes = np.diff(offsets)
-    at = np.concatenate([[0], np.cumsum(sizes + ORDER + 1)])
+    at = np.concatenate([[0], np.cumsum(sizes + order + 1)])
     padded = np.empty(at[-1], np.uint8)
     body = np.ones(at[-1], bool)
-    for k in range(ORDER):
-        padded[at[:-1] + k] = lead[k]
+    for k in range(order):
+        padded[at[:-1] + k] = _START_BYTE
         body[at[:-1] + k] = False
     padded[at[1:] - 1] = _END_SYMBOL
     body[at[1:] - 1] = False
     padded[body] = data
     body[at[1:] - 1] = True
-    wide = padded.astype(np.uint32)
-    keys = wide[ORDER:].copy()
-    for k in range(1, ORDER + 1):
-        keys |= wide[ORDER - k : len(wide) - k] << np.uint32(8 * k)
-    return keys[body[ORDER:]], at - ORDER * np.arange(n + 1)
+    keys = padded[order:].astype(np.uint64)
+    for k in range(1, order + 1):
+        keys |= padded[order - k : len(padded) - k].astype(np.uint64) << np.uint64(8 * k)
+    return keys[body[order:]], at - order * np.arange(n + 1)
 
 
 def word_counts(training: DataFrame) -> DataFrame:
@@ -103,16 +106,16 @@ def word_counts(training: DataFrame) -> DataFrame:
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def gram_counts(docs: DataFrame) -> DataFrame:
+def gram_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """``gram, n, n_all`` of all texts: occurrences in training texts and in all."""
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = string_views(batch.column("text"))
             train = ~batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-            for first, last in blocks(offsets, 8 << 20):
+            for first, last in blocks(offsets, 4 << 20):
                 base = offsets[first]
-                keys, at = gram_keys(data[base : offsets[last]], offsets[first : last + 1] - base)
+                keys, at = gram_keys(data[base : offsets[last]], offsets[first : last + 1] - base, order)
                 part = np.repeat(train[first:last], np.diff(at))
                 found, inverse_counts = np.unique(keys, return_counts=True)
                 trained, counts = np.unique(keys[part], return_counts=True)
@@ -120,7 +123,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                 n[np.searchsorted(found, trained)] = counts
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(found.astype(np.int64)),
+                        pa.array(found.view(np.int64)),
                         pa.array(n),
                         pa.array(inverse_counts.astype(np.int64)),
                     ],
@@ -132,69 +135,73 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
 
 def symbol_probabilities(counts: list[np.ndarray]) -> np.ndarray:
-    """Probabilities of the 256 symbols, from their counts after ever shorter contexts."""
-    out, excluded, escape = np.zeros(256), np.zeros(256, bool), 1.0
+    """Probabilities of the 256 symbols, from their counts after ever shorter contexts.
+
+    Counts have the symbols in the last dimension; others stand for several contexts.
+    """
+    shape = counts[0].shape if counts else (256,)
+    out, excluded, escape = np.zeros(shape), np.zeros(shape, bool), np.ones((*shape[:-1], 1))
     for after in counts:
         after = np.where(excluded, 0, after)
-        total, distinct = after.sum(), np.count_nonzero(after)
-        if total == 0:
-            continue
         seen = after > 0
+        total, distinct = after.sum(-1, keepdims=True), seen.sum(-1, keepdims=True)
         excluded |= seen
-        if excluded.all():
-            distinct = 0  # nothing is left to escape to
-        out[seen] = escape * after[seen] / (total + distinct)
-        escape *= distinct / (total + distinct)
-    if not excluded.all():
-        out[~excluded] = escape / (256 - excluded.sum())
-    return out
+        distinct = np.where(excluded.all(-1, keepdims=True), 0, distinct)  # nothing is left to escape to
+        known = np.maximum(total + distinct, 1)
+        out = np.where(seen, escape * after / known, out)
+        escape = np.where(total > 0, escape * distinct / known, escape)
+    left = np.maximum(256 - excluded.sum(-1, keepdims=True), 1)
+    return np.where(excluded, out, escape / left)
 
 
-def gram_scores(grams: DataFrame) -> DataFrame:
+def gram_scores(grams: DataFrame, order: int = ORDER) -> DataFrame:
     """``gram, n_all, log10_p`` of every gram that any text has."""
-    nodes = []
-    for order in range(1, ORDER):
-        key = F.col("gram").bitwiseAND(F.lit((1 << 8 * (order + 1)) - 1))
-        successors = grams.filter("n > 0").groupBy(key.alias("g")).agg(F.sum("n").alias("n"))
-        nodes.append(
-            successors.groupBy(F.shiftright("g", 8).alias(f"context_{order}")).agg(
-                F.collect_list(F.struct(F.col("g").bitwiseAND(F.lit(255)).alias("s"), "n")).alias(f"after_{order}")
-            )
-        )
     symbol = F.col("gram").bitwiseAND(F.lit(255))
     root = np.zeros(256, np.int64)
     for row in grams.groupBy(symbol.alias("s")).agg(F.sum("n").alias("n")).collect():
         root[row["s"]] = row["n"]
-    longest = grams.groupBy(F.shiftright("gram", 8).alias("context")).agg(
-        F.collect_list(F.struct(symbol.alias("s"), "n", "n_all")).alias("after")
+    longest = grams.groupBy(F.shiftrightunsigned("gram", 8).alias("context")).agg(
+        F.collect_list(F.struct(symbol.cast("short").alias("s"), "n", "n_all")).alias("after")
     )
-    for order, node in enumerate(nodes, 1):
-        key = F.col("context").bitwiseAND(F.lit((1 << 8 * order) - 1))
-        longest = longest.join(node, key == F.col(f"context_{order}"), "left").drop(f"context_{order}")
+    # Long contexts first: what follows a short one is the longer list, and goes through fewer joins.
+    for shorter in range(order - 1, 0, -1):
+        key = F.col("gram").bitwiseAND(F.lit((1 << 8 * (shorter + 1)) - 1))
+        successors = grams.filter("n > 0").groupBy(key.alias("g")).agg(F.sum("n").alias("n"))
+        own = F.struct(F.col("g").bitwiseAND(F.lit(255)).cast("short").alias("s"), "n")
+        node = successors.groupBy(F.shiftright("g", 8).alias(f"context_{shorter}")).agg(
+            F.collect_list(own).alias(f"after_{shorter}")
+        )
+        key = F.col("context").bitwiseAND(F.lit((1 << 8 * shorter) - 1))
+        node = F.broadcast(node) if shorter == 1 else node  # of 256 contexts at most
+        longest = longest.join(node, key == F.col(f"context_{shorter}"), "left").drop(f"context_{shorter}")
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def dense(column: pa.Array, k: int) -> np.ndarray:
-            out = np.zeros(256, np.int64)
-            value = column[k]
-            if value.is_valid:
-                out[value.values.field("s").to_numpy()] = value.values.field("n").to_numpy()
+        def dense(column: pa.Array) -> np.ndarray:
+            out = np.zeros((len(column), 256), np.int64)
+            sizes = pc.fill_null(column.value_lengths(), 0).to_numpy()
+            values = column.flatten()
+            row = np.repeat(np.arange(len(column)), sizes)
+            out[row, values.field("s").to_numpy()] = values.field("n").to_numpy()
             return out
 
-        for batch in batches:
-            shorter = [batch.column(f"after_{o}") for o in range(ORDER - 1, 0, -1)]
-            contexts, after = batch.column("context").to_numpy(), batch.column("after")
-            parts = []
-            for k in range(batch.num_rows):
-                p = symbol_probabilities([dense(after, k), *[dense(c, k) for c in shorter], root])
-                own = after[k].values
-                symbols = own.field("s").to_numpy()
-                n_all = own.field("n_all").to_numpy()
-                parts.append((contexts[k] << 8 | symbols, n_all, np.log10(p[symbols])))
-            columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0)] * 3
-            kinds = (np.int64, np.int64, np.float64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c.astype(t)) for c, t in zip(columns, kinds)], ["gram", "n_all", "log10_p"]
-            )
+        for whole in batches:
+            for first in range(0, whole.num_rows, BATCH_CONTEXTS):
+                batch = whole.slice(first, BATCH_CONTEXTS)
+                after = batch.column("after")
+                shorter = [dense(batch.column(f"after_{o}")) for o in range(order - 1, 0, -1)]
+                p = symbol_probabilities([dense(after), *shorter, root])
+                row = np.repeat(np.arange(len(after)), after.value_lengths().to_numpy())
+                values = after.flatten()
+                symbols = values.field("s").to_numpy().astype(np.int64)
+                contexts = batch.column("context").to_numpy()[row]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(contexts << 8 | symbols),
+                        values.field("n_all"),
+                        pa.array(np.log10(p[row, symbols])),
+                    ],
+                    ["gram", "n_all", "log10_p"],
+                )
 
     return map_batches(longest, stage, "gram long, n_all long, log10_p double")
 
@@ -222,10 +229,10 @@ def _hashed(words: list[bytes]) -> np.ndarray:
     return word_hashes(plain, starts, ends, Powers())
 
 
-def _frequent(rows: DataFrame, key: str, count: str, value: str, least: float) -> tuple[list, np.ndarray]:
+def _frequent(rows: DataFrame, key: str, count: str, value: str, least: float) -> tuple[pa.ChunkedArray, np.ndarray]:
     """Keys and values with ``least`` occurrences or more: at most all occurrences / least."""
     table = rows.filter(F.col(count) >= least).select(key, value).toArrow()
-    return table.column(key).to_pylist(), table.column(value).to_numpy().astype(np.float64)
+    return table.column(key), table.column(value).to_numpy().astype(np.float64)
 
 
 SCORED = (
@@ -239,7 +246,9 @@ def _lists(rows: np.ndarray, n_rows: int, fields: list[pa.Array], names: list[st
     return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(fields, names))
 
 
-def local_scores(docs: DataFrame, words: Lookup, ends: float, grams: Lookup) -> DataFrame:
+def local_scores(
+    docs: DataFrame, words: Lookup, ends: float, grams: Lookup, order: int = ORDER
+) -> DataFrame:
     """Per text: sums over frequent words and grams, and counts of the others, to be joined.
 
     ``words`` gives counts by hash, ``ends`` is the end token's count, ``grams`` gives logarithms.
@@ -264,16 +273,15 @@ def local_scores(docs: DataFrame, words: Lookup, ends: float, grams: Lookup) ->
         raw = data.tobytes().lower()
         own = place[cold_word]
         spelled = [raw[a:b] for a, b in zip(starts[own].tolist(), stops[own].tolist())]
-        keys, at = gram_keys(data, offsets)
+        keys, at = gram_keys(data, offsets, order)
         key_row = np.repeat(np.arange(n_rows), np.diff(at))
         distinct_keys, key_of = np.unique(keys, return_inverse=True)
         value, there = known_grams(distinct_keys)
         value = np.where(there, value, 0.0)
         score = np.bincount(key_row, value[key_of], n_rows)
         rare = ~there[key_of]
-        rare_keys, n_rare = np.unique(
-            key_row[rare].astype(np.int64) << 32 | keys[rare].astype(np.int64), return_counts=True
-        )
+        rare_of, n_rare = np.unique(key_row[rare] * len(distinct_keys) + key_of[rare], return_counts=True)
+        rare_row, rare_key = np.divmod(rare_of, max(len(distinct_keys), 1))
         return [
             pa.array(n_tokens.astype(np.int64)),
             pa.array(n_known.astype(np.int64)),
@@ -286,9 +294,9 @@ def local_scores(docs: DataFrame, words: Lookup, ends: float, grams: Lookup) ->
                 ["word", "n"],
             ),
             _lists(
-                rare_keys >> 32,
+                rare_row,
                 n_rows,
-                [pa.array(rare_keys & 0xFFFFFFFF), pa.array(n_rare.astype(np.int32))],
+                [pa.array(distinct_keys[rare_key].view(np.int64)), pa.array(n_rare.astype(np.int32))],
                 ["gram", "n"],
             ),
         ]
@@ -314,8 +322,14 @@ def score(
     id_col: str = "doc_id",
     text_col: str = "text",
     workspace: Workspace | None = None,
+    order: int = ORDER,
 ) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row."""
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
+
+    ``order`` is the number of bytes of the longest context.
+    """
+    if not 1 <= order <= MAX_ORDER:
+        raise ValueError(f"Contexts have 1 to {MAX_ORDER} bytes.")
     workspace = workspace or Workspace(df.sparkSession)
     docs = texts(df, id_col, text_col).withColumns({"key": row_key(), "held_out": held_out("doc_id")})
     words = workspace.store(word_counts(docs.filter(~F.col("held_out"))), "words")
@@ -324,7 +338,7 @@ def score(
         F.count("*"),
         F.coalesce(F.sum(F.when(F.octet_length("word") == 0, F.col("n"))), F.lit(0)),
     ).first()
-    grams = workspace.store(gram_scores(workspace.store(gram_counts(docs), "gram-counts")), "grams")
+    grams = workspace.store(gram_scores(workspace.store(gram_counts(docs, order), "gram-counts"), order), "grams")
     n_grams = grams.agg(F.coalesce(F.sum("n_all"), F.lit(0))).first()[0]
     spelled = words.filter(F.octet_length("word") > 0)
     hot_words, counts = _frequent(spelled, "word", "n", "n", n / max_broadcast_keys)
@@ -332,9 +346,10 @@ def score(
     scored = workspace.store(
         local_scores(
             docs,
-            Lookup(_hashed(hot_words), counts),
+            Lookup(_hashed(hot_words.to_pylist()), counts),
             float(ends),
-            Lookup(np.array(hot_grams, np.uint32), logs),
+            Lookup(hot_grams.to_numpy().astype(np.int64).view(np.uint64), logs),
+            order,
         ),
         "scored",
     )

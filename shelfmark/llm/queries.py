@@ -131,10 +131,14 @@ def op8_byte_bpe(spark, sf_dir):
     return byte_bpe.encode(docs, rank_file(), keep_ids=False, keep_decoded=False)
 
 
+#: Bytes of the longest context of the language model.
+LM_ORDER = 5
+
+
 @query
 def op9_lm_scores(spark, sf_dir):
     """Word and byte-context scores of all documents."""
-    return ppm.score(table(spark, sf_dir, "documents"))
+    return ppm.score(table(spark, sf_dir, "documents"), order=LM_ORDER)
 
 
 @query

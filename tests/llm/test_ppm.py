@@ -87,3 +87,29 @@ def test_empty_table_and_no_training_texts(spark):
     row = ppm.score(frame(spark, [(only, "ab")])).first()
     assert (row.train_tokens, row.n_known, row.n_tokens) == (0, 0, 2)
     assert row.score == pytest.approx(-3 * math.log10(256)) and row.base_score == pytest.approx(0)
+
+
+@pytest.mark.parametrize("order, keys", [(5, 1 << 22), (5, 20), (7, 20)])
+def test_long_contexts_equal_brute_force(spark, order, keys):
+    rows = ODD + [(i, sentences(30, i % 11) + " Upper É") for i in range(20, 50)] + [(60, "zzz qqq")]
+    data = [b"\n" * order + (text or "").encode() + b"\xff" for _, text in rows]
+    trie = defaultdict(Counter)
+    for (i, _), raw in zip(rows, data):
+        for at in range(order, len(raw) if not held_out(i) else 0):
+            for k in range(order + 1):
+                trie[raw[at - k : at]][raw[at]] += 1
+    want = [
+        (repr(i), sum(
+            math.log10(plain_probability([trie[raw[at - k : at]] for k in range(order, -1, -1)], raw[at]))
+            for at in range(order, len(raw))
+        ))
+        for (i, _), raw in zip(rows, data)
+    ]
+    got = [(repr(r.doc_id), r.score) for r in ppm.score(with_clashes(frame(spark, rows)), keys, order=order).collect()]
+    for a, b in zip(sorted(got), sorted(want), strict=True):
+        assert a[0] == b[0] and a[1] == pytest.approx(b[1], abs=1e-6)
+
+
+def test_order_is_bounded_by_the_key(spark):
+    with pytest.raises(ValueError):
+        ppm.score(frame(spark, []), order=8)
