@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmark.llm import crf
 from shelfmark.llm.common import give_back
@@ -319,13 +320,32 @@ def train(pages: list[str], layouts: int = LAYOUTS, steps: int = TRAINING_STEPS,
     return crf.train(types.features(), numbers, labels, lengths, LABELS, 1 << FEATURE_BITS, steps, 0.1, 1e-4)
 
 
+@F.arrow_udf(T.BooleanType())
+def has_main_text(column: pa.Array) -> pa.Array:
+    """Whether a page can be trained on: it has an ``article`` element with text."""
+    return pa.array([labelled(html) is not None for html in column.to_pylist()], pa.bool_())
+
+
 def training_sample(pages: DataFrame, bound: int = TRAINING_PAGES) -> list[str]:
-    """Whole html of at most ``bound`` pages, chosen by a hash of url and html."""
-    known = pages.filter(F.col("html").isNotNull())
-    n = known.count()
-    draw = F.pmod(F.xxhash64("url", "html"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = known.select("html", draw.alias("draw")).filter(F.col("draw") < 1.5 * bound / max(n, 1))
-    return [r["html"] for r in sorted(drawn.collect(), key=lambda r: (r["draw"], r["html"]))][:bound]
+    """Whole html of the ``bound`` labelled pages, copies counted once, whose html has the least hashes.
+
+    Pages with the tag are parsed in the order of their hashes, more at a time, until there are enough.
+    """
+    tagged = pages.filter(F.col("html").rlike("(?i)<article")).select("html", F.xxhash64("html").alias("draw"))
+    chosen: list[str] = []
+    step = 2 * bound
+    while len(chosen) < bound:
+        least = tagged.select("draw").distinct().orderBy("draw").limit(step)
+        n, last = least.agg(F.count("*"), F.max("draw")).first()
+        if not n:
+            break
+        part = tagged.filter(F.col("draw") <= last).groupBy("draw").agg(F.first("html").alias("html"))
+        drawn = part.filter(has_main_text("html")).orderBy("draw").limit(bound - len(chosen)).collect()
+        chosen += [r["html"] for r in drawn]
+        if n < step:
+            break
+        tagged, step = tagged.filter(F.col("draw") > last), 2 * step
+    return chosen
 
 
 def main_texts(field: crf.Field | None, pages: list[str | None]) -> list[str]:

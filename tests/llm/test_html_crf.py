@@ -76,3 +76,13 @@ def test_query_rows(spark):
 def test_no_pages(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert h.extract(df).count() == 0
+
+
+def test_rare_labels_are_all_sampled(spark):
+    plain = [(k, f"u{k}", f"<p>page {k} without the element") for k in range(3000)]
+    empty = [(k, f"e{k}", f"<!-- <article>{k} --><p>no") for k in range(100)]
+    marked = [(k, f"m{k}", f"<ARTICLE><p>{sentences(30, k)}</p></ARTICLE><footer>x</footer>") for k in range(8)]
+    copies = [(k, f"c{k}", marked[0][2]) for k in range(500)]
+    df = spark.createDataFrame(plain + empty + marked + copies, "page_id long, url string, html string")
+    assert sorted(h.training_sample(df, 20)) == sorted(m[2] for m in marked)
+    assert len(set(h.training_sample(df, 5))) == 5
