@@ -10,7 +10,8 @@ The field is trained on labelled pages: a bounded sample of the table's own page
 that keep its blocks and labels but change the tags around them (``div`` with class or id in place
 of ``article``, and further menus, sidebars, notices, forms, adverts and reader comments).
 
-Scripts, styles, templates, heads and comments of the markup are no blocks. Character references
+Scripts, styles, templates, heads and comments of the markup are no blocks; a head ends at its end
+tag or at the first text or tag that cannot stand in one. Character references
 are decoded, white space in a block becomes one space, main blocks are joined by line feeds.
 
 Defined results: null and empty pages, and pages without main text, give an empty text; markup cut
@@ -49,11 +50,14 @@ BATCH_PAGES = 256
 #: Tags of running text, which don't end a block.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt "
-    "ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "ruby s samp small span strike strong sub sup time tt u var wbr "
+    "math mfrac mi mn mo mover mroot mrow ms msqrt mstyle msub msubsup msup mtext munder munderover".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose text is never shown as text of the page.
-SILENT = frozenset("script style template head noscript svg math object iframe select".split())
+SILENT = frozenset("script style template head".split())
+#: Tags that don't end a head whose end is left out; all others do, as text does.
+IN_HEAD = VOID | frozenset("html title noscript noframes iframe".split())
 #: An opening tag closes these if they are open in the same container.
 CLOSES = {
     "p": ("p",),
@@ -116,11 +120,14 @@ class BlockParser(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in SILENT:
-            if tag != "noscript" or not self.silent:
-                self.silent.append(tag)
+            self.silent.append(tag)
             return
+        if self.silent and self.silent[-1] == "title" and (tag == "body" or tag in ENDS_P):
+            self.silent.pop()
         if self.silent:
-            if self.silent[-1] != "head" or tag != "body":
+            if tag == "title" and self.silent[-1] == "head":
+                self.silent.append(tag)
+            if self.silent != ["head"] or tag in IN_HEAD:
                 return
             self.silent = []
         if tag in INLINE:
@@ -160,6 +167,8 @@ class BlockParser(HTMLParser):
                 break
 
     def handle_data(self, data: str) -> None:
+        if self.silent == ["head"] and data.strip():
+            self.silent = []
         if self.silent:
             return
         self.state.parts.append(data)

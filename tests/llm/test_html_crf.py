@@ -86,3 +86,18 @@ def test_rare_labels_are_all_sampled(spark):
     df = spark.createDataFrame(plain + empty + marked + copies, "page_id long, url string, html string")
     assert sorted(h.training_sample(df, 20)) == sorted(m[2] for m in marked)
     assert len(set(h.training_sample(df, 5))) == 5
+
+
+def test_heads_without_an_end():
+    article = "<article><p>yes</article>"
+    for head in ("<head><title>t</title>", "<head><meta charset=x><title>t</title><script>a</script><style>b</style>",
+                 "<html><head><noscript><img src=x></noscript><title>t</title></head><body>", "<head><title>t<body>"):
+        assert texts(head + article) == ["yes"]
+    assert texts("<head><title>t</title>some <b>text</b>") == ["some text"]
+
+
+def test_text_of_other_elements_is_kept():
+    page = "<article><p>a</p>{}<p>z</p></article>"
+    for tag in ("noscript", "object", "svg", "select"):
+        assert texts(page.format(f"<{tag}><p>b</p></{tag}>")) == ["a", "b", "z"]
+    assert texts("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be") == ["Let x=1 be"]
