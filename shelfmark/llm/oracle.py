@@ -152,6 +152,70 @@ SELECT doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
         ELSE unhex(kept || hex(array_slice(b, last + 1, octet_length(b)))) END) AS kept_sha256
 FROM docs LEFT JOIN removed USING (doc_id)"""
 
+_RANKED = r"""
+WITH docs AS (
+    SELECT doc_id, row_number() OVER () AS d, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+),
+held AS (SELECT doc_id, d, w, len(w)::HUGEINT AS n FROM docs WHERE len(w) > 0),
+total AS (SELECT count(*)::HUGEINT AS docs, sum(n) AS terms FROM held),
+postings AS (
+    SELECT d, t, count(*)::HUGEINT AS tf FROM (SELECT d, unnest(w) AS t FROM held) GROUP BY d, t
+),
+items AS (
+    SELECT item_id, i, unnest(list_distinct(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS t
+    FROM (SELECT item_id, text, row_number() OVER () AS i FROM benchmark)
+),
+weights AS (
+    SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::HUGEINT AS w
+    FROM postings, total WHERE t IN (SELECT t FROM items) GROUP BY t, docs
+),
+scored AS (
+    SELECT item_id, i, doc_id,
+        sum(weights.w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))) AS score
+    FROM items JOIN weights USING (t) JOIN postings USING (t) JOIN held USING (d), total
+    GROUP BY item_id, i, doc_id, d
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score::BIGINT AS score FROM ranked WHERE rank <= 10"""
+
+_NEGATIVES = """
+WITH taken AS (
+    SELECT vec_id, row_number() OVER () AS r,
+        CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+pairs AS (
+    SELECT a.r AS a, a.vec_id AS anchor_id, b.vec_id AS other, b.r AS b, a.label = b.label AS same,
+        list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM taken a, taken b
+    WHERE a.vec_id % 100 = 0 AND b.vec_id IS DISTINCT FROM a.vec_id
+),
+positives AS (
+    SELECT a, anchor_id, other AS positive_id, score AS positive_score, place FROM (
+        SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, other NULLS LAST) AS place
+        FROM pairs WHERE same
+    ) WHERE place <= 5
+),
+negatives AS (
+    SELECT p.anchor_id, positive_id, positive_score, n.other AS negative_id, n.score AS negative_score,
+        row_number() OVER (PARTITION BY p.a, place ORDER BY n.score DESC, n.other NULLS LAST)::INT AS rank
+    FROM positives p JOIN pairs n USING (a)
+    WHERE NOT n.same AND 30 * positive_score <= 100 * n.score AND 100 * n.score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM negatives WHERE rank <= 10"""
+
 ORACLE = {
     "op1_quality_rules": f"""
 WITH {_MEASURES}
@@ -168,4 +232,6 @@ SELECT policy, rule,
 FROM ledger, {_RULES} GROUP BY policy, rule""",
     "op3_license_scan": _LICENCES,
     "op6_suffix_dedup": _REPEATS,
+    "op11_lexical_search": _RANKED,
+    "op12_hard_negatives": _NEGATIVES,
 }

@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 from shelfmark.llm import (
     byte_bpe,
     html_crf,
+    impact_search,
     language_crf,
     license_scan,
     ppm,
     quality_rules,
+    rtree_negatives,
     simhash,
     suffix_dedup,
     tiling,
     token_cache,
+    version_sketch,
 )
 from shelfmark.llm.common import Workspace
 from shelfmark.sources.readers import read_parquet
@@ -148,3 +151,28 @@ def op10_decontamination(spark, sf_dir):
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
     return found.drop("key")
+
+
+@query
+def op11_lexical_search(spark, sf_dir):
+    """The ten best documents for every benchmark item."""
+    lists, found = Workspace(spark), Workspace(spark)
+    index = impact_search.build_index(table(spark, sf_dir, "documents"), lists)
+    best = impact_search.search(index, table(spark, sf_dir, "benchmark"), found)
+    lists.clear()
+    return best
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    """Ten hard negatives for each of five positives of every hundredth vector."""
+    rows = rtree_negatives.vectors(table(spark, sf_dir, "embeddings"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.withColumn("label", moved)
+    return rtree_negatives.mine(rows, rows.filter(F.col("vec_id") % 100 == 0), Workspace(spark))
+
+
+@query
+def op13_fingerprints(spark, sf_dir):
+    """Sketches of all documents, against their edited text and the next document."""
+    return version_sketch.fingerprints(table(spark, sf_dir, "documents"), Workspace(spark))
