@@ -10,8 +10,8 @@ version minus that of another leaves only the digests that differ. Peeling recov
 count 1 or -1 whose keys have the check of its checks holds a single digest, which is then taken
 out of its three cells, which may leave other cells with a single one. Where peeling leaves cells that
 aren't empty, the sketch was too small for the difference: both versions are sketched anew in twice
-as many cells at least, under other cell functions, until it succeeds. The sum of the squared counts,
-three times the number of differences in expectation, tells how much larger to try.
+as many cells at least, under other cell functions, until it succeeds. The variance of the counts
+and their sum tell how much larger to try.
 
 The fingerprint is the sketch at its first size: for each cell the count (2 bytes), keys (8) and checks
 (4), in base 64. Two fingerprints alone tell a difference of some ten paragraphs
@@ -111,6 +111,13 @@ class Sketches:
     def __sub__(self, other: Sketches) -> Sketches:
         return Sketches(self.count - other.count, self.keys ^ other.keys, self.checks ^ other.checks)
 
+    def guess(self) -> np.ndarray:
+        """About how many digests the sketches hold: by the variance of the counts, which each digest
+        changes by 1 or -1, and at least the sum of these."""
+        count = self.count.reshape(len(self.count), 3, -1)
+        spread = ((count - count.mean(axis=2, keepdims=True)) ** 2).sum(axis=(1, 2)) / 3
+        return np.maximum(spread, np.abs(count[:, 0].sum(axis=1)))
+
     def peel(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Rows, digests and signs of what the sketches hold, and the rows that didn't empty.
 
@@ -194,7 +201,7 @@ def differences(
             for part in (rows[a : a + step] for a in range(0, len(rows), step)):
                 sides = [Sketches.of(*_of_rows(*side, part), len(part), size) for side in (left, right)]
                 rest = sides[0] - sides[1]
-                guess = (rest.count**2).sum(axis=1) / 3
+                guess = rest.guess()
                 owner, digest, sign, failed = rest.peel()
                 fine = ~failed[owner]
                 for values, new in zip(done, (part[owner[fine]], digest[fine], sign[fine])):
