@@ -14,7 +14,7 @@ as many cells at least, under other cell functions, until it succeeds. The varia
 and their sum tell how much larger to try.
 
 The fingerprint is the sketch at its first size: for each cell the count (2 bytes), keys (8) and checks
-(4), in base 64. Two fingerprints alone tell a difference of some ten paragraphs
+(4), in base 64. Two fingerprints alone tell a difference of some eight paragraphs
 (:func:`fingerprint_difference`); more takes the texts.
 
 Likeness of two versions is the number of their common paragraphs over that of all distinct ones; of
@@ -44,8 +44,8 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.common import Workspace, fresh_name, map_batches, texts
 
-#: Cells of a fingerprint, three rows of eight.
-CELLS = 24
+#: Cells of a fingerprint, three rows of six.
+CELLS = 18
 #: Words of a paragraph at most.
 MAX_WORDS = 8
 #: Cells of all sketches that are peeled together.
@@ -151,10 +151,10 @@ class Sketches:
         owner, digest, sign = (np.concatenate(x) for x in zip(none, *found))
         return owner, digest, sign, left
 
-    def encoded(self) -> list[str]:
+    def encoded(self) -> list[bytes]:
         out = np.zeros(self.count.shape, _CELL)
         out["count"], out["keys"], out["checks"] = self.count, self.keys, self.checks
-        return [base64.b64encode(row.tobytes()).decode() for row in out]
+        return [row.tobytes() for row in out]
 
     @classmethod
     def decoded(cls, fingerprints: list[str]) -> Sketches:
@@ -253,7 +253,9 @@ def compare_versions(
         sides = [elements([t or "" for t in side.to_pylist()], pattern) for side in (left, right)]
         found = differences(*sides, n, cells)
         sizes = [np.bincount(owner, minlength=n) for owner, _ in sides]
-        marks = [Sketches.of(*side, n, cells).encoded() for side in sides]
+        marks = [
+            [base64.b64encode(x).decode() for x in Sketches.of(*side, n, cells).encoded()] for side in sides
+        ]
         only = []
         for s in (1, -1):
             owner, digest = found.owner[found.sign == s], found.digest[found.sign == s]
@@ -280,21 +282,22 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-RESULT = (
-    "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+#: As stored: digests and sketches in bytes, the result has them in hexadecimal digits and base 64.
+STORED = (
+    "n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
     "near_edited double, near_next double"
 )
-_RESULT_NAMES = [part.split()[0] for part in RESULT.split(", ")]
+_NAMES = [part.split()[0] for part in STORED.split(", ")]
 
 
 def _compared(own: list[str], following: list[str], cells: int, pattern: re.Pattern) -> list[pa.Array]:
-    """The columns of RESULT for texts and the ones that follow them."""
+    """The columns of STORED for texts and the ones that follow them."""
     n, changed = len(own), [edited(a, b) for a, b in zip(own, following)]
     sides = [elements(side, pattern) for side in (own, changed, following)]
     sizes = [np.bincount(owner, minlength=n) for owner, _ in sides]
     near = [likeness(sizes[0], sizes[i], differences(sides[0], sides[i], n, cells)) for i in (1, 2)]
     marks = [Sketches.of(*side, n, cells).encoded() for side in sides[:2]]
-    digests = [hashlib.sha256(t.encode()).hexdigest() for t in changed]
+    digests = [hashlib.sha256(t.encode()).digest() for t in changed]
     lengths = pa.array([len(t) for t in own], pa.int64())
     return [lengths, *map(pa.array, (digests, *marks, *near))]
 
@@ -307,7 +310,7 @@ def fingerprints(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``doc_id`` and the columns of RESULT: each text against its edited text and the next document.
+    """``doc_id`` and the columns of STORED, as text where these are bytes: each text against its edited text and the next document.
 
     The next document is that with the next smaller id; after the smallest comes the largest. Texts
     are sorted once, in ranges of ids. A range's last text waits for the next range's first: these,
@@ -336,7 +339,7 @@ def fingerprints(
         if before is not None:
             yield _row(before[0], None, part, "last", before[1])
 
-    schema = f"doc_id {kind}, {RESULT}, part int, role string, text string"
+    schema = f"doc_id {kind}, {STORED}, part int, role string, text string"
     found = workspace.store(map_batches(ranged, run, schema), "versions")
     # Ranges ascend with the numbers of their tasks: what a range's last text waits for is the first
     # of the next range that has rows. There are as many as the sort had tasks.
@@ -353,16 +356,18 @@ def fingerprints(
         for batch in batches:
             own, following = (batch[c].to_pylist() for c in ("text", "following"))
             columns = _compared(own, following, cells, pattern)
-            yield pa.record_batch([batch["doc_id"], *columns], ["doc_id", *_RESULT_NAMES])
+            yield pa.record_batch([batch["doc_id"], *columns], ["doc_id", *_NAMES])
 
-    finished = map_batches(waiting, finish, f"doc_id {kind}, {RESULT}")
-    done = found.filter(F.col("role").isNull()).select("doc_id", *_RESULT_NAMES)
-    return done.unionByName(finished)
+    finished = map_batches(waiting, finish, f"doc_id {kind}, {STORED}")
+    every = found.filter(F.col("role").isNull()).select("doc_id", *_NAMES).unionByName(finished)
+    # Spark breaks base 64 into lines.
+    marks = {c: F.translate(F.base64(c), "\r\n", "") for c in ("fingerprint", "edited_fingerprint")}
+    return every.withColumns({"edited_sha256": F.lower(F.hex("edited_sha256")), **marks})
 
 
 def _row(ids: pa.Array, columns: list[pa.Array] | None, part: int, role: str | None, text: str | None):
     n = len(ids)
-    types = [pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
+    types = [pa.int64(), *[pa.binary()] * 3, *[pa.float64()] * 2]
     columns = columns or [pa.nulls(n, t) for t in types]
     tail = [pa.array([x] * n, t) for x, t in ((part, pa.int32()), (role, pa.string()), (text, pa.string()))]
-    return pa.record_batch([ids, *columns, *tail], ["doc_id", *_RESULT_NAMES, "part", "role", "text"])
+    return pa.record_batch([ids, *columns, *tail], ["doc_id", *_NAMES, "part", "role", "text"])
