@@ -448,6 +448,12 @@ def _lists(values: pa.Array, lengths: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), values)
 
 
+def padded_lists(ids: np.ndarray, n_real: np.ndarray) -> pa.Array:
+    """Rows of padded ids and their numbers of real ones, of ``ENCODED_TYPE``."""
+    lists = _lists(pa.array(ids.ravel()), np.full(*ids.shape))
+    return pa.StructArray.from_arrays([lists, pa.array(n_real)], names=["input_ids", "n_real"])
+
+
 def _encoder(
     spark: SparkSession, table: pa.Table, max_length: int, subwords: bool, plain: bool
 ):
@@ -513,9 +519,7 @@ def _encoder(
         out[:, 0] = cls
         out[row[fits], column[fits] + 1] = ids[fits]
         out[np.arange(n), kept + 1] = sep
-        padded = _lists(pa.array(out.ravel()), np.full(n, max_length))
-        n_real = pa.array((kept + 2).astype(np.int32))
-        return pa.StructArray.from_arrays([padded, n_real], names=["input_ids", "n_real"])
+        return padded_lists(out, (kept + 2).astype(np.int32))
 
     return run
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.labels import CATEGORIES
-from shelfmark.operators import evaluate, prep, profile, splits, tokens
+from shelfmark.operators import byte_tokens, evaluate, prep, profile, splits, tokens
 from shelfmark.plans import model
 from shelfmark.plans.config import Config, read_config
 from shelfmark.session import exists, read_note, remove, scratch_path, write_note
@@ -18,6 +18,9 @@ from shelfmark.sources.writers import write_jsonl, write_parquet
 # ``tokenizer_model`` value that asks for a vocabulary made from the data themselves.
 CORPUS = "corpus"
 
+# Normalizer of a spec whose vocabulary is a tokenizer file with a byte-level merge list.
+BYTE_LEVEL = "byte_level"
+
 # Where the ETL keeps, inside its output, how the text was made. Readers of the table pass over
 # names that begin with an underscore.
 SPEC_NOTE = "_spec"
@@ -30,11 +33,13 @@ def run_etl(spark: SparkSession, config: Config, **overrides) -> DataFrame:
     ``sample_key`` (draws by key), ``label_column``, ``text_columns`` and optionally ``schema``
     (DDL), ``partitions`` (deals rows of gzip files out), ``list_style``, ``skip``, ``keep``,
     ``record`` (field types that scoring is to check), ``tokenizer_model``: ``corpus``, or the
-    path of a WordPiece vocabulary file, ``vocab_path``, where to keep the vocabulary (default:
+    path of a WordPiece vocabulary file or, ending in ``.json``, of a tokenizer file with a byte-level
+    merge list, ``vocab_path``, where to keep the vocabulary (default:
     inside the output), and, with a schema, ``rejected_path``, where lines that do not parse go
     (else they stay, as rows of nulls; :func:`malformed_lines` counts them). Settings
     ``tokenizer``: ``max_length``, ``strategy`` (``broadcast`` or ``join``) and ``key`` for
-    ``join``, and, for ``corpus``, ``vocab_size`` and ``subwords``.
+    ``join``, for ``corpus``, ``vocab_size`` and ``subwords``, and, for a tokenizer file that doesn't
+    say it itself, ``prefix`` and ``suffix``, lists of the tokens that frame a text, and ``pad``.
 
     How the text was made and encoded is stored with the output; training reads it there.
     """
@@ -95,13 +100,19 @@ def etl_spec(etl: dict, tokenizer: dict) -> model.TextSpec:
         skip=etl.get("skip", "null"),
         encoded=bool(source),
         max_length=tokenizer.get("max_length", tokens.MAX_LENGTH),
-        normalizer="simple" if source in (None, "", CORPUS) else "wordpiece",
+        normalizer=_normalizer(source),
         subwords=bool(source) and tokenizer.get("subwords", source != CORPUS),
         strategy=tokenizer.get("strategy", "broadcast"),
         record=tuple((etl.get("record") or {}).items()),
     )
 
 
+def _normalizer(source: str | None) -> str:
+    if source in (None, "", CORPUS):
+        return "simple"
+    return BYTE_LEVEL if source.endswith(".json") else "wordpiece"
+
+
 def preprocess_records(
     raw: DataFrame, etl: dict, tokenizer: dict, spec: model.TextSpec, scratch: list[str]
 ) -> tuple[DataFrame, model.TextSpec]:
@@ -134,6 +145,9 @@ def preprocess_records(
         combined = read_parquet(spark, copy)
         size = tokenizer.get("vocab_size", 30_000)
         vocab = tokens.build_vocab(combined, prep.COMBINED_COLUMN, size, subwords=spec.subwords)
+    elif spec.normalizer == BYTE_LEVEL:
+        names = (tokenizer.get(n) for n in ("prefix", "suffix", "pad"))
+        vocab = byte_tokens.read_tokenizer(spark, source, *names)
     else:
         vocab = tokens.read_vocab(spark, source)
     write_parquet(vocab, vocab_path)
@@ -144,6 +158,8 @@ def preprocess_records(
 def _encoded(df: DataFrame, spec: model.TextSpec, key: str | None = None) -> DataFrame:
     """Token arrays as the spec makes them."""
     vocab = read_parquet(df.sparkSession, spec.vocab_path) if spec.vocab_path else None
+    if spec.normalizer == BYTE_LEVEL and vocab is not None and "input_ids" not in df.columns:
+        return byte_tokens.encode(df, vocab, spec.text, spec.max_length)
     return tokens.ensure_encoded(
         df,
         vocab,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from shelfmark.functions.labels import CATEGORIES
+from shelfmark.queries.views import MERGES
 
 PRODUCTS = """
 raw_lines AS (SELECT *, string_split(text, chr(10)) AS l FROM documents),
@@ -217,6 +218,28 @@ CONFUSION = "SELECT label, prediction, count(*) AS n FROM predictions GROUP BY l
 CELLS = [f"CAST(count(*) FILTER (WHERE a.prediction = {i}) AS BIGINT)" for i in range(5)]
 BOOL_TEXT = "CASE WHEN l_quantity > 25 THEN 'True' ELSE 'False' END"
 
+def _encoded_bytes(source: str, key: str, text: str) -> str:
+    """Arrays by the merge list of the queries: bytes in hexadecimal digits, merge after merge."""
+    symbols = "regexp_replace(hex(encode(p)), '(..)', '|\\1|', 'g')"
+    for left, right in MERGES:
+        l, r = left.hex().upper(), right.hex().upper()
+        symbols = f"replace({symbols}, '|{l}||{r}|', '|{l}{r}|')"
+    merged = ", ".join(f"'{(l + r).hex().upper()}'" for l, r in MERGES)
+    pattern = "''(?:s|t|re|ve|m|ll|d)| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+"
+    # The last of several blanks before a word belongs to the word.
+    marked = f"regexp_replace({text}, '(\\s)(\\s\\S)', '\\1' || chr(57344) || '\\2', 'g')"
+    return f"""
+pieces AS (SELECT {key}, flatten(list_transform(string_split({marked}, chr(57344)),
+    lambda s: regexp_extract_all(s, '{pattern}'))) AS pieces FROM {source}),
+symbols AS (SELECT {key}, flatten(list_transform(pieces,
+    lambda p: string_split(trim({symbols}, '|'), '||')))[1:510] AS symbols FROM pieces),
+ids AS (SELECT {key}, list_concat(list_concat([2], list_transform(symbols, lambda s: CASE
+    WHEN length(s) = 2 THEN 4 + ('0x' || s)::INTEGER ELSE 259 + list_position([{merged}], s) END)), [3]) AS ids
+    FROM symbols)
+SELECT {key}, array_to_string(list_resize(ids, 512, 0), ' ') AS input_ids,
+    array_to_string(list_resize(list_transform(ids, lambda i: 1), 512, 0), ' ') AS attention_mask FROM ids"""
+
+
 ORACLE: dict[str, str] = {
     "scan_documents": "SELECT doc_id, source, n_chars FROM documents WHERE lang = 'de'",
     "jsonl_read": f"WITH {PRODUCTS} SELECT asin, title, brand, price, main_cat, CAST(len(description) AS INTEGER) AS n_lines FROM products",
@@ -270,6 +293,8 @@ ORACLE: dict[str, str] = {
     "vocab": f"WITH {CORPUS_VOCAB} SELECT token, id, n FROM vocab",
     "encode": ENCODE,
     "encode_joined": ENCODE,
+    "encode_byte_level": f"WITH {_encoded_bytes('documents', 'doc_id', 'text')}",
+    "etl_byte_level": f"WITH {COMBINED}, {_encoded_bytes('combined', 'asin', 'combined_text')}",
     "reuse_encoded": ENCODE,
     "encode_lengths": f"WITH {COMBINED} SELECT asin, CAST(least(len({_words('combined_text')}), 510) + 2 AS INTEGER) AS n_tokens, 512 AS length FROM combined",
     "piece_vocab": f"WITH {PIECE_VOCAB} SELECT token, id, n FROM vocab",

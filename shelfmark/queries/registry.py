@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.functions import labels
+from shelfmark.functions import bytelevel, labels
 from shelfmark.functions.text import render_text
-from shelfmark.operators import evaluate, prep, profile, splits, tokens
+from shelfmark.operators import byte_tokens, evaluate, prep, profile, splits, tokens
 from shelfmark.plans import jobs, model
 from shelfmark.queries import views
-from shelfmark.session import scratch_path
+from shelfmark.session import scratch_path, write_note
 from shelfmark.sources import readers, writers
 from shelfmark.streaming import scoring
 
@@ -386,6 +386,32 @@ def reuse_encoded(spark, sf_dir):
     return _encoded_text(tokens.ensure_encoded(readers.read_parquet(spark, path)))
 
 
+def _byte_tokenizer(spark) -> str:
+    """The path of a tokenizer file with the merge list."""
+    path = scratch_path(spark, "tokenizer") + ".json"
+    write_note(spark, path, bytelevel.tokenizer_text(views.MERGES, tokens.SPECIAL_TOKENS))
+    return path
+
+
+FRAME = {"prefix": [tokens.CLS], "suffix": [tokens.SEP], "pad": tokens.PAD}
+
+
+@query
+def encode_byte_level(spark, sf_dir):
+    """Whole documents by a tokenizer file with a byte-level merge list."""
+    tokenizer = byte_tokens.read_tokenizer(spark, _byte_tokenizer(spark), **FRAME)
+    encoded = byte_tokens.encode(views.documents(spark, sf_dir, spread=True), tokenizer, "text")
+    return _encoded_text(encoded, "doc_id")
+
+
+@query
+def etl_byte_level(spark, sf_dir):
+    """ETL job with such a tokenizer file."""
+    settings = _etl_settings(spark, sf_dir, tokenizer_model=_byte_tokenizer(spark))
+    settings["tokenizer"] = {"max_length": tokens.MAX_LENGTH, **FRAME}
+    return _encoded_text(jobs.run_etl(spark, settings))
+
+
 def _piece_vocab(spark, sf_dir):
     df = views.documents(spark, sf_dir, spread=True)
     return tokens.build_vocab(df, "text", VOCAB_SIZE, subwords=True)

@@ -81,3 +81,22 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(doc_id % 3 == 0, F.col("label")).otherwise(labels.argmax(F.col("scores"))),
     )
     return splits.assign_split(df, "doc_id", seed=42)
+
+# A small merge list, best first, and the tokens before its bytes.
+MERGES = (
+    (b"e", b"r"),
+    (b"t", b"h"),
+    (b"e", b"n"),
+    (b" ", b"th"),
+    (b"i", b"n"),
+    (b" th", b"e"),
+    (b"\xc3", b"\xa9"),
+    (b"a", b"n"),
+    (b" ", b"d"),
+    (b"an", b"d"),
+    (b" d", b"e"),
+    (b"en", b"t"),
+    (b"o", b"n"),
+    (b"\n", b"\n"),
+    (b"l", b"l"),
+)
