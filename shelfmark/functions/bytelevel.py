@@ -244,21 +244,29 @@ def _template(processor: dict | None) -> tuple[list[str], list[str]]:
     return before, after
 
 
-def tokenizer_text(merges: Sequence[tuple[bytes, bytes]], specials: Sequence[str]) -> str:
-    """A file's text for a merge list, best first: special tokens, then the 256 bytes, then merges."""
-    alphabet = byte_alphabet()
-    names = [tuple("".join(alphabet[b] for b in side) for side in pair) for pair in merges]
-    tokens = [*alphabet, *(left + right for left, right in names)]
-    vocab = {t: i for i, t in enumerate(dict.fromkeys([*specials, *tokens]))}
-    added = [{"id": i, "content": s, "special": True, "normalized": False} for i, s in enumerate(specials)]
-    flags = {"single_word": False, "lstrip": False, "rstrip": False}
+def tokenizer_text(merges: Sequence[tuple[str, str]], specials: Sequence[str]) -> str:
+    """A file's text for a merge list, best first: special tokens, then the 256 bytes, then merges.
+
+    The merges are of bytes in their alphabet, as in such files.
+    """
+    tokens = dict.fromkeys([*specials, *byte_alphabet(), *(left + right for left, right in merges)])
+    flags = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True}
     return json.dumps(
         {
             "version": "1.0",
-            "added_tokens": [{**a, **flags} for a in added],
+            "added_tokens": [{"id": i, "content": s, **flags} for i, s in enumerate(specials)],
             "normalizer": None,
             "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True},
             "post_processor": None,
-            "model": {"type": "BPE", "vocab": vocab, "merges": [list(pair) for pair in names]},
+            "model": {
+                "type": "BPE",
+                "vocab": {t: i for i, t in enumerate(tokens)},
+                "merges": [list(pair) for pair in merges],
+            },
         }
     )
+
+
+def in_alphabet(data: bytes) -> str:
+    alphabet = byte_alphabet()
+    return "".join(alphabet[b] for b in data)

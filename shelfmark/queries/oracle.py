@@ -240,6 +240,34 @@ SELECT {key}, array_to_string(list_resize(ids, 512, 0), ' ') AS input_ids,
     array_to_string(list_resize(list_transform(ids, lambda i: 1), 512, 0), ' ') AS attention_mask FROM ids"""
 
 
+def _trained(n_merges: int) -> str:
+    """The merges of a training on the documents' words: symbols are numbers between bars."""
+    return f"""
+WITH RECURSIVE counts AS MATERIALIZED (
+  SELECT token, count(*) AS n FROM (SELECT unnest({_words('text')}) AS token FROM documents) GROUP BY token),
+letters AS (SELECT token, n, unnest(string_split(token, '')) AS c,
+  generate_subscripts(string_split(token, ''), 1) AS place FROM counts),
+symbols AS MATERIALIZED (SELECT c, row_number() OVER (ORDER BY c) AS i FROM (SELECT DISTINCT c FROM letters)),
+size AS (SELECT count(*) AS k FROM symbols),
+numbered AS MATERIALIZED (SELECT any_value(n) AS n, '|' || string_agg(i::VARCHAR, '||' ORDER BY place) || '|' AS w
+  FROM letters JOIN symbols USING (c) GROUP BY token),
+rounds AS (
+  SELECT 0 AS step, w, n, NULL::BIGINT AS a, NULL::BIGINT AS b, NULL::BIGINT AS m FROM numbered
+  UNION ALL
+  SELECT step + 1, replace(w, '|' || best.a || '||' || best.b || '|', '|' || (k + step + 1) || '|'), n, best.a, best.b, best.m
+  FROM rounds, size, (
+    SELECT s[i]::BIGINT AS a, s[i + 1]::BIGINT AS b, sum(n)::BIGINT AS m
+    FROM (SELECT s, n, unnest(range(1, len(s))) AS i FROM (SELECT string_split(trim(w, '|'), '||') AS s, n FROM rounds))
+    GROUP BY a, b ORDER BY m DESC, greatest(a, b), a, b LIMIT 1) best
+  WHERE step < {n_merges}),
+picked AS MATERIALIZED (SELECT DISTINCT step, a, b, m FROM rounds WHERE step > 0),
+texts AS (
+  SELECT 0 AS step, list(c ORDER BY i) AS t FROM symbols
+  UNION ALL SELECT picked.step, list_append(t, t[a] || t[b]) FROM texts JOIN picked ON picked.step = texts.step + 1)
+SELECT CAST(p.step - 1 AS INTEGER) AS rank, t[a] AS "left", t[b] AS "right", m AS n
+FROM picked p, (SELECT t FROM texts ORDER BY step DESC LIMIT 1)"""
+
+
 ORACLE: dict[str, str] = {
     "scan_documents": "SELECT doc_id, source, n_chars FROM documents WHERE lang = 'de'",
     "jsonl_read": f"WITH {PRODUCTS} SELECT asin, title, brand, price, main_cat, CAST(len(description) AS INTEGER) AS n_lines FROM products",
@@ -293,6 +321,7 @@ ORACLE: dict[str, str] = {
     "vocab": f"WITH {CORPUS_VOCAB} SELECT token, id, n FROM vocab",
     "encode": ENCODE,
     "encode_joined": ENCODE,
+    "trained_merges": _trained(24),
     "encode_byte_level": f"WITH {_encoded_bytes('documents', 'doc_id', 'text')}",
     "etl_byte_level": f"WITH {COMBINED}, {_encoded_bytes('combined', 'asin', 'combined_text')}",
     "reuse_encoded": ENCODE,

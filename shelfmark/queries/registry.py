@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import bytelevel, labels
 from shelfmark.functions.text import render_text
-from shelfmark.operators import byte_tokens, evaluate, prep, profile, splits, tokens
+from shelfmark.operators import byte_tokens, evaluate, prep, profile, splits, tokens, trained_vocab
 from shelfmark.plans import jobs, model
 from shelfmark.queries import views
 from shelfmark.session import scratch_path, write_note
@@ -389,10 +389,18 @@ def reuse_encoded(spark, sf_dir):
 def _byte_tokenizer(spark) -> str:
     """The path of a tokenizer file with the merge list."""
     path = scratch_path(spark, "tokenizer") + ".json"
-    write_note(spark, path, bytelevel.tokenizer_text(views.MERGES, tokens.SPECIAL_TOKENS))
+    merges = [tuple(map(bytelevel.in_alphabet, pair)) for pair in views.MERGES]
+    write_note(spark, path, bytelevel.tokenizer_text(merges, tokens.SPECIAL_TOKENS))
     return path
 
 
+@query
+def trained_merges(spark, sf_dir):
+    """The first merges of a subword vocabulary trained on the documents' words."""
+    counts = tokens.count_words(views.documents(spark, sf_dir, spread=True), "text")
+    return trained_vocab.merge_table(spark, trained_vocab.train_merges(counts, 24)[1])
+
+
 FRAME = {"prefix": [tokens.CLS], "suffix": [tokens.SEP], "pad": tokens.PAD}
 
 

@@ -8,11 +8,12 @@ from hypothesis import strategies as st
 
 from shelfmark.functions import bytelevel
 from shelfmark.operators import byte_tokens
-from shelfmark.queries.views import MERGES
+from shelfmark.queries import views
 
 tokenizers = pytest.importorskip("tokenizers")
 public = pytest.importorskip("public_tokenizers")
 
+MERGES = [tuple(map(bytelevel.in_alphabet, pair)) for pair in views.MERGES]
 END = "<|endoftext|>"
 ODD = [
     None,
