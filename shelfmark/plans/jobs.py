@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.labels import CATEGORIES
 from shelfmark.operators import byte_tokens, evaluate, prep, profile, splits, tokens
-from shelfmark.plans import model
+from shelfmark.plans import epochs, model
 from shelfmark.plans.config import Config, read_config
 from shelfmark.session import exists, read_note, remove, scratch_path, write_note
 from shelfmark.sources.readers import CORRUPT_COLUMN, dealt, read_jsonl, read_parquet
@@ -204,7 +204,10 @@ def run_train(spark: SparkSession, config: Config, **overrides) -> TrainingResul
     Settings: ``input_data_path``, ``data_fraction``, ``seed``, ``batch_size``,
     ``test_batch_size``, ``num_epochs``, ``key`` (column or columns; default: the text or
     the token arrays), ``classes``, ``candidates``, ``num_features``, ``max_coefficients``,
-    ``model_path``. How the text was made comes from the input, where the ETL stored it; for
+    ``model_path``. ``trainer``: ``candidates`` (default) fits every candidate and keeps the best;
+    ``epochs`` trains ``num_epochs`` epochs of batches of ``batch_size`` and keeps the best, with
+    ``learning_rate``, ``rounds``, ``shard_rows`` and ``state_path``, from which a training that was
+    broken off goes on. How the text was made comes from the input, where the ETL stored it; for
     other inputs the settings of :data:`model.SPEC_SETTINGS` say it.
     """
     settings = read_config(config, **overrides)
@@ -226,12 +229,7 @@ def run_train(spark: SparkSession, config: Config, **overrides) -> TrainingResul
         splits.export_shards(marked, shards, batch_size, None, seed=seed)
         table = read_parquet(spark, shards)
         train_df, val_df = (table.filter(F.col("split") == s) for s in ("train", "val"))
-        options = {
-            n: settings[n]
-            for n in ("candidates", "num_features", "max_coefficients")
-            if n in settings
-        }
-        classifier = model.train(train_df, val_df, spec, **options)
+        classifier = _trained(train_df, val_df, spec, settings)
         if settings.get("model_path"):
             model.save(classifier, settings["model_path"])
         scored = model.predict(classifier, model.with_label_id(table, spec))
@@ -254,6 +252,17 @@ def run_train(spark: SparkSession, config: Config, **overrides) -> TrainingResul
     )
 
 
+def _trained(
+    train_df: DataFrame, val_df: DataFrame, spec: model.TextSpec, settings: dict
+) -> model.Classifier:
+    if settings.get("trainer", "candidates") == "epochs":
+        names = {f.name for f in fields(epochs.EpochSettings)}
+        chosen = epochs.EpochSettings(**{n: v for n, v in settings.items() if n in names})
+        return model.train_epochs(train_df, val_df, spec, chosen, settings.get("state_path"))
+    names = ("candidates", "num_features", "max_coefficients")
+    return model.train(train_df, val_df, spec, **{n: settings[n] for n in names if n in settings})
+
+
 def run_predict(spark: SparkSession, model_path: str, df: DataFrame) -> DataFrame:
     """Score records, batch or streaming, with a stored classifier.
 

@@ -18,6 +18,7 @@ from pyspark.storagelevel import StorageLevel
 from shelfmark.functions import labels
 from shelfmark.functions.text import WORD_BREAK
 from shelfmark.operators import evaluate, prep, tokens
+from shelfmark.plans import epochs
 from shelfmark.session import exists, read_note, remove, write_note
 from shelfmark.sources.readers import read_parquet
 from shelfmark.sources.writers import write_parquet
@@ -69,7 +70,7 @@ def spec_from_json(text: str) -> TextSpec:
 
 @dataclass(frozen=True)
 class Classifier:
-    model: PipelineModel
+    model: PipelineModel | epochs.HashedLinear
     spec: TextSpec
     validation: tuple[tuple[Mapping, float], ...] = ()
 
@@ -143,15 +144,31 @@ def train(
 
 def predict(classifier: Classifier, df: DataFrame) -> DataFrame:
     """Add ``scores``, ``prediction`` (class id) and ``predicted`` (class name)."""
-    scored = classifier.model.transform(df)
-    return (
-        scored.withColumn("scores", vector_to_array("probability"))
-        .withColumn("prediction", F.col("prediction").cast("int"))
-        .withColumn("predicted", labels.decode(F.col("prediction"), classifier.spec.classes))
-        .drop("terms", "tf", "features", "rawPrediction", "probability")
+    if isinstance(classifier.model, epochs.HashedLinear):
+        scored = classifier.model.transform(df, classifier.spec)
+    else:
+        scored = classifier.model.transform(df)
+        scored = scored.withColumn("scores", vector_to_array("probability"))
+        scored = scored.drop("terms", "tf", "features", "rawPrediction", "probability")
+    return scored.withColumn("prediction", F.col("prediction").cast("int")).withColumn(
+        "predicted", labels.decode(F.col("prediction"), classifier.spec.classes)
     )
 
 
+def train_epochs(
+    train_df: DataFrame,
+    val_df: DataFrame,
+    spec: TextSpec,
+    settings: epochs.EpochSettings,
+    state_path: str | None = None,
+) -> Classifier:
+    """Train by epochs (:mod:`shelfmark.plans.epochs`); ``validation`` has each epoch with its loss."""
+    classes = sorted(set(spec.classes))
+    label_id = labels.encode(F.col(spec.label_column), classes)
+    found, tried = epochs.train(train_df, val_df, spec, label_id, len(classes), settings, state_path)
+    return Classifier(found, spec, tuple((x, x["val_loss"]) for x in tried))
+
+
 def save(classifier: Classifier, path: str) -> None:
     """Store the model and, beside it, how its text is made, vocabulary included.
 
@@ -162,7 +179,10 @@ def save(classifier: Classifier, path: str) -> None:
     spark, spec = SparkSession.getActiveSession(), classifier.spec
     name = f"v-{uuid.uuid4().hex}"
     folder = f"{path}/{name}"
-    classifier.model.write().save(f"{folder}/model")
+    if isinstance(classifier.model, epochs.HashedLinear):
+        classifier.model.save(spark, f"{folder}/weights")
+    else:
+        classifier.model.write().save(f"{folder}/model")
     if spec.vocab_path:
         write_parquet(read_parquet(spark, spec.vocab_path), f"{folder}/vocab")
         spec = replace(spec, vocab_path=f"{folder}/vocab")
@@ -178,4 +198,6 @@ def load(spark: SparkSession, path: str) -> Classifier:
     spec = spec_from_json(read_note(spark, f"{folder}/spec"))
     if spec.vocab_path:
         spec = replace(spec, vocab_path=f"{folder}/vocab")
+    if exists(spark, f"{folder}/weights"):
+        return Classifier(epochs.HashedLinear.load(spark, f"{folder}/weights"), spec)
     return Classifier(PipelineModel.load(f"{folder}/model"), spec)

@@ -268,6 +268,37 @@ SELECT CAST(p.step - 1 AS INTEGER) AS rank, t[a] AS "left", t[b] AS "right", m A
 FROM picked p, (SELECT t FROM texts ORDER BY step DESC LIMIT 1)"""
 
 
+EPOCHS = f"""
+WITH RECURSIVE docs AS (SELECT doc_id, CAST(list_position(['de', 'en', 'es', 'fr'], lang) - 1 AS INTEGER) AS y,
+    doc_id % 5 = 0 AS held_out, {_words('text')} AS words FROM documents WHERE lang IS NOT NULL),
+terms AS (SELECT doc_id, f, 1 + ln(count(*)) AS v
+    FROM (SELECT doc_id, length(t) % 8 AS f FROM (SELECT doc_id, unnest(words) AS t FROM docs)) GROUP BY doc_id, f),
+x AS MATERIALIZED (
+  SELECT doc_id, f, v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)) AS v FROM terms
+  UNION ALL SELECT doc_id, 8, 1.0::DOUBLE FROM docs),
+size AS (SELECT count(*) AS k FROM docs WHERE NOT held_out),
+weights AS (
+  SELECT 0 AS step, f, c, 0.0::DOUBLE AS w FROM range(9) a(f), range(4) b(c)
+  UNION ALL
+  SELECT step + 1, f, c, w - 2.0::DOUBLE * CASE WHEN step = 0 THEN 0 ELSE (1 - step / 4.0::DOUBLE) / 0.9::DOUBLE END
+    * coalesce(d, 0) / k
+  FROM weights CROSS JOIN size LEFT JOIN (
+    SELECT x.f, p.c, sum(x.v * (p.p - CASE WHEN y = p.c THEN 1 ELSE 0 END)) AS d
+    FROM x JOIN docs USING (doc_id) JOIN (
+      SELECT doc_id, c, exp(z) / sum(exp(z)) OVER (PARTITION BY doc_id) AS p
+      FROM (SELECT doc_id, c, sum(v * w) AS z FROM x JOIN weights USING (f) GROUP BY doc_id, c)) p USING (doc_id)
+    WHERE NOT held_out GROUP BY x.f, p.c) g USING (f, c)
+  WHERE step < 4),
+scores AS (SELECT step, doc_id, y, c, exp(z) / sum(exp(z)) OVER (PARTITION BY step, doc_id) AS p FROM (
+  SELECT step, doc_id, y, c, sum(v * w) AS z FROM docs JOIN x USING (doc_id) JOIN weights USING (f)
+  WHERE held_out GROUP BY step, doc_id, y, c)),
+best AS (SELECT step, doc_id, y, max(p) FILTER (y = c) AS p,
+  list(c ORDER BY p DESC, c)[1] AS prediction FROM scores GROUP BY step, doc_id, y)
+SELECT step AS epoch, (SELECT k FROM size) AS train_rows, round(avg(-ln(p)), 6) AS val_loss,
+  round(avg(CASE WHEN prediction = y THEN 1.0::DOUBLE ELSE 0 END), 6) AS val_accuracy
+FROM best WHERE step > 0 GROUP BY step"""
+
+
 ORACLE: dict[str, str] = {
     "scan_documents": "SELECT doc_id, source, n_chars FROM documents WHERE lang = 'de'",
     "jsonl_read": f"WITH {PRODUCTS} SELECT asin, title, brand, price, main_cat, CAST(len(description) AS INTEGER) AS n_lines FROM products",
@@ -354,6 +385,7 @@ ORACLE: dict[str, str] = {
     "bernoulli_sample": "SELECT lang, count(*) AS n_documents, count(*) AS n_joined, true AS is_part, true AS size_is_near FROM documents GROUP BY lang",
     "random_three_way": "SELECT lang, count(*) AS n_rows, count(*) AS n_documents, true AS shares_are_near FROM documents GROUP BY lang",
     "train_text": f"SELECT {SPLIT} AS split, count(*) AS n_rows, true AS loss_is_the_lowest, true AS beats_guessing, true AS mostly_right FROM documents GROUP BY 1",
+    "train_epochs": EPOCHS,
     "train_encoded": f"""SELECT CAST(list_position(['de', 'en', 'es', 'fr'], lang) - 1 AS INTEGER) AS label, count(*) AS n_rows,
         1.0::DOUBLE AS share, true AS mostly_right FROM documents WHERE {SPLIT} = 'test' GROUP BY 1""",
     "predict_records": f"WITH {PRODUCTS} SELECT asin, main_cat, true AS is_best, true AS is_named, true AS sums_to_one FROM products",

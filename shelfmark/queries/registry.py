@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions import bytelevel, labels
-from shelfmark.functions.text import render_text
+from shelfmark.functions.text import render_text, words
 from shelfmark.operators import byte_tokens, evaluate, prep, profile, splits, tokens, trained_vocab
-from shelfmark.plans import jobs, model
+from shelfmark.plans import epochs, jobs, model
 from shelfmark.queries import views
 from shelfmark.session import scratch_path, write_note
 from shelfmark.sources import readers, writers
@@ -572,6 +572,25 @@ def train_encoded(spark, sf_dir):
     return per_label
 
 
+@query
+def train_epochs(spark, sf_dir):
+    """Four epochs on the lengths of words: each epoch's loss and accuracy on the rows held out.
+
+    A batch is a shard here, so that a round is one step along the mean gradient of all rows.
+    """
+    df = views.documents(spark, sf_dir, spread=True).filter(F.col("lang").isNotNull())
+    lengths = F.transform(words(F.lower("text")), F.length)
+    df = df.select("doc_id", "lang", F.concat(F.array(F.lit(0)), lengths, F.array(F.lit(0))).alias("input_ids"))
+    df = df.withColumn("attention_mask", F.transform("input_ids", lambda t: F.lit(1)))
+    spec = model.TextSpec(classes=views.LANGUAGES, label_column="lang", encoded=True)
+    settings = epochs.EpochSettings(num_epochs=4, batch_size=1 << 30, rounds=1, num_features=8)
+    held_out = F.col("doc_id") % 5 == 0
+    trained = model.train_epochs(df.filter(~held_out), df.filter(held_out), spec, settings)
+    rows = [tuple(x.values()) for x, _ in trained.validation]
+    names = "epoch int, train_rows long, val_loss double, val_accuracy double"
+    return _rounded(spark.createDataFrame(rows, names))
+
+
 def _stored_model(spark, sf_dir, **etl):
     settings, stored = _etl_settings(spark, sf_dir, **etl), scratch_path(spark, "model")
     encoded = jobs.run_etl(spark, settings)
