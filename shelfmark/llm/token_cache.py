@@ -24,12 +24,14 @@ from pyspark.sql import functions as F
 from shelfmark.llm.common import map_batches, texts
 
 CACHE_SCHEMA = "content binary, tokenizer binary, n_tokens long"
-#: Words whose counts a worker keeps; when there are more, it starts afresh.
+#: Words of a generation of those whose counts a worker keeps, and of those that it has met once. It
+#: remembers two generations of each: when one is full, the older of the two goes.
 MEMO_WORDS = 200_000
+ONCE_WORDS = 500_000
 #: Words that are handed to the tokenizer at once, whose encodings take some kB each, and rows
 #: whose words are held at once.
 ENCODE_WORDS = 2_000
-ROWS = 128
+ROWS = 256
 _BLANK_RUNS = "[\\x20\\x09-\\x0D]+"
 
 
@@ -83,16 +85,71 @@ def normalised(text: Column, tokenizer: TokenizerFile) -> Column:
     return F.trim(F.regexp_replace(text, _BLANK_RUNS, " "))
 
 
-def _by_word(batch: list[str], count, memo: dict[str, int]) -> list[int]:
-    rows = [text.split(" ") for text in batch]
-    fresh = list({w for row in rows for w in row if w not in memo})
-    if len(memo) + len(fresh) > MEMO_WORDS:
-        memo.clear()
-        fresh = list({w for row in rows for w in row})
-    for at in range(0, len(fresh), ENCODE_WORDS):
-        words = fresh[at : at + ENCODE_WORDS]
-        memo.update(zip(words, count(words)))
-    return [sum(map(memo.__getitem__, row)) for row in rows]
+class WordCounter:
+    """Token counts of texts as the sums over their words.
+
+    Most words of a corpus are met once. A word is first counted together with the other new words
+    of its text, which is cheaper than alone; the second time it is counted alone and remembered.
+    """
+
+    def __init__(self, count):
+        self.count = count
+        self.memo: dict[str, int] = {}
+        self.older: dict[str, int] = {}
+        self.once: set[int] = set()
+        self.older_once: set[int] = set()
+
+    def __call__(self, batch: list[str]) -> list[int]:
+        rows = [text.split(" ") if text else [] for text in batch]
+        self._remember(rows)
+        memo, totals, new = self.memo, [], []
+        for i, row in enumerate(rows):
+            known = [memo.get(w) for w in row]
+            if None in known:
+                new.append((i, " ".join([w for w, n in zip(row, known) if n is None])))
+            totals.append(sum(n for n in known if n))
+        for (i, _), n in zip(new, self.count([text for _, text in new])):
+            totals[i] += n
+        return totals
+
+    def _remember(self, rows: list[list[str]]) -> None:
+        """Count the words that come again, here or from before; note the others."""
+        if len(self.memo) >= MEMO_WORDS:
+            self.memo, self.older = {}, self.memo
+        if len(self.once) >= ONCE_WORDS:
+            self.once, self.older_once = set(), self.once
+        memo, again, met = self.memo, {}, set()
+        for row in rows:
+            for word in row:
+                if word in memo:
+                    continue
+                if word in self.older:
+                    memo[word] = self.older[word]
+                elif word in met:
+                    again[word] = None
+                else:
+                    met.add(word)
+        for word in met:
+            key = hash(word)
+            if word not in again and (key in self.once or key in self.older_once):
+                again[word] = None
+            self.once.add(key)
+        words = list(again)
+        for at in range(0, len(words), ENCODE_WORDS):
+            part = words[at : at + ENCODE_WORDS]
+            memo.update(zip(part, self.count(part)))
+
+
+#: The counter of a worker, which goes from task to task.
+_KEPT: dict[bytes, object] = {}
+
+
+def _worker_counter(tokenizer: TokenizerFile, version: bytes, content: bytes):
+    if version not in _KEPT:
+        count = counter(tokenizer, content)
+        _KEPT.clear()
+        _KEPT[version] = WordCounter(count) if tokenizer.by_word else count
+    return _KEPT[version]
 
 
 def encode_counts(misses: DataFrame, tokenizer: TokenizerFile) -> DataFrame:
@@ -101,12 +158,12 @@ def encode_counts(misses: DataFrame, tokenizer: TokenizerFile) -> DataFrame:
     shared = misses.sparkSession.sparkContext.broadcast(tokenizer.content())
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, memo = counter(tokenizer, shared.value), {}
+        count = _worker_counter(tokenizer, version, shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
                 values = part.column("text").to_pylist()
-                counts = _by_word(values, count, memo) if tokenizer.by_word else count(values)
+                counts = count(values)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("content"),

@@ -72,3 +72,21 @@ def test_another_tokenizer_has_its_own_counts(spark, cache):
 
 def test_empty_table(spark, cache):
     assert t.token_counts(frame(spark, []), WORDS, cache).count() == 0
+
+
+def test_generations_of_words_keep_the_counts(monkeypatch):
+    import random
+
+    monkeypatch.setattr(t, "MEMO_WORDS", 5)
+    monkeypatch.setattr(t, "ONCE_WORDS", 7)
+    rng, asked = random.Random(1), []
+
+    def count(batch):
+        asked.extend(batch)
+        return [sum(map(len, text.split())) for text in batch]
+
+    counter = t.WordCounter(count)
+    for _ in range(200):
+        batch = [" ".join("w" * rng.randint(1, 30) for _ in range(rng.randint(0, 9))) for _ in range(4)]
+        assert counter(batch) == [len(x.replace(" ", "")) for x in batch]
+    assert any(" " in x for x in asked) and any(" " not in x for x in asked)
