@@ -77,11 +77,11 @@ TOKEN_LIMIT = 2048
 
 @query
 def op2_token_counts(spark, sf_dir):
-    """Tokens of all documents by the word-level BPE, through a fresh cache."""
+    """Tokens of all documents by the word-level BPE; what an earlier run has counted is not encoded."""
     tokenizer = token_cache.TokenizerFile(
         public_tokenizers.path("word_bpe_49k.json"), by_word=True
     )
-    cache = Workspace(spark).path("token-cache")
+    cache = token_cache.cache_path(spark, tokenizer)
     counts = token_cache.token_counts(table(spark, sf_dir, "documents"), tokenizer, cache)
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import map_batches, texts
+from shelfmark.session import shared_dir
 
 CACHE_SCHEMA = "content binary, tokenizer binary, n_tokens long"
 #: Words of a generation of those whose counts a worker keeps, and of those that it has met once. It
@@ -176,6 +177,11 @@ def encode_counts(misses: DataFrame, tokenizer: TokenizerFile) -> DataFrame:
     return map_batches(misses, stage, CACHE_SCHEMA)
 
 
+def cache_path(spark: SparkSession, tokenizer: TokenizerFile) -> str:
+    """The tokenizer version's own cache below the shared folder, where a later run finds it."""
+    return f"{shared_dir(spark)}/token-cache-{tokenizer.digest().hex()[:32]}"
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

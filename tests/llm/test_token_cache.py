@@ -54,6 +54,18 @@ def test_only_distinct_misses_are_encoded(spark, cache):
     assert spark.read.parquet(cache).count() == 3
 
 
+def test_a_second_run_of_the_query_encodes_nothing(spark):
+    from shelfmark.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    path = t.cache_path(spark, WORDS)
+    first = sorted(QUERIES["op2_token_counts"](spark, folder).collect())
+    stored = spark.read.parquet(path).count()
+    assert stored >= len({r.doc_id for r in first}) / 2
+    assert sorted(QUERIES["op2_token_counts"](spark, folder).collect()) == first
+    assert spark.read.parquet(path).count() == stored
+
+
 def test_stored_counts_are_used_as_they_are(spark, cache):
     docs = frame(spark, [(1, "c")])
     t.token_counts(docs, WORDS, cache).collect()
