@@ -42,21 +42,73 @@ def test_tiles_equal_brute_force(seed):
     words = [chr(97 + k) for k in range(rng.randint(2, 6))]
     doc = [rng.choice(words) for _ in range(rng.randint(0, 40))]
     item = [rng.choice(words) for _ in range(rng.randint(0, 20))]
-    got = t.greedy_tiles(doc, item, 3)
-    assert [n for n, _, _ in got][:1] == [n for n, _, _ in brute_tiles(doc, item, 3)][:1]
-    marked_doc, marked_item = set(), set()
-    for n, a, b in got:
-        assert n >= 3 and doc[a : a + n] == item[b : b + n]
-        assert not marked_doc & set(range(a, a + n)) and not marked_item & set(range(b, b + n))
-        marked_doc |= set(range(a, a + n))
-        marked_item |= set(range(b, b + n))
-    assert [n for n, _, _ in got] == sorted((n for n, _, _ in got), reverse=True)
-    rest = brute_tiles(
-        [None if i in marked_doc else w for i, w in enumerate(doc)],
-        [object() if i in marked_item else w for i, w in enumerate(item)],
-        3,
-    )
-    assert rest == []
+    doc = [None if rng.random() < 0.1 else w for w in doc]
+    assert t.greedy_tiles(doc, item, 3) == brute_tiles(doc, item, 3)
+    assert t.greedy_tiles(doc, item, 1) == brute_tiles(doc, item, 1)
+
+
+def test_repeated_words_end():
+    import time
+
+    start = time.perf_counter()
+    assert t.greedy_tiles(["a"] * 5000, ["a"] * 500) == [(500, 0, 0)]
+    assert t.greedy_tiles(["a", "b"] * 2500, ["b", "a"] * 250) == [(500, 1, 0)]
+    assert time.perf_counter() - start < 10
+
+
+def brute_pairs(rows, benchmark, min_tile=3, share=0.8):
+    import math
+    import re
+
+    def words(text):
+        return re.findall(r"[0-9a-z\x80-\U0010ffff]+", (text or "").lower())
+
+    out = set()
+    for doc, text in rows:
+        for item, passage in benchmark:
+            wanted = words(passage)
+            if wanted:
+                tiles = brute_tiles(words(text), wanted, min(min_tile, len(wanted)))
+                covered = sum(n for n, _, _ in tiles)
+                if covered >= math.ceil(len(wanted) * share):
+                    out.add((doc, item, len(wanted), covered, len(tiles)))
+    return out
+
+
+def test_pairs_equal_brute_force(spark):
+    rng = random.Random(4)
+    vocabulary = [chr(97 + k) * 2 for k in range(9)]
+    benchmark = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(0, 14)))) for i in range(40)]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(0, 60)))) for i in range(60)]
+    for i in range(40):
+        pieces = [p.split() for _, p in benchmark if p]
+        words = rng.choice(pieces)
+        parts = [words[a : a + 4] for a in range(0, len(words), 4)]
+        rng.shuffle(parts)
+        rows.append((100 + i, " x ".join(" ".join(p) for p in parts)))
+    names = ("doc_id", "item_id", "n_item_words", "n_covered", "n_tiles")
+    for options in ({}, {"max_broadcast_words": 1}):
+        found = t.contaminated(frame(spark, rows), items(spark, benchmark), **options).collect()
+        assert {tuple(r[n] for n in names) for r in found} == brute_pairs(rows, benchmark)
+
+
+def test_short_items_and_reordered_pieces(spark):
+    short = [(1, "forty two"), (2, "fish"), (3, "a b c d"), (4, "the answer")]
+    pieces = " ".join(f"w{i}" for i in range(20))
+    rows = [
+        (1, "the answer is Forty-two"),
+        (2, "fishy"),
+        (3, "so long, fish!"),
+        (4, "; ".join(" ".join(f"w{i}" for i in range(a, a + 4)) for a in (12, 0, 16, 8, 4))),
+    ]
+    found = t.contaminated(frame(spark, rows), items(spark, [*short, (5, pieces)])).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(1, 1), (1, 4), (3, 2), (4, 5)]
+
+
+def test_a_word_repeated_throughout(spark):
+    rows = [(1, "a " * 20_000), (2, "a b " * 9_000)]
+    found = t.contaminated(frame(spark, rows), items(spark, [(1, "a " * 240), (2, "b a " * 100)])).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(1, 1), (2, 2)]
 
 
 def test_whole_and_edited_passages(spark):
