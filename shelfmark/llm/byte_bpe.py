@@ -10,7 +10,9 @@ token. Texts are put together from their pieces.
 Defined results: a null text counts as empty and has no ids; rows are independent, so repeated
 rows and null ids each get a row; an empty table gives an empty result; other columns are ignored.
 A long piece is first cut where no token has its two neighbouring bytes side by side, which no
-merge can cross; what is left takes time in the square of its length.
+merge can cross. A recursive query takes a step per pair and so time in the square of a part's length; the few
+parts of more than ``LONG_BYTES`` bytes that no cut divides (runs of one letter or sign) are contracted
+with a heap of pairs instead, in n log n steps, to the same tokens.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from shelfmark.functions.bytelevel import merged
 from shelfmark.llm.common import map_batches, texts
 
 #: Pieces of one generation (some 200 MB). A worker remembers two: when one is full, the older of
@@ -36,8 +39,10 @@ MEMO_PIECES = 650_000
 BLOCK_CHARS = 4_000_000
 QUERY_PIECES = 50_000
 QUERY_STEPS = 24
-#: Pieces of more bytes are cut first.
+#: Pieces of more bytes are cut first, and parts of more bytes are left to the heap.
 LONG_BYTES = 48
+#: Bytes of the parts that a recursive query takes together.
+QUERY_BYTES = 400_000
 
 #: A candidate's key orders by rank, then by place, and says how many bytes its left token and the
 #: merged one have: 19, 28, 8 and 8 bits.
@@ -119,7 +124,9 @@ class PieceCoder:
             "CREATE TABLE tokens AS SELECT id, id::VARCHAR AS text, hex(bytes) AS hexed, "
             "octet_length(bytes)::BIGINT AS size FROM listed"
         )
-        self.con.register("pairs", self._pairs())
+        pairs = self._pairs()
+        self.con.register("pairs", pairs)
+        self.pairs, self.bytes_of, self.merges = pairs, {}, {}
         self.con.execute(
             "CREATE TABLE merges AS SELECT first, second, merged::BIGINT * 17592186044416 AS high, "
             "size FROM pairs JOIN tokens ON id = merged"
@@ -158,7 +165,7 @@ class PieceCoder:
         cut = [[raw] if known else self._parts(raw) for raw, known in zip(raws, whole.tolist())]
         sizes = np.fromiter(map(len, cut), np.int64, len(cut))
         parts = [part for own in cut for part in own]
-        coded = self._contract(parts, np.repeat(whole, sizes))
+        coded = self._coded(parts, np.repeat(whole, sizes))
         out, at = {}, 0
         for piece, n in zip(pieces, sizes.tolist()):
             ids, decoded = zip(*coded[at : at + n])
@@ -166,6 +173,29 @@ class PieceCoder:
             at += n
         return out
 
+    def _coded(self, parts: list[bytes], whole: np.ndarray) -> list[tuple[str, bytes]]:
+        """Ids and decoded bytes of each part, by queries of bounded size or, if long, by the heap."""
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        long = (sizes > LONG_BYTES) & ~whole
+        out: list = [None] * len(parts)
+        for i in np.flatnonzero(long):
+            out[i] = self._heaped(parts[i])
+        short = np.flatnonzero(~long)
+        lots = (np.cumsum(sizes[short]) - sizes[short]) // QUERY_BYTES
+        for own in np.split(short, np.flatnonzero(np.diff(lots)) + 1):
+            if len(own):
+                for i, coded in zip(own, self._contract([parts[i] for i in own], whole[own])):
+                    out[i] = coded
+        return out
+
+    def _heaped(self, part: bytes) -> tuple[str, bytes]:
+        if not self.merges:
+            first, second, rank = (self.pairs[c].to_pylist() for c in ("first", "second", "merged"))
+            self.merges = dict(zip(zip(first, second), zip(rank, rank)))
+            self.bytes_of = {i: t for t, i in self.tokens.items()}
+        ids = merged(self.single[np.frombuffer(part, np.uint8)].tolist(), self.merges)
+        return " ".join(map(str, ids)), b"".join(map(self.bytes_of.__getitem__, ids))
+
     def _contract(self, parts: list[bytes], whole: np.ndarray) -> list[tuple[str, bytes]]:
         """Ids and decoded bytes of each part; those marked ``whole`` are tokens as they are."""
         raw = np.frombuffer(b"".join(parts), np.uint8)

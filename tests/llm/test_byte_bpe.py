@@ -33,6 +33,43 @@ def test_pieces_equal_the_library(coder, library):
         assert coded[piece] == (" ".join(map(str, want)), piece.encode())
 
 
+def test_long_pieces_end(coder, library):
+    import base64
+    import time
+
+    rng = random.Random(5)
+    pieces = {
+        "letters": "a" * 1_000_000,
+        "signs": "=" * 1_000_000,
+        "mixed signs": "=-" * 100_000 + "-" * 50_001,
+        "base64": base64.b64encode(rng.randbytes(750_000)).decode(),
+        "words": "".join(rng.choice(["lorem", "ipsum", "dolor", "qx", "thing"]) for _ in range(3_000)),
+    }
+    for name, piece in pieces.items():
+        start = time.perf_counter()
+        ids, raw = coder.code([piece])[piece]
+        assert time.perf_counter() - start < 60, name
+        assert raw == piece.encode()
+        if len(piece) <= 20_000 or name == "base64":
+            assert ids == " ".join(map(str, library._encode_single_piece(piece))), name
+
+
+@pytest.mark.parametrize("n", [49, 50, 51, 64, 100, 127, 1000, 4097])
+def test_runs_equal_the_library(coder, library, n):
+    for piece in ("a" * n, "=" * n, "ab" * n, "aab" * n, "-=" * n + "=", "hello" * n):
+        assert coder.code([piece])[piece][0] == " ".join(map(str, library._encode_single_piece(piece)))
+
+
+def test_pairs_that_rank_before_their_parts():
+    tokens = {bytes([b]): b for b in range(256)} | {b"aaa": 256, b"aa": 257, b"aab": 258, b"ba": 259, b"baa": 255 + 5}
+    other = b.PieceCoder(tokens)
+    known = tiktoken.Encoding("own", pat_str=".+", mergeable_ranks=tokens, special_tokens={})
+    rng = random.Random(1)
+    pieces = ["aab" * 30 + "a" * 31] + ["".join(rng.choices("aaab", k=rng.randint(49, 120))) for _ in range(40)]
+    for piece, coded in other.code(pieces).items():
+        assert coded[0] == " ".join(map(str, known._encode_single_piece(piece)))
+
+
 def test_documents_equal_the_library(spark, library):
     rows = ODD + [(30, sentences(4000)), (31, "don't <|endoftext|> I'LL  \x1c\x85\xa0 12345  ")]
     got = b.encode(with_clashes(frame(spark, rows)), VOCABULARY).collect()
