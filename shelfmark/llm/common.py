@@ -31,7 +31,9 @@ def row_key(doc_id: Column | str = "doc_id", text: Column | str = "text") -> Col
     """
     doc_id = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     text = F.col(text) if isinstance(text, str) else text
-    known = F.coalesce(doc_id.cast("string"), F.lit("null"))
+    shown = doc_id.cast("string")
+    # The id's length comes first, so that ids and texts can't run into each other; no id has none.
+    known = F.coalesce(F.concat(F.length(shown).cast("string"), F.lit(":"), shown), F.lit("-"))
     return F.unhex(F.substring(F.sha2(F.concat(known, F.lit(":"), text), 256), 1, 32))
 
 

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm import crf
@@ -30,7 +30,8 @@ from shelfmark.llm.common import give_back
 from shelfmark.llm.rolling import Powers, blocks, string_views, word_hashes, word_spans
 
 UNKNOWN = "und"
-#: Bounds of the training sample: documents per language, and steps of the optimiser.
+#: Bounds of the training sample: texts per language, and steps of the optimiser; seed of its draw.
+DRAW_SEED = 5
 TRAINING_DOCS = 250
 TRAINING_STEPS = 40
 #: Mean words of a run and words of a training sequence.
@@ -109,22 +110,27 @@ def _prepared(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def training_sample(labelled: DataFrame, per_language: int = TRAINING_DOCS) -> list[tuple[str, str]]:
-    """(text, label) of at most ``per_language`` documents of each label, chosen by a hash.
+    """(text, label) of at most ``per_language`` distinct texts of each label, chosen by a hash.
 
-    Rows need ``doc_id, text, lang``; those without a text or a label are passed over.
+    Rows need ``text, lang``; those without a text or a label are passed over. Copies of a text are
+    one, whatever their ids, and the bound is applied before anything is collected.
     """
-    known = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    known = known.select("text", "lang", draw.alias("draw"))
-    counts = known.groupBy("lang").count().collect()
-    share = F.lit(0.0)
-    for row in counts:
-        share = F.when(F.col("lang") == row["lang"], 1.5 * per_language / row["count"]).otherwise(share)
-    drawn = known.filter(F.col("draw") < share).collect()
-    chosen: dict[str, list] = {}
-    for row in sorted(drawn, key=lambda r: (r["draw"], r["text"])):
-        chosen.setdefault(row["lang"], []).append(row["text"])
-    return [(t, lang) for lang in sorted(chosen) for t in chosen[lang][:per_language]]
+    known = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
+    content = F.xxhash64("text", F.lit(DRAW_SEED))
+    counts = known.groupBy("lang").agg(F.approx_count_distinct(content).alias("n"))
+    # A row per label is broadcast, of which the field holds 2^18 weights each.
+    # Twice as many as wanted are drawn, so that chance and the estimate leave enough of them.
+    share = (2.0 * per_language / F.col("n")).alias("share")
+    drawn = (
+        known.withColumn("draw", F.pmod(content, F.lit(1 << 30)) / F.lit(float(1 << 30)))
+        .join(F.broadcast(counts.select(F.col("lang").alias("of"), share)), F.col("lang") == F.col("of"))
+        .filter(F.col("draw") < F.col("share"))
+        .dropDuplicates(["lang", "text"])
+    )
+    first = Window.partitionBy("lang").orderBy("draw", "text")
+    chosen = drawn.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= per_language)
+    rows = chosen.select("lang", "place", "text").collect()
+    return [(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["lang"], r["place"]))]
 
 
 def train(sample: list[tuple[str, str]], steps: int = TRAINING_STEPS, seed: int = 7) -> crf.Field | None:

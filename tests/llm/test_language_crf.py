@@ -79,3 +79,10 @@ def test_sample_is_bounded(documents):
     sample = l.training_sample(documents, 20)
     languages = [g for _, g in sample]
     assert {languages.count(g) for g in set(languages)} <= set(range(10, 21)) and len(set(languages)) == 4
+
+
+def test_copies_without_an_id_are_one_text(spark):
+    rows = [(None, EN, "en")] * 5_000 + [(i, f"{DE} {i} wort{i}", "de") for i in range(40)] + [(1, None, "en"), (2, EN, None)]
+    sample = l.training_sample(frame(spark, rows, "doc_id long, text string, lang string"), 20)
+    assert [g for _, g in sample].count("en") == 1
+    assert [g for _, g in sample].count("de") == 20 and len(set(sample)) == len(sample)

@@ -42,6 +42,23 @@ def test_language_stage(spark):
     assert kept(left) == kept(documents(spark, [*labelled(), (None, "x", None)]))
 
 
+def test_documents_of_several_languages_stay(spark):
+    words = {"en": "house sea like and the we", "de": "haus meer mögen und das wir", "fr": "maison mer aimer et la nous"}
+    rows = [(100 + i, w * 3, g) for i, (g, w) in enumerate(words.items())]
+    mixed = " ".join(words.values())
+    left = p.identify_language(spark, documents(spark, [*rows, (1, mixed, None), (2, mixed * 400, None)]), SF_DIR)
+    assert {r.doc_id for r in left.collect()} == {1, 2, 100, 101, 102}
+
+
+def test_copies_and_long_texts(spark):
+    hot = sentences(200, 3)
+    rows = [(i, hot, "en") for i in range(50)] + [(100, sentences(30_000, 4), "en"), (101, "=" * 100_000, "en")]
+    docs = documents(spark, rows)
+    assert {r.doc_id for r in p.drop_near_duplicates(spark, docs, SF_DIR).collect()} == {0, 100, 101}
+    found = p.tokenize(spark, docs, SF_DIR).collect()
+    assert len(found) == len(rows) and len({r.ids_sha256 for r in found if r.doc_id < 50}) == 1
+
+
 def test_one_document_of_each_group_stays(spark):
     base = sentences(300)
     rows = [(5, base, "en"), (3, base, "en"), (3, base, "en"), (None, base, "en"), (9, sentences(300, 8), "en")]

@@ -138,3 +138,11 @@ def test_empty_table(spark):
 def test_radius_that_counters_cannot_hold():
     with pytest.raises(ValueError, match="power of two"):
         s.close_lanes(s.bit_planes(np.zeros(1, np.uint64)), np.zeros(1, np.uint64), np.zeros(1, int), 2)
+
+
+def test_row_keys_tell_ids_from_texts(spark):
+    from shelfmark.llm.common import row_key
+
+    rows = [("http://a", "b:c x"), ("http://a:b", "c x"), ("null", ""), (None, ""), ("", "-:"), (None, "0::")]
+    df = frame(spark, rows, "doc_id string, text string")
+    assert df.select(row_key().alias("k")).distinct().count() == len(rows)
