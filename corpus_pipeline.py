@@ -14,8 +14,6 @@ from shelfmark.llm import byte_bpe, language_crf, simhash, suffix_dedup, tiling
 from shelfmark.llm.common import Workspace, fresh_name, row_key
 from shelfmark.llm.queries import rank_file, table
 
-#: Share of a document's words that its language must have for the document to stay.
-MIN_LANGUAGE_SCORE = 0.4
 #: Pieces that the tokenizing workers remember and characters that they hold, fewer than alone:
 #: executors that ran the stages before have less memory to spare.
 MEMO_PIECES = 150_000
@@ -28,16 +26,23 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a known language, or of too many, go."""
+    """Documents without a known language go; those of several stay.
+
+    A null text and one without a letter have no language; nor has any where nothing could be learned. An empty
+    table stays empty.
+    """
     predict = language_crf.predict_column(docs, language_crf.train_on(docs))
     name = fresh_name(docs, "prediction")
     known = F.col(name)["lang_pred"] != language_crf.UNKNOWN
-    clear = F.col(name)["score"] >= MIN_LANGUAGE_SCORE
-    return docs.withColumn(name, predict(docs["text"])).filter(known & clear).drop(name)
+    return docs.withColumn(name, predict(docs["text"])).filter(known).drop(name)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of close fingerprints, the document with the smallest id stays."""
+    """Of each component of close fingerprints, the document with the smallest id stays.
+
+    Null ids come last; of rows with one id, one is chosen by a digest of id and text; of rows equal in both, one
+    stays. Texts without words are one component. An empty table stays empty.
+    """
     found = simhash.near_duplicates(docs)
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first"))
     kept = first.select(F.col("first.key").alias("kept_key"))
@@ -47,7 +52,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts lose the byte strings that also start earlier; ``n_chars`` follows the text."""
+    """Texts lose the byte strings that also start earlier; ``n_chars`` follows the text.
+
+    No row goes; a null text stays null. Bytes of a character that is cut through go with it.
+    """
     cut = suffix_dedup.deduplicate(docs)
     name = cut.columns[-1]
     cut = cut.withColumn("text", F.when(F.col("text").isNotNull(), suffix_dedup.as_text(F.col(name)["kept"])))
@@ -58,14 +66,20 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go, all rows of the same id and text alike.
+
+    Without benchmark items, and for null texts, nothing goes.
+    """
     found = tiling.contaminated(docs, table(spark, sf_dir, "benchmark")).select("key").distinct()
     keyed, name = _keyed(docs)
     return keyed.join(found, keyed[name] == found["key"], "left_anti").drop(name)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document, their digest, and that of the bytes they decode to."""
+    """Ids of every document, their digest, and that of the bytes they decode to.
+
+    A row per row, null and empty texts with no ids.
+    """
     return byte_bpe.encode(
         docs,
         rank_file(),
