@@ -7,7 +7,7 @@ import json
 
 from shelfmark.plans import jobs
 from shelfmark.session import get_spark
-from shelfmark.sources.readers import read_jsonl
+from shelfmark.sources.readers import dealt, read_jsonl
 from shelfmark.sources.writers import write_parquet
 
 
@@ -35,6 +35,7 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--data_fraction", type=float, default=1.0)
         command.add_argument("--seed", type=int, default=42)
         command.add_argument("--key", help="column that decides the sample")
+        command.add_argument("--partitions", type=int, help="deal the rows of a few gzip files out")
     return top
 
 
@@ -58,6 +59,7 @@ def main(argv: list[str] | None = None) -> None:
             options["schema"],
             options["key"],
         )
+        records = dealt(records, options["partitions"])
         if command == "predict":
             scored = jobs.run_predict(spark, options["model_path"], records)
             write_parquet(scored, options["output_path"])

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.text import words
 from shelfmark.functions.wordpiece import MAX_WORD_CHARS, SPELLED_TOKENS, split_word, word_parts
-from shelfmark.session import scratch_path
+from shelfmark.session import remove, scratch_path
 
 # Names and, in a vocabulary built here, ids of the special tokens.
 PAD, UNK, CLS, SEP = "[PAD]", "[UNK]", "[CLS]", "[SEP]"
@@ -78,6 +78,7 @@ def build_vocab(
     normalizer: str = "simple",
     subwords: bool = False,
     max_word_chars: int = MAX_WORD_CHARS,
+    scratch: list[str] | None = None,
 ) -> DataFrame:
     """Vocabulary ``(token, id, n)`` of the most frequent tokens, special tokens first.
 
@@ -85,7 +86,8 @@ def build_vocab(
     the candidates are the beginnings of words and, marked ``##``, their endings and
     single inner characters, each weighted by the word's count; words of more than
     ``max_word_chars`` characters, which encoding takes as unknown, give none. The words are counted when
-    this is called, once.
+    this is called, once. The table that the result reads is added to ``scratch``: it can go
+    when the result is written.
     """
     if size <= len(SPECIAL_TOKENS):
         raise ValueError(f"size must exceed the {len(SPECIAL_TOKENS)} special tokens")
@@ -93,17 +95,18 @@ def build_vocab(
     if subwords:
         counts = _piece_counts(counts, max_word_chars)
     ordinary = counts.filter(~F.col("token").isin(*SPECIAL_TOKENS))
-    return _ranked(ordinary, size - len(SPECIAL_TOKENS), df.sparkSession)
+    return _ranked(ordinary, size - len(SPECIAL_TOKENS), df.sparkSession, [] if scratch is None else scratch)
 
 
-def _ranked(counts: DataFrame, k: int, spark: SparkSession) -> DataFrame:
+def _ranked(counts: DataFrame, k: int, spark: SparkSession, scratch: list[str]) -> DataFrame:
     """The ``k`` most frequent tokens behind the special ones, with their ids.
 
     The counts are stored once. From their histogram comes the frequency at which the
     vocabulary ends; tokens below it are dropped, the others are sorted in ranges, and a
     range's first id follows from the sizes of the ranges before it. No task sees all tokens.
     """
-    counts = _stored(counts, "counts")
+    counted: list[str] = []
+    counts = _stored(counts, "counts", counted)
     ranged = counts.filter(F.col("n") >= _least_count(counts, k))
     ranged = ranged.repartitionByRange(F.desc("n"), "token").sortWithinPartitions(
         F.desc("n"), "token"
@@ -117,7 +120,9 @@ def _ranked(counts: DataFrame, k: int, spark: SparkSession) -> DataFrame:
             place.bitwiseAND(F.lit((1 << 33) - 1)).alias("at"),
         ),
         "ranges",
+        scratch,
     )
+    remove(spark, counted)
     sizes = dict(ranged.groupBy("part").agg(F.count("*")).collect())
     first, starts = len(SPECIAL_TOKENS), {}
     for part in sorted(sizes):
@@ -153,10 +158,11 @@ def _least_count(counts: DataFrame, k: int) -> int:
     return 1
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """The table written to the shared folder and read back."""
+def _stored(df: DataFrame, name: str, scratch: list[str]) -> DataFrame:
+    """The table written to the shared folder, which ``scratch`` gains, and read back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    scratch.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -21,6 +21,8 @@ CORPUS = "corpus"
 # Normalizer of a spec whose vocabulary is a tokenizer file with a byte-level merge list.
 BYTE_LEVEL = "byte_level"
 
+_ROW = "_row_number"
+
 # Where the ETL keeps, inside its output, how the text was made. Readers of the table pass over
 # names that begin with an underscore.
 SPEC_NOTE = "_spec"
@@ -144,7 +146,9 @@ def preprocess_records(
         write_parquet(combined, copy)
         combined = read_parquet(spark, copy)
         size = tokenizer.get("vocab_size", 30_000)
-        vocab = tokens.build_vocab(combined, prep.COMBINED_COLUMN, size, subwords=spec.subwords)
+        vocab = tokens.build_vocab(
+            combined, prep.COMBINED_COLUMN, size, subwords=spec.subwords, scratch=scratch
+        )
     elif spec.normalizer == BYTE_LEVEL:
         names = (tokenizer.get(n) for n in ("prefix", "suffix", "pad"))
         vocab = byte_tokens.read_tokenizer(spark, source, *names)
@@ -234,12 +238,12 @@ def run_train(spark: SparkSession, config: Config, **overrides) -> TrainingResul
             model.save(classifier, settings["model_path"])
         scored = model.predict(classifier, model.with_label_id(table, spec))
         scored = scored.withColumn(model.LABEL_ID, F.col(model.LABEL_ID).cast("int"))
-        # All rows are scored once; what is kept of them are a few counts.
-        path = scratch_path(spark, "scored-counts")
-        write_parquet(evaluate.scored_counts(scored, model.LABEL_ID), path)
+        # All rows are scored once; what is kept of them are a few counts, splits times labels times
+        # predictions at most.
+        counts = evaluate.scored_counts(scored, model.LABEL_ID)
+        counts = spark.createDataFrame(counts.collect(), counts.schema)
     finally:
         remove(spark, [shards])
-    counts = read_parquet(spark, path)
     test = counts.filter(F.col("split") == "test").select(model.LABEL_ID, "prediction", "n")
     rows = counts.groupBy("split").agg(F.sum("n").alias("n_rows"))
     return TrainingResult(
@@ -263,15 +267,18 @@ def _trained(
     return model.train(train_df, val_df, spec, **{n: settings[n] for n in names if n in settings})
 
 
-def run_predict(spark: SparkSession, model_path: str, df: DataFrame) -> DataFrame:
+def run_predict(
+    spark: SparkSession, model_path: str, df: DataFrame, key: str | None = None
+) -> DataFrame:
     """Score records, batch or streaming, with a stored classifier.
 
     The text is combined in the column order and with the rules of the training, and
     encoded with the vocabulary of the training where the model needs token arrays. Records
     without one of the text columns are refused; where the model has a record declaration,
-    only conforming records are scored (:func:`rejected_records` has the others).
+    only conforming records are scored (:func:`rejected_records` has the others). A model whose
+    vocabulary is joined takes a unique ``key`` of the records; without one they are numbered and stored first.
     """
-    return score(model.load(spark, model_path), df)
+    return score(model.load(spark, model_path), df, key)
 
 
 def conforming(classifier: model.Classifier, df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -288,7 +295,13 @@ def rejected_records(spark: SparkSession, model_path: str, df: DataFrame) -> Dat
     return conforming(model.load(spark, model_path), df)[1]
 
 
-def score(classifier: model.Classifier, df: DataFrame) -> DataFrame:
+def joins_vocabulary(classifier: model.Classifier) -> bool:
+    """Whether raw text is encoded by joins, which a stream can do batch by batch only."""
+    spec = classifier.spec
+    return spec.encoded and spec.strategy == "join" and spec.normalizer != BYTE_LEVEL
+
+
+def score(classifier: model.Classifier, df: DataFrame, key: str | None = None) -> DataFrame:
     """:func:`run_predict` with a classifier at hand."""
     spec = classifier.spec
     ready = "input_ids" in df.columns if spec.encoded else spec.text in df.columns
@@ -298,7 +311,16 @@ def score(classifier: model.Classifier, df: DataFrame) -> DataFrame:
             raise ValueError(f"The model was trained on columns that the records lack: {missing}")
         df, _ = conforming(classifier, df)
         df = prep.combine_text(df, spec.text_columns, spec.text, spec.list_style, spec.skip)
-    if spec.encoded:
+    if joins_vocabulary(classifier) and not ready:
+        if df.isStreaming:
+            raise ValueError("This model joins its vocabulary: score the stream with score_stream.")
+        if key is None:
+            # Numbers that a repeated task can't change: the records are stored with them.
+            spark, path = df.sparkSession, scratch_path(df.sparkSession, "numbered")
+            write_parquet(df.withColumn(_ROW, F.monotonically_increasing_id()), path)
+            return model.predict(classifier, _encoded(read_parquet(spark, path), spec, _ROW)).drop(_ROW)
+        df = _encoded(df, spec, key)
+    elif spec.encoded:
         df = _encoded(df, replace(spec, strategy="broadcast"))
     return model.predict(classifier, df)
 

@@ -390,6 +390,7 @@ ORACLE: dict[str, str] = {
         1.0::DOUBLE AS share, true AS mostly_right FROM documents WHERE {SPLIT} = 'test' GROUP BY 1""",
     "predict_records": f"WITH {PRODUCTS} SELECT asin, main_cat, true AS is_best, true AS is_named, true AS sums_to_one FROM products",
     "predict_stream": f"WITH {PRODUCTS} SELECT asin, main_cat, true AS same FROM products",
+    "predict_joined": f"WITH {PRODUCTS} SELECT asin, main_cat, true AS same FROM products",
     "predict_rejected": f"WITH {PRODUCTS} SELECT asin, main_cat, {REASON} AS reject_reason FROM products",
     "encoding_contract": f"WITH {PRODUCTS} SELECT asin, main_cat, true AS same FROM products",
 }

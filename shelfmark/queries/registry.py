@@ -591,8 +591,9 @@ def train_epochs(spark, sf_dir):
     return _rounded(spark.createDataFrame(rows, names))
 
 
-def _stored_model(spark, sf_dir, **etl):
+def _stored_model(spark, sf_dir, tokenizer=None, **etl):
     settings, stored = _etl_settings(spark, sf_dir, **etl), scratch_path(spark, "model")
+    settings["tokenizer"] |= tokenizer or {}
     encoded = jobs.run_etl(spark, settings)
     jobs.run_train(spark, _language_settings(settings["etl_pipeline"]["output_path"], stored))
     return settings["etl_pipeline"]["input_path"], stored, encoded
@@ -629,6 +630,23 @@ def predict_stream(spark, sf_dir):
     return both.select("asin", "main_cat", (F.col("prediction") == F.col("in_batch")).alias("same"))
 
 
+@query
+def predict_joined(spark, sf_dir):
+    """A model whose vocabulary is joined scores a table, with a key and without, and a stream alike."""
+    joined = {"strategy": "join", "key": "asin"}
+    source, stored, _ = _stored_model(spark, sf_dir, joined, tokenizer_model="corpus")
+    records = scoring.read_record_stream(spark, source, RECORD_DDL)
+    out, progress = scratch_path(spark, "scored"), scratch_path(spark, "progress")
+    columns = ["asin", "main_cat", "prediction"]
+    scoring.score_stream(spark, stored, records, out, progress, columns).awaitTermination()
+    both = readers.read_parquet(spark, out)
+    for name, key in (("with_key", "asin"), ("without_key", None)):
+        batch = jobs.run_predict(spark, stored, views.products(spark, sf_dir), key)
+        both = both.join(batch.select("asin", F.col("prediction").alias(name)), "asin")
+    same = (F.col("prediction") == F.col("with_key")) & (F.col("prediction") == F.col("without_key"))
+    return both.select("asin", "main_cat", same.alias("same"))
+
+
 @query
 def predict_rejected(spark, sf_dir):
     """A model with a declaration scores conforming records; the others get their reason."""

@@ -39,9 +39,27 @@ def _local_dir() -> str:
     return tempfile.mkdtemp(prefix="shelfmark-")
 
 
+@cache
+def _scratch_dir(spark_id: str, folder: str) -> str:
+    """The application's own folder, which goes with it: tables that a lazy result still reads can't
+    be deleted before."""
+    spark = SparkSession.active()
+    path = f"{folder}/shelfmark-{spark_id}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    files.deleteOnExit(target)
+    return path
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """Where :func:`scratch_path` puts its paths; deleted when the application ends."""
+    return _scratch_dir(spark.sparkContext.applicationId, shared_dir(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfmark.plans import jobs
+from shelfmark.plans import jobs, model
 from shelfmark.sources.readers import jsonl_schema
+from shelfmark.sources.writers import write_parquet
 
 
 def read_record_stream(
@@ -34,9 +35,19 @@ def score_stream(
 
     Scoring is stateless, so the stream needs no watermark. The default trigger handles
     what is there and stops.
+
+    A model whose vocabulary is joined scores batch by batch, each into a folder named by its number,
+    ``batch=n``: a batch that is repeated after a failure replaces what it had written.
     """
-    scored = jobs.run_predict(spark, model_path, records).select(*columns)
-    return _append(scored, out_path, checkpoint_path, trigger)
+    classifier = model.load(spark, model_path)
+    if not jobs.joins_vocabulary(classifier):
+        return _append(jobs.score(classifier, records).select(*columns), out_path, checkpoint_path, trigger)
+
+    def write(batch: DataFrame, number: int) -> None:
+        write_parquet(jobs.score(classifier, batch).select(*columns), f"{out_path}/batch={number}")
+
+    writer = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_path)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def reject_stream(

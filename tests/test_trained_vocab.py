@@ -67,12 +67,12 @@ def test_training_ends_without_pairs(spark):
         trained_vocab.train_merges(df, 1, score="best")
 
 
-def test_scratch_is_removed(spark, tmp_path):
-    from shelfmark import session
-
-    folder = session.shared_dir(spark)
+def test_scratch_is_removed(spark):
     import os
 
+    from shelfmark import session
+
+    folder = session.scratch_dir(spark)
     before = set(os.listdir(folder))
     df = spark.createDataFrame(list(corpus(2, 50).items()), "token string, n long")
     trained_vocab.train_merges(df, 6)
