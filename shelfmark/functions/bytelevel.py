@@ -63,9 +63,9 @@ def merged(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -
 
     def offer(i: int) -> None:
         pair = symbols[i], symbols[after[i]]
-        if pair in merges:
-            rank, new = merges[pair]
-            heapq.heappush(heap, (rank, i, pair, new))
+        found = merges.get(pair)
+        if found is not None:
+            heapq.heappush(heap, (found[0], i, pair, found[1]))
 
     for i in range(n - 1):
         offer(i)
