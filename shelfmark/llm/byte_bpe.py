@@ -43,6 +43,8 @@ QUERY_STEPS = 24
 LONG_BYTES = 48
 #: Bytes of the parts that a recursive query takes together.
 QUERY_BYTES = 400_000
+#: Pairs that the heap has met and a worker keeps at hand.
+KEPT_PAIRS = 20_000
 
 #: A candidate's key orders by rank, then by place, and says how many bytes its left token and the
 #: merged one have: 19, 28, 8 and 8 bits.
@@ -99,6 +101,28 @@ class RankFile:
             return {base64.b64decode(token): int(rank) for token, rank in rows}
 
 
+class MergeTable:
+    """The merge table as sorted arrays, a few bytes a pair, for the heap; pairs met are kept at hand."""
+
+    def __init__(self, pairs: pa.Table):
+        first, second, rank = (pairs[c].to_numpy().astype(np.int64) for c in ("first", "second", "merged"))
+        keys = first << 32 | second
+        order = np.argsort(keys)
+        self.keys, self.ranks = keys[order], rank[order]
+        self.seen: dict[tuple[int, int], tuple[int, int] | None] = {}
+
+    def get(self, pair: tuple[int, int]) -> tuple[int, int] | None:
+        """Rank and merged token, which are the same here."""
+        if pair not in self.seen:
+            if len(self.seen) >= KEPT_PAIRS:
+                self.seen.clear()
+            key = pair[0] << 32 | pair[1]
+            at = int(np.searchsorted(self.keys, key))
+            found = at < len(self.keys) and int(self.keys[at]) == key
+            self.seen[pair] = (int(self.ranks[at]),) * 2 if found else None
+        return self.seen[pair]
+
+
 class PieceCoder:
     """Encodes and decodes pieces in a DuckDB connection that only this object sees."""
 
@@ -126,7 +150,7 @@ class PieceCoder:
         )
         pairs = self._pairs()
         self.con.register("pairs", pairs)
-        self.pairs, self.bytes_of, self.merges = pairs, {}, {}
+        self.merges, self.bytes_of = MergeTable(pairs), {}
         self.con.execute(
             "CREATE TABLE merges AS SELECT first, second, merged::BIGINT * 17592186044416 AS high, "
             "size FROM pairs JOIN tokens ON id = merged"
@@ -189,11 +213,9 @@ class PieceCoder:
         return out
 
     def _heaped(self, part: bytes) -> tuple[str, bytes]:
-        if not self.merges:
-            first, second, rank = (self.pairs[c].to_pylist() for c in ("first", "second", "merged"))
-            self.merges = dict(zip(zip(first, second), zip(rank, rank)))
-            self.bytes_of = {i: t for t, i in self.tokens.items()}
         ids = merged(self.single[np.frombuffer(part, np.uint8)].tolist(), self.merges)
+        if not self.bytes_of:
+            self.bytes_of = {i: t for t, i in self.tokens.items()}
         return " ".join(map(str, ids)), b"".join(map(self.bytes_of.__getitem__, ids))
 
     def _contract(self, parts: list[bytes], whole: np.ndarray) -> list[tuple[str, bytes]]:
