@@ -16,8 +16,8 @@ from shelfmark.llm.queries import rank_file, table
 
 #: Pieces that the tokenizing workers remember and characters that they hold, fewer than alone:
 #: executors that ran the stages before have less memory to spare.
-MEMO_PIECES = 150_000
-BLOCK_CHARS = 2_000_000
+MEMO_PIECES = 100_000
+BLOCK_CHARS = 1_000_000
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
