@@ -17,10 +17,10 @@ strings are first brought together:
    shares a window. An anchor with very many contexts is cut into chunks; the chunks' first windows
    then meet by their digests.
 
-Classes are told apart by two independent 64-bit hashes, as are the texts of rows that share an id;
-the windows of step 3 by their bytes.
+Classes are told apart by the anchor's and the context's 64-bit hash, the texts of rows that share an
+id by two independent ones, the windows of step 3 by their bytes.
 
-Order: ids ascending, null last; of rows with one id, an arbitrary fixed order by content. Rows
+Order: ids ascending (texts by their bytes, NaN after the numbers), null last; of rows with one id, an arbitrary fixed order by content. Rows
 repeated with the same id and text are one document in this respect: all of them get its result.
 Defined results: null and empty texts and those shorter than ``length`` bytes lose nothing; an
 empty table gives an empty result; other columns pass through untouched where asked for.
@@ -61,11 +61,26 @@ DOC = ("ord", "tie", "tie2")
 _RUN = "anchor long, context long, ord long, tie long, tie2 long, place long"
 
 
-def identified(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, tuple[str, ...]]:
-    """The rows with an order (null ids last) and tie-breakers by content, and their names."""
+def identified(
+    df: DataFrame, id_col: str, text_col: str, workspace: Workspace
+) -> tuple[DataFrame, tuple[str, ...]]:
+    """The rows with an order (null ids last) and tie-breakers by content, and their names.
+
+    Whole numbers are their own order. Ids of other types get numbers that ascend with them: the
+    distinct ids are sorted by range, numbered and stored, and joined to the rows.
+    """
     names = tuple(fresh_name(df, f"dedup_{c}") for c in DOC)
     text = F.coalesce(df[text_col], F.lit(""))
-    order = F.coalesce(df[id_col].cast("long"), F.lit((1 << 63) - 1))
+    order = df[id_col]
+    if not isinstance(df.schema[id_col].dataType, T.IntegralType):
+        own = fresh_name(df, "dedup_id")
+        distinct = df.select(df[id_col].alias(own)).filter(F.col(own).isNotNull()).distinct().orderBy(own)
+        numbered = workspace.store(
+            distinct.withColumn(names[0], F.monotonically_increasing_id()), "id-order"
+        )
+        df = df.join(numbered, df[id_col] == numbered[own], "left").drop(own)
+        order = F.col(names[0])
+    order = F.coalesce(order.cast("long"), F.lit((1 << 63) - 1))
     made = (order, F.xxhash64(text), F.xxhash64(F.md5(text)))
     return df.withColumns(dict(zip(names, made))), names
 
@@ -533,7 +548,7 @@ def deduplicate(
     and, if ``keep``, the bytes that are left as ``kept`` (else null)."""
     workspace = workspace or Workspace(df.sparkSession)
     out = fresh_name(df, "dedup")
-    marked, names = identified(df, id_col, text_col)
+    marked, names = identified(df, id_col, text_col, workspace)
     spans = repeated_spans(marked, names, text_col, workspace, length, gram, max_contexts)
     lost = spans.select(*[F.col(c).alias(f"lost_{c}") for c in DOC], "spans")
 

@@ -70,6 +70,27 @@ def test_texts_of_equal_hashes_without_an_id_stay_apart(spark):
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept)) == want[r.doc_id, r.text]
 
 
+def test_ids_of_other_types_order_the_documents(spark):
+    rows = corpus()
+    want = brute_force(rows)
+    for kind, shown in (("string", "lpad(doc_id, 9, '0')"), ("double", "doc_id / 1000")):
+        df = with_clashes(frame(spark, rows)).selectExpr("*", f"cast({shown} AS {kind}) AS name")
+        found = s.deduplicate(df, id_col="name")
+        assert found.columns[:-1] == df.columns
+        found = found.select("doc_id", "text", f"{found.columns[-1]}.*").collect()
+        assert len(found) == len(rows)
+        for r in found:
+            got = (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept))
+            assert got == want[r.doc_id, r.text], r.doc_id
+
+
+def test_text_ids_sort_by_their_bytes(spark):
+    passage = sentences(40, 11)
+    rows = [("10", passage), ("9", passage), ("B", passage), ("a", passage), (None, passage)]
+    found = s.deduplicate(frame(spark, rows, "doc_id string, text string")).collect()
+    assert {r["doc_id"] for r in found if r["dedup"]["n_removed"] == 0} == {"10"}
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_intervals_equal_prefixes(seed):
     rng = random.Random(seed)
