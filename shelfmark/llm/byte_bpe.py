@@ -313,13 +313,16 @@ def encode(
     keep_decoded: bool = True,
     memo_pieces: int = MEMO_PIECES,
     block_chars: int = BLOCK_CHARS,
+    keep_coder: bool = True,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` and, if asked, ``ids`` and ``decoded``.
 
     The digests are of the decimal ids joined by one space and of the decoded bytes.
-    ``memo_pieces`` and ``block_chars`` trade a worker's memory for time and change no result.
+    ``memo_pieces`` and ``block_chars`` trade a worker's memory for time and change no result, as does
+    ``keep_coder``: without it a worker frees its connection and memo at a task's end, so that idle
+    workers hold nothing and a task makes them anew.
     """
     docs = texts(df, id_col, text_col)
     tokens = vocabulary.tokens()
@@ -331,10 +334,18 @@ def encode(
     schema += ", decoded binary" if keep_decoded else ""
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = _memo(digest, shared.value, memo_pieces)
+        try:
+            yield from encoded(batches, memo)
+        finally:
+            if not keep_coder:
+                del _MEMOS[digest, memo_pieces]
+                memo.coder.con.close()
+
+    def encoded(batches: Iterator[pa.RecordBatch], memo: Memo) -> Iterator[pa.RecordBatch]:
         import regex
 
         pattern = regex.compile(vocabulary.pattern)
-        memo = _memo(digest, shared.value, memo_pieces)
         for batch in batches:
             at = 0
             for block in _blocks(batch.column("text"), block_chars):

@@ -93,3 +93,11 @@ def test_digests_only(spark):
     columns = b.encode(frame(spark, []), VOCABULARY, keep_ids=False, keep_decoded=False)
     assert columns.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert columns.count() == 0
+
+
+def test_a_coder_freed_after_each_task_changes_nothing(spark):
+    df = frame(spark, ODD * 3).repartition(5)
+    kept = b.encode(df, VOCABULARY).select("doc_id", "ids_sha256", "decoded_sha256")
+    freed = b.encode(df, VOCABULARY, memo_pieces=7, keep_coder=False).select(*kept.columns)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, freed.collect()))
+    assert sorted(map(str, freed.collect())) == sorted(map(str, kept.collect()))
