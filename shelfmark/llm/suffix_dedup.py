@@ -165,8 +165,7 @@ def anchored_runs(
             for data, offsets, rows, starts in _pieces(batch.column("text"), length):
                 row, start, size, anchor, context = runs(data, offsets, length, gram, powers)
                 if known is not None:
-                    at = anchor.view(np.uint64) & np.uint64((1 << bits) - 1)
-                    keep = (known[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                    keep = _let_through(known, bits, anchor)
                     row, start, size, anchor, context = (
                         v[keep] for v in (row, start, size, anchor, context)
                     )
@@ -204,6 +203,22 @@ def repeated_table(anchors: DataFrame) -> tuple[np.ndarray, int]:
     return table.view(np.uint8), bits
 
 
+def among(df: DataFrame, table: np.ndarray, bits: int) -> DataFrame:
+    """The rows whose anchor a bit table lets through."""
+    shared = df.sparkSession.sparkContext.broadcast(table)
+
+    @F.arrow_udf(T.BooleanType())
+    def known(anchor: pa.Array) -> pa.Array:
+        return pa.array(_let_through(shared.value, bits, anchor.to_numpy()))
+
+    return df.filter(known("anchor"))
+
+
+def _let_through(table: np.ndarray, bits: int, anchor: np.ndarray) -> np.ndarray:
+    at = anchor.view(np.uint64) & np.uint64((1 << bits) - 1)
+    return (table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes of a symbol array (0 lowest) in the order of their first ``depth`` symbols.
 
@@ -458,10 +473,12 @@ def repeated_spans(
         )
     )
     # First places of different classes with one anchor are compared with each other.
-    shared = classes.groupBy("anchor").agg(F.count("*").alias("contexts")).filter("contexts > 1")
+    # Anchors of one class, most of them, stay out of the shuffle.
+    alike = among(classes, *repeated_table(classes.select("anchor")))
+    shared = alike.groupBy("anchor").agg(F.count("*").alias("contexts")).filter("contexts > 1")
     chunks = F.ceil(F.col("contexts") / F.lit(max_contexts))
     asked = (
-        classes.join(shared, "anchor")
+        alike.join(shared, "anchor")
         .select(
             *[F.col(f"head.{c}").alias(f"asked_{c}") for c in DOC],
             F.struct(
