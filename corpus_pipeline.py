@@ -86,6 +86,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         keep_decoded=False,
         memo_pieces=MEMO_PIECES,
         block_chars=BLOCK_CHARS,
+        keep_coder=False,
     )
 
 
