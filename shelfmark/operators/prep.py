@@ -161,6 +161,64 @@ def conforming(
     return df.filter(_reason(df, schema, corrupt_column) == "")
 
 
+#: Types that a JSON value shows, by declared type.
+_SHOWN = {
+    "str": "STRING",
+    "int": "BIGINT",
+    "float": r"BIGINT|DOUBLE|DECIMAL\(.*\)",
+    "bool": "BOOLEAN",
+    "list": "ARRAY<.*>",
+}
+
+
+def conform_lines(
+    lines: DataFrame, schema: Mapping[str, str], line: str = "value"
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`conform` on JSON lines, each value judged by the type it has in its own line.
+
+    A schema that is declared or inferred for the whole file casts a field that is sometimes a list and
+    sometimes text; here every such line is rejected with its reason, and keeps its text. A line that isn't
+    a JSON object with distinct names, null and blank lines included, is malformed. Whole numbers beyond 64 bits
+    are no ``int``. Elements are checked as in :func:`conform`; a list whose unchecked elements can't be cast to
+    their type comes as null. Narrow: a line is parsed once, nothing is shuffled.
+    """
+    record, reason = "_record", "reject_reason"
+    parsed = lines.withColumn(record, F.try_parse_json(F.col(line)))
+    whole = F.coalesce(F.schema_of_variant(record).startswith("OBJECT"), F.lit(False))
+    problems = [_problem_in_line(_field(record, name, "variant"), name, d) for name, d in schema.items()]
+    malformed = F.when(~whole, F.lit("malformed line"))
+    judged = parsed.withColumn(reason, malformed.otherwise(F.concat_ws("; ", *problems)))
+    fields = [
+        _field(record, f.name, f.dataType.simpleString()).alias(f.name) for f in record_schema(schema).fields
+    ]
+    valid = judged.filter(F.col(reason) == "").select(*fields)
+    return valid, judged.filter(F.col(reason) != "").drop(record)
+
+
+def _field(record: str, name: str, kind: str) -> Column:
+    if "'" in name:
+        raise ValueError(f"A field of a line can't be called {name!r}.")
+    return F.try_variant_get(F.col(record), f"$['{name}']", kind)
+
+
+def _problem_in_line(value: Column, name: str, declared: str) -> Column:
+    """Why a value of a line does not conform, or null."""
+    base, element = _parse_type(declared)
+
+    def shows(v: Column, kind: str) -> Column:
+        return F.coalesce(F.schema_of_variant(v).rlike(f"^({_SHOWN[kind]})$"), F.lit(False))
+
+    wrong = F.lit(f"{name}: not {declared}")
+    problem = F.when(value.isNull(), F.lit(f"{name}: missing")).when(
+        F.is_variant_null(value), F.lit(f"{name}: null")
+    )
+    problem = problem.when(~shows(value, base), wrong)
+    if declared.startswith("List") and element:
+        elements = F.try_variant_get(value, "$", "array<variant>")
+        problem = problem.when(F.exists(elements, lambda e: ~shows(e, element)), wrong)
+    return problem
+
+
 def _reason(df: DataFrame, schema: Mapping[str, str], corrupt_column: str | None) -> Column:
     problems = [_problem(df, name, declared) for name, declared in schema.items()]
     if corrupt_column and corrupt_column in df.columns:

@@ -323,6 +323,12 @@ ORACLE: dict[str, str] = {
     "conform_valid": f"""WITH {PRODUCTS} SELECT asin, brand, price, title, CAST(len(description) AS INTEGER) AS n_description,
         CAST(len(feature) AS INTEGER) AS n_feature, CAST(len(image) AS INTEGER) AS n_image
         FROM products WHERE {REASON} = ''""",
+    "conform_lines": """WITH judged AS (SELECT *, CASE WHEN doc_id % 6 = 4 THEN 'malformed line' ELSE concat_ws('; ',
+        CASE WHEN doc_id % 6 = 2 THEN 'id: not int' END,
+        CASE WHEN doc_id % 6 = 1 THEN 'title: not str' WHEN text IS NULL THEN 'title: missing' END,
+        CASE WHEN doc_id % 6 = 3 OR lang IS NULL THEN 'tags: not List[str]' END) END AS reject_reason FROM documents)
+        SELECT doc_id AS id, CASE WHEN reject_reason = '' THEN md5(text) END AS title_md5,
+        CASE WHEN reject_reason = '' THEN lang END AS tag, reject_reason FROM judged""",
     "conform_rejected": f"WITH {PRODUCTS} SELECT asin, main_cat, {REASON} AS reject_reason FROM products WHERE {REASON} <> ''",
     "label_encode": f"WITH {CLASSES} SELECT doc_id, CAST(list_position({CLASS_LIST}, category) - 1 AS INTEGER) AS label_id FROM categories",
     "label_encode_partial": f"""WITH {CLASSES}, shorter AS (SELECT [c FOR c, i IN {CLASS_LIST} IF i % 2 = 1] AS names)

@@ -157,6 +157,30 @@ def conform_valid(spark, sf_dir):
     return valid.select("asin", "brand", "price", "title", *lists)
 
 
+@query
+def conform_lines(spark, sf_dir):
+    """JSON lines of mixed types, each value judged by its own; conforming fields or a reason per line."""
+    docs, mode = views.documents(spark, sf_dir), F.col("doc_id") % 6
+    title, tags = F.col("text").alias("title"), F.array("lang").alias("tags")
+    whole = F.to_json(F.struct(F.col("doc_id").alias("id"), title, tags))
+    line = (
+        F.when(mode == 1, F.to_json(F.struct(F.col("doc_id").alias("id"), F.array("text").alias("title"), tags)))
+        .when(mode == 2, F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), title, tags)))
+        .when(mode == 3, F.to_json(F.struct(F.col("doc_id").alias("id"), title, F.array("doc_id").alias("tags"))))
+        .when(mode == 4, F.substring(whole, F.lit(1), F.length(whole) - 1))
+        .otherwise(whole)
+    )
+    path = scratch_path(spark, "lines")
+    docs.select(line.alias("value")).write.option("compression", "gzip").text(path)
+    declared = {"id": "int", "title": "str", "tags": "List[str]"}
+    valid, rejected = prep.conform_lines(readers.read_lines(spark, path), declared)
+    none = F.lit(None).cast("string")
+    number = F.regexp_extract("value", r'^\{"id":"?(\d+)', 1).cast("long")
+    return valid.select("id", F.md5("title").alias("title_md5"), F.col("tags")[0].alias("tag"), F.lit("").alias("reject_reason")).union(
+        rejected.select(number, none, none, "reject_reason")
+    )
+
+
 @query
 def conform_rejected(spark, sf_dir):
     _, rejected = prep.conform(views.products(spark, sf_dir), views.RECORD)

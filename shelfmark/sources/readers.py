@@ -46,6 +46,11 @@ def read_jsonl(
     return dealt(sample(reader.json(path), fraction, seed, key), partitions)
 
 
+def read_lines(spark: SparkSession, path: str | list[str], partitions: int | None = None) -> DataFrame:
+    """Lines of text files, gzipped or not, as column ``value``, for checks of each line's own types."""
+    return dealt(spark.read.text(path), partitions)
+
+
 def read_parquet(
     spark: SparkSession, path: str | Sequence[str], partitions: int | None = None
 ) -> DataFrame:

@@ -182,3 +182,41 @@ def test_conform_types_and_missing(spark):
 def test_record_schema():
     got = prep.record_schema(RECORD).simpleString()
     assert got == "struct<asin:string,price:double,tags:array<string>,image:array<string>>"
+
+
+def test_each_value_of_a_line_is_judged_by_its_own_type(spark):
+    declared = {"id": "int", "name": "str", "tags": "List[str]", "any": "list", "price": "float", "new": "bool"}
+    good = '{"id": 1, "name": "a", "tags": ["x"], "any": [1, "b"], "price": 2, "new": true, "more": {}}'
+    cases = [
+        (good, ""),
+        (good.replace('["x"]', "[]").replace('"price": 2', '"price": 2.5'), ""),
+        (good.replace('"a"', '["a"]'), "name: not str"),
+        (good.replace('"a"', "7"), "name: not str"),
+        (good.replace('"id": 1', '"id": "1"'), "id: not int"),
+        (good.replace('"id": 1', '"id": 1.5'), "id: not int"),
+        (good.replace('"id": 1', '"id": 99999999999999999999'), "id: not int"),
+        (good.replace('["x"]', '["x", 1]'), "tags: not List[str]"),
+        (good.replace('["x"]', '["x", null]'), "tags: not List[str]"),
+        (good.replace('["x"]', '"x"').replace("true", "1"), "tags: not List[str]; new: not bool"),
+        (good.replace('"a"', "null").replace('"price": 2, ', ""), "name: null; price: missing"),
+        (good[:-1], "malformed line"),
+        ("[1]", "malformed line"),
+        ("", "malformed line"),
+        (None, "malformed line"),
+        ('{"id": 1, "id": 2}', "malformed line"),
+    ]
+    lines = spark.createDataFrame([(k, line) for k, (line, _) in enumerate(cases)], "k int, value string")
+    valid, rejected = prep.conform_lines(lines, declared)
+    assert {r.k: r.reject_reason for r in rejected.collect()} == {k: r for k, (_, r) in enumerate(cases) if r}
+    assert rejected.columns == ["k", "value", "reject_reason"]
+    assert [tuple(r) for r in valid.orderBy("price").collect()] == [
+        (1, "a", ["x"], ["1", "b"], 2.0, True),
+        (1, "a", [], ["1", "b"], 2.5, True),
+    ]
+    with pytest.raises(ValueError):
+        prep.conform_lines(lines, {"it's": "str"})
+
+
+def test_no_lines(spark):
+    valid, rejected = prep.conform_lines(spark.createDataFrame([], "value string"), {"id": "int"})
+    assert valid.columns == ["id"] and valid.count() == rejected.count() == 0
