@@ -38,6 +38,9 @@ _SET_APART = (
 MAX_BROADCAST_TOKENS = 500_000
 STRATEGIES = ("broadcast", "join")
 
+#: Rows of a batch whose words a task holds at once; a batch may have some 10,000 rows.
+ROWS_AT_ONCE = 256
+
 ENCODED_TYPE = "struct<input_ids:array<int>,n_real:int>"
 
 
@@ -500,36 +503,54 @@ def _encoder(
     @F.arrow_udf(ENCODED_TYPE)
     def run(texts: pa.Array) -> pa.Array:
         n = len(texts)
-        # Splits at the same characters as the JVM does for the vocabulary. A word gives at
-        # least one id, so words beyond the room cannot be reached.
-        trimmed = pc.utf8_trim_whitespace(texts)
-        word_lists = pc.list_slice(pc.utf8_split_whitespace(trimmed), 0, max(room, 1))
-        per_row = pc.list_value_length(word_lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        # An empty text has one empty word, which is none.
-        per_row[pc.equal(trimmed, "").to_numpy(zero_copy_only=False)] = 0
-        all_words = word_lists.flatten()
-        # Look up each distinct word of the batch once.
-        words_seen = all_words.filter(pc.not_equal(all_words, "")).dictionary_encode()
-        flat, sizes = ids_of(words_seen.dictionary)
-        # Replace every word by its run of ids.
-        which = words_seen.indices.to_numpy(zero_copy_only=False)
-        run_sizes = sizes[which]
-        ids = flat[_run_positions((np.cumsum(sizes) - sizes)[which], run_sizes)]
-        # Place the runs into the rows, cutting what does not fit.
-        row = np.repeat(np.repeat(np.arange(n), per_row), run_sizes)
-        row_sizes = np.bincount(row, minlength=n)
-        column = _run_positions(np.zeros(n, dtype=np.int64), row_sizes)
-        fits = column < room
-        kept = np.minimum(row_sizes, room)
         out = np.full((n, max_length), pad, dtype=np.int32)
+        n_real = np.full(n, 2, dtype=np.int32)
         out[:, 0] = cls
-        out[row[fits], column[fits] + 1] = ids[fits]
-        out[np.arange(n), kept + 1] = sep
-        return padded_lists(out, (kept + 2).astype(np.int32))
+        # The words of a few rows at a time, of which only numbers and the distinct ones stay.
+        starts = range(0, n, ROWS_AT_ONCE)
+        parts = [_first_words(texts.slice(at, ROWS_AT_ONCE), room) for at in starts]
+        if not parts:
+            return padded_lists(out, n_real)
+        # Look up each distinct word of the batch once.
+        seen = pa.chunked_array([words_seen for words_seen, _ in parts]).unify_dictionaries()
+        flat, sizes = ids_of(seen.chunk(0).dictionary)
+        run_starts = np.cumsum(sizes) - sizes
+        for at, words_seen, (_, per_row) in zip(starts, seen.chunks, parts):
+            some = out[at : at + ROWS_AT_ONCE]
+            # Replace every word by its run of ids.
+            which = words_seen.indices.to_numpy(zero_copy_only=False)
+            run_sizes = sizes[which]
+            ids = flat[_run_positions(run_starts[which], run_sizes)]
+            # Place the runs into the rows, cutting what does not fit.
+            row = np.repeat(np.repeat(np.arange(len(some)), per_row), run_sizes)
+            row_sizes = np.bincount(row, minlength=len(some))
+            column = _run_positions(np.zeros(len(some), dtype=np.int64), row_sizes)
+            fits = column < room
+            kept = np.minimum(row_sizes, room)
+            some[row[fits], column[fits] + 1] = ids[fits]
+            some[np.arange(len(some)), kept + 1] = sep
+            n_real[at : at + ROWS_AT_ONCE] = kept + 2
+        return padded_lists(out, n_real)
 
     return run
 
 
+def _first_words(texts: pa.Array, room: int) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of all texts end to end, ``room`` of each text at most, and how many each has.
+
+    Splits at the same characters as the JVM does for the vocabulary. A word gives at least one
+    id, so words beyond the room cannot be reached; what follows them is not split.
+    """
+    most = max(room, 1)
+    trimmed = pc.utf8_trim_whitespace(texts)
+    word_lists = pc.list_slice(pc.utf8_split_whitespace(trimmed, max_splits=most), 0, most)
+    per_row = pc.list_value_length(word_lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    # An empty text has one empty word, which is none.
+    per_row[pc.equal(trimmed, "").to_numpy(zero_copy_only=False)] = 0
+    all_words = word_lists.flatten()
+    return all_words.filter(pc.not_equal(all_words, "")).dictionary_encode(), per_row
+
+
 def _run_positions(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """``starts[i], starts[i] + 1, ...`` (``sizes[i]`` numbers) for every i, end to end."""
     ends = np.cumsum(sizes)

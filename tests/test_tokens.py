@@ -1,5 +1,7 @@
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import BertWordPieceTokenizer
@@ -244,3 +246,24 @@ def test_joined_keys_are_checked_first(spark):
         df = spark.createDataFrame(rows, "key long, text string")
         with pytest.raises(ValueError, match="Key is not unique"):
             tokens.encode_joined(df, vocab, "key", "text")
+
+
+def test_memory_of_a_batch_is_that_of_its_arrays(spark):
+    """A batch of long texts takes little more than its ids; words beyond the room are not split."""
+    vocab = spark.createDataFrame(
+        [(t, i) for i, t in enumerate((*tokens.SPECIAL_TOKENS, "a", "b"))], "token string, id int"
+    )
+    texts = pa.array(["a b c " * 200] * 6_000 + [""])
+    run = tokens._encoder(spark, vocab.toArrow(), 512, False, False).func
+    run(texts.slice(0, 1))
+    tracemalloc.start()
+    try:
+        out = run(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 2 * out.nbytes
+    assert out[0].as_py()["input_ids"] == [2, *[4, 5, 1] * 170, 3]
+    assert out[6_000].as_py() == {"input_ids": [2, 3, *[0] * 510], "n_real": 2}
+    seen, per_row = tokens._first_words(pa.array(["a b c d e f", " ", "b"]), 2)
+    assert (seen.to_pylist(), per_row.tolist()) == (["a", "b", "b"], [2, 0, 1])
