@@ -67,7 +67,9 @@ def encode(
         tokenizer = shared.value
         out = np.full((len(texts), max_length), tokenizer.pad, np.int32)
         n_real = np.zeros(len(texts), np.int32)
-        for i, value in enumerate(texts.to_pylist()):
+        # Text by text: a batch as Python strings takes several times its bytes.
+        for i in range(len(texts)):
+            value = texts[i].as_py()
             ids = tokenizer.prefix + (tokenizer.ids(value, room) if value and room else []) + tokenizer.suffix
             out[i, : len(ids)], n_real[i] = ids, len(ids)
         return padded_lists(out, n_real)

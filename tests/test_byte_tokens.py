@@ -1,7 +1,9 @@
 import json
 import random
 import time
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -149,3 +151,22 @@ def test_what_is_refused(tmp_path, spark, path):
         byte_tokens.encode(df, tokenizer, max_length=1)
     with pytest.raises(ValueError, match="merges"):
         byte_tokens.encode(df, tokenizer, max_tokens=10)
+
+
+def test_a_batch_is_read_text_by_text(spark, monkeypatch):
+    """The texts of a batch are not all Python strings at once."""
+    text = bytelevel.tokenizer_text(MERGES, ["[PAD]"])
+    table = spark.createDataFrame([(text, [], [], "[PAD]")], byte_tokens.SCHEMA)
+    made = []
+    monkeypatch.setattr(byte_tokens.F, "arrow_udf", lambda _: lambda f: made.append(f) or (lambda c: byte_tokens.F.lit(None).cast(byte_tokens.ENCODED_TYPE)))
+    byte_tokens.encode(spark.createDataFrame([("a",)], "t string"), table, "t", 8)
+    texts = pa.array(["there and " * 2_000] * 500)
+    made[0](texts.slice(0, 1))
+    tracemalloc.start()
+    try:
+        out = made[0](texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < texts.nbytes / 4
+    assert len(set(map(str, out.to_pylist()))) == 1
