@@ -225,6 +225,15 @@ def run_train(spark: SparkSession, config: Config, **overrides) -> TrainingResul
     keys = [key] if isinstance(key, str) else list(key)
     columns = dict.fromkeys([*keys, *inputs, spec.label_column])
     marked = splits.assign_split(sampled.select(*columns), key, seed)
+    # The candidates, their losses and the evaluation need term counts only: terms are counted on the
+    # way to the split table, not in each of these passes.
+    counted = settings.get("trainer", "candidates") != "epochs"
+    if counted:
+        num_features = settings.get("num_features", model.NUM_FEATURES)
+        most = settings.get("max_coefficients", model.MAX_COEFFICIENTS)
+        model.check_coefficients(spec, num_features, most)
+        marked = model.with_term_counts(marked, spec, num_features)
+        marked = marked.select("split", model.TERM_COUNTS, spec.label_column)
     # The split table is written once; every later step opens the folders it needs. The
     # order is drawn per row, not by content: copies of one text must not share a task.
     shards = scratch_path(spark, "shards")
@@ -236,7 +245,7 @@ def run_train(spark: SparkSession, config: Config, **overrides) -> TrainingResul
         classifier = _trained(train_df, val_df, spec, settings)
         if settings.get("model_path"):
             model.save(classifier, settings["model_path"])
-        scored = model.predict(classifier, model.with_label_id(table, spec))
+        scored = model.predict(classifier, model.with_label_id(table, spec), counted)
         scored = scored.withColumn(model.LABEL_ID, F.col(model.LABEL_ID).cast("int"))
         # All rows are scored once; what is kept of them are a few counts, splits times labels times
         # predictions at most.
@@ -264,7 +273,7 @@ def _trained(
         chosen = epochs.EpochSettings(**{n: v for n, v in settings.items() if n in names})
         return model.train_epochs(train_df, val_df, spec, chosen, settings.get("state_path"))
     names = ("candidates", "num_features", "max_coefficients")
-    return model.train(train_df, val_df, spec, **{n: settings[n] for n in names if n in settings})
+    return model.train(train_df, val_df, spec, counted=True, **{n: settings[n] for n in names if n in settings})
 
 
 def run_predict(

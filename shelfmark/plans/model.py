@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, replace
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, SQLTransformer
 from pyspark.ml.functions import vector_to_array
@@ -24,8 +24,11 @@ from shelfmark.sources.readers import read_parquet
 from shelfmark.sources.writers import write_parquet
 
 LABEL_ID = "label"
+#: Hashed term counts of a text, before their weights.
+TERM_COUNTS = "tf"
 #: Coefficients, one double per feature and class, that the driver and every task may hold.
 MAX_COEFFICIENTS = 10_000_000
+NUM_FEATURES = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -84,8 +87,15 @@ def feature_stages(spec: TextSpec, num_features: int) -> list:
         )
     else:
         terms = RegexTokenizer(inputCol=spec.text, outputCol="terms", pattern=WORD_BREAK)
-    counts = HashingTF(inputCol="terms", outputCol="tf", numFeatures=num_features)
-    return [terms, counts, IDF(inputCol="tf", outputCol="features")]
+    counts = HashingTF(inputCol="terms", outputCol=TERM_COUNTS, numFeatures=num_features)
+    return [terms, counts, IDF(inputCol=TERM_COUNTS, outputCol="features")]
+
+
+def with_term_counts(df: DataFrame, spec: TextSpec, num_features: int = NUM_FEATURES) -> DataFrame:
+    """The text, or the token arrays, replaced by their term counts."""
+    counted = PipelineModel(feature_stages(spec, num_features)[:-1]).transform(df)
+    inputs = ("input_ids", "attention_mask") if spec.encoded else (spec.text,)
+    return counted.drop("terms", *inputs)
 
 
 def with_label_id(df: DataFrame, spec: TextSpec) -> DataFrame:
@@ -102,28 +112,31 @@ def train(
     val_df: DataFrame,
     spec: TextSpec,
     candidates: Sequence[Mapping] = ({"maxIter": 20, "regParam": 0.01},),
-    num_features: int = 1 << 16,
+    num_features: int = NUM_FEATURES,
     max_coefficients: int = MAX_COEFFICIENTS,
+    counted: bool = False,
 ) -> Classifier:
     """Fit every candidate on the training rows; keep the lowest validation loss.
 
     ``max_coefficients`` bounds features times classes, eight bytes each on the driver and in
     every task.
-    Features are fitted and computed once, then held for all candidates (spilling to
-    disk; a lost block is recomputed). Rows stay on the executors: only gradients, which
+    Terms are counted once, then held for the weights and all candidates (spilling to
+    disk; a lost block is recomputed); rows that are ``counted`` (:func:`with_term_counts`) are read
+    where they are stored. Rows stay on the executors: only gradients, which
     are bounded by features times classes, are summed to the driver.
     """
-    wanted = num_features * len(set(spec.classes))
-    if wanted > max_coefficients:
-        raise ValueError(f"{wanted} coefficients are more than max_coefficients.")
-    features = Pipeline(stages=feature_stages(spec, num_features)).fit(train_df)
-    held = []
+    check_coefficients(spec, num_features, max_coefficients)
+    *counting, weights = feature_stages(spec, num_features)
+    held, counts = [], []
     for df in (train_df, val_df):
-        ready = features.transform(with_label_id(df, spec)).select("features", LABEL_ID)
-        held.append(ready.persist(StorageLevel.MEMORY_AND_DISK))
-    train_ready, val_ready = held
+        df = with_label_id(df if counted else with_term_counts(df, spec, num_features), spec)
+        counts.append(df.select(TERM_COUNTS, LABEL_ID))
+        if not counted:
+            held.append(counts[-1].persist(StorageLevel.MEMORY_AND_DISK))
     best, best_loss, tried = None, float("inf"), []
     try:
+        weighing = weights.fit(counts[0])
+        train_ready, val_ready = (weighing.transform(c).select("features", LABEL_ID) for c in counts)
         for params in candidates:
             learner = LogisticRegression(
                 featuresCol="features", labelCol=LABEL_ID, family="multinomial", **params
@@ -139,17 +152,27 @@ def train(
     finally:
         for df in held:
             df.unpersist()
-    return Classifier(PipelineModel([*features.stages, best]), spec, tuple(tried))
+    return Classifier(PipelineModel([*counting, weighing, best]), spec, tuple(tried))
+
 
+def check_coefficients(spec: TextSpec, num_features: int, max_coefficients: int) -> None:
+    wanted = num_features * len(set(spec.classes))
+    if wanted > max_coefficients:
+        raise ValueError(f"{wanted} coefficients are more than max_coefficients.")
 
-def predict(classifier: Classifier, df: DataFrame) -> DataFrame:
-    """Add ``scores``, ``prediction`` (class id) and ``predicted`` (class name)."""
+
+def predict(classifier: Classifier, df: DataFrame, counted: bool = False) -> DataFrame:
+    """Add ``scores``, ``prediction`` (class id) and ``predicted`` (class name).
+
+    Rows that are ``counted`` have their term counts (:func:`with_term_counts`) in place of a text.
+    """
     if isinstance(classifier.model, epochs.HashedLinear):
         scored = classifier.model.transform(df, classifier.spec)
     else:
-        scored = classifier.model.transform(df)
+        stages = classifier.model.stages[2:] if counted else classifier.model.stages
+        scored = PipelineModel(stages).transform(df)
         scored = scored.withColumn("scores", vector_to_array("probability"))
-        scored = scored.drop("terms", "tf", "features", "rawPrediction", "probability")
+        scored = scored.drop("terms", TERM_COUNTS, "features", "rawPrediction", "probability")
     return scored.withColumn("prediction", F.col("prediction").cast("int")).withColumn(
         "predicted", labels.decode(F.col("prediction"), classifier.spec.classes)
     )

@@ -212,6 +212,24 @@ def test_class_without_training_rows(spark):
     assert all(r.predicted == r.main_cat for r in out)
 
 
+def test_terms_are_counted_once(spark, jsonl, tmp_path, monkeypatch):
+    """The split table has term counts and no text, and trains the model that the text trains."""
+    out, seen = str(tmp_path / "out"), []
+    jobs.run_etl(spark, etl_config(jsonl, out, keep=["asin"], schema=RECORD_DDL))
+    export = jobs.splits.export_shards
+    monkeypatch.setattr(jobs.splits, "export_shards", lambda df, *a, **b: seen.append(df.columns) or export(df, *a, **b))
+    jobs.run_train(spark, train_config(out, key="asin", candidates=[{"maxIter": 1}]))
+    assert seen == [["split", "tf", "main_cat"]]
+    df, spec = readers.read_parquet(spark, out), model.TextSpec(classes=views.LANGUAGES)
+    counted = model.with_term_counts(df, spec, 64)
+    assert "combined_text" not in counted.columns
+    one = model.train(df, df, spec, [{"maxIter": 3}], 64)
+    two = model.train(counted, counted, spec, [{"maxIter": 3}], 64, counted=True)
+    assert one.validation[0][1] == pytest.approx(two.validation[0][1])
+    expected = {r.asin: r.predicted for r in model.predict(one, df).collect()}
+    assert {r.asin: r.predicted for r in model.predict(two, counted, counted=True).collect()} == expected
+
+
 def test_command_line(spark, jsonl, tmp_path, capsys):
     config, processed = tmp_path / "etl.yaml", str(tmp_path / "processed")
     config.write_text(yaml.safe_dump(etl_config(jsonl, processed)))
