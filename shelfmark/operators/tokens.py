@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmark.functions.text import words
 from shelfmark.functions.wordpiece import MAX_WORD_CHARS, SPELLED_TOKENS, split_word, word_parts
@@ -41,6 +42,9 @@ STRATEGIES = ("broadcast", "join")
 #: Rows of a batch whose words a task holds at once; a batch may have some 10,000 rows.
 ROWS_AT_ONCE = 256
 
+#: Rows, on average, whose distinct words are joined to a vocabulary together.
+BLOCK_ROWS = 1024
+
 ENCODED_TYPE = "struct<input_ids:array<int>,n_real:int>"
 
 
@@ -249,41 +253,50 @@ def encode_joined(
 ) -> DataFrame:
     """:func:`encode` for a vocabulary of any size, by joins on the word.
 
-    Every distinct word gets its ids once (with ``subwords`` those of its pieces), is copied to
-    ``salts`` join keys, and every word occurrence picks one, so the occurrences of a frequent
-    word spread over that many tasks. A row of ``df`` contributes at most ``max_length - 2``
-    occurrences; where that leaves a hot key, adaptive execution splits the join. A key that is
+    Rows are dealt into blocks of some ``BLOCK_ROWS`` by their key. The distinct words of each block
+    are joined to the vocabulary (with ``subwords`` every distinct word gets the ids of its pieces once)
+    and come back to their block, where one Arrow function replaces the words by their ids: what is
+    joined grows with a block's distinct words, not with the occurrences. Every word of the vocabulary is
+    copied to ``salts`` join keys, over which the blocks of a frequent word spread. A key that is
     null or not unique is refused before anything is encoded.
     """
     _check_length(max_length)
-    twice = df.groupBy(key).agg(F.count("*").alias("n")).filter((F.col("n") > 1) | F.col(key).isNull())
-    wrong = twice.select(F.col(key).cast("string")).first()
+    by_key = df.groupBy(key).agg(F.count("*").alias("n"))
+    bad = F.when((F.col("n") > 1) | F.col(key).isNull(), F.struct(F.col(key).cast("string")))
+    n_rows, wrong = by_key.agg(F.sum("n"), F.first(bad, ignorenulls=True)).first()
     if wrong is not None:
         raise ValueError(f"Key is not unique: {wrong[0]}")
     specials = _special_ids(vocab.filter(F.col("token").isin(*SPECIAL_TOKENS)).toArrow())
-    reachable = F.slice(word_array(F.col(text), normalizer), 1, max(max_length - 2, 1))
-    salt = F.pmod(F.xxhash64(F.col(key), F.col("_pos")), F.lit(salts)).cast("int")
-    occurrences = df.select(key, F.posexplode(reachable).alias("_pos", "token"))
+    room = max_length - 2
+    reachable = F.slice(word_array(F.col(text), normalizer), 1, max(room, 1))
+    block = F.pmod(F.xxhash64(key), F.lit(-(-(n_rows or 1) // BLOCK_ROWS)))
+    rows = df.select(F.col(key).alias("_key"), block.alias("_block"), reachable.alias("_words"))
+    # Dealt out before the words are: a block's words then meet without another shuffle.
+    wanted = rows.repartition("_block").select("_block", F.explode(F.array_distinct("_words")).alias("token"))
+    wanted = wanted.distinct()
     if subwords:
-        distinct = occurrences.select("token").distinct()
+        distinct = wanted.select("token").distinct()
         plain = normalizer == "wordpiece"
         ids_of = subword_table(distinct, vocab, plain=plain, strategy="join").select(
             "token", F.col("piece_ids").alias("ids")
         )
     else:
-        ids_of = vocab.select("token", F.array("id").alias("ids"))
+        ids_of = vocab.select("token", F.array(F.col("id").cast("int")).alias("ids"))
     salted = ids_of.select(
         "token", "ids", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
     )
-    found = occurrences.withColumn("_salt", salt).join(salted, ["token", "_salt"], "left")
-    ids = F.coalesce("ids", F.array(F.lit(specials[UNK])))
-    by_row = found.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("_pos", ids.alias("ids")))).alias("_found")
+    salt = F.pmod(F.xxhash64("_block"), F.lit(salts)).cast("int")
+    found = wanted.withColumn("_salt", salt).join(salted, ["token", "_salt"])
+    found = found.select(F.col("_block").alias("_of"), "token", "ids")
+    ids_type = T.StructType().add("_key", df.schema[key].dataType).add("_ids", T.ArrayType(T.IntegerType()))
+    by_row = (
+        rows.groupBy("_block")
+        .cogroup(found.groupBy("_of"))
+        .applyInArrow(_block_encoder(room, specials[UNK]), ids_type)
+        .withColumnRenamed("_key", key)
     )
-    # Rows without words have no occurrence and come back through the outer join.
     joined = df.join(by_row, key, "left")
-    flat = F.coalesce(F.flatten(F.col("_found.ids")), F.array().cast("array<int>"))
-    ids = F.slice(flat, 1, max_length - 2) if max_length > 2 else F.array().cast("array<int>")
+    ids = F.coalesce("_ids", F.array().cast("array<int>"))
     n_pad = F.lit(max_length - 2) - F.size(ids)
     framed = F.concat(
         F.array(F.lit(specials[CLS])),
@@ -293,7 +306,30 @@ def encode_joined(
     )
     mask = _mask(F.size(ids) + 2, max_length)
     out = joined.withColumn("input_ids", framed).withColumn("attention_mask", mask)
-    return out.drop("_found", *([] if keep_text else [text]))
+    return out.drop("_ids", *([] if keep_text else [text]))
+
+
+def _block_encoder(room: int, unknown: int):
+    """Arrow function from a block's rows and the ids of its known words to the first ids of each row."""
+
+    def run(rows: pa.Table, found: pa.Table) -> pa.Table:
+        word_lists, known = (t[c].combine_chunks() for t, c in ((rows, "_words"), (found, "ids")))
+        row = np.repeat(
+            np.arange(rows.num_rows), pc.list_value_length(word_lists).to_numpy(zero_copy_only=False)
+        )
+        at = pc.index_in(word_lists.flatten(), value_set=found["token"].combine_chunks())
+        # A word that was not found takes the run behind the others.
+        which = at.fill_null(found.num_rows).to_numpy(zero_copy_only=False)
+        sizes = np.append(pc.list_value_length(known).to_numpy(zero_copy_only=False), 1).astype(np.int64)
+        flat = np.append(known.flatten().to_numpy(zero_copy_only=False), unknown).astype(np.int32)
+        run_sizes = sizes[which]
+        ids = flat[_run_positions((np.cumsum(sizes) - sizes)[which], run_sizes)]
+        row_sizes = np.bincount(np.repeat(row, run_sizes), minlength=rows.num_rows)
+        fits = _run_positions(np.zeros(rows.num_rows, dtype=np.int64), row_sizes) < room
+        lists = _lists(pa.array(ids[fits]), np.minimum(row_sizes, room))
+        return pa.table([rows["_key"], lists], names=["_key", "_ids"])
+
+    return run
 
 
 def ensure_encoded(df: DataFrame, vocab: DataFrame | None = None, **options) -> DataFrame:
@@ -376,9 +412,9 @@ def _joined_pieces(words_df: DataFrame, vocab: DataFrame, token: str, plain: boo
     mark = F.when(F.col("_from") > 1, F.lit("##")).otherwise("")
     piece = F.concat(mark, F.substr("_word", F.col("_from"), F.col("_size")))
     matched = cuts.withColumn("_piece", piece).join(known, "_piece")
-    best = matched.groupBy(token, "_part", "_from").agg(
-        F.max(F.struct("_size", "_piece", "_id")).alias("best")
-    )
+    # Length and id in one number, which is aggregated by hashing; the piece follows from the length.
+    sized = F.shiftleft(F.col("_size").cast("bigint"), 32).bitwiseOR(F.col("_id").cast("bigint"))
+    best = matched.groupBy(token, "_part", "_from").agg(F.max(sized).alias("best"))
     by_part = best.groupBy(token, "_part").agg(
         F.sort_array(F.collect_list(F.struct("_from", "best"))).alias("_best")
     )
@@ -390,11 +426,15 @@ def _joined_pieces(words_df: DataFrame, vocab: DataFrame, token: str, plain: boo
     )
 
     def follow(state, start):
-        best = start["best"]
+        length = F.shiftright(start["best"], 32).cast("int")
+        found = F.concat(
+            F.when(start["_from"] > 1, F.lit("##")).otherwise(""), F.substr("_word", start["_from"], length)
+        )
+        found_id = start["best"].bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
         step = F.struct(
-            (state["next"] + best["_size"]).alias("next"),
-            F.concat(state["pieces"], F.array(best["_piece"])).alias("pieces"),
-            F.concat(state["ids"], F.array(best["_id"])).alias("ids"),
+            (state["next"] + length).alias("next"),
+            F.concat(state["pieces"], F.array(found)).alias("pieces"),
+            F.concat(state["ids"], F.array(found_id)).alias("ids"),
         )
         return F.when(start["_from"] == state["next"], step).otherwise(state)
 

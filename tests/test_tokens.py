@@ -267,3 +267,17 @@ def test_memory_of_a_batch_is_that_of_its_arrays(spark):
     assert out[6_000].as_py() == {"input_ids": [2, 3, *[0] * 510], "n_real": 2}
     seen, per_row = tokens._first_words(pa.array(["a b c d e f", " ", "b"]), 2)
     assert (seen.to_pylist(), per_row.tolist()) == (["a", "b", "b"], [2, 0, 1])
+
+
+def test_joined_words_are_those_of_a_block(spark, monkeypatch):
+    """Occurrences are not joined one by one: a word goes to the vocabulary once per block."""
+    monkeypatch.setattr(tokens, "BLOCK_ROWS", 16)
+    rows = [(i, "the cat sat the " * 20 + f"w{i % 7}") for i in range(64)] + [(64, ""), (65, None)]
+    df = spark.createDataFrame(rows, "k long, t string")
+    vocab = tokens.build_vocab(df, "t", 9)
+    for length in (2, 3, 40, 100):
+        narrow = tokens.encode(df, vocab, "t", length)
+        joined = tokens.encode(df, vocab, "t", length, key="k", strategy="join")
+        assert sorted(narrow.collect()) == sorted(joined.select(narrow.columns).collect())
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" not in plan and "array_distinct" in plan and "CoGroup" in plan
