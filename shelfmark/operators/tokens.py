@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,10 +43,25 @@ STRATEGIES = ("broadcast", "join")
 #: Rows of a batch whose words a task holds at once; a batch may have some 10,000 rows.
 ROWS_AT_ONCE = 256
 
-#: Rows, on average, whose distinct words are joined to a vocabulary together.
-BLOCK_ROWS = 1024
+#: Rows whose distinct words are joined to a vocabulary together, at most.
+BLOCK_ROWS = 2048
+#: Blocks for every copy of a joined vocabulary.
+BLOCKS_A_SALT = 1024
+#: Words of a block whose substrings are looked at together.
+WORDS_AT_ONCE = 1 << 16
+
+#: The bit table that rules strings out of a vocabulary has 2 ** TABLE_BITS bits, 8 MB. A string's place
+#: comes from its first bytes; no piece has more than four for each of MAX_WORD_CHARS characters and its mark.
+TABLE_BITS = 26
+PLACE_BYTES = 512
+# Any odd numbers would do.
+_BASE, _MIX = np.uint64(0x9E3779B97F4A7C55), np.uint64(0xD6E8FEB86659FD93)
+# Fixed value: what continuing pieces begin with, and the hash of it.
+_MARK = b"##"
+_MARKED = np.uint64(((0x23 + 1) * int(_BASE) + 0x23 + 1) % (1 << 64))
 
 ENCODED_TYPE = "struct<input_ids:array<int>,n_real:int>"
+BLOCK_TYPE = "_block long, _rows binary, _words binary, _wanted array<string>"
 
 
 def normalized(text: Column, normalizer: str = "simple") -> Column:
@@ -211,6 +227,7 @@ def encode(
     keep_text: bool = False,
     strategy: str = "broadcast",
     max_tokens: int = MAX_BROADCAST_TOKENS,
+    scratch: list[str] | None = None,
 ) -> DataFrame:
     """Replace a text column by ``input_ids`` and ``attention_mask`` of fixed length.
 
@@ -220,7 +237,7 @@ def encode(
 
     Strategy ``broadcast`` reads the vocabulary when this is called and refuses one of more
     than ``max_tokens`` rows; ``join`` takes any vocabulary and a unique ``key``
-    (:func:`encode_joined`). Both give the same arrays.
+    (:func:`encode_joined`, which adds to ``scratch``). Both give the same arrays.
     """
     _check_length(max_length)
     if strategy not in STRATEGIES:
@@ -228,9 +245,8 @@ def encode(
     if strategy == "join":
         if key is None:
             raise ValueError("Joining a vocabulary takes a unique key.")
-        return encode_joined(
-            df, vocab, key, text, max_length, normalizer, subwords=subwords, keep_text=keep_text
-        )
+        options = {"subwords": subwords, "keep_text": keep_text, "scratch": scratch}
+        return encode_joined(df, vocab, key, text, max_length, normalizer, **options)
     table = _collected(vocab, max_tokens)
     plain = normalizer == "wordpiece"
     encoder = _encoder(df.sparkSession, table, max_length, subwords, plain)
@@ -250,15 +266,19 @@ def encode_joined(
     salts: int = 32,
     subwords: bool = False,
     keep_text: bool = False,
+    scratch: list[str] | None = None,
 ) -> DataFrame:
     """:func:`encode` for a vocabulary of any size, by joins on the word.
 
-    Rows are dealt into blocks of some ``BLOCK_ROWS`` by their key. The distinct words of each block
-    are joined to the vocabulary (with ``subwords`` every distinct word gets the ids of its pieces once)
-    and come back to their block, where one Arrow function replaces the words by their ids: what is
-    joined grows with a block's distinct words, not with the occurrences. Every word of the vocabulary is
-    copied to ``salts`` join keys, over which the blocks of a frequent word spread. A key that is
-    null or not unique is refused before anything is encoded.
+    The rows of each task go into blocks of ``BLOCK_ROWS`` at most, which are stored: a block has the
+    numbers of its rows' words and its distinct words, packed, and the distinct strings to look up, words
+    or, with ``subwords``, the substrings that they can be cut into. Strings that a bit table of the
+    vocabulary rules out are not among them. Only these strings are joined to the vocabulary and come back to their block, where one Arrow function
+    cuts the words and replaces them by their ids: neither the texts nor every substring of a word is
+    shuffled. Where a word may come from many blocks, the vocabulary is copied to up to ``salts`` join keys,
+    over which they spread. A key that is null or not unique is refused before anything is encoded. The
+    table of the blocks is written when this is called and added to ``scratch``: it can go when the
+    result is written.
     """
     _check_length(max_length)
     by_key = df.groupBy(key).agg(F.count("*").alias("n"))
@@ -267,32 +287,25 @@ def encode_joined(
     if wrong is not None:
         raise ValueError(f"Key is not unique: {wrong[0]}")
     specials = _special_ids(vocab.filter(F.col("token").isin(*SPECIAL_TOKENS)).toArrow())
-    room = max_length - 2
+    room, plain = max_length - 2, normalizer == "wordpiece"
     reachable = F.slice(word_array(F.col(text), normalizer), 1, max(room, 1))
-    block = F.pmod(F.xxhash64(key), F.lit(-(-(n_rows or 1) // BLOCK_ROWS)))
-    rows = df.select(F.col(key).alias("_key"), block.alias("_block"), reachable.alias("_words"))
-    # Dealt out before the words are: a block's words then meet without another shuffle.
-    wanted = rows.repartition("_block").select("_block", F.explode(F.array_distinct("_words")).alias("token"))
-    wanted = wanted.distinct()
-    if subwords:
-        distinct = wanted.select("token").distinct()
-        plain = normalizer == "wordpiece"
-        ids_of = subword_table(distinct, vocab, plain=plain, strategy="join").select(
-            "token", F.col("piece_ids").alias("ids")
-        )
-    else:
-        ids_of = vocab.select("token", F.array(F.col("id").cast("int")).alias("ids"))
-    salted = ids_of.select(
-        "token", "ids", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
-    )
-    salt = F.pmod(F.xxhash64("_block"), F.lit(salts)).cast("int")
-    found = wanted.withColumn("_salt", salt).join(salted, ["token", "_salt"])
-    found = found.select(F.col("_block").alias("_of"), "token", "ids")
+    rows = df.select(F.col(key).alias("_key"), reachable.alias("_words"))
+    blocks = rows.mapInArrow(_block_builder(df.sparkSession, vocab, subwords, plain), BLOCK_TYPE)
+    blocks = _stored(blocks, "blocks", [] if scratch is None else scratch)
+    wanted = blocks.select("_block", F.explode(F.array_distinct("_wanted")).alias("token"))
+    known, on = vocab.select("token", F.col("id").cast("int").alias("id")), ["token"]
+    copies = min(salts, (n_rows or 0) // (BLOCK_ROWS * BLOCKS_A_SALT))
+    if copies > 1:
+        on = ["token", "_salt"]
+        known = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+        wanted = wanted.withColumn("_salt", F.pmod(F.xxhash64("_block"), F.lit(copies)).cast("int"))
+    found = wanted.join(known, on).select(F.col("_block").alias("_of"), "token", "id")
     ids_type = T.StructType().add("_key", df.schema[key].dataType).add("_ids", T.ArrayType(T.IntegerType()))
     by_row = (
-        rows.groupBy("_block")
+        blocks.drop("_wanted")
+        .groupBy("_block")
         .cogroup(found.groupBy("_of"))
-        .applyInArrow(_block_encoder(room, specials[UNK]), ids_type)
+        .applyInArrow(_block_encoder(room, specials[UNK], subwords, plain), ids_type)
         .withColumnRenamed("_key", key)
     )
     joined = df.join(by_row, key, "left")
@@ -309,29 +322,186 @@ def encode_joined(
     return out.drop("_ids", *([] if keep_text else [text]))
 
 
-def _block_encoder(room: int, unknown: int):
-    """Arrow function from a block's rows and the ids of its known words to the first ids of each row."""
+def _block_builder(spark: SparkSession, vocab: DataFrame, subwords: bool, plain: bool):
+    """Arrow function from rows with their words to blocks, of ``BLOCK_TYPE``.
 
-    def run(rows: pa.Table, found: pa.Table) -> pa.Table:
-        word_lists, known = (t[c].combine_chunks() for t, c in ((rows, "_words"), (found, "ids")))
+    A row's codes are places in the block's words. Without ``subwords`` these are only the words that
+    may be in the vocabulary; the place behind them stands for all others.
+    """
+    bits, longest = _token_bits(vocab)
+    shared, most = spark.sparkContext.broadcast(bits), BLOCK_ROWS
+
+    def block(rows: pa.RecordBatch, number: int) -> pa.RecordBatch:
+        word_lists = rows["_words"]
+        coded = word_lists.flatten().dictionary_encode()
+        codes, words_of = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.cast(pa.string())
+        if subwords:
+            wanted = _candidates(words_of, plain, shared.value, longest)
+        else:
+            may = _in_table(shared.value, _places(words_of))
+            places = np.where(may, np.cumsum(may) - 1, np.count_nonzero(may))
+            codes, wanted = places[codes], words_of.filter(pa.array(may))
+            words_of = wanted
+        per_row = pc.list_value_length(word_lists).to_numpy(zero_copy_only=False)
+        code_lists = _lists(pa.array(codes.astype(np.int32)), per_row)
+        packed = [_packed([rows["_key"], code_lists], ["_key", "_codes"]), _packed([words_of], ["_words"])]
+        columns = [pa.array([number]), *(pa.array([p], pa.binary()) for p in packed), _lists(wanted, [len(wanted)])]
+        return pa.RecordBatch.from_arrays(columns, names=["_block", "_rows", "_words", "_wanted"])
+
+    def run(batches):
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for at in range(0, batch.num_rows, most):
+                yield block(batch.slice(at, most), number)
+                number += 1
+
+    return run
+
+
+def _packed(columns: list[pa.Array], names: list[str]) -> bytes:
+    """Columns as one compressed string of bytes."""
+    batch, sink = pa.RecordBatch.from_arrays(columns, names=names), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(packed: pa.ChunkedArray) -> pa.RecordBatch:
+    return pa.ipc.open_stream(packed[0].as_buffer()).read_next_batch()
+
+
+def _block_encoder(room: int, unknown: int, subwords: bool, plain: bool):
+    """Arrow function from a block and the ids of its known strings to the first ids of each row."""
+
+    def run(block: pa.Table, found: pa.Table) -> pa.Table:
+        rows, words_of = _unpacked(block["_rows"]), _unpacked(block["_words"])["_words"]
+        code_lists = rows["_codes"]
+        found = found.sort_by("id")
+        known, ids = found["token"].combine_chunks(), found["id"].to_numpy().astype(np.int32)
+        if subwords:
+            id_of = dict(zip(known.to_pylist(), ids.tolist())) | {UNK: unknown}
+            longest = pc.max(pc.utf8_length(known)).as_py() or 0
+            split = [split_word(w, id_of, longest, UNK, plain) for w in words_of.to_pylist()]
+            sizes = np.array([len(s) for s in split], dtype=np.int64)
+            flat = np.array([id_of[p] for s in split for p in s], dtype=np.int32)
+        else:
+            at = pc.index_in(words_of, value_set=known).fill_null(len(known))
+            # A word that was not found takes the id behind the others, as do the words left out.
+            flat = np.append(ids, np.int32(unknown))[np.append(at.to_numpy(zero_copy_only=False), len(known))]
+            sizes = np.ones(len(flat), dtype=np.int64)
         row = np.repeat(
-            np.arange(rows.num_rows), pc.list_value_length(word_lists).to_numpy(zero_copy_only=False)
+            np.arange(rows.num_rows), pc.list_value_length(code_lists).to_numpy(zero_copy_only=False)
         )
-        at = pc.index_in(word_lists.flatten(), value_set=found["token"].combine_chunks())
-        # A word that was not found takes the run behind the others.
-        which = at.fill_null(found.num_rows).to_numpy(zero_copy_only=False)
-        sizes = np.append(pc.list_value_length(known).to_numpy(zero_copy_only=False), 1).astype(np.int64)
-        flat = np.append(known.flatten().to_numpy(zero_copy_only=False), unknown).astype(np.int32)
+        which = code_lists.flatten().to_numpy(zero_copy_only=False)
         run_sizes = sizes[which]
-        ids = flat[_run_positions((np.cumsum(sizes) - sizes)[which], run_sizes)]
+        row_ids = flat[_run_positions((np.cumsum(sizes) - sizes)[which], run_sizes)]
         row_sizes = np.bincount(np.repeat(row, run_sizes), minlength=rows.num_rows)
         fits = _run_positions(np.zeros(rows.num_rows, dtype=np.int64), row_sizes) < room
-        lists = _lists(pa.array(ids[fits]), np.minimum(row_sizes, room))
+        lists = _lists(pa.array(row_ids[fits]), np.minimum(row_sizes, room))
         return pa.table([rows["_key"], lists], names=["_key", "_ids"])
 
     return run
 
 
+def _token_bits(vocab: DataFrame) -> tuple[np.ndarray, int]:
+    """A bit table with the place of every token set, 64 bits a number, and the most bytes of a token.
+
+    Its size does not depend on the vocabulary: the more tokens, the more strings that are none pass it.
+    """
+
+    @F.arrow_udf("long")
+    def place_of(tokens: pa.Array) -> pa.Array:
+        return pa.array(_places(tokens.cast(pa.string())))
+
+    places = vocab.select(place_of("token").alias("place"), F.octet_length("token").alias("size"))
+    bit = F.expr("shiftleft(1L, cast(place & 63 AS int))")
+    found = places.groupBy(F.shiftright("place", 6).alias("at")).agg(F.bit_or(bit).alias("bits"), F.max("size").alias("size"))
+    found = found.toArrow()
+    table = np.zeros(1 << (TABLE_BITS - 6), dtype=np.uint64)
+    table[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return table, pc.max(found["size"]).as_py() or 0
+
+
+def _in_table(table: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (table[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def _bytes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of strings end to end, and where each begins and the last one ends."""
+    offsets = np.frombuffer(strings.buffers()[1] or b"\0\0\0\0", dtype=np.int32)
+    offsets = offsets[strings.offset : strings.offset + len(strings) + 1].astype(np.int64)
+    data = np.frombuffer(strings.buffers()[2] or b"", dtype=np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def _growing(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, state: np.ndarray):
+    """Hashes strings byte by byte: of those that have another byte, which, where it ends, their place."""
+    which = np.arange(len(starts))
+    at = starts
+    while True:
+        more = at < ends
+        which, at, ends, state = which[more], at[more], ends[more], state[more]
+        if not len(which):
+            return
+        state = state * _BASE + data[at] + np.uint64(1)
+        at = at + 1
+        yield which, at, ((state * _MIX) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
+
+def _places(strings: pa.Array) -> np.ndarray:
+    """Places of strings in the bit table, by their first ``PLACE_BYTES`` bytes."""
+    data, offsets = _bytes(strings)
+    ends = np.minimum(offsets[1:], offsets[:-1] + PLACE_BYTES)
+    places = np.zeros(len(strings), dtype=np.int64)
+    for which, at, place in _growing(data, offsets[:-1], ends, np.zeros(len(strings), dtype=np.uint64)):
+        places[which] = place
+    return places
+
+
+def _candidates(words_of: pa.Array, plain: bool, table: np.ndarray, longest: int) -> pa.Array:
+    """Pieces that words may be cut into: substrings, those inside a word marked, that the table does not rule out.
+
+    Few are named more than once.
+    """
+    if plain:
+        # A spelled-out special token is itself or its parts, as the vocabulary has it.
+        parts = ((w, *word_parts(w, True)) if w in SPELLED_TOKENS else word_parts(w, True) for w in words_of.to_pylist())
+        words_of = pa.array([p for some in parts for p in some], pa.string())
+    words_of = words_of.filter(pc.less_equal(pc.utf8_length(words_of), MAX_WORD_CHARS))
+    starts = range(0, len(words_of), WORDS_AT_ONCE)
+    found = [p for at in starts for p in _pieces(words_of.slice(at, WORDS_AT_ONCE), table, longest)]
+    return pa.concat_arrays([pa.array([], pa.string()), *found])
+
+
+def _pieces(words_of: pa.Array, table: np.ndarray, longest: int):
+    data, offsets = _bytes(words_of)
+    # Characters begin at bytes that continue no other one.
+    begins = np.append((data & 0xC0) != 0x80, True)
+    starts = np.flatnonzero(begins[:-1])
+    ends = np.repeat(offsets[1:], np.diff(offsets))[starts]
+    head = np.zeros(len(data), dtype=bool)
+    head[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    head = head[starts]
+    state = np.where(head, np.uint64(0), _MARKED)
+    ends = np.minimum(ends, starts + np.where(head, longest, longest - len(_MARK)))
+    for size, (which, at, place) in enumerate(_growing(data, starts, ends, state), 1):
+        which = which[begins[at] & _in_table(table, place)]
+        for mark, some in ((b"", which[head[which]]), (_MARK, which[~head[which]])):
+            if len(some):
+                yield _distinct(data[starts[some][:, None] + np.arange(size)], mark)
+
+
+def _distinct(rows: np.ndarray, mark: bytes) -> pa.Array:
+    """The distinct rows of a matrix of bytes as strings behind a mark."""
+    n, size = rows.shape
+    kinds = pa.FixedSizeBinaryArray.from_buffers(pa.binary(size), n, [None, pa.py_buffer(rows.tobytes())]).unique()
+    kept = np.frombuffer(kinds.buffers()[1], dtype=np.uint8)[: len(kinds) * size].reshape(-1, size)
+    marks = np.tile(np.frombuffer(mark, dtype=np.uint8), (len(kept), 1))
+    offsets = np.arange(len(kept) + 1, dtype=np.int32) * (size + len(mark))
+    values = np.hstack([marks, kept]).tobytes()
+    return pa.StringArray.from_buffers(len(kept), pa.py_buffer(offsets.tobytes()), pa.py_buffer(values))
+
+
 def ensure_encoded(df: DataFrame, vocab: DataFrame | None = None, **options) -> DataFrame:
     """Use stored token arrays where the input has them, else encode its text."""
     if "input_ids" in df.columns and "attention_mask" in df.columns:

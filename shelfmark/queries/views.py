@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import labels
 from shelfmark.operators import splits
+from shelfmark.sources import readers
 from shelfmark.sources.readers import read_parquet
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -27,8 +28,8 @@ def cores(spark: SparkSession) -> int:
 
 
 def documents(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    partitions = cores(spark) if spread else None
-    return read_parquet(spark, f"{sf_dir}/documents.parquet", partitions)
+    df = read_parquet(spark, f"{sf_dir}/documents.parquet")
+    return readers.spread(df, cores(spark)) if spread else df
 
 
 def products(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:

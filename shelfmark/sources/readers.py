@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.operators.splits import Key, check_fraction, sample
@@ -68,6 +69,15 @@ def dealt(df: DataFrame, partitions: int | None) -> DataFrame:
     return df.repartition(partitions) if partitions else df
 
 
+def spread(df: DataFrame, partitions: int) -> DataFrame:
+    """The rows of a scan over that many partitions at least: dealt out, which shuffles whole rows, only
+    where the scan itself leaves half of so many tasks without work. Counting needs no column's data."""
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    if sizes and max(sizes) * partitions <= 2 * sum(sizes):
+        return df
+    return dealt(df, partitions)
+
+
 def take_rows(
     df: DataFrame,
     n: int,

@@ -96,3 +96,18 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_scratch_paths_are_fresh(spark):
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second and first.startswith(shared_dir(spark))
+
+
+def test_rows_are_dealt_out_only_where_the_files_are_uneven(spark, tmp_path):
+    even, single = str(tmp_path / "even"), str(tmp_path / "single")
+    spark.range(4_000, numPartitions=8).write.parquet(even)
+    spark.range(4_000, numPartitions=1).write.parquet(single)
+    for path, dealt in ((even, False), (single, True)):
+        spark.conf.set("spark.sql.files.openCostInBytes", "16m")
+        try:
+            df = readers.spread(spark.read.parquet(path), 4)
+        finally:
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert df.count() == 4_000
+        assert ("Repartition" in df._jdf.queryExecution().optimizedPlan().toString()) == dealt
+    assert readers.spread(spark.range(0), 4).count() == 0

@@ -1,6 +1,7 @@
 import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -281,3 +282,58 @@ def test_joined_words_are_those_of_a_block(spark, monkeypatch):
         assert sorted(narrow.collect()) == sorted(joined.select(narrow.columns).collect())
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert "posexplode" not in plan and "array_distinct" in plan and "CoGroup" in plan
+
+
+WORDS = ["naïve", "中文字", "##ed", "abab", "a", "x" * 100, "y" * 101, "😀é", "-", "unwanted"]
+
+
+@pytest.mark.parametrize("all_bits", [False, True])
+def test_candidates_are_the_substrings_that_may_be_known(all_bits):
+    """All substrings where the bit table is full; with a vocabulary's table its tokens and hardly another."""
+    every = set()
+    for w in (w for w in WORDS if len(w) <= 100):
+        spans = [(i, j) for i in range(len(w)) for j in range(i + 1, len(w) + 1)]
+        every |= {("##" if i else "") + w[i:j] for i, j in spans}
+    known = sorted({"na", "##ï", "##ïve", "##文", "##ed", "ab", "##é", "##é😀", "x" * 100, "##" + "x" * 99, "missing"})
+    table = np.zeros(1 << (tokens.TABLE_BITS - 6), dtype=np.uint64)
+    for place in tokens._places(pa.array(known)):
+        table[place >> 6] |= np.uint64(1) << np.uint64(place & 63)
+    if all_bits:
+        table[:] = np.uint64(0xFFFFFFFFFFFFFFFF)
+    found = tokens._candidates(pa.array(["sliced", *WORDS]).slice(1), False, table, 402)
+    found.validate(full=True)
+    assert set(found.to_pylist()) == (every if all_bits else every & set(known))
+    short = tokens._candidates(pa.array(WORDS), False, table, 4).to_pylist()
+    assert set(short) == {p for p in found.to_pylist() if len(p.encode()) <= 4}
+    assert tokens._candidates(pa.array([], pa.string()), False, table, 402).to_pylist() == []
+
+
+def test_joined_substrings_are_those_that_may_be_known(spark):
+    """Neither all substrings of the words nor the texts are shuffled; a word's pieces are as in ``encode``."""
+    rows = [(i, " ".join(f"{j * 7919 + i:x}suffix{j:b}" for j in range(60))) for i in range(40)]
+    df = spark.createDataFrame(rows, "k long, t string")
+    vocab = tokens.build_vocab(df, "t", 150, subwords=True)
+    scratch = []
+    joined = tokens.encode(df, vocab, "t", 300, subwords=True, key="k", strategy="join", scratch=scratch)
+    narrow = tokens.encode(df, vocab, "t", 300, subwords=True)
+    assert sorted(narrow.collect()) == sorted(joined.select(narrow.columns).collect())
+    (blocks,) = scratch
+    wanted = {r[0] for r in spark.read.parquet(blocks).select(F.explode("_wanted")).collect()}
+    known = {r.token for r in vocab.collect()}
+    assert 100 < len(wanted) < 2 * len(known)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(" not in plan
+
+
+@pytest.mark.parametrize("normalizer", ["simple", "wordpiece"])
+def test_words_of_many_blocks_go_to_copies_of_the_vocabulary(spark, odd, monkeypatch, normalizer):
+    rows = [(100 + i, f"Unwanted affable w{i % 9} naïve [UNK] [MASK] zzz") for i in range(30)]
+    df = odd.unionByName(spark.createDataFrame(rows, odd.schema))
+    pieces = [*tokens.SPECIAL_TOKENS, "un", "##want", "##ed", "aff", "##able", "w", "##1", "naive", "naïve", "x", "##x", "[", "mask", "]"]
+    vocab = spark.createDataFrame([(t, i) for i, t in enumerate(pieces)], "token string, id int")
+    monkeypatch.setattr(tokens, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(tokens, "BLOCKS_A_SALT", 2)
+    narrow = tokens.encode(df, vocab, "text", 40, normalizer, subwords=True)
+    joined = tokens.encode_joined(df, vocab, "doc_id", "text", 40, normalizer, salts=4, subwords=True)
+    assert "_salt" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(narrow.collect()) == sorted(joined.select(narrow.columns).collect())
