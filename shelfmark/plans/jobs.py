@@ -156,10 +156,12 @@ def preprocess_records(
         vocab = tokens.read_vocab(spark, source)
     write_parquet(vocab, vocab_path)
     spec = replace(spec, vocab_path=vocab_path)
-    return _encoded(combined, spec, tokenizer.get("key")), spec
+    return _encoded(combined, spec, tokenizer.get("key"), scratch), spec
 
 
-def _encoded(df: DataFrame, spec: model.TextSpec, key: str | None = None) -> DataFrame:
+def _encoded(
+    df: DataFrame, spec: model.TextSpec, key: str | None = None, scratch: list[str] | None = None
+) -> DataFrame:
     """Token arrays as the spec makes them."""
     vocab = read_parquet(df.sparkSession, spec.vocab_path) if spec.vocab_path else None
     if spec.normalizer == BYTE_LEVEL and vocab is not None and "input_ids" not in df.columns:
@@ -173,6 +175,7 @@ def _encoded(df: DataFrame, spec: model.TextSpec, key: str | None = None) -> Dat
         subwords=spec.subwords,
         strategy=spec.strategy,
         key=key,
+        scratch=scratch,
     )
 
 
@@ -310,30 +313,48 @@ def joins_vocabulary(classifier: model.Classifier) -> bool:
     return spec.encoded and spec.strategy == "join" and spec.normalizer != BYTE_LEVEL
 
 
-def score(classifier: model.Classifier, df: DataFrame, key: str | None = None) -> DataFrame:
-    """:func:`run_predict` with a classifier at hand."""
+def score(
+    classifier: model.Classifier, df: DataFrame, key: str | None = None, scratch: list[str] | None = None
+) -> DataFrame:
+    """:func:`run_predict` with a classifier at hand.
+
+    Adds the tables that can go once the result is written to ``scratch``.
+    """
     spec = classifier.spec
     ready = "input_ids" in df.columns if spec.encoded else spec.text in df.columns
+    joins = joins_vocabulary(classifier) and not ready
+    numbered = joins and key is None
     if not ready:
         missing = [c for c in spec.text_columns if c not in df.columns]
         if missing:
             raise ValueError(f"The model was trained on columns that the records lack: {missing}")
         df, _ = conforming(classifier, df)
-        df = prep.combine_text(df, spec.text_columns, spec.text, spec.list_style, spec.skip)
-    if joins_vocabulary(classifier) and not ready:
-        if df.isStreaming:
+        if joins and df.isStreaming:
             raise ValueError("This model joins its vocabulary: score the stream with score_stream.")
-        if key is None:
-            # Numbers that a repeated task can't change: the records are stored with them.
-            spark, path = df.sparkSession, scratch_path(df.sparkSession, "numbered")
-            write_parquet(df.withColumn(_ROW, F.monotonically_increasing_id()), path)
-            return model.predict(classifier, _encoded(read_parquet(spark, path), spec, _ROW)).drop(_ROW)
-        df = _encoded(df, spec, key)
+        if numbered:
+            # Numbers that a repeated task can't change: the records are stored with them, their text is made
+            # when it is read.
+            df, key = _numbered(df, scratch), _ROW
+        df = prep.combine_text(df, spec.text_columns, spec.text, spec.list_style, spec.skip)
+    if joins:
+        df = _encoded(df, spec, key, scratch)
+        if numbered:
+            df = df.drop(_ROW)
     elif spec.encoded:
         df = _encoded(df, replace(spec, strategy="broadcast"))
     return model.predict(classifier, df)
 
 
+def _numbered(df: DataFrame, scratch: list[str] | None) -> DataFrame:
+    """The rows as they are stored, with a unique number each."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "numbered")
+    if scratch is not None:
+        scratch.append(path)
+    df = df.withColumn(_ROW, F.monotonically_increasing_id())
+    df.write.option("compression", "zstd").parquet(path)
+    return read_parquet(spark, path)
+
+
 def run_profile(
     df: DataFrame, category: str, text: str, strict: bool = False
 ) -> dict[str, DataFrame]:

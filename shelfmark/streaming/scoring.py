@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfmark.plans import jobs, model
+from shelfmark.session import remove
 from shelfmark.sources.readers import jsonl_schema
 from shelfmark.sources.writers import write_parquet
 
@@ -44,7 +45,12 @@ def score_stream(
         return _append(jobs.score(classifier, records).select(*columns), out_path, checkpoint_path, trigger)
 
     def write(batch: DataFrame, number: int) -> None:
-        write_parquet(jobs.score(classifier, batch).select(*columns), f"{out_path}/batch={number}")
+        scratch: list[str] = []
+        try:
+            scored = jobs.score(classifier, batch, scratch=scratch)
+            write_parquet(scored.select(*columns), f"{out_path}/batch={number}")
+        finally:
+            remove(batch.sparkSession, scratch)
 
     writer = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_path)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

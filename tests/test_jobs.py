@@ -376,6 +376,33 @@ def test_joined_vocabularies_score_streams_once(spark, jsonl, tmp_path):
         assert sorted((r.asin, r.prediction) for r in readers.read_parquet(spark, out).collect()) == want
 
 
+def test_joined_scoring_stores_no_text_twice(spark, jsonl, tmp_path):
+    """Numbered records are stored without their combined text; a stream's batch leaves no table behind."""
+    from pathlib import Path
+
+    from shelfmark.session import scratch_dir
+
+    config = etl_config(jsonl, str(tmp_path / "out"), tokenizer_model="corpus", keep=["asin"], schema=RECORD_DDL)
+    config["tokenizer"] |= {"strategy": "join", "key": "asin"}
+    jobs.run_etl(spark, config)
+    stored, scratch = str(tmp_path / "model"), []
+    jobs.run_train(spark, train_config(str(tmp_path / "out"), model_path=stored, candidates=[{"maxIter": 1}]))
+    raw = readers.read_jsonl(spark, jsonl, schema=RECORD_DDL)
+    scored = jobs.score(model.load(spark, stored), raw, scratch=scratch)
+    by_key = jobs.run_predict(spark, stored, raw, "asin")
+    assert sorted(scored.columns) == sorted(by_key.columns)
+    columns = ["asin", "title", "input_ids", "prediction"]
+    assert sorted(scored.select(columns).collect()) == sorted(by_key.select(columns).collect())
+    numbered, _ = scratch
+    assert "combined_text" not in spark.read.parquet(numbered).columns
+    folder = Path(scratch_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    records = scoring.read_record_stream(spark, jsonl, RECORD_DDL)
+    out, progress = str(tmp_path / "scored"), str(tmp_path / "progress")
+    scoring.score_stream(spark, stored, records, out, progress, ["asin", "prediction"]).awaitTermination(120)
+    assert set(folder.iterdir()) == before
+
+
 def test_split_table_has_few_files(spark, tmp_path):
     """Files of the split table follow its size, not the batch size."""
     df = spark.range(5000).selectExpr("concat('w', id % 7) AS combined_text", "concat('c', id % 2) AS main_cat")
